@@ -18,7 +18,7 @@ from pyspark.ml.util import (
 )
 from pyspark.sql import functions as F
 
-from casecast.session import staged
+from casecast.session import small_table, staged
 
 MEAN = "_mean"
 ROWS = "_rows"
@@ -92,9 +92,9 @@ class GroupMeanImputer(Estimator, _GroupMeanParams, DefaultParamsReadable, Defau
             # The means of few groups come to the driver; more than that are kept as a table and never collected.
             few = means.limit(limit + 1).collect()
             small = len(few) <= limit
-            means = dataset.sparkSession.createDataFrame(few, means.schema) if small else staged(means, "group-means")
+            means = small_table(dataset.sparkSession, few, means.schema) if small else staged(means, "group-means")
         else:
-            means, small = dataset.sparkSession.createDataFrame(means.collect(), means.schema), True
+            means, small = small_table(dataset.sparkSession, means.collect(), means.schema), True
         model = GroupMeanImputerModel(means, small)
         return self._copyValues(model)._check()
 

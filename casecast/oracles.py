@@ -251,8 +251,7 @@ ORACLES = {
     "boost_stump": with_steps([*TO_DERIVED, RATES], "SELECT icu, round(2 * p - 1, 6) AS margin FROM rates"),
     "svm_majority": with_steps(
         [*TO_DERIVED, RATES],
-        """SELECT icu, CASE WHEN p > 0.5 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS margin,
-           CASE WHEN p > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction FROM rates""",
+        "SELECT icu, CASE WHEN p > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction FROM rates",
     ),
     "svm_score_consistency": with_steps(
         TO_COMPLETE, "SELECT count(*) AS n, CAST(0 AS BIGINT) AS mismatches FROM complete"

@@ -14,7 +14,7 @@ from casecast.operators.prepare import assembler, complete_rows, confirmed_cases
 from casecast.operators.profiles import COUNT, MIN_BLOCKS, count_profiles, in_stable_order, weighted_blocks
 from casecast.operators.split import with_split
 from casecast.schema import FEATURE_SETS, KEY, LABEL, WEIGHT
-from casecast.session import checkpoint_dir
+from casecast.session import checkpoint_dir, small_table
 from casecast.sinks.model_store import save_model
 from casecast.sinks.paths import RunPaths
 from casecast.sinks.report import report_lines, write_report
@@ -131,7 +131,7 @@ def evaluate_model(model, held_out, features="base"):
 def write_evaluation(spark, paths, name, model, counts):
     """Report, confusion table and metrics table of one model."""
     rows = counts.collect()  # one row per part and pair of classes
-    counts = spark.createDataFrame(rows, SCHEMAS["confusion"])
+    counts = small_table(spark, rows, SCHEMAS["confusion"])
     metrics = weighted_metrics(counts, ["dataset"])
     by_part = {row["dataset"]: row for row in metrics.collect()}
     sections = [
@@ -142,7 +142,7 @@ def write_evaluation(spark, paths, name, model, counts):
     write_report(spark, report_lines(type(model).__name__, sections), paths.report(name))
     write_part(counts, paths, "confusion", name)
     values = [(part, metric, row[metric]) for part, row in by_part.items() for metric in METRICS]
-    write_part(spark.createDataFrame(values, SCHEMAS["metrics"]), paths, "metrics", name)
+    write_part(small_table(spark, values, SCHEMAS["metrics"]), paths, "metrics", name)
 
 
 def train(spark, cases, paths: RunPaths, settings: TrainingSettings = None):
@@ -165,7 +165,7 @@ def train(spark, cases, paths: RunPaths, settings: TrainingSettings = None):
     best = {}
     for name in settings.models:
         result = train_model(train_profiles, total, distinct, name, settings)
-        write_part(spark.createDataFrame(result.tuning, SCHEMAS["tuning"]), paths, "tuning", name)
+        write_part(small_table(spark, result.tuning, SCHEMAS["tuning"]), paths, "tuning", name)
         write_evaluation(spark, paths, name, result.model, evaluate_model(result.model, held_out, settings.features))
         save_model(result.model, paths.model(name))
         best[name] = result.model

@@ -3,7 +3,9 @@
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -48,3 +50,11 @@ def staged(df, name):
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_table(spark, rows, schema):
+    """A table of a few driver rows. Going through Arrow makes it a local scan, with no Python worker behind it."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    columns = {name: [row[i] for row in rows] for i, name in enumerate(schema.names)}
+    return spark.createDataFrame(pa.table(columns), schema)

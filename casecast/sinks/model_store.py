@@ -4,6 +4,7 @@ from pyspark.ml import PipelineModel
 
 from casecast.models.estimators import MODEL_CLASSES
 from casecast.models.grids import REPORTED
+from casecast.session import small_table
 
 
 def save_model(model, path, overwrite=False):
@@ -27,4 +28,4 @@ def tuned_params(spark, paths, models):
         model = load_model(name, paths.model(name))
         for param in REPORTED[name]:
             rows.append((paths.run_id, name, param, str(model.getOrDefault(model.getParam(param)))))
-    return spark.createDataFrame(rows, "run_id string, model string, param string, value string")
+    return small_table(spark, rows, "run_id string, model string, param string, value string")

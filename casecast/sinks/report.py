@@ -1,5 +1,7 @@
 """The plain-text evaluation report of one model."""
 
+from casecast.session import small_table
+
 # What a report shows for each set, in this order, after the confusion matrix.
 SHOWN = [
     ("F1-Score", "f1"),
@@ -32,5 +34,5 @@ def report_lines(model_class, sections):
 def write_report(spark, lines, path):
     """Write the lines in order as a single text file; a report that exists already is an error."""
     rows = [(number, text) for number, text in enumerate(lines)]
-    table = spark.createDataFrame(rows, "line int, Text string")
+    table = small_table(spark, rows, "line int, Text string")
     table.coalesce(1).sortWithinPartitions("line").select("Text").write.mode("errorifexists").text(path)
