@@ -16,6 +16,10 @@ from pyspark.ml.classification import (
 )
 
 
+# The seed of fits that name none.
+SEED = 2048
+
+
 class _GroupedFits:
     """Iterator of (index, model) for `fitMultiple`, safe to call from the threads of a cross-validation.
 
@@ -128,9 +132,14 @@ MODEL_CLASSES = {
 
 
 def estimator(name, weight=None, **params):
-    """One of the four classifiers over `features` and `label`, at Spark's defaults but for `params`."""
+    """One of the four classifiers over `features` and `label`, at Spark's defaults but for `params`.
+
+    A seed is always set: PySpark's default one comes from a string hash that changes with every Python process.
+    """
     if name not in ESTIMATORS:
         raise ValueError(f"unknown model {name!r}, not one of {sorted(ESTIMATORS)}")
     if weight:
         params["weightCol"] = weight
+    if name in ("rf", "gbt"):
+        params = {"seed": SEED} | params
     return ESTIMATORS[name](featuresCol="features", labelCol="label", **params)

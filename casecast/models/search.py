@@ -5,7 +5,7 @@ from dataclasses import dataclass
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator
 
-from casecast.models.estimators import estimator
+from casecast.models.estimators import SEED, estimator
 from casecast.models.grids import grid_points, param_maps, point_text
 from casecast.operators.split import FOLDS
 
@@ -38,6 +38,7 @@ def search(train, name, axes, *, weight=None, fold_column="fold", folds=FOLDS, p
         numFolds=folds,
         parallelism=parallelism,
         collectSubModels=False,
+        seed=SEED,
     )
     if fold_column:
         validator.setFoldCol(fold_column)

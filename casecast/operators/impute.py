@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark import keyword_only
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
@@ -67,6 +67,21 @@ class _GroupMeanParams(HasInputCol, HasOutputCol):
         return self.getOrDefault(self.weightCol) if self.isDefined(self.weightCol) else None
 
 
+def _kept(means, limit):
+    """Up to `limit` means as a local table, more as a staged one that is never collected, and which of the two.
+
+    The aggregation is cached meanwhile, so that finding out costs no second pass over the data.
+    """
+    means = means.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        few = means.limit(limit + 1).collect()
+        if len(few) <= limit:
+            return small_table(means.sparkSession, few, means.schema), True
+        return staged(means, "group-means"), False
+    finally:
+        means.unpersist()
+
+
 class GroupMeanImputer(Estimator, _GroupMeanParams, DefaultParamsReadable, DefaultParamsWritable):
     """Learn each group's mean, rounded up, to fill nulls with; known values stay as they are.
 
@@ -87,12 +102,8 @@ class GroupMeanImputer(Estimator, _GroupMeanParams, DefaultParamsReadable, Defau
         means = dataset.groupBy(*groups).agg(
             weighted_mean_up(self._mean_column(), weight).alias(MEAN), rows.cast("bigint").alias(ROWS)
         )
-        limit = self.getOrDefault(self.broadcastGroups)
         if groups:
-            # The means of few groups come to the driver; more than that are kept as a table and never collected.
-            few = means.limit(limit + 1).collect()
-            small = len(few) <= limit
-            means = small_table(dataset.sparkSession, few, means.schema) if small else staged(means, "group-means")
+            means, small = _kept(means, self.getOrDefault(self.broadcastGroups))
         else:
             means, small = small_table(dataset.sparkSession, means.collect(), means.schema), True
         model = GroupMeanImputerModel(means, small)

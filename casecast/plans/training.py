@@ -97,11 +97,16 @@ def fit_partitions(name, rows, parallelism):
 def training_rows(profiles, total, distinct, name, features="base", min_blocks=MIN_BLOCKS):
     """Counted profiles as weighted training rows of `features`, `label`, `fold` and `weight`, laid out for one model.
 
-    `total` is the number of cases the profiles stand for and `distinct` the number of profiles.
+    `total` is the number of cases the profiles stand for and `distinct` the number of profiles. Forests draw rows and
+    linear models scale by the rows' variance, so theirs come in fine blocks. Boosting does neither: its sums are the
+    same whether equal cases are one weighted row or many, so it takes the counts whole.
     """
-    blocks = weighted_blocks(profiles, total, min_blocks)
+    if name == "gbt":
+        rows, expected = profiles.withColumn(WEIGHT, F.col(COUNT).cast("double")).drop(COUNT), distinct
+    else:
+        rows, expected = weighted_blocks(profiles, total, min_blocks), min(total, distinct + min_blocks)
     parallelism = profiles.sparkSession.sparkContext.defaultParallelism
-    placed = in_stable_order(blocks, fit_partitions(name, min(total, distinct + min_blocks), parallelism))
+    placed = in_stable_order(rows, fit_partitions(name, expected, parallelism))
     return assembler(features).transform(placed).select("features", LABEL, "fold", WEIGHT)
 
 

@@ -2,6 +2,7 @@
 
 from functools import partial
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +24,7 @@ from casecast.operators.profiles import COUNT, count_profiles, in_stable_order,
 from casecast.operators.split import FOLDS, random_parts, with_split
 from casecast.plans import reports
 from casecast.plans.scoring import score_cases, with_scores
-from casecast.plans.training import TrainingSettings, train
+from casecast.plans.training import TrainingSettings, train, training_rows
 from casecast.schema import BASE_FEATURES, CASE_SCHEMA, FEATURE_SETS, KEY, LABEL, WEIGHT
 from casecast.session import checkpoint_dir, scratch_path, small_table
 from casecast.sinks.model_store import load_model, save_model, tuned_params
@@ -31,7 +32,6 @@ from casecast.sinks.paths import RunPaths
 from casecast.sinks.report import report_lines, write_report
 from casecast.sinks.tables import read_table
 from casecast.sources import cases_from_orders, read_cases_csv, read_cases_parquet
-from pyspark.ml.feature import VectorAssembler
 
 DIGITS = 6
 
@@ -266,7 +266,11 @@ def svm_majority(spark, sf_dir):
 def svm_score_consistency(spark, sf_dir):
     """Batch scores of every complete case against the sign of the plane that the model reports."""
     inputs = model_inputs(prepared(spark, sf_dir))
-    model = estimator("svm", maxIter=5, regParam=0.1).fit(inputs)
+    profiles = count_profiles(complete_rows(prepared(spark, sf_dir)), [*BASE_FEATURES, LABEL])
+    profiles = profiles.withColumn("fold", F.lit(0)).persist()
+    total, distinct = profiles.agg(F.sum(COUNT), F.count(F.lit(1))).first()
+    rows = training_rows(profiles, total, distinct, "svm").persist()
+    model = estimator("svm", WEIGHT, maxIter=5, regParam=0.1).fit(rows)
     values = vector_to_array("features")
     plane = sum((values[i] * float(w) for i, w in enumerate(model.coefficients)), F.lit(float(model.intercept)))
     wrong = F.when((plane > 0).cast("double") != F.col("prediction"), 1).otherwise(0)
