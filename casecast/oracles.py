@@ -168,6 +168,13 @@ fold_f1 AS (
   SELECT (h // 1000) % 3 AS fold, avg(1 - label) AS q FROM hashed WHERE h % 1000 < 700 GROUP BY 1),
 scored AS (SELECT avg(q * 2 * q / (1 + q)) AS a, stddev_pop(q * 2 * q / (1 + q)) AS s FROM fold_f1)"""
 
+# Runs that predict survival for every held-out case.
+SURVIVAL_STEPS = [
+    *TO_PARTED,
+    """ruled AS (SELECT split AS dataset, label, CAST(0 AS DOUBLE) AS prediction FROM parted WHERE split <> 'train')""",
+]
+SURVIVAL_METRICS = [*metric_steps(SURVIVAL_STEPS, ["dataset"]), wide_metrics(["dataset"])]
+
 ORACLES = {
     "csv_scan_roundtrip": with_steps(CASES_ONLY, "SELECT * FROM cases"),
     "csv_scan_inferred": with_steps(CASES_ONLY, "SELECT * FROM cases"),
@@ -262,6 +269,29 @@ ORACLES = {
            FROM scored, (VALUES (0, 'elasticNetParam=1.0 regParam=10.0'), (1, 'elasticNetParam=1.0 regParam=20.0'))
              AS t(point, params)""",
     ),
+    "majority_run_metrics": with_steps(
+        SURVIVAL_METRICS,
+        f"""SELECT 'majority' AS run_id, 'base' AS features, 'lr' AS model, dataset, metric, value
+            FROM (UNPIVOT wide ON {METRIC_NAMES} INTO NAME metric VALUE value)""",
+    ),
+    "majority_run_confusion": with_steps(
+        confusion_cells(SURVIVAL_STEPS, "ruled", ["dataset"]),
+        "SELECT 'majority' AS run_id, 'with_diagnosis' AS features, 'lr' AS model, * FROM cells",
+    ),
+    "majority_run_leaderboard": with_steps(
+        SURVIVAL_METRICS,
+        f"""SELECT 'majority' AS run_id, 'base' AS features, 'lr' AS model, {METRIC_NAMES}
+            FROM wide WHERE dataset = 'test'""",
+    ),
+    "majority_run_parameters": """
+        SELECT 'majority' AS run_id, 'lr' AS model, param, value
+        FROM (VALUES ('elasticNetParam', '1.0'), ('maxIter', '100'), ('regParam', '10.0'), ('tol', '0.1'))
+          AS t(param, value)""",
+    "majority_run_scores": with_steps(
+        [*TO_PARTED, "seen AS (SELECT avg(label) AS p FROM parted WHERE split = 'train')"],
+        """SELECT case_id, label, CAST(0 AS DOUBLE) AS prediction, round(ln(p / (1 - p)), 6) AS margin,
+           round(p, 6) AS probability, 'lr' AS model FROM complete, seen""",
+    ),
     "saved_model_scores": with_steps(
         [*TO_DERIVED, RATES],
         """SELECT case_id, label, CASE WHEN p > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction,

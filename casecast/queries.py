@@ -329,6 +329,45 @@ def scored_cases(spark, sf_dir):
     return score_cases(spark, cases_from_orders(spark, sf_dir), paths, "gbt")
 
 
+# Whole runs with penalties that leave only the intercept, so that every output has a closed form
+
+
+MAJORITY_GRIDS = {
+    "lr": {"maxIter": [100, 300], "elasticNetParam": [1.0], "regParam": [10.0, 20.0], "tol": [0.1, 0.2]},
+}
+
+
+def majority_run(spark, sf_dir, features="base"):
+    paths = RunPaths(scratch_path(spark, "run"), "majority", features)
+    settings = TrainingSettings(models=["lr"], grids=MAJORITY_GRIDS, features=features, parallelism=4)
+    train(spark, cases_from_orders(spark, sf_dir), paths, settings)
+    return paths
+
+
+def majority_run_metrics(spark, sf_dir):
+    metrics = read_table(spark, majority_run(spark, sf_dir), "metrics")
+    return metrics.select("run_id", "features", "model", "dataset", "metric", rounded("value"))
+
+
+def majority_run_confusion(spark, sf_dir):
+    return read_table(spark, majority_run(spark, sf_dir, "with_diagnosis"), "confusion")
+
+
+def majority_run_leaderboard(spark, sf_dir):
+    board = reports.leaderboard(read_table(spark, majority_run(spark, sf_dir), "metrics"))
+    return board.select("run_id", "features", "model", *[rounded(name) for name in METRICS])
+
+
+def majority_run_parameters(spark, sf_dir):
+    """All points tie, so the parameters of the first one come back from the saved model."""
+    return tuned_params(spark, majority_run(spark, sf_dir), ["lr"])
+
+
+def majority_run_scores(spark, sf_dir):
+    scores = score_cases(spark, cases_from_orders(spark, sf_dir), majority_run(spark, sf_dir), "lr")
+    return scores.select(KEY, LABEL, "prediction", rounded("margin"), rounded("probability"), "model")
+
+
 QUERIES = {
     "csv_scan_roundtrip": csv_scan_roundtrip,
     "csv_scan_inferred": csv_scan_inferred,
@@ -368,6 +407,11 @@ QUERIES = {
     "svm_score_consistency": svm_score_consistency,
     "cross_validation_majority": cross_validation_majority,
     "saved_model_scores": saved_model_scores,
+    "majority_run_metrics": majority_run_metrics,
+    "majority_run_confusion": majority_run_confusion,
+    "majority_run_leaderboard": majority_run_leaderboard,
+    "majority_run_parameters": majority_run_parameters,
+    "majority_run_scores": majority_run_scores,
     "training_run": training_run,
     "training_run_with_diagnosis": training_run_with_diagnosis,
     "tuned_parameters": tuned_parameters,
