@@ -1,6 +1,6 @@
 """Command line: train on a case file, show tuned parameters or the leaderboard, score new cases.
 
-    python -m casecast train --cases hdfs:///covid/cases.csv --base hdfs:///covid --key id
+    python -m casecast train --cases hdfs:///surveillance/cases.csv --base hdfs:///surveillance --key id
 """
 
 import argparse

@@ -34,6 +34,9 @@ def mean_up(value):
 
 
 def key_hash(key):
-    """Non-negative number from a row's key: the first 32 bits of the md5 of its text, the same on every layout."""
-    digits = F.substring(F.md5(F.col(key).cast("string")), 1, 8)
+    """Non-negative number from a row's key: the first 32 bits of the md5 of its text, the same on every layout.
+
+    A null key counts as the empty text.
+    """
+    digits = F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, 8)
     return F.conv(digits, 16, 10).cast("bigint")

@@ -151,7 +151,8 @@ class GroupMeanImputerModel(Model, _GroupMeanParams, MLReadable, MLWritable):
         total = self.means.agg(F.sum(ROWS).alias("total")).select("total").scalar()
         is_hot = F.col(ROWS) * self.getOrDefault(self.broadcastGroups) >= total
         hot, cold = self._renamed(self.means.where(is_hot)), self._renamed(self.means.where(~is_hot))
-        known = dataset.where(F.col(value).isNotNull()).withColumn(MEAN, F.lit(None).cast("bigint"))
+        no_mean = F.lit(None).cast(self.means.schema[MEAN].dataType)
+        known = dataset.where(F.col(value).isNotNull()).withColumn(MEAN, no_mean)
         lacking = dataset.where(F.col(value).isNull())
         columns = [*dataset.columns, MEAN]
         from_hot = lacking.join(*self._on(lacking, F.broadcast(hot)), "inner").select(columns)

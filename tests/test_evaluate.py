@@ -1,6 +1,8 @@
 import random
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -69,3 +71,32 @@ def test_matrix_and_long_form(predictions):
 def test_predictions_shuffle_once_as_partial_counts(predictions):
     plan = weighted_metrics(confusion(predictions))._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and plan.count("partial_count") == 1
+
+
+def by_hand(pairs):
+    """The six metrics from their definitions, pair by pair."""
+    n = len(pairs)
+    sums = dict.fromkeys(METRICS, 0.0)
+    for c in {label for label, _ in pairs}:
+        support = sum(label == c for label, _ in pairs)
+        said = sum(prediction == c for _, prediction in pairs)
+        tp = sum(label == prediction == c for label, prediction in pairs)
+        precision, recall = tp / said if said else 0.0, tp / support
+        share = support / n
+        sums["f1"] += share * (2 * precision * recall / (precision + recall) if tp else 0.0)
+        sums["accuracy"] += tp / n
+        sums["weighted_precision"] += share * precision
+        sums["weighted_recall"] += share * recall
+        sums["weighted_true_positive_rate"] += share * recall
+        sums["weighted_false_positive_rate"] += share * ((said - tp) / (n - support) if n > support else 0.0)
+    return sums
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 5)), min_size=1, max_size=30), min_size=5, max_size=30))
+def test_metrics_agree_with_their_definitions(spark, groups):
+    rows = [(i, float(a), float(p)) for i, pairs in enumerate(groups) for a, p in pairs]
+    table = small_table(spark, rows, "g int, label double, prediction double")
+    for row in weighted_metrics(confusion(table, ["g"]), ["g"]).collect():
+        expected = by_hand([(a, p) for i, a, p in rows if i == row["g"]])
+        assert {name: row[name] for name in METRICS} == pytest.approx(expected, abs=1e-9)

@@ -81,3 +81,15 @@ def test_pipeline_of_imputers_is_saved_whole(spark, tmp_path):
     result = loaded.transform(cases)
     assert sorted(map(str, result.collect())) == sorted(map(str, model.transform(cases).collect()))
     assert sorted(row.age for row in result.collect()) == [20.0, 20.0, 20.0, 20.0, 40.0]
+
+
+def test_many_groups_of_decimals(spark):
+    rows = spark.sql(
+        "SELECT CAST(id % 9 AS STRING) AS g, CASE WHEN id % 2 = 0 THEN CAST(id AS DECIMAL(10, 2)) END AS x FROM range(90)"
+    )
+    for most in (100, 3):
+        imputer = GroupMeanImputer(inputCol="x", outputCol="y", groupCols=["g"], broadcastGroups=most)
+        filled = imputer.fit(rows).transform(rows)
+        assert filled.where("x IS NULL").agg(F.sum("y")).first()[0] == 5 * sum(
+            -(-sum(i for i in range(90) if i % 9 == g and i % 2 == 0) // 5) for g in range(9)
+        )

@@ -51,3 +51,8 @@ def test_random_parts_are_disjoint_and_cover(cases):
 
 def test_hash_split_is_narrow(cases):
     assert "Exchange" not in with_split(cases)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_null_keys_have_a_place(spark):
+    rows = with_split(spark.sql("SELECT CAST(NULL AS BIGINT) AS case_id")).collect()
+    assert rows[0].split is not None and rows[0].fold in (0, 1, 2)
