@@ -95,7 +95,7 @@ def main():
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,
-        "sf": os.path.basename(sf_dir.rstrip("/")),
+        "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
     }
     print(json.dumps(line))
     spark.stop()

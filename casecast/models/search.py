@@ -17,8 +17,6 @@ class SearchResult:
     model: object
     tuning: list
 
-    SCHEMA = "point int, params string, avg_f1 double, std_f1 double, best boolean"
-
 
 def f1_evaluator(weight=None):
     evaluator = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="f1")

@@ -19,13 +19,13 @@ def count_profiles(table, by, count=None):
 
 
 def weighted_blocks(profiles, total, min_blocks=MIN_BLOCKS):
-    """Split counts into blocks of nearly equal weight, none above total/min_blocks.
+    """Split counts into blocks of nearly equal weight, none above total/min_blocks rounded up.
 
     Up to `min_blocks` cases every block is a single case. Beyond that, equal cases share blocks, which bounds the
     training rows by `min_blocks` plus the distinct combinations however many cases there are, spreads a hot
     combination over many rows, and keeps bootstraps and variances fine-grained.
     """
-    width = max(1, total // min_blocks)
+    width = max(1, -(-total // min_blocks))
     pieces = F.ceil(F.col(COUNT) / width)
     piece = F.explode(F.sequence(F.lit(1).cast("bigint"), pieces)).alias("block")
     weight = F.floor(F.col(COUNT) / pieces) + F.when(F.col("block") <= F.col(COUNT) % pieces, 1).otherwise(0)

@@ -232,6 +232,11 @@ ORACLES = {
     ),
     "confusion": with_steps(confusion_cells(ICU_STEPS, "ruled"), "SELECT * FROM cells"),
     "confusion_by_split": with_steps(confusion_cells(ICU_STEPS, "ruled", ["split"]), "SELECT * FROM cells"),
+    "confusion_matrix": with_steps(
+        ICU_STEPS,
+        """SELECT label, count(*) FILTER (prediction = 0) AS "0.0", count(*) FILTER (prediction = 1) AS "1.0"
+           FROM ruled GROUP BY label""",
+    ),
     "confusion_multiclass": with_steps(confusion_cells([LARGEST_ENTRY_RULE], "ruled"), "SELECT * FROM cells"),
     "metrics": metrics_sql(ICU_STEPS),
     "metrics_by_split": metrics_sql(ICU_STEPS, ["split"]),
@@ -240,6 +245,7 @@ ORACLES = {
         [*metric_steps(ICU_STEPS, ["split"]), wide_metrics(["split"])],
         f"SELECT split, metric, value FROM (UNPIVOT wide ON {METRIC_NAMES} INTO NAME metric VALUE value)",
     ),
+    "selection_metric": with_steps([*metric_steps(ICU_STEPS), wide_metrics([])], "SELECT f1 FROM wide"),
     "evaluation_report": REPORT,
     "base_rates": with_steps(
         TO_COMPLETE,

@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 
 from casecast.models.estimators import estimator
 from casecast.models.grids import FULL, SMOKE, grid_points, point_text
-from casecast.models.search import search
-from casecast.operators.evaluate import METRICS, confusion, metrics_long, weighted_metrics
+from casecast.models.search import f1_evaluator, search
+from casecast.operators.evaluate import METRICS, confusion, confusion_matrix, metrics_long, weighted_metrics
 from casecast.operators.impute import GroupMeanImputer
 from casecast.operators.prepare import (
     complete_rows,
@@ -30,7 +30,7 @@ from casecast.session import checkpoint_dir, scratch_path, small_table
 from casecast.sinks.model_store import load_model, save_model, tuned_params
 from casecast.sinks.paths import RunPaths
 from casecast.sinks.report import report_lines, write_report
-from casecast.sinks.tables import read_table
+from casecast.sinks.tables import SCHEMAS, read_table
 from casecast.sources import cases_from_orders, read_cases_csv, read_cases_parquet
 
 DIGITS = 6
@@ -194,6 +194,16 @@ def metrics_by_name(spark, sf_dir):
     return metrics_long(metrics, ["split"]).select("split", "metric", rounded("value"))
 
 
+def matrix_of_confusion(spark, sf_dir):
+    return confusion_matrix(confusion(icu_rule(spark, sf_dir)), [0.0, 1.0])
+
+
+def selection_metric(spark, sf_dir):
+    """The F1 by which a search chooses, from Spark's evaluator over counted predictions."""
+    counts = confusion(icu_rule(spark, sf_dir)).persist()
+    return small_table(spark, [(f1_evaluator("n").evaluate(counts),)], "f1 double").select(rounded("f1"))
+
+
 def evaluation_report(spark, sf_dir):
     counts = confusion(icu_rule(spark, sf_dir).where(F.col("split") != "train"), ["split"])
     rows = counts.collect()  # one row per part and pair of classes
@@ -215,19 +225,18 @@ def base_rates(spark, sf_dir):
 # Models whose answers are known in closed form, fitted on all confirmed cases with the ICU flag as the only input
 
 
-def icu_rows(spark, sf_dir, by=()):
-    """Weighted training rows of all confirmed cases; every case counts, equal ones by their weight."""
-    checkpoint_dir(spark)
-    profiles = count_profiles(derived(spark, sf_dir), ["icu", LABEL, *by]).persist()
+def icu_rows(cases, columns=("icu", LABEL)):
+    """Weighted training rows of the cases; every case counts, equal ones by their weight."""
+    checkpoint_dir(cases.sparkSession)
+    profiles = count_profiles(cases, columns).persist()
     total = profiles.agg(F.sum(COUNT)).first()[0]
     rows = in_stable_order(weighted_blocks(profiles, total, 10_000), 1)
-    assembled = VectorAssembler(inputCols=["icu"], outputCol="features").transform(rows)
-    return assembled.persist()
+    return VectorAssembler(inputCols=["icu"], outputCol="features").transform(rows).persist()
 
 
 def fitted_on_icu(name, spark, sf_dir, **params):
     """The fitted model, and the two levels of its input to score."""
-    rows = icu_rows(spark, sf_dir)
+    rows = icu_rows(derived(spark, sf_dir))
     model = estimator(name, WEIGHT, **params).fit(rows)
     return model, rows.select("icu", "features").distinct()
 
@@ -279,14 +288,11 @@ def svm_score_consistency(spark, sf_dir):
 
 def cross_validation_majority(spark, sf_dir):
     """Penalties that leave only the intercept: every fold predicts survival, and all points tie, so the first wins."""
-    h = with_split(derived(spark, sf_dir)).where(F.col("split") == "train")
-    profiles = count_profiles(h, ["icu", LABEL, "fold"]).persist()
-    total = profiles.agg(F.sum(COUNT)).first()[0]
-    rows = in_stable_order(weighted_blocks(profiles, total, 10_000), 1)
-    rows = VectorAssembler(inputCols=["icu"], outputCol="features").transform(rows).persist()
+    training_part = with_split(derived(spark, sf_dir)).where(F.col("split") == "train")
+    rows = icu_rows(training_part, ["icu", LABEL, "fold"])
     grid = {"elasticNetParam": [1.0], "regParam": [10.0, 20.0]}
     tuning = search(rows, "lr", grid, weight=WEIGHT).tuning
-    table = small_table(spark, tuning, "point int, params string, avg_f1 double, std_f1 double, best boolean")
+    table = small_table(spark, tuning, SCHEMAS["tuning"])
     return table.select("point", "params", rounded("avg_f1"), rounded("std_f1"), "best")
 
 
@@ -392,11 +398,13 @@ QUERIES = {
     "search_plan": search_plan,
     "confusion": partial(confusion_of, icu_rule, []),
     "confusion_by_split": partial(confusion_of, icu_rule, ["split"]),
+    "confusion_matrix": matrix_of_confusion,
     "confusion_multiclass": partial(confusion_of, largest_entry_rule, []),
     "metrics": partial(metrics_of, icu_rule, []),
     "metrics_by_split": partial(metrics_of, icu_rule, ["split"]),
     "metrics_multiclass": partial(metrics_of, largest_entry_rule, []),
     "metrics_by_name": metrics_by_name,
+    "selection_metric": selection_metric,
     "evaluation_report": evaluation_report,
     "base_rates": base_rates,
     "forest_stump": forest_stump,
