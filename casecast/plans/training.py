@@ -1,8 +1,9 @@
 """The training job: one pass over the cases, then a search per model over weighted rows."""
 
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
@@ -33,7 +34,8 @@ class TrainingSettings:
 
     `age_rule` is `keep_known` or `as_computed`, `means_from` is `train` or `all`, `split` is `hash` or `random`.
     The second choice of each is what `as_published` sets: known ages are overwritten, the means see the held-out
-    cases, and parts and folds are drawn at random.
+    cases, and parts and folds are drawn at random. `parallelism` is the number of concurrent fits of one model's
+    search, of which `models_at_once` run side by side.
     """
 
     models: list = field(default_factory=lambda: list(MODELS))
@@ -44,6 +46,7 @@ class TrainingSettings:
     split: str = "hash"
     key: str = KEY
     parallelism: int = 2
+    models_at_once: int = 4
     min_blocks: int = MIN_BLOCKS
     params: dict = field(default_factory=dict)
 
@@ -167,12 +170,15 @@ def train(spark, cases, paths: RunPaths, settings: TrainingSettings = None):
         raise ValueError("no complete confirmed case falls into the training part")
     held_out = complete.where(F.col("split").isin(HELD_OUT))
 
-    best = {}
-    for name in settings.models:
+    def one_model(name):
         result = train_model(train_profiles, total, distinct, name, settings)
         write_part(small_table(spark, result.tuning, SCHEMAS["tuning"]), paths, "tuning", name)
         write_evaluation(spark, paths, name, result.model, evaluate_model(result.model, held_out, settings.features))
         save_model(result.model, paths.model(name))
-        best[name] = result.model
+        return name, result.model
+
+    # Counted rows are few, so a fit is a chain of short jobs that leaves most of a cluster to the other models.
+    with ThreadPool(min(settings.models_at_once, len(settings.models))) as pool:
+        best = dict(pool.map(inheritable_thread_target(spark)(one_model), settings.models))
     complete.unpersist()
     return best
