@@ -46,6 +46,9 @@ def parser():
     training.add_argument("--age-rule", choices=["keep_known", "as_computed"], default="keep_known")
     training.add_argument("--means-from", choices=["train", "all"], default="train")
     training.add_argument("--split", choices=["hash", "random"], default="hash")
+    training.add_argument(
+        "--as-published", action="store_true", help="full grids, ages overwritten, means over all cases, random split"
+    )
     training.add_argument("--parallelism", type=int, default=2, help="concurrent fits")
     command("params", "print the tuned parameters of the saved models")
     board = command("leaderboard", "print the metrics of all runs, best first", run_needed=False)
@@ -62,22 +65,22 @@ def cases_of(spark, args, keyed):
     return read_cases(spark, args.cases, "csv", sep=args.sep, infer=args.infer, types=types)
 
 
+def settings_of(args):
+    chosen = {"models": args.models, "features": args.features, "key": args.key, "parallelism": args.parallelism}
+    if args.as_published:
+        return TrainingSettings.as_published(**chosen)
+    return TrainingSettings(
+        grids=PRESETS[args.grid], age_rule=args.age_rule, means_from=args.means_from, split=args.split, **chosen
+    )
+
+
 def main(argv=None):
     args = parser().parse_args(argv)
     spark = local_session(cpus=args.local) if args.local else SparkSession.builder.appName("casecast").getOrCreate()
     paths = RunPaths(args.base, args.run or new_run_id(), args.features)
     if args.command == "train":
-        settings = TrainingSettings(
-            models=args.models,
-            grids=PRESETS[args.grid],
-            features=args.features,
-            age_rule=args.age_rule,
-            means_from=args.means_from,
-            split=args.split,
-            key=args.key,
-            parallelism=args.parallelism,
-        )
-        train(spark, cases_of(spark, args, args.split == "hash"), paths, settings)
+        settings = settings_of(args)
+        train(spark, cases_of(spark, args, settings.split == "hash"), paths, settings)
         tuned_params(spark, paths, args.models).show(truncate=False)
         print(f"run {paths.run_id} is under {paths.root}")
     elif args.command == "params":

@@ -32,7 +32,8 @@ def leaderboard(metrics, dataset="test"):
 def search_plan(train, grids):
     """The fits a search makes: each grid point with each fold's number of training and validation cases.
 
-    The counts are one aggregation over the training part; the points are a literal list exploded next to them.
+    The counts are one aggregation over the training part; after it there is one row per fold, next to which the
+    literal list of points is exploded.
     """
     per_fold = train.groupBy("fold").agg(F.count(F.lit(1)).alias("n_validation"))
     counted = per_fold.withColumn("n", F.sum("n_validation").over(Window.partitionBy(F.lit(0))))

@@ -84,3 +84,13 @@ def test_partitions_follow_the_rows():
 def test_one_shuffle_with_partial_counts(parted):
     plan = count_profiles(parted, BASE_FEATURES)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "partial_count" in plan
+
+
+def test_linear_fit_on_blocks_is_close_to_the_fit_on_cases(profiles, parted):
+    """Blocks enter a linear fit through the spread it scales by, which is off by no more than the share of a block."""
+    total = parted.count()
+    on_cases = estimator("lr", regParam=0.01).fit(assembled(in_stable_order(parted.select(*BASE_FEATURES, "label"), 1)))
+    blocks = weighted_blocks(profiles, total, total // 2)
+    on_blocks = estimator("lr", "weight", regParam=0.01).fit(assembled(in_stable_order(blocks, 1)))
+    assert list(on_blocks.coefficients) == pytest.approx(list(on_cases.coefficients), rel=0.01, abs=1e-3)
+    assert on_blocks.intercept == pytest.approx(on_cases.intercept, rel=0.01)

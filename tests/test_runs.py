@@ -167,3 +167,16 @@ def test_command_line(spark, cases, tmp_path, capsys):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 812
     with pytest.raises(SystemExit):
         main(["score", "--cases", source, "--out", "x", "--base", base, "--run", "r5"])
+
+
+def test_command_line_choices():
+    from casecast.__main__ import parser, settings_of
+
+    common = ["train", "--cases", "c", "--base", "b", "--models", "lr", "gbt"]
+    plain = settings_of(parser().parse_args([*common, "--grid", "smoke", "--key", "id"]))
+    assert (plain.models, plain.key, plain.split, plain.age_rule) == (["lr", "gbt"], "id", "hash", "keep_known")
+    assert plain.grids is SMOKE
+    published = settings_of(parser().parse_args([*common, "--as-published", "--features", "with_diagnosis"]))
+    assert (published.split, published.age_rule, published.means_from) == ("random", "as_computed", "all")
+    assert [len(grid_points(published.grids[name])) for name in MODELS] == [36, 576, 100, 12]
+    assert published.features == "with_diagnosis"
