@@ -24,9 +24,7 @@ def confusion(predictions, keys=(), count=None):
 def confusion_matrix(counts, classes):
     """The counts as a matrix for display: a row per actual class and a column per class of `classes`."""
     actual = counts.where(F.col("label").isin(classes))
-    return (
-        actual.groupBy("label").pivot("prediction", classes).agg(F.sum("n")).na.fill(0).orderBy("label")
-    )
+    return actual.groupBy("label").pivot("prediction", classes).agg(F.sum("n")).na.fill(0).orderBy("label")
 
 
 def _ratio(part, whole):
@@ -41,10 +39,12 @@ def weighted_metrics(counts, keys=()):
     actual one weigh nothing. From here on there is one row per class.
     """
     hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
-    credits = F.array(
-        F.struct(F.col("label").alias("class"), F.col("n").alias("support"), hit.alias("tp"), F.lit(0).alias("said")),
-        F.struct(F.col("prediction").alias("class"), F.lit(0).alias("support"), F.lit(0).alias("tp"), F.col("n").alias("said")),
-    )
+    none = F.lit(0)
+
+    def credit(to, support, tp, said):
+        return F.struct(F.col(to).alias("class"), support.alias("support"), tp.alias("tp"), said.alias("said"))
+
+    credits = F.array(credit("label", F.col("n"), hit, none), credit("prediction", none, none, F.col("n")))
     per_class = (
         counts.select(*keys, F.inline(credits))
         .groupBy(*keys, "class")

@@ -21,7 +21,7 @@ from casecast.operators.prepare import (
     prepared_as_computed,
 )
 from casecast.operators.profiles import COUNT, count_profiles, in_stable_order, weighted_blocks
-from casecast.operators.split import FOLDS, random_parts, with_split
+from casecast.operators.split import random_parts, with_split
 from casecast.plans import reports
 from casecast.plans.scoring import score_cases, with_scores
 from casecast.plans.training import TrainingSettings, train, training_rows
@@ -259,7 +259,7 @@ def logit_saturated(spark, sf_dir):
 
 def boost_stump(spark, sf_dir):
     model, levels = fitted_on_icu("gbt", spark, sf_dir, maxIter=1, maxDepth=1)
-    # The raw prediction is twice the margin's log-odds scale: one round of stumps leaves 2p - 1 per level.
+    # One round fits the labels as -1 and +1, so a level's margin is the mean of those, 2p - 1.
     return model.transform(levels).select("icu", F.round(vector_to_array("rawPrediction")[1], DIGITS).alias("margin"))
 
 

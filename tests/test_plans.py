@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from casecast.operators.prepare import complete_rows, confirmed_cases, derive, prepared_as_computed
+from casecast.operators.prepare import complete_rows, confirmed_cases, derive, model_inputs, prepared_as_computed
 from casecast.plans.training import TrainingSettings, case_profiles
 from casecast.schema import CASE_SCHEMA
 from casecast.sources import cases_from_orders, read_cases_csv, read_cases_parquet
@@ -70,6 +70,15 @@ def test_training_reads_the_cases_once_and_shuffles_counts(spark, wide_csv):
     assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1 and "partial_count" in plan
 
 
-def test_incomplete_rows_are_filtered_at_the_scan_side(edge_cases):
-    plan = plan_of(complete_rows(prepared_as_computed(derive(confirmed_cases(edge_cases)))))
-    assert "Exchange" not in plan.split("Subquery")[0]
+def test_incomplete_rows_are_filtered_at_the_scan(spark, edge_cases, tmp_path):
+    edge_cases.write.parquet(str(tmp_path / "c"))
+    prepared = prepared_as_computed(derive(confirmed_cases(read_cases_parquet(spark, str(tmp_path / "c")))))
+    for rows in (complete_rows(prepared), model_inputs(prepared), model_inputs(prepared, "with_diagnosis")):
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            rows.explain("formatted")
+        pushed = [line for line in text.getvalue().splitlines() if line.startswith("PushedFilters")]
+        assert any(
+            "IsNotNull(fecha_internacion)" in line and "IsNotNull(fecha_inicio_sintomas)" in line for line in pushed
+        )
+        assert rows.count() == 4

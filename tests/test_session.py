@@ -1,0 +1,58 @@
+from datetime import date
+from types import SimpleNamespace
+
+import pytest
+
+from casecast.session import CHECKPOINT_SETTING, checkpoint_dir, scratch_path, small_table, staged
+
+
+class Settings(dict):
+    def set(self, name, value):
+        self[name] = value
+
+
+class Context:
+    def __init__(self, master):
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def session_on(master, **settings):
+    return SimpleNamespace(conf=Settings(settings), sparkContext=Context(master))
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    with pytest.raises(RuntimeError, match=CHECKPOINT_SETTING):
+        checkpoint_dir(session_on("yarn"))
+
+
+def test_the_named_folder_is_used_as_it_is():
+    session = session_on("yarn", **{CHECKPOINT_SETTING: "hdfs://host/shared"})
+    assert checkpoint_dir(session) == "hdfs://host/shared" == session.sparkContext.folder
+    assert scratch_path(session, "x").startswith("hdfs://host/shared/x-")
+    assert scratch_path(session, "x") != scratch_path(session, "x")
+
+
+def test_a_local_session_gets_one_folder():
+    session = session_on("local[2]")
+    assert checkpoint_dir(session) == checkpoint_dir(session)
+
+
+def test_staged_tables_have_no_lineage(spark):
+    table = staged(spark.range(10).selectExpr("id", "id * 2 AS twice"), "numbers")
+    assert table.count() == 10 and table.columns == ["id", "twice"]
+    plan = table._jdf.queryExecution().analyzed().toString()
+    assert "Range" not in plan and "parquet" in plan
+
+
+def test_small_tables_keep_declared_types(spark):
+    table = small_table(spark, [(1, None, date(2020, 1, 1)), (None, "x", None)], "a bigint, b string, c date")
+    assert [tuple(row) for row in table.collect()] == [(1, None, date(2020, 1, 1)), (None, "x", None)]
+    assert dict(table.dtypes) == {"a": "bigint", "b": "string", "c": "date"}
+    assert small_table(spark, [], "a int, b string").collect() == []
+    assert "LocalTableScan" in table._jdf.queryExecution().executedPlan().toString()
