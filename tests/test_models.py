@@ -148,3 +148,14 @@ def test_binary_models_refuse_three_classes(spark, name):
 def test_unknown_model():
     with pytest.raises(ValueError, match="knn"):
         estimator("knn")
+
+
+def test_shared_fits_of_a_single_class(rows):
+    """A fold may hold survivors only. The linear SVM refuses that by itself, and says so through the shared fits."""
+    survivors = rows.where("label = 0")
+    axes = {"maxIter": [5, 10], "regParam": [0.1]}
+    logistic, machine = estimator("lr"), estimator("svm")
+    for _, model in logistic.fitMultiple(survivors, param_maps(logistic, axes)):
+        assert {row.prediction for row in model.transform(survivors).collect()} == {0.0}
+    with pytest.raises(Exception, match="binary"):
+        list(machine.fitMultiple(survivors, param_maps(machine, axes)))
