@@ -2,7 +2,7 @@
 
 from casecast.plans.reports import base_rates, leaderboard
 from casecast.plans.scoring import score_cases, write_scores
-from casecast.plans.training import TrainingSettings, train
+from casecast.plans.training import TrainingSettings, train, train_rounds
 from casecast.sinks.model_store import tuned_params
 from casecast.sinks.paths import RunPaths
 from casecast.sinks.tables import read_table
@@ -17,6 +17,7 @@ __all__ = [
     "read_table",
     "score_cases",
     "train",
+    "train_rounds",
     "tuned_params",
     "write_scores",
 ]

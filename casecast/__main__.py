@@ -4,6 +4,7 @@
 """
 
 import argparse
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 from casecast.models.grids import MODELS, PRESETS
 from casecast.plans.reports import leaderboard
 from casecast.plans.scoring import write_scores
-from casecast.plans.training import TrainingSettings, train
+from casecast.plans.training import TrainingSettings, train_rounds
 from casecast.schema import FEATURE_SETS, KEY
 from casecast.session import local_session
 from casecast.sinks.model_store import tuned_params
@@ -25,11 +26,12 @@ def parser():
     commands.add_argument("--local", metavar="CPUS", help="run in this process instead of on the submitted cluster")
     subcommands = commands.add_subparsers(dest="command", required=True)
 
-    def command(name, help, run_needed=True):
+    def command(name, help, run_needed=True, rounds=None):
         sub = subcommands.add_parser(name, help=help)
         sub.add_argument("--base", required=True, help="base URI of all outputs")
         sub.add_argument("--run", required=run_needed, help="run id")
-        sub.add_argument("--features", choices=list(FEATURE_SETS), default="base")
+        default = ["base"] if rounds else "base"
+        sub.add_argument("--features", choices=list(FEATURE_SETS), nargs=rounds, default=default)
         sub.add_argument("--models", nargs="+", choices=MODELS, default=list(MODELS))
         return sub
 
@@ -41,7 +43,7 @@ def parser():
         sub.add_argument("--key", default=KEY, help="column that identifies a case")
         return sub
 
-    training = with_cases(command("train", "search, evaluate and save the models", run_needed=False))
+    training = with_cases(command("train", "search, evaluate and save the models", run_needed=False, rounds="+"))
     training.add_argument("--grid", choices=list(PRESETS), default="small")
     training.add_argument("--age-rule", choices=["keep_known", "as_computed"], default="keep_known")
     training.add_argument("--means-from", choices=["train", "all"], default="train")
@@ -66,7 +68,7 @@ def cases_of(spark, args, keyed):
 
 
 def settings_of(args):
-    chosen = {"models": args.models, "features": args.features, "key": args.key, "parallelism": args.parallelism}
+    chosen = {"models": args.models, "key": args.key, "parallelism": args.parallelism}
     if args.as_published:
         return TrainingSettings.as_published(**chosen)
     return TrainingSettings(
@@ -77,13 +79,17 @@ def settings_of(args):
 def main(argv=None):
     args = parser().parse_args(argv)
     spark = local_session(cpus=args.local) if args.local else SparkSession.builder.appName("casecast").getOrCreate()
-    paths = RunPaths(args.base, args.run or new_run_id(), args.features)
+    paths = RunPaths(args.base, args.run or new_run_id())
     if args.command == "train":
         settings = settings_of(args)
-        train(spark, cases_of(spark, args, settings.split == "hash"), paths, settings)
-        tuned_params(spark, paths, args.models).show(truncate=False)
-        print(f"run {paths.run_id} is under {paths.root}")
-    elif args.command == "params":
+        train_rounds(spark, cases_of(spark, args, settings.split == "hash"), paths, settings, args.features)
+        for features in args.features:
+            of_round = replace(paths, features=features)
+            print(f"round {features} of run {paths.run_id}, under {of_round.root}")
+            tuned_params(spark, of_round, args.models).show(truncate=False)
+        return
+    paths = replace(paths, features=args.features)
+    if args.command == "params":
         tuned_params(spark, paths, args.models).show(truncate=False)
     elif args.command == "leaderboard":
         leaderboard(read_table(spark, paths, "metrics"), args.dataset).show(truncate=False)

@@ -18,6 +18,7 @@ from pyspark.ml.util import (
 )
 from pyspark.sql import functions as F
 
+from casecast.operators.prepare import age_as_computed
 from casecast.session import small_table, staged
 
 MEAN = "_mean"
@@ -146,7 +147,8 @@ class GroupMeanImputerModel(Model, _GroupMeanParams, MLReadable, MLWritable):
         """Too many groups to broadcast: only rows that lack a value meet the means.
 
         A group with at least 1/broadcastGroups of all rows is hot. There can be no more than broadcastGroups of
-        those, so their means are broadcast whatever the data; the shuffle carries the other groups only.
+        those, so their means are broadcast whatever the data; the shuffle carries the other groups only. Groups that
+        were rare or unknown when fitting and are hot in this table are left to the adaptive handling of skewed joins.
         """
         total = self.means.agg(F.sum(ROWS).alias("total")).select("total").scalar()
         is_hot = F.col(ROWS) * self.getOrDefault(self.broadcastGroups) >= total
@@ -231,7 +233,5 @@ class AsComputedAge(Estimator, _AsComputedAgeParams, DefaultParamsReadable, Defa
 
 class AsComputedAgeModel(Model, _AsComputedAgeParams, DefaultParamsReadable, DefaultParamsWritable):
     def _transform(self, dataset):
-        from casecast.operators.prepare import age_as_computed
-
         male, other = self.getOrDefault(self.maleMean), self.getOrDefault(self.otherMean)
         return dataset.withColumn("age", age_as_computed(F.lit(male), F.lit(other)))

@@ -1,6 +1,6 @@
 """The training job: one pass over the cases, then a search per model over weighted rows."""
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -57,11 +57,21 @@ class TrainingSettings:
         )
 
 
+def profile_columns(features):
+    return ["split", "fold", *FEATURE_SETS[features], "age_of_stated_sex", LABEL]
+
+
 def case_profiles(cases, settings):
     """Counts of equal confirmed cases per part and fold: the only pass over the cases themselves."""
     derived = derive(confirmed_cases(cases, settings.key), settings.key)
-    columns = [*FEATURE_SETS[settings.features], "age_of_stated_sex", LABEL]
-    return count_profiles(with_split(derived, settings.split, settings.key), ["split", "fold", *columns])
+    return count_profiles(with_split(derived, settings.split, settings.key), profile_columns(settings.features))
+
+
+def staged_profiles(spark, cases, paths, settings):
+    """Count the cases into the run folder and go on from there."""
+    counted = case_profiles(cases, settings)
+    counted.write.mode("errorifexists").parquet(paths.profiles)
+    return spark.read.schema(counted.schema).parquet(paths.profiles)
 
 
 def fit_preparation(profiles, settings):
@@ -156,11 +166,29 @@ def write_evaluation(spark, paths, name, model, counts):
 def train(spark, cases, paths: RunPaths, settings: TrainingSettings = None):
     """Search, refit, evaluate and save every model of the settings. Returns the best models by name."""
     settings = settings or TrainingSettings()
-    checkpoint_dir(spark)
-    counted = case_profiles(cases, settings)
-    counted.write.mode("errorifexists").parquet(paths.profiles)
-    profiles = spark.read.schema(counted.schema).parquet(paths.profiles)
+    return train_counted(spark, staged_profiles(spark, cases, paths, settings), paths, settings)
 
+
+def train_rounds(spark, cases, paths: RunPaths, settings: TrainingSettings = None, rounds=tuple(FEATURE_SETS)):
+    """Train once per feature set, each below its own path, on a single count of the cases.
+
+    The cases are counted by the largest set; the smaller ones add those counts up. Returns the models by round.
+    """
+    settings = settings or TrainingSettings()
+    widest = max(rounds, key=lambda features: len(FEATURE_SETS[features]))
+    profiles = staged_profiles(spark, cases, replace(paths, features=widest), replace(settings, features=widest))
+    best = {}
+    for features in rounds:
+        counted = profiles if features == widest else count_profiles(profiles, profile_columns(features), COUNT)
+        best[features] = train_counted(
+            spark, counted, replace(paths, features=features), replace(settings, features=features)
+        )
+    return best
+
+
+def train_counted(spark, profiles, paths, settings):
+    """The run from counted profiles on."""
+    checkpoint_dir(spark)
     preparation = fit_preparation(profiles, settings)
     save_model(preparation, paths.preparation)
     complete = complete_profiles(profiles, preparation, settings).persist(StorageLevel.MEMORY_AND_DISK)

@@ -8,6 +8,7 @@ from casecast.operators.prepare import confirmed_cases, derive
 from casecast.plans.reports import leaderboard
 from casecast.plans.scoring import score_cases, write_scores
 from casecast.plans.training import TrainingSettings, train
+from casecast.plans.training import case_profiles as original
 from casecast.sinks.model_store import load_model, load_preparation, save_model, tuned_params
 from casecast.sinks.paths import RunPaths, new_run_id
 from casecast.sinks.report import report_lines, write_report
@@ -176,7 +177,28 @@ def test_command_line_choices():
     plain = settings_of(parser().parse_args([*common, "--grid", "smoke", "--key", "id"]))
     assert (plain.models, plain.key, plain.split, plain.age_rule) == (["lr", "gbt"], "id", "hash", "keep_known")
     assert plain.grids is SMOKE
-    published = settings_of(parser().parse_args([*common, "--as-published", "--features", "with_diagnosis"]))
+    published = settings_of(parser().parse_args([*common, "--as-published"]))
     assert (published.split, published.age_rule, published.means_from) == ("random", "as_computed", "all")
     assert [len(grid_points(published.grids[name])) for name in MODELS] == [36, 576, 100, 12]
-    assert published.features == "with_diagnosis"
+    assert parser().parse_args([*common, "--features", "base", "with_diagnosis"]).features == ["base", "with_diagnosis"]
+    assert parser().parse_args(common).features == ["base"]
+
+
+def test_two_rounds_count_the_cases_once(spark, cases, tmp_path, monkeypatch):
+    """Both feature rounds from one count agree with each round on its own."""
+    from casecast.plans import training
+
+    calls = []
+    monkeypatch.setattr(training, "case_profiles", lambda *args: calls.append(args) or original(*args))
+    settings = TrainingSettings(models=["lr"], grids=SMOKE)
+    together = RunPaths(str(tmp_path / "a"), "r")
+    best = training.train_rounds(spark, cases, together, settings)
+    assert len(calls) == 1 and {name: models["lr"].numFeatures for name, models in best.items()} == {
+        "base": 5, "with_diagnosis": 6,
+    }
+    for features in best:
+        alone = RunPaths(str(tmp_path / "b"), "r", features)
+        model = train(spark, cases, alone, TrainingSettings(models=["lr"], grids=SMOKE, features=features))["lr"]
+        assert list(model.coefficients) == list(best[features]["lr"].coefficients)
+    a, b = (read_table(spark, paths, "metrics").collect() for paths in (together, alone))
+    assert len(a) == 2 * 2 * len(METRICS) and sorted(map(str, a)) == sorted(map(str, b))
