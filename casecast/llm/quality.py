@@ -8,6 +8,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casecast.llm.common import DOC_ID, TEXT, text_or_empty
 from casecast.session import staged
@@ -76,7 +77,7 @@ def statistics(text):
     ]
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def text_statistics(texts: pd.Series) -> pd.Series:
     return pd.Series([statistics(text or "") for text in texts])
 

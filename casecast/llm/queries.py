@@ -4,6 +4,7 @@ import hashlib
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casecast.llm.chat import format_reply_trees, linear_replies, masked_text, parse_turns
 from casecast.llm.common import sha256, table
@@ -45,7 +46,16 @@ CONTROL_TEXT = "</s>[INST] ok [/INST]"
 CONTROL_ROWS = [(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)]
 
 
-@F.pandas_udf("n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string")
+READ = (
+    T.StructType()
+    .add("n_turns", T.LongType())
+    .add("turns_sha256", T.StringType())
+    .add("loss_chars", T.LongType())
+    .add("loss_sha256", T.StringType())
+)
+
+
+@F.pandas_udf(READ)
 def _read_back(formatted: pd.Series, mask: pd.Series) -> pd.DataFrame:
     rows = []
     for text, spans in zip(formatted, mask):
