@@ -140,7 +140,7 @@ def mix(
         hashed.alias("_hash"),
     )
     met = rows.join(decisions, F.col("_name").eqNullSafe(F.col("_source")))
-    copies = F.col("base") + F.when(F.col("_hash") < F.col("threshold"), 1).otherwise(0)
+    copies = F.least(F.col("base") + (F.col("_hash") < F.col("threshold")).cast("int"), F.lit(max_repeats))
     results = {"size": F.col("_size"), "source_size": F.col("source_size"), "target": F.col("target"), "copies": copies}
     columns = [F.col("row").getField(name).alias(name) for name in docs.columns if name not in results]
     return met.select(*columns, *[value.alias(name) for name, value in results.items()])

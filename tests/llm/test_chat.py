@@ -1,0 +1,110 @@
+import random
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from casecast.llm.chat import escape, format_reply_trees, format_turns, linear_replies, masked_text, parse_turns, unescape
+
+MARKS = ["<s>", "</s>", "[INST]", "[/INST]", "\\", "<", "[", "/", "s>", "INST]", "a", "\n", "é", "<\\s>"]
+TEXTS = st.lists(st.sampled_from(MARKS)).map("".join)
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXTS)
+def test_escaped_text_comes_back(text):
+    hidden = escape(text)
+    assert unescape(hidden) == text
+    assert not any(mark in hidden for mark in ("<s>", "</s>", "[INST]", "[/INST]"))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.sampled_from(["user", "assistant", "system", ""]), TEXTS), TEXTS)))
+def test_turns_come_back_and_the_mask_covers_answers(turns):
+    formatted, mask = format_turns(turns)
+    assert parse_turns(formatted) == turns
+    assert masked_text(formatted, mask) == [text for role, text in turns if role == "assistant"]
+
+
+SCHEMA = "conv_id bigint, node bigint, parent bigint, score double, role string, text string"
+
+
+def rows_of(frame):
+    return {(r.conv_id, r["rank"]): r for r in frame.collect()}
+
+
+def random_trees(seed, trees=6, size=40):
+    draw, rows = random.Random(seed), []
+    for conv in range(trees):
+        for node in range(1, size + 1):
+            parent = draw.choice([None, *range(max(1, node - 4), node)]) if node > 1 else None
+            rows.append((conv, node, parent, float(draw.randrange(-3, 4)), draw.choice(["user", "assistant"]), f"{conv}.{node}"))
+    return rows
+
+
+def best_paths(rows, best):
+    """Every root-to-leaf path of every tree, ranked by brute force."""
+    by_conv = {}
+    for row in rows:
+        by_conv.setdefault(row[0], {})[row[1]] = row
+    found = {}
+    for conv, nodes in by_conv.items():
+        parents = {row[2] for row in nodes.values()}
+        paths = []
+        for leaf in nodes:
+            if leaf not in parents:
+                path, node = [], leaf
+                while node in nodes:
+                    path.append(nodes[node])
+                    node = nodes[node][2]
+                paths.append((-sum(row[3] for row in path), leaf, path[::-1]))
+        for rank, (score, leaf, path) in enumerate(sorted(paths, key=lambda p: p[:2])[:best], 1):
+            found[conv, rank] = (leaf, -score, [(row[4], row[5]) for row in path])
+    return found
+
+
+@pytest.mark.parametrize("best", [1, 3])
+def test_best_branches(spark, best):
+    rows = random_trees(best)
+    done = rows_of(format_reply_trees(spark.createDataFrame(rows, SCHEMA), best))
+    expected = best_paths(rows, best)
+    assert done.keys() == expected.keys()
+    for key, (leaf, score, turns) in expected.items():
+        row = done[key]
+        assert (row.leaf, row.score, row.n_turns) == (leaf, score, len(turns)) and parse_turns(row.formatted) == turns
+
+
+def test_long_chain(spark):
+    rows = [(1, i, i - 1 or None, 1.0, "user" if i % 2 else "assistant", str(i)) for i in range(1, 301)]
+    (row,) = format_reply_trees(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert row.score == 300 and [text for _, text in parse_turns(row.formatted)] == [str(i) for i in range(1, 301)]
+    assert "".join(masked_text(row.formatted, [(s.start, s.end) for s in row["mask"]])) == "".join(map(str, range(2, 301, 2)))
+
+
+def test_odd_messages(spark):
+    rows = [
+        (1, 1, None, 0.0, None, None),
+        (1, 2, 1, None, "assistant", ""),
+        (1, 2, 1, None, "assistant", ""),  # a repeated row
+        (1, 2, 1, None, "assistant", "later"),  # the same node again
+        (2, 1, 99, 1.0, "user", "its parent is unknown"),
+        (3, 1, 2, 1.0, "user", "a circle"),
+        (3, 2, 1, 1.0, "user", "of two"),
+        (3, 3, 2, 9.0, "user", "and one behind it"),
+        (4, 1, None, 1.0, "user", "alone"),
+        (5, 1, 1, 1.0, "user", "its own parent"),
+        (None, 1, None, 1.0, "user", "no conversation"),
+        (6, None, None, 1.0, "user", "no node"),
+    ]
+    messages = spark.createDataFrame([(*row, "mine", 1) for row in rows], f"{SCHEMA}, message string, leaf int")
+    done = rows_of(format_reply_trees(messages))
+    assert set(done) == {(1, 1), (2, 1), (4, 1)}
+    assert parse_turns(done[1, 1].formatted) == [("", ""), ("assistant", "")]
+    assert format_reply_trees(messages.where("false")).collect() == []
+
+
+def test_turns_with_ties_and_nulls(spark):
+    rows = [(1, 0, "user", "b"), (1, 0, "user", "a"), (1, 0, "user", "a"), (1, None, None, None), (1, 5, "assistant", "z")]
+    given_rows = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    (row,) = format_reply_trees(linear_replies(given_rows)).collect()
+    assert parse_turns(row.formatted) == [("", ""), ("user", "a"), ("user", "a"), ("user", "b"), ("assistant", "z")]

@@ -1,0 +1,87 @@
+from collections import defaultdict
+
+import numpy as np
+import odd
+import pytest
+from tokenizers import Tokenizer
+
+from casecast.llm.packing import Encoder, classes, cut, pack, padded
+from casecast.llm.queries import tokenizer_path
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(tokenizer_path())
+
+
+def check(pieces, ids_by_doc, capacity):
+    """Every id in exactly one piece, and sequences without gaps."""
+    docs, sequences = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        assert len(p.ids) == 4 * p.length
+        docs[p.doc_id].append(p)
+        sequences[p.sequence_id].append(p)
+    found = {}
+    for doc_id, own in docs.items():
+        found[doc_id] = sorted((p.start, np.frombuffer(p.ids, "<u4").tolist(), p.doc_tokens) for p in own)
+    expected = {}
+    for doc_id, texts in ids_by_doc.items():
+        lengths = list(classes(capacity))
+        expected[doc_id] = sorted((a, ids[a : a + n], len(ids)) for ids in texts for a, n in cut(len(ids), lengths))
+    assert found == expected
+    for own in sequences.values():
+        at = 0
+        for p in sorted(own, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert at <= capacity and {p.padded_to for p in own} == {padded(at, capacity)}
+    return sequences
+
+
+@pytest.mark.parametrize("capacity", [64, 1024])
+@pytest.mark.parametrize("clashing", [False, True])
+def test_odd_documents(spark, tokenizer, capacity, clashing):
+    rows = odd.odd_rows() + [(20, "a <|endoftext|> b", "en", "s", 1), (21, "\x00\x01  \n\n  it's 12345 don't", "en", "s", 1)]
+    expected = defaultdict(list)
+    for row in rows:
+        expected[row[0]].append([*tokenizer.encode(row[1] or "", add_special_tokens=False).ids, 0])
+    docs = odd.table(spark, rows, clashing).repartition(3)
+    sequences = check(pack(docs, tokenizer_path(), capacity).collect(), expected, capacity)
+    total = sum(len(ids) for texts in expected.values() for ids in texts)
+    assert len(sequences) <= total / capacity * 1.02 + 3  # one for each task's rest
+
+
+def test_encoder_gives_the_ids_of_the_library(tokenizer, sf_dir, spark):
+    encode = Encoder(tokenizer_path())
+    assert encode.fast is not None
+    for row in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect():
+        assert list(encode(row.text)) == tokenizer.encode(row.text, add_special_tokens=False).ids
+
+
+def test_other_files_are_left_to_the_library():
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encode = Encoder(path)
+    assert encode.fast is None
+    assert encode("Some words") == Tokenizer.from_file(path).encode("Some words", add_special_tokens=False).ids
+
+
+def test_classes_fill_sequences():
+    for capacity in (1, 2, 7, 64, 1000, 1024):
+        found = classes(capacity)
+        assert 1 in found and all(k * n <= capacity for n, k in found.items())
+        assert all((capacity - k * n) * 32 <= capacity for n, k in found.items())
+        for tokens in range(1, 3 * capacity, 5):
+            pieces = cut(tokens, list(found))
+            assert sum(n for _, n in pieces) == tokens and [a for a, _ in pieces] == list(np.cumsum([0] + [n for _, n in pieces])[:-1])
+
+
+def test_little_padding(spark, sf_dir):
+    pieces = pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), tokenizer_path())
+    by_sequence = pieces.groupBy("sequence_id").agg({"length": "sum", "padded_to": "max"}).collect()
+    assert sum(r["sum(length)"] for r in by_sequence) >= 0.99 * sum(r["max(padded_to)"] for r in by_sequence)
+
+
+def test_empty(spark):
+    assert pack(odd.empty(spark), tokenizer_path()).collect() == []

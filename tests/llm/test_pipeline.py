@@ -1,0 +1,93 @@
+"""Each stage on what its predecessor kept, against plain Python."""
+
+from collections import Counter, defaultdict
+
+import numpy as np
+import odd
+import pytest
+from test_lines import plain as plain_lines
+from test_mixing import plain_targets, size
+from test_simhash import plain_components, plain_simhash
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from casecast.llm.queries import tokenizer_path
+from casecast.session import staged
+
+
+@pytest.fixture(scope="module")
+def kept(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    steps = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        steps.append(staged(stage(spark, steps[-1], sf_dir), name))
+    return dict(zip(["documents", *dict(corpus_pipeline.STAGES)], steps))
+
+
+def test_stages(kept):
+    assert list(kept) == ["documents", "quality", "line_dedup", "near_dedup", "mixing", "packing"]
+    for name in ("quality", "line_dedup", "near_dedup", "mixing"):
+        assert kept[name].columns == corpus_pipeline.COLUMNS
+
+
+def test_quality_rejects_bad_documents_only(spark, sf_dir, kept):
+    stay = {r.doc_id for r in kept["quality"].collect()}
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").collect()
+    good, bad = ({r.doc_id for r in labels if r.quality == q} for q in (1, 0))
+    assert len(good - stay) <= 0.02 * len(good) and len(bad & stay) <= 0.3 * len(bad)
+
+
+def test_lines(kept):
+    rows = [tuple(r) for r in kept["quality"].collect()]
+    found = kept["line_dedup"].collect()
+    assert sorted(((r.doc_id, r.text) for r in found), key=str) == sorted(((r[0], r[1]) for r in plain_lines(rows)), key=str)
+    assert all(r.n_chars == len(r.text) for r in found)
+
+
+def test_near_duplicates(kept):
+    rows = kept["line_dedup"].collect()
+    expected = plain_components({r.doc_id: plain_simhash(r.text) for r in rows}, 2)
+    assert sorted(r.doc_id for r in kept["near_dedup"].collect()) == sorted(set(expected.values()))
+
+
+def test_mixture(kept):
+    rows = kept["near_dedup"].collect()
+    sizes, biggest = defaultdict(int), max(size(r.text) for r in rows)
+    for r in rows:
+        sizes[r.source] += size(r.text)
+    copies = Counter(r.doc_id for r in kept["mixing"].collect())
+    assert max(copies.values()) <= 3
+    taken = defaultdict(int)
+    for r in rows:
+        taken[r.source] += size(r.text) * copies[r.doc_id]
+    assert all(abs(taken[s] - goal) <= biggest for s, goal in plain_targets(sizes).items())
+
+
+def test_packed(kept):
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    rows = Counter()
+    for r in kept["mixing"].collect():
+        rows[r.doc_id, tuple(tokenizer.encode(r.text or "", add_special_tokens=False).ids) + (0,)] += 1
+    pieces = defaultdict(list)
+    for p in kept["packing"].collect():
+        pieces[p.doc_id].append((p.start, np.frombuffer(p.ids, "<u4").tolist()))
+    for (doc_id, ids), copies in rows.items():
+        joined = sum((own for _, own in sorted(pieces[doc_id], key=lambda p: p[0])), [])
+        assert len(joined) == copies * len(ids)
+        assert Counter(joined) == Counter({x: n * copies for x, n in Counter(ids).items()})
+
+
+def test_run_is_the_stages(spark, sf_dir, kept):
+    done = corpus_pipeline.run(spark, sf_dir)
+    assert done.columns == kept["packing"].columns and corpus_pipeline.ORACLE_SQL is None
+    total = lambda t: sorted((r.doc_id, r.start, r.length) for r in t.select("doc_id", "start", "length").collect())
+    assert total(done) == total(kept["packing"])
+
+
+@pytest.mark.parametrize("clashing", [False, True])
+@pytest.mark.parametrize("empty", [False, True])
+def test_odd_documents_pass_every_stage(spark, sf_dir, clashing, empty):
+    docs = odd.empty(spark, clashing) if empty else odd.table(spark, clashing=clashing)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = staged(stage(spark, docs, sf_dir), name)
+    assert docs.count() == 0 if empty else docs.count() > 0

@@ -1,0 +1,64 @@
+import os
+
+import numpy as np
+import odd
+import pytest
+from pyspark.sql import functions as F
+
+from casecast.llm.quality import STATISTICS, _pooled, fit_quality, keep_good, statistics, statistics_table
+from casecast.llm.queries import QUERIES
+
+
+def test_held_out_documents(spark, sf_dir):
+    larger = sf_dir.replace("sf0.001", "sf0.01")
+    larger = larger if os.path.isdir(larger) else sf_dir
+    scored = QUERIES["op5_quality_classifier"](spark, larger)
+    rows = scored.where("held_out").join(spark.read.parquet(f"{larger}/labels.parquet"), "doc_id").collect()
+    good, bad = ([r for r in rows if r.quality == q] for q in (1, 0))
+    assert np.mean([r.predicted == r.quality for r in rows]) >= 0.95
+    assert np.mean([r.predicted for r in good]) >= 0.98 and np.mean([r.score for r in bad]) < 0.4
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_labels_of_the_held_out_fold_change_nothing(spark, sf_dir, tmp_path):
+    for name in ("documents", "labels"):
+        table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        if name == "labels":
+            held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+            table = table.withColumn("quality", F.when(held_out, 1 - F.col("quality")).otherwise(F.col("quality")))
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    query = QUERIES["op5_quality_classifier"]
+    ours, theirs = ({r.doc_id: r.score for r in query(spark, str(d)).collect()} for d in (sf_dir, tmp_path))
+    assert ours.keys() == theirs.keys() and all(abs(ours[i] - theirs[i]) < 1e-6 for i in ours)
+
+
+def test_statistics_of_odd_texts():
+    assert statistics("") == statistics(" \n\x0b") == [0.0] * len(STATISTICS)
+    for row in odd.odd_rows():
+        found = statistics(row[1] or "")
+        assert len(found) == len(STATISTICS) and np.isfinite(found).all()
+
+
+def test_pooling_adjacent_violators():
+    assert _pooled([1, 1, 1, 2], [0.0, 1.0, 0.0, 2.0]).tolist() == [0.0, 0.5, 0.5, 1.0]
+    assert _pooled([1, 3], [1.0, 0.0]).tolist() == [0.25, 0.25]
+
+
+LABELS = "doc_id bigint, quality int, toxic int"
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 1, 0)], [(1, None, 0), (None, 1, 0), (2, 7, 0)], [(1, 1, 0), (1, 0, 0), (3, 0, 1)]])
+def test_few_or_odd_labels(spark, labels):
+    docs = odd.table(spark, clashing=True)
+    found = statistics_table(docs)
+    model = fit_quality(found, spark.createDataFrame(labels, LABELS))
+    scores = [r.score for r in found.select(model.score(F.col("statistics")).alias("score")).collect()]
+    assert len(scores) == len(odd.odd_rows()) and all(0 <= s <= 1 for s in scores)
+    kept = keep_good(docs, spark.createDataFrame(labels, LABELS))
+    assert kept.columns == docs.columns and kept.count() <= len(scores)
+
+
+def test_empty(spark):
+    found = statistics_table(odd.empty(spark))
+    model = fit_quality(found, spark.createDataFrame([(1, 1, 0)], LABELS))
+    assert found.select(model.score(F.col("statistics"))).collect() == []

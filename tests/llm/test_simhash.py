@@ -1,0 +1,122 @@
+import random
+
+import odd
+import pytest
+import xxhash
+
+from casecast.llm.components import components
+from casecast.llm.simhash import fingerprints, hex_digits, keep_one, near_duplicates, near_pairs, simhash
+
+SIGN = 1 << 63
+
+
+def plain_simhash(text, shingle=3):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    for space in "\t\n\x0b\x0c\r":
+        words = words.replace(space, " ")
+    words = [w for w in words.split(" ") if w]
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))]
+    hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+
+def signed(value):
+    return value - (1 << 64) if value >= SIGN else value
+
+
+def plain_components(prints, max_bits):
+    """`prints`: {id: fingerprint}."""
+    root = {x: x for x in prints}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    ids = sorted(prints)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            if (prints[a] ^ prints[b]).bit_count() <= max_bits:
+                a_root, b_root = sorted((find(a), find(b)))
+                root[b_root] = a_root
+    return {x: find(x) for x in ids}
+
+
+def test_fingerprints_bit_by_bit(spark):
+    rows = odd.odd_rows()
+    found = fingerprints(odd.table(spark)).select("doc_id", "fp", hex_digits().alias("hex")).collect()
+    assert sorted((r.doc_id or 0, r.fp) for r in found) == sorted((r[0] or 0, signed(plain_simhash(r[1]))) for r in rows)
+    assert all(int(r.hex, 16) == r.fp % (1 << 64) and len(r.hex) == 16 for r in found)
+
+
+def test_long_text_in_chunks(monkeypatch):
+    from casecast.llm import simhash as module
+
+    text = odd.prose(9, 500)
+    whole = simhash(text)
+    monkeypatch.setattr(module, "CHUNK", 7)
+    assert simhash(text) == whole == plain_simhash(text)
+
+
+def clustered(seed, centres=6, around=40):
+    """Fingerprints a few bits around some centres, so that buckets are crowded and chains occur."""
+    draw, prints = random.Random(seed), set()
+    for _ in range(centres):
+        centre = draw.getrandbits(64)
+        for _ in range(around):
+            value = centre
+            for _ in range(draw.randrange(6)):
+                value ^= 1 << draw.randrange(12)
+            prints.add(value)
+    prints |= {draw.getrandbits(64) for _ in range(40)} | {0}
+    return sorted(prints)
+
+
+@pytest.mark.parametrize("max_bits", [0, 1, 2])
+@pytest.mark.parametrize("largest_bucket", [2, 5, 1000])
+def test_links_connect_what_brute_force_connects(spark, max_bits, largest_bucket):
+    prints = clustered(max_bits)
+    table = spark.createDataFrame([(signed(p),) for p in prints], "fp bigint")
+    pairs = near_pairs(table, max_bits, largest_bucket)
+    assert all((r.a ^ r.b).bit_count() <= max_bits or ((r.a % 2**64) ^ (r.b % 2**64)).bit_count() <= max_bits for r in pairs.collect())
+    roots = {r.node: r.root for r in components(pairs).collect()}
+    expected = plain_components({signed(p): p % 2**64 for p in prints}, max_bits)
+    assert {p: roots.get(p, p) for p in expected} == expected
+
+
+def test_components_of_chains_and_hubs(spark):
+    chain = [(i, i + 1) for i in range(0, 60)]
+    hub = [(100, i) for i in range(200, 260)]
+    edges = spark.createDataFrame(chain + hub + [(500, 501), (501, 500), (7, 7)], "a bigint, b bigint")
+    roots = {r.node: r.root for r in components(edges).collect()}
+    assert roots == {i: 0 for i in range(61)} | {i: 100 for i in [100, *range(200, 260)]} | {500: 500, 501: 500}
+
+
+def test_no_edges(spark):
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+@pytest.mark.parametrize("clashing", [False, True])
+def test_odd_documents(spark, clashing):
+    rows = [r for r in odd.odd_rows() if r[0] is not None]
+    expected = plain_components({r[0]: plain_simhash(r[1]) for r in rows}, 2)
+    found = near_duplicates(odd.table(spark, clashing=clashing)).collect()
+    assert len(found) == len(odd.odd_rows())
+    assert {r.doc_id: r.component_id for r in found if r.doc_id is not None} == expected
+    assert expected[2] == expected[1] and expected[4] == expected[5] == expected[6] == 4
+    assert all(r.component_id is None for r in found if r.doc_id is None)
+
+
+def test_one_of_each_group_stays(spark):
+    expected = plain_components({r[0]: plain_simhash(r[1]) for r in odd.odd_rows() if r[0] is not None}, 2)
+    docs = odd.table(spark, clashing=True)
+    kept = keep_one(docs)
+    assert kept.columns == docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert sorted(i for i in ids if i is not None) == sorted(set(expected.values())) and ids.count(None) == 2
+
+
+def test_empty(spark):
+    assert near_duplicates(odd.empty(spark)).collect() == [] and keep_one(odd.empty(spark)).collect() == []
