@@ -3,6 +3,7 @@
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from casecast.llm.common import DOC_ID, TEXT
@@ -69,7 +70,8 @@ def _segments(max_bits):
 def variants(prints, max_bits):
     """`key` and `fp`: each segment as it is, and once for each of its bits with that bit as a wildcard.
 
-    Two fingerprints within `max_bits` have a segment in common that differs by at most one bit, and so a variant.
+    Two fingerprints within `max_bits` have a segment in common that differs by at most one bit, and so a variant. The
+    key is a hash of the variant, which may bring more fingerprints together; links are verified in any case.
     """
     masks = []
     for first, length in _segments(max_bits):
@@ -77,41 +79,38 @@ def variants(prints, max_bits):
         masks += [whole] + [whole & ~(1 << bit) for bit in range(first, first + length)]
     signed = [int(np.uint64(mask).astype(np.int64)) for mask in masks]
     mask = F.posexplode(F.array(*[F.lit(m).cast("bigint") for m in signed])).alias("variant", "mask")
-    return prints.select("fp", mask).select("variant", F.col("fp").bitwiseAND(F.col("mask")).alias("masked"), "fp")
+    key = F.xxhash64("variant", F.col("fp").bitwiseAND(F.col("mask"))).alias("key")
+    return prints.select("fp", mask).select(key, "fp")
 
 
 def near_pairs(prints, max_bits=2, largest_bucket=32):
     """`a`, `b`: links between distinct fingerprints (`fp`) that connect all that differ by at most `max_bits` bits.
 
-    Variants are counted per bucket first. A bucket of two is one pair; buckets of up to `largest_bucket` are joined
-    on the variant and verified. Larger ones would give pairs by the square of their size, so what they hold is
-    linked in another exact way: two fingerprints are within two bits exactly if some value is within one bit of both.
-    Each is listed under the 65 values around it (itself only, or itself and those, by `max_bits`), and all under one
-    value are tied to the smallest of them: no pair is lost, and rows are 65 for each fingerprint at most.
+    Variants are shuffled once, and those without a match are dropped on the spot. Buckets of up to `largest_bucket`
+    are joined on the variant and verified. Larger ones would give pairs by the square of their size, so what they
+    hold is linked in another exact way: two fingerprints are within two bits exactly if some value is within one bit
+    of both. Each is listed under the 65 values around it (under itself alone, if `max_bits` is 0), and all under one
+    value are tied to the smallest of them: no link is lost, and rows are 65 for each fingerprint at most.
     """
     if not 0 <= max_bits <= 2:
         raise ValueError("max_bits is 0, 1 or 2")
-    key = ["variant", "masked"]
-    listed = variants(prints, max_bits)
-    buckets = listed.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
-    buckets = staged(buckets.where("n > 1"), "simhash-buckets")
+    matches = F.count(F.lit(1)).over(Window.partitionBy("key"))
+    members = staged(variants(prints, max_bits).withColumn("n", matches).where("n > 1"), "simhash-members")
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
-    twos = buckets.where("n = 2").select("a", "b").where(close)
-    members = listed.join(buckets.where(f"n > 2 AND n <= {int(largest_bucket)}").select(*key), key)
-    members = staged(members, "simhash-members")
-    firsts, seconds = members.withColumnRenamed("fp", "a"), members.withColumnRenamed("fp", "b")
-    some = firsts.join(seconds, key).where("a < b").where(close).select("a", "b")
-    crowded = buckets.where(f"n > {int(largest_bucket)}").select(*key)
-    crowd = listed.join(crowded, key).select("fp").distinct()
+    few = members.where(f"n <= {int(largest_bucket)}")
+    firsts, seconds = few.select("key", F.col("fp").alias("a")), few.select("key", F.col("fp").alias("b"))
+    some = firsts.join(seconds, "key").where("a < b").where(close).select("a", "b")
+    crowd = members.where(f"n > {int(largest_bucket)}").select("fp").distinct()
     ones = [0] + ([int(np.uint64(1 << bit).astype(np.int64)) for bit in range(BITS)] if max_bits else [])
     around = F.explode(F.array(*[F.lit(m).cast("bigint") for m in ones])).alias("flip")
     balls = crowd.select("fp", around).select(F.col("fp").bitwiseXOR(F.col("flip")).alias("value"), "fp")
     balls = staged(balls, "simhash-balls")
-    least = balls.groupBy("value").agg(F.min("fp").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    tied = balls.join(least.select("value", "b"), "value").where("fp <> b").select(F.col("fp").alias("a"), "b")
-    if max_bits < 2:
-        tied = tied.where(close)
-    return twos.unionByName(some).unionByName(tied).distinct()
+    if max_bits == 2:
+        centres = balls.groupBy("value").agg(F.min("fp").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    else:  # those around a fingerprint link to it, but not always to each other
+        centres = balls.where("value = fp").withColumnRenamed("fp", "b")
+    tied = balls.join(centres.select("value", "b"), "value").where("fp <> b").select(F.col("fp").alias("a"), "b")
+    return some.unionByName(tied).distinct()
 
 
 def near_duplicates(docs, shingle=3, max_bits=2, id_col=DOC_ID, text_col=TEXT):
