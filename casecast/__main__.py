@@ -52,9 +52,15 @@ def parser():
         "--as-published", action="store_true", help="full grids, ages overwritten, means over all cases, random split"
     )
     training.add_argument("--parallelism", type=int, default=2, help="concurrent fits")
+    training.add_argument("--resume", action="store_true", help="take up the run named by --run where it broke off")
+    training.add_argument(
+        "--forest-blocks", type=int, help="fit forests on about so many blocks of equal cases instead of single cases"
+    )
     command("params", "print the tuned parameters of the saved models")
     board = command("leaderboard", "print the metrics of all runs, best first", run_needed=False)
     board.add_argument("--dataset", choices=["test", "validation"], default="test")
+    board.add_argument("--out", help="URI to write the leaderboard to, as Parquet, instead of printing it")
+    board.add_argument("--top", type=int, help="only so many of the best rows")
     scoring = with_cases(command("score", "score cases with one saved model"))
     scoring.add_argument("--out", required=True, help="URI of the scores")
     return commands
@@ -68,14 +74,26 @@ def cases_of(spark, args, keyed):
 
 
 def settings_of(args):
-    chosen = {"models": args.models, "key": args.key, "parallelism": args.parallelism}
+    chosen = {"models": args.models, "key": args.key, "parallelism": args.parallelism, "resume": args.resume}
     if args.as_published:
         return TrainingSettings.as_published(**chosen)
     return TrainingSettings(
-        grids=PRESETS[args.grid], age_rule=args.age_rule, means_from=args.means_from, split=args.split, **chosen
+        grids=PRESETS[args.grid],
+        age_rule=args.age_rule,
+        means_from=args.means_from,
+        split=args.split,
+        forest_blocks=args.forest_blocks,
+        **chosen,
     )
 
 
+def print_table(df):
+    """All rows in order, tab-separated under a header, a partition at a time."""
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join(map(str, row)))
+
+
 def main(argv=None):
     args = parser().parse_args(argv)
     spark = local_session(cpus=args.local) if args.local else SparkSession.builder.appName("casecast").getOrCreate()
@@ -86,13 +104,18 @@ def main(argv=None):
         for features in args.features:
             of_round = replace(paths, features=features)
             print(f"round {features} of run {paths.run_id}, under {of_round.root}")
-            tuned_params(spark, of_round, args.models).show(truncate=False)
+            print_table(tuned_params(spark, of_round, args.models))
         return
     paths = replace(paths, features=args.features)
     if args.command == "params":
-        tuned_params(spark, paths, args.models).show(truncate=False)
+        print_table(tuned_params(spark, paths, args.models))
     elif args.command == "leaderboard":
-        leaderboard(read_table(spark, paths, "metrics"), args.dataset).show(truncate=False)
+        board = leaderboard(read_table(spark, paths, "metrics"), args.dataset)
+        board = board if args.top is None else board.limit(args.top)
+        if args.out:
+            board.write.mode("errorifexists").parquet(args.out)
+        else:
+            print_table(board)
     elif args.command == "score":
         if len(args.models) != 1:
             raise SystemExit("score takes one model: --models rf")

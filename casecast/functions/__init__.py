@@ -38,5 +38,6 @@ def key_hash(key):
 
     A null key counts as the empty text.
     """
-    digits = F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, 8)
+    key = F.col(key) if isinstance(key, str) else key
+    digits = F.substring(F.md5(F.coalesce(key.cast("string"), F.lit(""))), 1, 8)
     return F.conv(digits, 16, 10).cast("bigint")

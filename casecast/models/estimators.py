@@ -1,4 +1,7 @@
-"""The four classifiers. Three of them share the work of grid points that differ only in `maxIter`."""
+"""The four classifiers. Three of them share the work of grid points that differ only in `maxIter`.
+
+Weights count equal cases. A linear fit on counted rows is the fit on the cases they stand for (`_CountsCases`).
+"""
 
 import queue
 import threading
@@ -14,6 +17,10 @@ from pyspark.ml.classification import (
     RandomForestClassificationModel,
     RandomForestClassifier,
 )
+from pyspark.ml.feature import ElementwiseProduct
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseVector, Vectors
+from pyspark.sql import functions as F
 
 
 # The seed of fits that name none.
@@ -80,16 +87,77 @@ class _StopsByItself(_SharesIterations):
             yield index, model.copy(paramMaps[index])
 
 
-class CaseLogisticRegression(_StopsByItself, LogisticRegression):
+def frequency_deviations(dataset, features, weight):
+    """Each feature's standard deviation over the cases that the weights count, in one aggregation.
+
+    Values are shifted by those of one row first, so that squares of large values do not drown their spread.
+    """
+    first = dataset.select(features).first()
+    if first is None:
+        raise ValueError("there are no rows to fit")
+    values, origin = vector_to_array(features), first[0].toArray()
+    shifted = [values[i] - float(x) for i, x in enumerate(origin)]
+    n, *sums = dataset.agg(
+        F.sum(weight),
+        *[F.sum(F.col(weight) * x) for x in shifted],
+        *[F.sum(F.col(weight) * x * x) for x in shifted],
+    ).first()
+    size = len(shifted)
+    if n <= 1:
+        return [0.0] * size
+    return [max(0.0, (sums[size + i] - sums[i] * sums[i] / n) / (n - 1)) ** 0.5 for i in range(size)]
+
+
+class _CountsCases:
+    """Fits weighted rows as the cases they count.
+
+    Spark divides a feature by its standard deviation, and with weights takes that of weighted observations, which is
+    not the one over as many single rows. So the scaling is done here, by the deviations over the counted cases, the
+    fit is left to Spark without its own, and the coefficients are scaled back. A feature that never varies gets 0.
+    """
+
+    def _fit(self, dataset):
+        if not self.isDefined(self.weightCol) or not self.getStandardization():
+            return super()._fit(dataset)
+        features = self.getFeaturesCol()
+        deviations = frequency_deviations(dataset, features, self.getWeightCol())
+        factors = [1.0 / x if x > 0 else 0.0 for x in deviations]
+        scaled = f"{features}_scaled"
+        product = ElementwiseProduct(scalingVec=Vectors.dense(factors), inputCol=features, outputCol=scaled)
+        inner = self.copy({self.featuresCol: scaled, self.standardization: False})
+        fitted = super(_CountsCases, inner)._fit(product.transform(dataset))
+        model = self._scaled_back(fitted, DenseVector([c * f for c, f in zip(fitted.coefficients, factors)]))
+        model.iterations = self._iterations(fitted)
+        return self._copyValues(model)
+
+
+def _java_vector(vector):
+    sc = SparkContext.getOrCreate()
+    values = sc._gateway.new_array(sc._jvm.double, len(vector))
+    for i, value in enumerate(vector):
+        values[i] = float(value)
+    return sc._jvm.org.apache.spark.ml.linalg.Vectors.dense(values)
+
+
+class CaseLogisticRegression(_StopsByItself, _CountsCases, LogisticRegression):
     @staticmethod
     def _iterations(model):
-        return model.summary.totalIterations
+        return model.iterations if hasattr(model, "iterations") else model.summary.totalIterations
 
+    def _scaled_back(self, fitted, coefficients):
+        classes = SparkContext.getOrCreate()._jvm.org.apache.spark.ml.classification
+        made = classes.LogisticRegressionModel(fitted.uid, _java_vector(coefficients), fitted.intercept)
+        return LogisticRegressionModel(made)
 
-class CaseLinearSVC(_StopsByItself, LinearSVC):
+
+class CaseLinearSVC(_StopsByItself, _CountsCases, LinearSVC):
     @staticmethod
     def _iterations(model):
-        return model.summary().totalIterations
+        return model.iterations if hasattr(model, "iterations") else model.summary().totalIterations
+
+    def _scaled_back(self, fitted, coefficients):
+        classes = SparkContext.getOrCreate()._jvm.org.apache.spark.ml.classification
+        return LinearSVCModel(classes.LinearSVCModel(fitted.uid, _java_vector(coefficients), fitted.intercept))
 
 
 class CaseGBTClassifier(_SharesIterations, GBTClassifier):

@@ -17,24 +17,44 @@ from pyspark.ml.util import (
     MLWriter,
 )
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casecast.operators.prepare import age_as_computed
 from casecast.session import small_table, staged
 
 MEAN = "_mean"
 ROWS = "_rows"
+LACKING = "_lacking"
+
+
+#: Most groups that an error names.
+SHOWN_GROUPS = 20
 
 
 class MeanUnknownError(ValueError):
     """A mean was needed but no value was there to take it from."""
 
 
-def weighted_mean_up(value, weight=None):
-    """The mean rounded up; with a weight, that of a table in which every row stands for `weight` equal ones."""
+#: Sums of fractions depend on their order in the last digits, so their means are rounded to so many before they go up.
+MEAN_DIGITS = 9
+
+
+def weighted_mean_up(value, weight=None, fractional=False):
+    """The mean rounded up; with a weight, that of a table in which every row stands for `weight` equal ones.
+
+    Sums of whole numbers are exact. With `fractional` values a mean that is whole but for the order of summation
+    counts as whole, so that the layout of the table does not decide.
+    """
     if weight is None:
-        return F.ceil(F.avg(value))
-    counted = F.when(F.col(value).isNotNull(), F.col(weight))
-    return F.ceil(F.sum(F.col(value) * F.col(weight)) / F.sum(counted))
+        mean = F.avg(value)
+    else:
+        counted = F.when(F.col(value).isNotNull(), F.col(weight))
+        mean = F.sum(F.col(value) * F.col(weight)) / F.sum(counted)
+    return F.ceil(F.round(mean, MEAN_DIGITS) if fractional else mean)
+
+
+def is_fractional(dataset, column):
+    return isinstance(dataset.schema[column].dataType, (T.FloatType, T.DoubleType))
 
 
 class _GroupMeanParams(HasInputCol, HasOutputCol):
@@ -53,10 +73,16 @@ class _GroupMeanParams(HasInputCol, HasOutputCol):
         "most groups whose means are broadcast, and the reciprocal of the share of rows that makes a group hot",
         typeConverter=TypeConverters.toInt,
     )
+    unknownMean = Param(
+        Params._dummy(),
+        "unknownMean",
+        "what fills a row whose group has no mean: `error` raises, `overall` takes the mean over all rows",
+        typeConverter=TypeConverters.toString,
+    )
 
     def __init__(self):
         super().__init__()
-        self._setDefault(groupCols=[], broadcastGroups=10_000)
+        self._setDefault(groupCols=[], broadcastGroups=10_000, unknownMean="error")
 
     def _groups(self):
         return self.getOrDefault(self.groupCols)
@@ -88,53 +114,90 @@ class GroupMeanImputer(Estimator, _GroupMeanParams, DefaultParamsReadable, Defau
 
     Without `groupCols` there is one mean for all rows. A null group column is a group of its own. Fitting is one
     aggregation with map-side partial sums, so a group that holds most rows costs no more than any other.
+
+    A row must never stay without a value unnoticed. By default fitting raises if a group lacks values and has none to
+    take a mean over, and filling raises at the first row of a group that was not seen; `unknownMean="overall"` fills
+    both with the mean over all rows.
     """
 
     @keyword_only
     def __init__(
-        self, *, inputCol=None, outputCol=None, groupCols=None, meanCol=None, weightCol=None, broadcastGroups=None
+        self,
+        *,
+        inputCol=None,
+        outputCol=None,
+        groupCols=None,
+        meanCol=None,
+        weightCol=None,
+        broadcastGroups=None,
+        unknownMean=None,
     ):
         super().__init__()
+        if unknownMean not in (None, "error", "overall"):
+            raise ValueError(f"unknownMean is 'error' or 'overall', not {unknownMean!r}")
         self._set(**{name: value for name, value in self._input_kwargs.items() if value is not None})
 
     def _fit(self, dataset):
-        groups, weight = self._groups(), self._weight()
+        groups, weight, column = self._groups(), self._weight(), self._mean_column()
+        fractional = is_fractional(dataset, column)
         rows = F.sum(weight) if weight else F.count(F.lit(1))
-        means = dataset.groupBy(*groups).agg(
-            weighted_mean_up(self._mean_column(), weight).alias(MEAN), rows.cast("bigint").alias(ROWS)
-        )
+        mean = weighted_mean_up(column, weight, fractional).alias(MEAN)
+        lacking = F.sum(F.when(F.col(self.getInputCol()).isNull(), F.col(weight) if weight else F.lit(1)).otherwise(0))
+        lacking = lacking.cast("bigint").alias(LACKING)
+        means = dataset.groupBy(*groups).agg(mean, rows.cast("bigint").alias(ROWS), lacking)
         if groups:
             means, small = _kept(means, self.getOrDefault(self.broadcastGroups))
         else:
             means, small = small_table(dataset.sparkSession, means.collect(), means.schema), True
-        model = GroupMeanImputerModel(means, small)
+        overall = None
+        if not groups or self.getOrDefault(self.unknownMean) == "overall":
+            overall = dataset.agg(mean).first()[0] if groups else means.first()[MEAN]
+        model = GroupMeanImputerModel(means, small, overall)
         return self._copyValues(model)._check()
 
 
 class GroupMeanImputerModel(Model, _GroupMeanParams, MLReadable, MLWritable):
     """Fills nulls of `inputCol` with the learned mean of the row's group."""
 
-    def __init__(self, means=None, small=True):
+    def __init__(self, means=None, small=True, overall=None):
         super().__init__()
         self.means = means
         self.small = small
+        self.overall = overall
 
     def _check(self):
-        if self.means.where(F.col(MEAN).isNotNull()).isEmpty():
-            raise MeanUnknownError(f"no known value in {self._mean_column()!r} to take a mean over")
+        column = self._mean_column()
+        unknown = self.means.where(F.col(MEAN).isNull() & (F.col(LACKING) > 0))
+        if self._groups() and self.overall is None:
+            named = [tuple(row) for row in unknown.select(*self._groups()).limit(SHOWN_GROUPS).collect()]
+            if named:
+                raise MeanUnknownError(f"no known value in {column!r} to take a mean over in {self._groups()} {named}")
+        elif self.overall is None and not unknown.isEmpty():
+            raise MeanUnknownError(f"no known value in {column!r} to take a mean over")
         return self
 
     def _transform(self, dataset):
         groups, value, output = self._groups(), self.getInputCol(), self.getOutputCol()
         if not groups:
-            (mean,) = self.means.select(MEAN).first()
-            return dataset.withColumn(output, F.coalesce(F.col(value), F.lit(mean)))
+            return dataset.withColumn(output, F.coalesce(F.col(value), self._overall()))
         kept = [name for name in dataset.columns if name != output]
-        filled = F.coalesce(F.col(value), F.col(MEAN)).alias(output)
         if self.small:
             joined = dataset.join(*self._on(dataset, F.broadcast(self._renamed(self.means))), "left")
-            return joined.select(*kept, filled)
-        return self._transform_many(dataset, value).select(*kept, filled)
+        else:
+            joined = self._met_many(dataset, value)
+        return joined.select(*kept, F.coalesce(F.col(value), F.col(MEAN), self._without_mean()).alias(output))
+
+    def _overall(self):
+        text = None if self.overall is None else str(self.overall)
+        return F.lit(text).cast(self.means.schema[MEAN].dataType)
+
+    def _without_mean(self):
+        """What fills a row whose group has no mean: the overall mean, or an error that names the group."""
+        if self.overall is not None:
+            return self._overall()
+        told = F.concat_ws(", ", *[F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("null")) for name in self._groups()])
+        message = F.concat(F.lit(f"no mean of {self._mean_column()} is known for {', '.join(self._groups())} = "), told)
+        return F.raise_error(message).cast(self.means.schema[MEAN].dataType)
 
     def _renamed(self, means):
         return means.select(*[F.col(name).alias(f"_group_{name}") for name in self._groups()], MEAN)
@@ -143,28 +206,27 @@ class GroupMeanImputerModel(Model, _GroupMeanParams, MLReadable, MLWritable):
         matches = [dataset[name].eqNullSafe(means[f"_group_{name}"]) for name in self._groups()]
         return means, reduce(lambda a, b: a & b, matches)
 
-    def _transform_many(self, dataset, value):
-        """Too many groups to broadcast: only rows that lack a value meet the means.
+    def _met_many(self, dataset, value):
+        """Rows with their means where there are too many groups to broadcast.
 
         A group with at least 1/broadcastGroups of all rows is hot. There can be no more than broadcastGroups of
-        those, so their means are broadcast whatever the data; the shuffle carries the other groups only. Groups that
-        were rare or unknown when fitting and are hot in this table are left to the adaptive handling of skewed joins.
+        those, so their means are broadcast whatever the data. `dataset` is read once, to meet these and be staged;
+        only rows that still lack a value are then joined with the other groups in a shuffle. Groups that were rare or
+        unknown when fitting and are hot in this table are left to the adaptive handling of skewed joins.
         """
         total = self.means.agg(F.sum(ROWS).alias("total")).select("total").scalar()
         is_hot = F.col(ROWS) * self.getOrDefault(self.broadcastGroups) >= total
         hot, cold = self._renamed(self.means.where(is_hot)), self._renamed(self.means.where(~is_hot))
-        no_mean = F.lit(None).cast(self.means.schema[MEAN].dataType)
-        known = dataset.where(F.col(value).isNotNull()).withColumn(MEAN, no_mean)
-        lacking = dataset.where(F.col(value).isNull())
-        columns = [*dataset.columns, MEAN]
-        from_hot = lacking.join(*self._on(lacking, F.broadcast(hot)), "inner").select(columns)
-        rest = lacking.join(*self._on(lacking, F.broadcast(hot)), "left_anti")
-        from_cold = rest.join(*self._on(rest, cold), "left").select(columns)
-        return known.unionByName(from_hot).unionByName(from_cold)
+        met = dataset.join(*self._on(dataset, F.broadcast(hot)), "left").select(*dataset.columns, MEAN)
+        met = staged(met, "imputed")
+        is_open = F.col(value).isNull() & F.col(MEAN).isNull()
+        rest = met.where(is_open).drop(MEAN)
+        filled = rest.join(*self._on(rest, cold), "left").select(*met.columns)
+        return met.where(~is_open).unionByName(filled)
 
     def copy(self, extra=None):
         that = super().copy(extra)
-        that.means, that.small = self.means, self.small
+        that.means, that.small, that.overall = self.means, self.small, self.overall
         return that
 
     def write(self):
@@ -181,7 +243,9 @@ class _GroupMeanWriter(MLWriter):
         self.instance = instance
 
     def saveImpl(self, path):
-        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession, {"small": self.instance.small})
+        overall = None if self.instance.overall is None else str(self.instance.overall)
+        kept = {"small": self.instance.small, "overall": overall}
+        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession, kept)
         self.instance.means.write.parquet(f"{path}/data")
 
 
@@ -192,7 +256,7 @@ class _GroupMeanReader(MLReader):
 
     def load(self, path):
         metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
-        model = self.cls(self.sparkSession.read.parquet(f"{path}/data"), metadata["small"])
+        model = self.cls(self.sparkSession.read.parquet(f"{path}/data"), metadata["small"], metadata["overall"])
         model._resetUid(metadata["uid"])
         DefaultParamsReader.getAndSetParams(model, metadata)
         return model
@@ -221,7 +285,7 @@ class AsComputedAge(Estimator, _AsComputedAgeParams, DefaultParamsReadable, Defa
                     "_other_age": F.when(F.col("male") == 0, F.col("age_of_stated_sex")),
                 }
             )
-            .agg(weighted_mean_up("_male_age", weight), weighted_mean_up("_other_age", weight))
+            .agg(*[weighted_mean_up(c, weight, is_fractional(dataset, "age_of_stated_sex")) for c in ("_male_age", "_other_age")])
             .first()
         )
         if male is None or other is None:

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from casecast.schema import WEIGHT
 
 COUNT = "n"
-MIN_BLOCKS = 1_000_000
 
 
 def count_profiles(table, by, count=None):
@@ -18,14 +17,14 @@ def count_profiles(table, by, count=None):
     return table.groupBy(*by).agg(n.cast("bigint").alias(COUNT))
 
 
-def weighted_blocks(profiles, total, min_blocks=MIN_BLOCKS):
-    """Split counts into blocks of nearly equal weight, none above total/min_blocks rounded up.
+def weighted_blocks(profiles, total=None, blocks=None):
+    """Rows of `weight` equal cases each; without `blocks` every case is a row of weight 1.
 
-    Up to `min_blocks` cases every block is a single case. Beyond that, equal cases share blocks, which bounds the
-    training rows by `min_blocks` plus the distinct combinations however many cases there are, spreads a hot
-    combination over many rows, and keeps bootstraps and variances fine-grained.
+    With `blocks`, `total` cases are split into blocks of nearly equal weight, none above total/blocks rounded up, so
+    there are at most `blocks` plus the distinct combinations of them however many cases there are. A combination that
+    holds a third of all cases is many rows either way.
     """
-    width = max(1, -(-total // min_blocks))
+    width = max(1, -(-total // blocks)) if blocks else 1
     pieces = F.ceil(F.col(COUNT) / width)
     piece = F.explode(F.sequence(F.lit(1).cast("bigint"), pieces)).alias("block")
     weight = F.floor(F.col(COUNT) / pieces) + F.when(F.col("block") <= F.col(COUNT) % pieces, 1).otherwise(0)

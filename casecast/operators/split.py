@@ -32,7 +32,9 @@ def with_split(df, mode="hash", key=KEY, parts=PARTS, seed=SPLIT_SEED, folds=FOL
     if mode == "hash":
         if key not in df.columns:
             raise ValueError(f"the hash split needs the key column {key!r}; use mode='random' for tables without one")
-        h = key_hash(key)
+        # Without a key the record itself decides, so that such rows are spread like any others.
+        record = F.concat(F.lit("record:"), F.to_json(F.struct(*[F.col(f"`{name}`") for name in df.columns])))
+        h = key_hash(F.when(F.col(key).isNull(), record).otherwise(F.col(key).cast("string")))
         fold = F.floor(h / 1000) % folds
         return df.withColumns({"split": _part(h % 1000, parts, 1000), "fold": fold.cast("int")})
     if mode == "random":
@@ -41,8 +43,3 @@ def with_split(df, mode="hash", key=KEY, parts=PARTS, seed=SPLIT_SEED, folds=FOL
         fold = F.floor(F.rand(seed + 1) * folds)
         return drawn.withColumns({"split": _part(F.col("_draw"), parts, 1.0), "fold": fold.cast("int")}).drop("_draw")
     raise ValueError(f"unknown split mode {mode!r}")
-
-
-def random_parts(df, parts=PARTS, seed=SPLIT_SEED):
-    """Disjoint random parts as separate tables, in the order of `parts`."""
-    return dict(zip(parts, df.randomSplit(list(parts.values()), seed)))

@@ -57,8 +57,8 @@ EVENTS = """events_with_gaps AS (
 def filled_events(group):
     return with_steps(
         [EVENTS],
-        f"""SELECT event_id, {group}, round(CAST(coalesce(value, ceil(avg(value) OVER (PARTITION BY {group})))
-            AS DOUBLE), 6) AS value FROM events_with_gaps""",
+        f"""SELECT event_id, {group}, round(CAST(coalesce(value, ceil(round(avg(value) OVER (PARTITION BY {group}), 9)),
+            ceil(round(avg(value) OVER (), 9))) AS DOUBLE), 6) AS value FROM events_with_gaps""",
     )
 
 
@@ -121,7 +121,7 @@ REPORT = with_steps(
         """named AS (SELECT *, upper(split[1]) || split[2:] AS part FROM wide WHERE split <> 'train')""",
         """cell_named AS (SELECT *, upper(split[1]) || split[2:] AS part FROM cells WHERE split <> 'train')""",
     ],
-    """SELECT 'Training results for model icu rule' AS "Text"
+    """SELECT 'How icu rule did on held-out cases' AS "Text"
        UNION ALL SELECT part || ' set' FROM named
        UNION ALL SELECT part || ': Confusion matrix, predicted 0.0 1.0' FROM named
        UNION ALL SELECT part || ': actual ' || printf('%.1f', label) || ': '
@@ -175,6 +175,36 @@ SURVIVAL_STEPS = [
 ]
 SURVIVAL_METRICS = [*metric_steps(SURVIVAL_STEPS, ["dataset"]), wide_metrics(["dataset"])]
 
+ALL_MODELS = "(VALUES ('rf'), ('lr'), ('svm'), ('gbt')) AS m(model)"
+
+# Each fold of the training part judged by what the other folds say of its level of care.
+ICU_FOLDS = [
+    """foldrows AS (
+  SELECT icu, label, (h // 1000) % 3 AS fold
+  FROM (SELECT icu, label, ('0x' || substr(md5(case_id::VARCHAR), 1, 8))::BIGINT AS h FROM derived) WHERE h % 1000 < 700)""",
+    """learned AS (
+  SELECT f.fold, r.icu, avg(r.label) > 0.5 AS dies FROM (SELECT DISTINCT fold FROM foldrows) f
+  JOIN foldrows r ON r.fold <> f.fold GROUP BY f.fold, r.icu)""",
+    """cells4 AS (
+  SELECT r.fold, count(*) AS n, count(*) FILTER (dies AND label = 1) AS tp, count(*) FILTER (dies AND label = 0) AS fp,
+    count(*) FILTER (NOT dies AND label = 1) AS fn, count(*) FILTER (NOT dies AND label = 0) AS tn
+  FROM foldrows r JOIN learned l ON r.fold = l.fold AND r.icu = l.icu GROUP BY r.fold)""",
+    """icu_f1 AS (
+  SELECT fold, ((tp + fn) * coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0)
+    + (tn + fp) * coalesce(2 * tn / nullif(2 * tn + fp + fn, 0), 0)) / n AS f1 FROM cells4)""",
+]
+
+
+def stored_results(models):
+    names = ", ".join(f"('{name}')" for name in models)
+    return with_steps(
+        TO_PARTED,
+        f"""SELECT model, split AS dataset, count(*) AS n, CAST(sum(label) AS BIGINT) AS deaths,
+            CAST(6 AS BIGINT) AS metrics, CAST(0 AS BIGINT) AS mismatches
+            FROM parted, (VALUES {names}) AS m(model) WHERE split <> 'train' GROUP BY model, split""",
+    )
+
+
 ORACLES = {
     "csv_scan_roundtrip": with_steps(CASES_ONLY, "SELECT * FROM cases"),
     "csv_scan_inferred": with_steps(CASES_ONLY, "SELECT * FROM cases"),
@@ -216,8 +246,8 @@ ORACLES = {
     ),
     "random_split_cover": with_steps(
         TO_COMPLETE,
-        """SELECT count(DISTINCT case_id) AS cases, count(*) AS "rows", CAST(1 AS BIGINT) AS most_parts_of_a_case
-           FROM complete""",
+        """SELECT count(DISTINCT case_id) AS cases, count(*) AS "rows", CAST(1 AS BIGINT) AS most_parts_of_a_case,
+           true AS shares_kept FROM complete""",
     ),
     "case_profiles": with_steps(
         TO_PARTED,
@@ -266,6 +296,10 @@ ORACLES = {
         [*TO_DERIVED, RATES],
         "SELECT icu, CASE WHEN p > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction FROM rates",
     ),
+    "svm_hinge": with_steps(
+        [*TO_DERIVED, "counts AS (SELECT icu, count(*) AS n, sum(label) AS d FROM derived GROUP BY icu)"],
+        "SELECT round(sum(2 * least(d, n - d)) / sum(n), 6) AS least, true AS reached FROM counts",
+    ),
     "svm_score_consistency": with_steps(
         TO_COMPLETE, "SELECT count(*) AS n, CAST(0 AS BIGINT) AS mismatches FROM complete"
     ),
@@ -275,24 +309,43 @@ ORACLES = {
            FROM scored, (VALUES (0, 'elasticNetParam=1.0 regParam=10.0'), (1, 'elasticNetParam=1.0 regParam=20.0'))
              AS t(point, params)""",
     ),
+    "cross_validation_winner": with_steps(
+        [*TO_DERIVED, MAJORITY, *ICU_FOLDS],
+        """SELECT 0 AS point, 'elasticNetParam=1.0 regParam=10.0 tol=1e-09' AS params, round(a, 6) AS avg_f1,
+             round(s, 6) AS std_f1, false AS best FROM scored
+           UNION ALL
+           SELECT 1, 'elasticNetParam=1.0 regParam=0.0 tol=1e-09', round(avg(f1), 6), round(stddev_pop(f1), 6), true
+           FROM icu_f1""",
+    ),
+    "training_run": stored_results(["rf", "lr", "svm", "gbt"]),
+    "training_run_with_diagnosis": stored_results(["lr", "rf"]),
+    "tuned_parameters": """
+        SELECT 'tuned' AS run_id, model, param, value
+        FROM (VALUES ('rf', 'impurity', 'entropy'), ('rf', 'seed', '512'), ('rf', 'numTrees', '3'),
+          ('lr', 'elasticNetParam', '0.5'), ('lr', 'maxIter', '20'), ('lr', 'regParam', '0.2'), ('lr', 'tol', '0.1'),
+          ('gbt', 'seed', '1024'), ('gbt', 'maxIter', '2'), ('gbt', 'stepSize', '0.2'),
+          ('svm', 'maxIter', '3'), ('svm', 'regParam', '0.4'), ('svm', 'tol', '0.2')) AS t(model, param, value)""",
+    "scored_cases": with_steps(TO_COMPLETE, "SELECT case_id, label, CAST(0 AS INT) AS off_side FROM complete"),
     "majority_run_metrics": with_steps(
         SURVIVAL_METRICS,
-        f"""SELECT 'majority' AS run_id, 'base' AS features, 'lr' AS model, dataset, metric, value
-            FROM (UNPIVOT wide ON {METRIC_NAMES} INTO NAME metric VALUE value)""",
+        f"""SELECT 'majority' AS run_id, 'base' AS features, model, dataset, metric, value
+            FROM (UNPIVOT wide ON {METRIC_NAMES} INTO NAME metric VALUE value), {ALL_MODELS}""",
     ),
     "majority_run_confusion": with_steps(
         confusion_cells(SURVIVAL_STEPS, "ruled", ["dataset"]),
-        "SELECT 'majority' AS run_id, 'with_diagnosis' AS features, 'lr' AS model, * FROM cells",
+        f"SELECT 'majority' AS run_id, 'with_diagnosis' AS features, model, cells.* FROM cells, {ALL_MODELS}",
     ),
     "majority_run_leaderboard": with_steps(
         SURVIVAL_METRICS,
-        f"""SELECT 'majority' AS run_id, 'base' AS features, 'lr' AS model, {METRIC_NAMES}
-            FROM wide WHERE dataset = 'test'""",
+        f"""SELECT 'majority' AS run_id, 'base' AS features, model, {METRIC_NAMES}
+            FROM wide, {ALL_MODELS} WHERE dataset = 'test'""",
     ),
     "majority_run_parameters": """
-        SELECT 'majority' AS run_id, 'lr' AS model, param, value
-        FROM (VALUES ('elasticNetParam', '1.0'), ('maxIter', '100'), ('regParam', '10.0'), ('tol', '0.1'))
-          AS t(param, value)""",
+        SELECT 'majority' AS run_id, model, param, value
+        FROM (VALUES ('rf', 'impurity', 'gini'), ('rf', 'seed', '512'), ('rf', 'numTrees', '2'),
+          ('lr', 'elasticNetParam', '1.0'), ('lr', 'maxIter', '100'), ('lr', 'regParam', '10.0'), ('lr', 'tol', '0.1'),
+          ('svm', 'maxIter', '20'), ('svm', 'regParam', '100.0'), ('svm', 'tol', '0.1'),
+          ('gbt', 'seed', '1024'), ('gbt', 'maxIter', '1'), ('gbt', 'stepSize', '0.2')) AS t(model, param, value)""",
     "majority_run_scores": with_steps(
         [*TO_PARTED, "seen AS (SELECT avg(label) AS p FROM parted WHERE split = 'train')"],
         """SELECT case_id, label, CAST(0 AS DOUBLE) AS prediction, round(ln(p / (1 - p)), 6) AS margin,

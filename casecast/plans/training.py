@@ -12,18 +12,22 @@ from casecast.models.search import SearchResult, search
 from casecast.operators.evaluate import METRICS, confusion, weighted_metrics
 from casecast.operators.impute import AsComputedAge, GroupMeanImputer
 from casecast.operators.prepare import assembler, complete_rows, confirmed_cases, derive
-from casecast.operators.profiles import COUNT, MIN_BLOCKS, count_profiles, in_stable_order, weighted_blocks
+from casecast.operators.profiles import COUNT, count_profiles, in_stable_order, weighted_blocks
 from casecast.operators.split import with_split
 from casecast.schema import FEATURE_SETS, KEY, LABEL, WEIGHT
 from casecast.session import checkpoint_dir, small_table
-from casecast.sinks.model_store import save_model
-from casecast.sinks.paths import RunPaths
+from casecast.sinks.model_store import load_model, save_model
+from casecast.sinks.paths import RunPaths, is_written
 from casecast.sinks.report import report_lines, write_report
 from casecast.sinks.tables import SCHEMAS, write_part
 
 # Rows that make a partition worth its task: a linear fit is hundreds of very short jobs, a tree fit is a few long ones.
-ROWS_PER_PARTITION = {"lr": 100_000, "svm": 100_000, "rf": 5_000, "gbt": 10_000}
-MAX_ROWS_PER_PARTITION = 200_000
+ROWS_PER_PARTITION = {"lr": 1_000, "svm": 1_000, "rf": 5_000, "gbt": 1_000}
+# From as many partitions on they grow instead of becoming more, up to as many rows.
+MANY_PARTITIONS, MAX_ROWS_PER_PARTITION = {"lr": 8, "svm": 8, "rf": 64, "gbt": 16}, 200_000
+
+# Parameters of boosted trees that count rows, which stand for many cases each.
+COUNTING_ROWS = ("minInstancesPerNode", "subsamplingRate")
 
 HELD_OUT = ["test", "validation"]
 
@@ -36,6 +40,16 @@ class TrainingSettings:
     The second choice of each is what `as_published` sets: known ages are overwritten, the means see the held-out
     cases, and parts and folds are drawn at random. `parallelism` is the number of concurrent fits of one model's
     search, of which `models_at_once` run side by side.
+
+    `unknown_mean` says what fills a case of unknown age where its sex has no known age at all: `error`, or `overall`
+    for the mean over everyone.
+
+    `forest_blocks` bounds the rows a forest is fitted on: equal cases are put together into about so many blocks,
+    which the bootstrap then draws whole, so a forest of blocks is another forest than one of cases, whatever the
+    number of cases. Without it, as by default and as published, forests draw single cases.
+
+    `resume` takes up a run that broke off: profiles that were written completely are used again, models whose
+    metrics were published are loaded, and the others are made anew.
     """
 
     models: list = field(default_factory=lambda: list(MODELS))
@@ -47,7 +61,9 @@ class TrainingSettings:
     key: str = KEY
     parallelism: int = 2
     models_at_once: int = 4
-    min_blocks: int = MIN_BLOCKS
+    unknown_mean: str = "error"
+    forest_blocks: int = None
+    resume: bool = False
     params: dict = field(default_factory=dict)
 
     @classmethod
@@ -56,6 +72,31 @@ class TrainingSettings:
             **{"grids": PRESETS["full"], "age_rule": "as_computed", "means_from": "all", "split": "random"} | settings
         )
 
+    def check(self):
+        """Raise if any setting cannot be carried out, before anything is read."""
+        choices = {
+            "features": (self.features, FEATURE_SETS),
+            "age_rule": (self.age_rule, ["keep_known", "as_computed"]),
+            "means_from": (self.means_from, ["train", "all"]),
+            "split": (self.split, ["hash", "random"]),
+            "unknown_mean": (self.unknown_mean, ["error", "overall"]),
+        }
+        for name, (value, known) in choices.items():
+            if value not in known:
+                raise ValueError(f"unknown {name.replace('_', ' ')} {value!r}, not one of {sorted(known)}")
+        if not self.models:
+            raise ValueError("no model is named")
+        for name in self.models:
+            if name not in MODELS:
+                raise ValueError(f"unknown model {name!r}, not one of {sorted(MODELS)}")
+            if not self.grids.get(name):
+                raise ValueError(f"no grid for the model {name!r}")
+        counting = [name for name in COUNTING_ROWS if name in {**self.params.get("gbt", {}), **self.grids.get("gbt", {})}]
+        if "gbt" in self.models and counting:
+            raise ValueError(f"boosted trees are fitted on counted rows, which {counting} would take for cases")
+        if self.forest_blocks is not None and self.forest_blocks < 1:
+            raise ValueError("forest_blocks is a number of blocks")
+
 
 def profile_columns(features):
     return ["split", "fold", *FEATURE_SETS[features], "age_of_stated_sex", LABEL]
@@ -70,7 +111,9 @@ def case_profiles(cases, settings):
 def staged_profiles(spark, cases, paths, settings):
     """Count the cases into the run folder and go on from there."""
     counted = case_profiles(cases, settings)
-    counted.write.mode("errorifexists").parquet(paths.profiles)
+    if not (settings.resume and is_written(spark, paths.profiles)):
+        # What a broken run left of them is no use.
+        counted.write.mode("overwrite" if settings.resume else "errorifexists").parquet(paths.profiles)
     return spark.read.schema(counted.schema).parquet(paths.profiles)
 
 
@@ -78,12 +121,15 @@ def fit_preparation(profiles, settings):
     """Learn the imputation from counted profiles, as a pipeline that also assembles the feature vector."""
     if settings.age_rule == "keep_known":
         age = GroupMeanImputer(
-            inputCol="age", outputCol="age", groupCols=["male"], meanCol="age_of_stated_sex", weightCol=COUNT
+            inputCol="age",
+            outputCol="age",
+            groupCols=["male"],
+            meanCol="age_of_stated_sex",
+            weightCol=COUNT,
+            unknownMean=settings.unknown_mean,
         )
-    elif settings.age_rule == "as_computed":
-        age = AsComputedAge(weightCol=COUNT)
     else:
-        raise ValueError(f"unknown age rule {settings.age_rule!r}")
+        age = AsComputedAge(weightCol=COUNT)
     stages = [age]
     if settings.features == "with_diagnosis":
         gap = "days_to_diagnosis"
@@ -100,32 +146,36 @@ def complete_profiles(profiles, preparation, settings):
     return count_profiles(filled, ["split", "fold", *inputs, LABEL], COUNT)
 
 
-def fit_partitions(name, rows, parallelism):
-    """Partitions for a fit over about `rows` rows: enough rows each to be worth a task, few enough to fit in memory."""
-    most = max(1, -(-rows // ROWS_PER_PARTITION[name]))
-    least = -(-rows // MAX_ROWS_PER_PARTITION)
-    return max(least, min(most, parallelism))
+def fit_partitions(name, rows):
+    """Partitions for a fit over `rows` rows: by the rows alone, so that a model does not depend on the cluster."""
+    wanted = -(-rows // ROWS_PER_PARTITION[name])
+    return max(1, min(wanted, MANY_PARTITIONS[name]), -(-rows // MAX_ROWS_PER_PARTITION))
 
 
-def training_rows(profiles, total, distinct, name, features="base", min_blocks=MIN_BLOCKS):
-    """Counted profiles as weighted training rows of `features`, `label`, `fold` and `weight`, laid out for one model.
+def laid_out(profiles, total, distinct, name, forest_blocks=None):
+    """Counted profiles as weighted rows for one model, placed and ordered by their content.
 
-    `total` is the number of cases the profiles stand for and `distinct` the number of profiles. Forests draw rows and
-    linear models scale by the rows' variance, so theirs come in fine blocks. Boosting does neither: its sums are the
-    same whether equal cases are one weighted row or many, so it takes the counts whole.
+    `total` is the number of cases the profiles stand for and `distinct` the number of profiles. Linear models and
+    boosted trees take the counts whole: their sums are the same whether equal cases are one weighted row or many.
+    Forests draw rows, so theirs are single cases, or blocks of them where that is asked for.
     """
-    if name == "gbt":
-        rows, expected = profiles.withColumn(WEIGHT, F.col(COUNT).cast("double")).drop(COUNT), distinct
+    if name == "rf":
+        rows = weighted_blocks(profiles, total, forest_blocks)
+        expected = min(total, distinct + forest_blocks) if forest_blocks else total
     else:
-        rows, expected = weighted_blocks(profiles, total, min_blocks), min(total, distinct + min_blocks)
-    parallelism = profiles.sparkSession.sparkContext.defaultParallelism
-    placed = in_stable_order(rows, fit_partitions(name, expected, parallelism))
+        rows, expected = profiles.withColumn(WEIGHT, F.col(COUNT).cast("double")).drop(COUNT), distinct
+    return in_stable_order(rows, fit_partitions(name, expected))
+
+
+def training_rows(profiles, total, distinct, name, features="base", forest_blocks=None):
+    """The rows of `laid_out` as `features`, `label`, `fold` and `weight`."""
+    placed = laid_out(profiles, total, distinct, name, forest_blocks)
     return assembler(features).transform(placed).select("features", LABEL, "fold", WEIGHT)
 
 
 def train_model(profiles, total, distinct, name, settings) -> SearchResult:
     """Search one model's grid. Folds come with the rows, so that equal cases need not share one."""
-    train = training_rows(profiles, total, distinct, name, settings.features, settings.min_blocks)
+    train = training_rows(profiles, total, distinct, name, settings.features, settings.forest_blocks)
     train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return search(
@@ -146,8 +196,8 @@ def evaluate_model(model, held_out, features="base"):
     return confusion(scored.withColumnRenamed("split", "dataset"), ["dataset"], COUNT)
 
 
-def write_evaluation(spark, paths, name, model, counts):
-    """Report, confusion table and metrics table of one model."""
+def write_evaluation(spark, paths, name, model, counts, mode="errorifexists"):
+    """Report, confusion table and metrics table of one model. The metrics come last: they say that a model is done."""
     rows = counts.collect()  # one row per part and pair of classes
     counts = small_table(spark, rows, SCHEMAS["confusion"])
     metrics = weighted_metrics(counts, ["dataset"])
@@ -157,15 +207,23 @@ def write_evaluation(spark, paths, name, model, counts):
         for part in HELD_OUT
         if part in by_part
     ]
-    write_report(spark, report_lines(type(model).__name__, sections), paths.report(name))
-    write_part(counts, paths, "confusion", name)
+    write_report(spark, report_lines(type(model).__name__, sections), paths.report(name), mode)
+    write_part(counts, paths, "confusion", name, mode)
     values = [(part, metric, row[metric]) for part, row in by_part.items() for metric in METRICS]
-    write_part(small_table(spark, values, SCHEMAS["metrics"]), paths, "metrics", name)
+    write_part(small_table(spark, values, SCHEMAS["metrics"]), paths, "metrics", name, mode)
+
+
+def checked(spark, settings):
+    """The settings, or the defaults, once everything that a run needs is known to be there."""
+    settings = settings or TrainingSettings()
+    settings.check()
+    checkpoint_dir(spark)
+    return settings
 
 
 def train(spark, cases, paths: RunPaths, settings: TrainingSettings = None):
     """Search, refit, evaluate and save every model of the settings. Returns the best models by name."""
-    settings = settings or TrainingSettings()
+    settings = checked(spark, settings)
     return train_counted(spark, staged_profiles(spark, cases, paths, settings), paths, settings)
 
 
@@ -174,7 +232,9 @@ def train_rounds(spark, cases, paths: RunPaths, settings: TrainingSettings = Non
 
     The cases are counted by the largest set; the smaller ones add those counts up. Returns the models by round.
     """
-    settings = settings or TrainingSettings()
+    settings = checked(spark, settings)
+    for features in rounds:
+        replace(settings, features=features).check()
     widest = max(rounds, key=lambda features: len(FEATURE_SETS[features]))
     profiles = staged_profiles(spark, cases, replace(paths, features=widest), replace(settings, features=widest))
     best = {}
@@ -187,26 +247,30 @@ def train_rounds(spark, cases, paths: RunPaths, settings: TrainingSettings = Non
 
 
 def train_counted(spark, profiles, paths, settings):
-    """The run from counted profiles on."""
-    checkpoint_dir(spark)
+    """The run from counted profiles on. A model is saved before anything of it is published."""
     preparation = fit_preparation(profiles, settings)
-    save_model(preparation, paths.preparation)
+    save_model(preparation, paths.preparation, overwrite=settings.resume)
+    mode = "overwrite" if settings.resume else "errorifexists"
     complete = complete_profiles(profiles, preparation, settings).persist(StorageLevel.MEMORY_AND_DISK)
-    train_profiles = complete.where(F.col("split") == "train").drop("split")
-    total, distinct = train_profiles.agg(F.sum(COUNT), F.count(F.lit(1))).first()
-    if not total:
-        raise ValueError("no complete confirmed case falls into the training part")
-    held_out = complete.where(F.col("split").isin(HELD_OUT))
-
-    def one_model(name):
-        result = train_model(train_profiles, total, distinct, name, settings)
-        write_part(small_table(spark, result.tuning, SCHEMAS["tuning"]), paths, "tuning", name)
-        write_evaluation(spark, paths, name, result.model, evaluate_model(result.model, held_out, settings.features))
-        save_model(result.model, paths.model(name))
-        return name, result.model
-
-    # Counted rows are few, so a fit is a chain of short jobs that leaves most of a cluster to the other models.
-    with ThreadPool(min(settings.models_at_once, len(settings.models))) as pool:
-        best = dict(pool.map(inheritable_thread_target(spark)(one_model), settings.models))
-    complete.unpersist()
-    return best
+    try:
+        train_profiles = complete.where(F.col("split") == "train").drop("split")
+        total, distinct = train_profiles.agg(F.sum(COUNT), F.count(F.lit(1))).first()
+        if not total:
+            raise ValueError("no complete confirmed case falls into the training part")
+        held_out = complete.where(F.col("split").isin(HELD_OUT))
+
+        def one_model(name):
+            if settings.resume and is_written(spark, paths.table_part("metrics", name)):
+                return name, load_model(name, paths.model(name))
+            result = train_model(train_profiles, total, distinct, name, settings)
+            save_model(result.model, paths.model(name), overwrite=settings.resume)
+            write_part(small_table(spark, result.tuning, SCHEMAS["tuning"]), paths, "tuning", name, mode)
+            counts = evaluate_model(result.model, held_out, settings.features)
+            write_evaluation(spark, paths, name, result.model, counts, mode)
+            return name, result.model
+
+        # Counted rows are few, so a fit is a chain of short jobs that leaves most of a cluster to the other models.
+        with ThreadPool(min(settings.models_at_once, len(settings.models))) as pool:
+            return dict(pool.map(inheritable_thread_target(spark)(one_model), settings.models))
+    finally:
+        complete.unpersist()

@@ -20,13 +20,13 @@ from casecast.operators.prepare import (
     model_inputs,
     prepared_as_computed,
 )
-from casecast.operators.profiles import COUNT, count_profiles, in_stable_order, weighted_blocks
-from casecast.operators.split import random_parts, with_split
+from casecast.operators.profiles import COUNT, count_profiles
+from casecast.operators.split import PARTS, with_split
 from casecast.plans import reports
 from casecast.plans.scoring import score_cases, with_scores
-from casecast.plans.training import TrainingSettings, train, training_rows
+from casecast.plans.training import TrainingSettings, laid_out, train, training_rows
 from casecast.schema import BASE_FEATURES, CASE_SCHEMA, FEATURE_SETS, KEY, LABEL, WEIGHT
-from casecast.session import checkpoint_dir, scratch_path, small_table
+from casecast.session import checkpoint_dir, scratch_path, small_table, staged
 from casecast.sinks.model_store import load_model, save_model, tuned_params
 from casecast.sinks.paths import RunPaths
 from casecast.sinks.report import report_lines, write_report
@@ -126,9 +126,14 @@ def impute_event_value(spark, sf_dir):
 
 
 def impute_event_value_many_groups(spark, sf_dir):
-    """As above by user, with a broadcast bound so low that the means meet the events in a shuffle."""
+    """As above by user, with a broadcast bound so low that the means meet the events in a shuffle.
+
+    Users without any value get the mean over all.
+    """
     events = events_with_gaps(spark, sf_dir)
-    imputer = GroupMeanImputer(inputCol="value", outputCol="value", groupCols=["user_id"], broadcastGroups=2)
+    imputer = GroupMeanImputer(
+        inputCol="value", outputCol="value", groupCols=["user_id"], broadcastGroups=2, unknownMean="overall"
+    )
     return imputer.fit(events).transform(events).select("event_id", "user_id", rounded("value"))
 
 
@@ -150,11 +155,18 @@ def fold_counts(spark, sf_dir):
 
 
 def random_split_cover(spark, sf_dir):
-    parts = random_parts(complete_rows(prepared(spark, sf_dir)))
-    named = [part.select(KEY, F.lit(name).alias("split")) for name, part in parts.items()]
-    seen = named[0].unionByName(named[1]).unionByName(named[2]).groupBy(KEY).agg(F.count(F.lit(1)).alias("times"))
-    return seen.agg(
-        F.count(F.lit(1)).alias("cases"), F.sum("times").alias("rows"), F.max("times").alias("most_parts_of_a_case")
+    """The drawn parts of a run: every case in one of them, and each part at its share within four deviations."""
+    drawn = with_split(complete_rows(prepared(spark, sf_dir)), "random").select(KEY, "split")
+    per_case = drawn.groupBy(KEY).agg(
+        F.count(F.lit(1)).alias("times"), *[F.sum((F.col("split") == part).cast("int")).alias(part) for part in PARTS]
+    )
+    n = F.sum("times")
+    kept = [F.abs(F.sum(part) / n - share) <= 4 * F.sqrt(share * (1 - share) / n) for part, share in PARTS.items()]
+    return per_case.agg(
+        F.count(F.lit(1)).alias("cases"),
+        n.alias("rows"),
+        F.max("times").alias("most_parts_of_a_case"),
+        (kept[0] & kept[1] & kept[2]).alias("shares_kept"),
     )
 
 
@@ -200,7 +212,7 @@ def matrix_of_confusion(spark, sf_dir):
 
 def selection_metric(spark, sf_dir):
     """The F1 by which a search chooses, from Spark's evaluator over counted predictions."""
-    counts = confusion(icu_rule(spark, sf_dir)).persist()
+    counts = confusion(icu_rule(spark, sf_dir))
     return small_table(spark, [(f1_evaluator("n").evaluate(counts),)], "f1 double").select(rounded("f1"))
 
 
@@ -225,20 +237,31 @@ def base_rates(spark, sf_dir):
 # Models whose answers are known in closed form, fitted on all confirmed cases with the ICU flag as the only input
 
 
-def icu_rows(cases, columns=("icu", LABEL)):
-    """Weighted training rows of the cases; every case counts, equal ones by their weight."""
+PROFILE = [*BASE_FEATURES, LABEL]
+
+
+def icu_rows(name, cases, columns=()):
+    """Training rows as a run makes them, from counts over all features, but with the ICU flag as the only input."""
     checkpoint_dir(cases.sparkSession)
-    profiles = count_profiles(cases, columns).persist()
-    total = profiles.agg(F.sum(COUNT)).first()[0]
-    rows = in_stable_order(weighted_blocks(profiles, total, 10_000), 1)
-    return VectorAssembler(inputCols=["icu"], outputCol="features").transform(rows).persist()
+    profiles = staged(count_profiles(cases, [*PROFILE, *columns]), "profiles")
+    total, distinct = profiles.agg(F.sum(COUNT), F.count(F.lit(1))).first()
+    rows = VectorAssembler(inputCols=["icu"], outputCol="features").transform(laid_out(profiles, total, distinct, name))
+    return rows.select("features", LABEL, WEIGHT, *columns)
+
+
+def fitted(name, rows, **params):
+    rows = rows.persist()
+    try:
+        return estimator(name, WEIGHT, **params).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def fitted_on_icu(name, spark, sf_dir, **params):
     """The fitted model, and the two levels of its input to score."""
-    rows = icu_rows(derived(spark, sf_dir))
-    model = estimator(name, WEIGHT, **params).fit(rows)
-    return model, rows.select("icu", "features").distinct()
+    cases = derived(spark, sf_dir)
+    levels = VectorAssembler(inputCols=["icu"], outputCol="features").transform(cases.select("icu").distinct())
+    return fitted(name, icu_rows(name, cases), **params), levels
 
 
 def forest_stump(spark, sf_dir):
@@ -272,30 +295,53 @@ def svm_majority(spark, sf_dir):
     return model.transform(levels).select("icu", "prediction")
 
 
+def svm_hinge(spark, sf_dir):
+    """The mean hinge loss that the machine reaches, against the least there is: twice each level's smaller share."""
+    model, _ = fitted_on_icu("svm", spark, sf_dir, maxIter=200, regParam=0.0, tol=1e-9)
+    slope, intercept = float(model.coefficients[0]), float(model.intercept)
+    cases = derived(spark, sf_dir)
+    loss = F.greatest(F.lit(0.0), 1 - (2 * F.col(LABEL) - 1) * (F.col("icu") * slope + intercept))
+    per_level = cases.groupBy("icu").agg(F.count(F.lit(1)).alias("n"), F.sum(LABEL).alias("d"), F.sum(loss).alias("loss"))
+    least = F.sum(2 * F.least(F.col("d"), F.col("n") - F.col("d"))) / F.sum("n")
+    return per_level.agg(
+        F.round(least, DIGITS).alias("least"), (F.sum("loss") / F.sum("n") <= 1.01 * least).alias("reached")
+    )
+
+
 def svm_score_consistency(spark, sf_dir):
     """Batch scores of every complete case against the sign of the plane that the model reports."""
     inputs = model_inputs(prepared(spark, sf_dir))
-    profiles = count_profiles(complete_rows(prepared(spark, sf_dir)), [*BASE_FEATURES, LABEL])
-    profiles = profiles.withColumn("fold", F.lit(0)).persist()
+    profiles = count_profiles(complete_rows(prepared(spark, sf_dir)), PROFILE).withColumn("fold", F.lit(0))
+    profiles = staged(profiles, "profiles")
     total, distinct = profiles.agg(F.sum(COUNT), F.count(F.lit(1))).first()
-    rows = training_rows(profiles, total, distinct, "svm").persist()
-    model = estimator("svm", WEIGHT, maxIter=5, regParam=0.1).fit(rows)
+    model = fitted("svm", training_rows(profiles, total, distinct, "svm"), maxIter=5, regParam=0.1)
     values = vector_to_array("features")
     plane = sum((values[i] * float(w) for i, w in enumerate(model.coefficients)), F.lit(float(model.intercept)))
     wrong = F.when((plane > 0).cast("double") != F.col("prediction"), 1).otherwise(0)
     return model.transform(inputs).agg(F.count(F.lit(1)).alias("n"), F.sum(wrong).alias("mismatches"))
 
 
-def cross_validation_majority(spark, sf_dir):
-    """Penalties that leave only the intercept: every fold predicts survival, and all points tie, so the first wins."""
+def searched_on_icu(spark, sf_dir, grid):
     training_part = with_split(derived(spark, sf_dir)).where(F.col("split") == "train")
-    rows = icu_rows(training_part, ["icu", LABEL, "fold"])
-    grid = {"elasticNetParam": [1.0], "regParam": [10.0, 20.0]}
-    tuning = search(rows, "lr", grid, weight=WEIGHT).tuning
+    rows = icu_rows("lr", training_part, ["fold"]).persist()
+    try:
+        tuning = search(rows, "lr", grid, weight=WEIGHT).tuning
+    finally:
+        rows.unpersist()
     table = small_table(spark, tuning, SCHEMAS["tuning"])
     return table.select("point", "params", rounded("avg_f1"), rounded("std_f1"), "best")
 
 
+def cross_validation_majority(spark, sf_dir):
+    """Penalties that leave only the intercept: every fold predicts survival, and all points tie, so the first wins."""
+    return searched_on_icu(spark, sf_dir, {"elasticNetParam": [1.0], "regParam": [10.0, 20.0]})
+
+
+def cross_validation_winner(spark, sf_dir):
+    """Of a point that leaves only the intercept and one without penalty the second wins: it follows the ICU flag."""
+    return searched_on_icu(spark, sf_dir, {"elasticNetParam": [1.0], "regParam": [10.0, 0.0], "tol": [1e-9]})
+
+
 # Runs
 
 
@@ -316,36 +362,67 @@ def smoke_run(spark, sf_dir, models, features="base", age_rule="keep_known"):
     return paths
 
 
+def stored_results(spark, paths):
+    """Per model and part its cases and deaths, and how many stored metrics differ from those of the stored confusion."""
+    keys = ["model", "dataset"]
+    counts = read_table(spark, paths, "confusion")
+    expected = metrics_long(weighted_metrics(counts, keys), keys).withColumnRenamed("value", "expected")
+    stored = read_table(spark, paths, "metrics").select(*keys, "metric", "value")
+    differs = F.coalesce(F.abs(F.col("value") - F.col("expected")) > 1e-9, F.lit(True)).cast("int")
+    compared = stored.join(expected, [*keys, "metric"], "full").groupBy(*keys)
+    compared = compared.agg(F.count(F.lit(1)).alias("metrics"), F.sum(differs).alias("mismatches"))
+    deaths = F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("deaths")
+    return counts.groupBy(*keys).agg(F.sum("n").alias("n"), deaths).join(compared, keys)
+
+
 def training_run(spark, sf_dir):
-    paths = smoke_run(spark, sf_dir, ["rf", "lr", "svm", "gbt"])
-    return read_table(spark, paths, "metrics").select("model", "dataset", "metric", rounded("value"))
+    return stored_results(spark, smoke_run(spark, sf_dir, ["rf", "lr", "svm", "gbt"]))
 
 
 def training_run_with_diagnosis(spark, sf_dir):
-    paths = smoke_run(spark, sf_dir, ["lr", "rf"], "with_diagnosis", "as_computed")
-    return reports.leaderboard(read_table(spark, paths, "metrics"), "validation")
+    return stored_results(spark, smoke_run(spark, sf_dir, ["lr", "rf"], "with_diagnosis", "as_computed"))
+
+
+TUNED_GRIDS = {
+    "rf": {"impurity": ["entropy"], "seed": [512], "numTrees": [3]},
+    "lr": {"maxIter": [20], "elasticNetParam": [0.5], "regParam": [0.2], "tol": [0.1]},
+    "svm": {"maxIter": [3], "regParam": [0.4], "tol": [0.2]},
+    "gbt": {"maxIter": [2], "seed": [1024], "stepSize": [0.2]},
+}
 
 
 def tuned_parameters(spark, sf_dir):
-    return tuned_params(spark, smoke_run(spark, sf_dir, ["lr", "gbt"]), ["lr", "gbt"])
+    """Grids of one point each, read back from the models that were saved."""
+    paths = RunPaths(scratch_path(spark, "run"), "tuned")
+    train(spark, cases_from_orders(spark, sf_dir), paths, TrainingSettings(grids=TUNED_GRIDS, parallelism=4))
+    return tuned_params(spark, paths, list(TUNED_GRIDS))
 
 
 def scored_cases(spark, sf_dir):
+    """Every complete case, and whether its prediction lies off its margin's side."""
     paths = smoke_run(spark, sf_dir, ["gbt"])
-    return score_cases(spark, cases_from_orders(spark, sf_dir), paths, "gbt")
+    scores = score_cases(spark, cases_from_orders(spark, sf_dir), paths, "gbt")
+    off = (F.col("margin") > 0).cast("double") != F.col("prediction")
+    return scores.select(KEY, LABEL, off.cast("int").alias("off_side"))
 
 
 # Whole runs with penalties that leave only the intercept, so that every output has a closed form
 
 
 MAJORITY_GRIDS = {
+    "rf": {"impurity": ["gini"], "seed": [512, 1024], "numTrees": [2]},
     "lr": {"maxIter": [100, 300], "elasticNetParam": [1.0], "regParam": [10.0, 20.0], "tol": [0.1, 0.2]},
+    "svm": {"maxIter": [20, 30], "regParam": [100.0], "tol": [0.1]},
+    "gbt": {"maxIter": [1, 2], "seed": [1024], "stepSize": [0.2]},
 }
+NO_SPLITS = {"rf": {"maxDepth": 0}, "gbt": {"maxDepth": 0}}
 
 
-def majority_run(spark, sf_dir, features="base"):
+def majority_run(spark, sf_dir, features="base", models=("rf", "lr", "svm", "gbt")):
     paths = RunPaths(scratch_path(spark, "run"), "majority", features)
-    settings = TrainingSettings(models=["lr"], grids=MAJORITY_GRIDS, features=features, parallelism=4)
+    settings = TrainingSettings(
+        models=list(models), grids=MAJORITY_GRIDS, features=features, parallelism=4, params=NO_SPLITS
+    )
     train(spark, cases_from_orders(spark, sf_dir), paths, settings)
     return paths
 
@@ -365,12 +442,12 @@ def majority_run_leaderboard(spark, sf_dir):
 
 
 def majority_run_parameters(spark, sf_dir):
-    """All points tie, so the parameters of the first one come back from the saved model."""
-    return tuned_params(spark, majority_run(spark, sf_dir), ["lr"])
+    """All points tie, so the parameters of the first one come back from the saved models."""
+    return tuned_params(spark, majority_run(spark, sf_dir), list(MAJORITY_GRIDS))
 
 
 def majority_run_scores(spark, sf_dir):
-    scores = score_cases(spark, cases_from_orders(spark, sf_dir), majority_run(spark, sf_dir), "lr")
+    scores = score_cases(spark, cases_from_orders(spark, sf_dir), majority_run(spark, sf_dir, models=["lr"]), "lr")
     return scores.select(KEY, LABEL, "prediction", rounded("margin"), rounded("probability"), "model")
 
 
@@ -412,8 +489,10 @@ QUERIES = {
     "logit_saturated": logit_saturated,
     "boost_stump": boost_stump,
     "svm_majority": svm_majority,
+    "svm_hinge": svm_hinge,
     "svm_score_consistency": svm_score_consistency,
     "cross_validation_majority": cross_validation_majority,
+    "cross_validation_winner": cross_validation_winner,
     "saved_model_scores": saved_model_scores,
     "majority_run_metrics": majority_run_metrics,
     "majority_run_confusion": majority_run_confusion,

@@ -1,5 +1,7 @@
 """Session for local runs, and the shared scratch folder used to stage tables and checkpoints."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -28,12 +30,17 @@ def local_session(app="casecast", cpus="*", memory="8g", **settings):
 
 
 def checkpoint_dir(spark):
-    """The shared folder the cluster names in `spark.checkpoint.dir`; a fresh local one only under a local master."""
+    """The shared folder the cluster names in `spark.checkpoint.dir`.
+
+    Only where the whole of Spark is this process is a fresh local one made, which goes when the process ends.
+    """
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that every executor can reach")
         folder = tempfile.mkdtemp(prefix="casecast-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set(CHECKPOINT_SETTING, folder)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)

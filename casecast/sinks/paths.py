@@ -11,6 +11,12 @@ def new_run_id():
     return datetime.now(timezone.utc).strftime(STAMP)
 
 
+def is_written(spark, path):
+    """Whether a finished Spark job wrote `path`, on any Hadoop file system."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
 @dataclass(frozen=True)
 class RunPaths:
     """The folders of one run with one feature set, so that the two feature rounds never share a path."""

@@ -24,15 +24,15 @@ def matrix_lines(counts):
 
 def report_lines(model_class, sections):
     """Header, then each (set name, confusion counts, metrics) section. The counts are one row per pair of classes."""
-    yield f"Training results for model {model_class}"
+    yield f"How {model_class} did on held-out cases"
     for name, counts, metrics in sections:
         yield f"{name} set"
         yield from (f"{name}: {line}" for line in matrix_lines(counts))
         yield from (f"{name}: {title} {metrics[metric]:.6f}" for title, metric in SHOWN)
 
 
-def write_report(spark, lines, path):
-    """Write the lines in order as a single text file; a report that exists already is an error."""
+def write_report(spark, lines, path, mode="errorifexists"):
+    """Write the lines in order as a single text file; by default a report that exists already is an error."""
     rows = [(number, text) for number, text in enumerate(lines)]
     table = small_table(spark, rows, "line int, Text string")
-    table.coalesce(1).sortWithinPartitions("line").select("Text").write.mode("errorifexists").text(path)
+    table.coalesce(1).sortWithinPartitions("line").select("Text").write.mode(mode).text(path)

@@ -9,9 +9,9 @@ SCHEMAS = {
 PARTITIONS = "run_id string, features string, model string"
 
 
-def write_part(df, paths, table, model):
-    """Write one model's part of a result table; a part that exists already is an error."""
-    df.coalesce(1).write.mode("errorifexists").parquet(paths.table_part(table, model))
+def write_part(df, paths, table, model, mode="errorifexists"):
+    """Write one model's part of a result table; a part that exists already is an error unless `mode` says otherwise."""
+    df.coalesce(1).write.mode(mode).parquet(paths.table_part(table, model))
 
 
 def read_table(spark, paths, table):

@@ -1,9 +1,15 @@
 """Scans of case files under any Hadoop URI."""
 
+from functools import reduce
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import types as T
 
 from casecast.schema import CASE_SCHEMA
 
+HEADER_READERS = 16
+
 
 def read_cases_csv(spark, path, *, sep=",", infer=False, mode="PERMISSIVE", corrupt_column=None, types=None):
     """Scan delimited case files that have a header line.
@@ -12,7 +18,8 @@ def read_cases_csv(spark, path, *, sep=",", infer=False, mode="PERMISSIVE", corr
     over the data is spent on inference. Columns are found by name: only the header line of one file is read to learn
     their order, and any file whose header differs fails the scan instead of shifting its values. `types` declares
     further columns, such as the key. `infer=True` lets Spark guess all types at the price of a full extra pass.
-    `mode` and `corrupt_column` say what happens to lines that do not parse.
+    `mode` and `corrupt_column` say what happens to lines that do not parse. With a corrupt column Spark cannot compare
+    headers itself, so the header of every file is read first (one line each), and files are read by their own.
     """
     reader = spark.read.option("header", True).option("sep", sep)
     if infer:
@@ -22,15 +29,37 @@ def read_cases_csv(spark, path, *, sep=",", infer=False, mode="PERMISSIVE", corr
     missing = [name for name in declared if name not in header]
     if missing:
         raise ValueError(f"{path} lacks the columns {missing}")
-    schema = T.StructType([T.StructField(name, declared.get(name, T.StringType())) for name in header])
     reader = reader.option("mode", mode)
-    if corrupt_column:
-        # The extra column is not part of any header, so the header check has to be off for it.
-        schema = schema.add(corrupt_column, T.StringType())
-        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-    else:
-        reader = reader.option("enforceSchema", False)
-    return reader.schema(schema).csv(path)
+
+    def typed(names):
+        return T.StructType([T.StructField(name, declared.get(name, T.StringType())) for name in names])
+
+    if not corrupt_column:
+        return reader.option("enforceSchema", False).schema(typed(header)).csv(path)
+    reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+    files = {}
+    for names, file in _headers(spark, path, sep):
+        if not names:  # a file without any line
+            continue
+        absent = [name for name in declared if name not in names]
+        if absent:
+            raise ValueError(f"{file} lacks the columns {absent}")
+        files.setdefault(names, []).append(file)
+    # The extra column is not part of any header, so Spark's own check has to be off for it.
+    tables = [reader.schema(typed(names).add(corrupt_column, T.StringType())).csv(own) for names, own in files.items()]
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    return whole.select(*[name for name in whole.columns if name != corrupt_column], corrupt_column)
+
+
+def _headers(spark, path, sep):
+    """(column names, file) of every file under `path`; a file's first line is all that is read of it."""
+    files = sorted(spark.read.text(path).inputFiles())
+
+    def names(file):
+        return tuple(spark.read.option("header", True).option("sep", sep).csv(file).columns), file
+
+    with ThreadPool(min(HEADER_READERS, max(1, len(files)))) as pool:
+        return pool.map(inheritable_thread_target(spark)(names), files)
 
 
 def read_cases_parquet(spark, path):

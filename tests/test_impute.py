@@ -2,7 +2,13 @@ import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
-from casecast.operators.impute import AsComputedAge, AsComputedAgeModel, GroupMeanImputer, GroupMeanImputerModel
+from casecast.operators.impute import (
+    AsComputedAge,
+    AsComputedAgeModel,
+    GroupMeanImputer,
+    GroupMeanImputerModel,
+    MeanUnknownError,
+)
 from casecast.session import small_table
 
 ROWS = [("a", 1, 2), ("a", 4, 1), ("a", None, 5), ("b", None, 1), (None, 7, 1), (None, None, 3)]
@@ -21,10 +27,48 @@ def expect(*rows):
     return sorted(f"Row(g={g!r}, y={y!r})" for g, y in rows)
 
 
-def test_groups_null_group_and_group_without_values(table):
-    filled = GroupMeanImputer(inputCol="x", outputCol="y", groupCols=["g"]).fit(table).transform(table)
+def test_groups_and_null_group(table):
+    known = table.where("g IS NULL OR g <> 'b'")
+    filled = GroupMeanImputer(inputCol="x", outputCol="y", groupCols=["g"]).fit(known).transform(known)
     assert filled.columns == ["g", "x", "n", "y"]
-    assert pairs(filled) == expect(("a", 1), ("a", 4), ("a", 3), ("b", None), (None, 7), (None, 7))
+    assert pairs(filled) == expect(("a", 1), ("a", 4), ("a", 3), (None, 7), (None, 7))
+
+
+@pytest.mark.parametrize("most", [100, 1])
+def test_group_without_values(table, most, tmp_path):
+    settings = {"inputCol": "x", "outputCol": "y", "groupCols": ["g"], "broadcastGroups": most}
+    with pytest.raises(MeanUnknownError, match="'b'"):
+        GroupMeanImputer(**settings).fit(table)
+    filled = expect(("a", 1), ("a", 4), ("a", 3), ("b", 4), (None, 7), (None, 7))
+    model = GroupMeanImputer(**settings, unknownMean="overall").fit(table)
+    assert pairs(model.transform(table)) == filled
+    model.write().save(str(tmp_path / "m"))
+    assert pairs(GroupMeanImputerModel.load(str(tmp_path / "m")).transform(table)) == filled
+
+
+@pytest.mark.parametrize("most", [100, 1])
+def test_group_that_was_not_seen(spark, table, most):
+    known = table.where("g IS NULL OR g <> 'b'")
+    settings = {"inputCol": "x", "outputCol": "y", "groupCols": ["g"], "broadcastGroups": most}
+    new = small_table(spark, [("new", 3, 1), ("new", None, 1)], "g string, x int, n bigint")
+    strict = GroupMeanImputer(**settings).fit(known)
+    assert pairs(strict.transform(new.where("x IS NOT NULL"))) == expect(("new", 3))
+    with pytest.raises(Exception, match="no mean of x is known for g = new"):
+        strict.transform(new).collect()
+    assert pairs(GroupMeanImputer(**settings, unknownMean="overall").fit(known).transform(new)) == expect(("new", 3), ("new", 4))
+
+
+def test_other_choices_are_refused():
+    with pytest.raises(ValueError, match="unknownMean"):
+        GroupMeanImputer(inputCol="x", outputCol="y", unknownMean="zero")
+
+
+def test_whole_means_of_fractions_do_not_hang_on_the_order(spark):
+    values = [0.1] * 10 + [0.2] * 10 + [2.7] * 10  # the mean is 1, but for the last digits
+    for order in (values, values[::-1], sorted(values, key=lambda x: (x * 7) % 1)):
+        table = small_table(spark, [(x,) for x in order] + [(None,)], "x double").coalesce(1)
+        model = GroupMeanImputer(inputCol="x", outputCol="y").fit(table)
+        assert model.transform(table).where("x IS NULL").first().y == 1
 
 
 def test_one_mean_for_all(table):
@@ -36,8 +80,9 @@ def test_weights_stand_for_rows(table):
     expanded = table.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n"))))
     for groups in ([], ["g"]):
         settings = {"inputCol": "x", "outputCol": "y", "groupCols": groups}
-        weighted = GroupMeanImputer(weightCol="n", **settings).fit(table)
-        repeated = GroupMeanImputer(**settings).fit(expanded)
+        weighted = GroupMeanImputer(weightCol="n", unknownMean="overall", **settings).fit(table)
+        repeated = GroupMeanImputer(unknownMean="overall", **settings).fit(expanded)
+        assert weighted.overall == repeated.overall
         assert sorted(map(str, weighted.means.collect())) == sorted(map(str, repeated.means.collect()))
 
 
@@ -49,7 +94,8 @@ def test_many_groups_agree_with_few(spark):
         "id",
     )
     imputers = [
-        GroupMeanImputer(inputCol="x", outputCol="y", groupCols=["g"], broadcastGroups=most) for most in (10_000, 20)
+        GroupMeanImputer(inputCol="x", outputCol="y", groupCols=["g"], broadcastGroups=most, unknownMean="overall")
+        for most in (10_000, 20)
     ]
     few, many = (imputer.fit(rows) for imputer in imputers)
     assert few.small and not many.small
@@ -57,10 +103,12 @@ def test_many_groups_agree_with_few(spark):
     assert a.columns == b.columns
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
     plan = b._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("rightHint=(strategy=broadcast)") == 2
+    # The input itself was read once, to meet the hot groups and be staged; what is left reads staged tables only.
+    assert "Range" not in plan and plan.count("Relation [") == plan.count("parquet")
 
 
 def test_save_and_load(table, tmp_path):
+    table = table.where("g IS NULL OR g <> 'b'")
     model = GroupMeanImputer(inputCol="x", outputCol="y", groupCols=["g"], weightCol="n").fit(table)
     model.write().save(str(tmp_path / "m"))
     loaded = GroupMeanImputerModel.load(str(tmp_path / "m"))

@@ -1,7 +1,8 @@
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from casecast.models.estimators import estimator
+from casecast.models.estimators import estimator, frequency_deviations
 from casecast.operators.prepare import assembler, complete_rows, derive, confirmed_cases, prepared_as_computed
 from casecast.operators.profiles import count_profiles, in_stable_order, weighted_blocks
 from casecast.operators.split import with_split
@@ -25,20 +26,20 @@ def profiles(parted):
 def test_blocks_keep_every_case_and_split_hot_ones(spark):
     counts = [1, 2, 9, 10, 11, 3333, 6634]
     profiles = small_table(spark, list(enumerate(counts)), "p int, n bigint")
-    for min_blocks in (1, 3, 100, 1000, 20_000):
-        blocks = weighted_blocks(profiles, sum(counts), min_blocks)
+    for most in (1, 3, 100, 1000, 20_000):
+        blocks = weighted_blocks(profiles, sum(counts), most)
         per_profile = dict(blocks.groupBy("p").agg(F.sum("weight")).collect())
         assert [per_profile[i] for i in range(len(counts))] == counts
-        assert blocks.agg(F.max("weight")).first()[0] <= -(-sum(counts) // min_blocks)
+        assert blocks.agg(F.max("weight")).first()[0] <= -(-sum(counts) // most)
         assert blocks.where("weight <= 0 or weight <> floor(weight)").count() == 0
-        assert blocks.count() <= min_blocks + len(counts)
+        assert blocks.count() <= most + len(counts)
         spread = blocks.groupBy("p").agg((F.max("weight") - F.min("weight")).alias("d"))
         assert spread.agg(F.max("d")).first()[0] <= 1
 
 
-def test_few_cases_are_single_rows(profiles, parted):
+def test_cases_are_single_rows_unless_blocks_are_asked_for(profiles, parted):
     total = parted.count()
-    rows = weighted_blocks(profiles, total)
+    rows = weighted_blocks(profiles)
     assert rows.count() == total and rows.where("weight <> 1").count() == 0
     together = [*BASE_FEATURES, "label", "fold"]
     assert rows.select(together).exceptAll(parted.select(together)).count() == 0
@@ -73,12 +74,42 @@ def test_fits_repeat_on_any_layout(profiles, parted):
         assert described[0] == described[1]
 
 
-def test_partitions_follow_the_rows():
-    assert fit_partitions("lr", 56_507, 8) == 1
-    assert fit_partitions("rf", 56_507, 8) == 8
-    assert fit_partitions("rf", 56_507, 1000) == 12
-    assert fit_partitions("rf", 100_000_000, 2) == 500
-    assert fit_partitions("svm", 0, 8) == 1
+def test_partitions_follow_the_rows_alone():
+    assert fit_partitions("lr", 56_507) == 8 and fit_partitions("lr", 672) == 1
+    assert fit_partitions("rf", 56_507) == 12
+    assert fit_partitions("rf", 100_000_000) == 500
+    assert fit_partitions("svm", 0) == 1
+
+
+FOREST = """
+import sys
+sys.path.insert(0, {repo!r})
+from casecast.queries import derived, icu_rows
+from casecast.models.estimators import estimator, frequency_deviations
+from casecast.session import checkpoint_dir, local_session
+spark = local_session("cores", {cores}, "2g")
+spark.sparkContext.setLogLevel("OFF")
+checkpoint_dir(spark)
+rows = icu_rows("rf", derived(spark, {sf_dir!r}))
+model = estimator("rf", "weight", numTrees=5, seed=1).fit(rows)
+print("MODEL", rows.rdd.getNumPartitions(), model.toDebugString.split("\\n", 1)[1].replace("\\n", "|"))
+"""
+
+
+def test_forests_do_not_depend_on_the_cores(sf_dir):
+    import os
+    import subprocess
+    import sys
+
+    larger = sf_dir.replace("sf0.001", "sf0.01")
+    larger = larger if os.path.isdir(larger) else sf_dir
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    found = []
+    for cores in (2, 8):
+        code = FOREST.format(repo=repo, cores=cores, sf_dir=larger)
+        done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=repo)
+        found.append(next(line for line in done.stdout.splitlines() if line.startswith("MODEL")))
+    assert found[0] == found[1]
 
 
 def test_one_shuffle_with_partial_counts(parted):
@@ -86,11 +117,63 @@ def test_one_shuffle_with_partial_counts(parted):
     assert plan.count("Exchange hashpartitioning") == 1 and "partial_count" in plan
 
 
-def test_linear_fit_on_blocks_is_close_to_the_fit_on_cases(profiles, parted):
-    """Blocks enter a linear fit through the spread it scales by, which is off by no more than the share of a block."""
-    total = parted.count()
-    on_cases = estimator("lr", regParam=0.01).fit(assembled(in_stable_order(parted.select(*BASE_FEATURES, "label"), 1)))
-    blocks = weighted_blocks(profiles, total, total // 2)
-    on_blocks = estimator("lr", "weight", regParam=0.01).fit(assembled(in_stable_order(blocks, 1)))
-    assert list(on_blocks.coefficients) == pytest.approx(list(on_cases.coefficients), rel=0.01, abs=1e-3)
-    assert on_blocks.intercept == pytest.approx(on_cases.intercept, rel=0.01)
+LINEAR = [
+    ("lr", {"regParam": 0.1, "elasticNetParam": 0.15, "tol": 1e-10, "maxIter": 500}),
+    ("lr", {"regParam": 0.001, "tol": 1e-10, "maxIter": 500}),
+    ("lr", {"regParam": 0.0, "tol": 1e-10, "maxIter": 500}),
+    ("svm", {"regParam": 0.1, "maxIter": 200}),
+]
+
+
+@pytest.mark.parametrize("name, params", LINEAR)
+def test_linear_fits_on_counts_are_those_on_cases(spark, sf_dir, name, params):
+    import os
+
+    larger = sf_dir.replace("sf0.001", "sf0.1")
+    larger = larger if os.path.isdir(larger) else sf_dir
+    cases = complete_rows(derive(confirmed_cases(cases_from_orders(spark, larger))))
+    profiles = count_profiles(cases, [*BASE_FEATURES, "label"]).persist()
+    counted = assembled(profiles.withColumn("weight", F.col("n").cast("double")).coalesce(2))
+    rows = assembled(cases.select(*BASE_FEATURES, "label").repartition(4))
+    a, b = estimator(name, "weight", **params).fit(counted), estimator(name, **params).fit(rows)
+    if name == "lr":
+        assert list(a.coefficients) == pytest.approx(list(b.coefficients), rel=1e-4, abs=1e-6)
+        assert a.intercept == pytest.approx(b.intercept, rel=1e-4)
+    else:  # its loss has corners, where the solver's path ends by the order of summation: the losses must agree
+        spread = frequency_deviations(counted, "features", "weight")
+
+        def objective(model):
+            raw = vector_to_array("rawPrediction")[1]
+            loss = F.avg(F.greatest(F.lit(0.0), 1 - (2 * F.col("label") - 1) * raw))
+            (mean,) = model.transform(rows).agg(loss).first()
+            return mean + params["regParam"] / 2 * sum((c * d) ** 2 for c, d in zip(model.coefficients, spread))
+
+        assert objective(a) == pytest.approx(objective(b), rel=0.01)
+    for table in (profiles, counted, rows):
+        table.unpersist()
+
+
+def test_constant_features_and_saved_scaled_models(spark, tmp_path):
+    table = small_table(spark, [(0.0, 5.0, 0.0, 30.0), (1.0, 5.0, 1.0, 20.0), (1.0, 5.0, 0.0, 7.0)], "a double, b double, label double, weight double")
+    from pyspark.ml.feature import VectorAssembler
+
+    from casecast.sinks.model_store import load_model, save_model
+
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(table)
+    for name in ("lr", "svm"):
+        model = estimator(name, "weight", regParam=0.01, maxIter=30).fit(rows)
+        assert model.coefficients[1] == 0 and model.coefficients[0] > 0 and model.getRegParam() == 0.01
+        save_model(model, str(tmp_path / name))
+        again = load_model(name, str(tmp_path / name))
+        assert list(again.coefficients) == list(model.coefficients) and again.getMaxIter() == 30
+
+
+def test_large_values_keep_their_spread(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    table = small_table(spark, [(1e9 + i % 3, float(i)) for i in range(1, 50)], "x double, weight double")
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(table)
+    import statistics
+
+    expected = statistics.stdev([i % 3 for i in range(1, 50) for _ in range(i)])
+    assert frequency_deviations(rows, "features", "weight")[0] == pytest.approx(expected, rel=1e-9)

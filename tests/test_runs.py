@@ -9,10 +9,13 @@ from casecast.plans.reports import leaderboard
 from casecast.plans.scoring import score_cases, write_scores
 from casecast.plans.training import TrainingSettings, train
 from casecast.plans.training import case_profiles as original
+from casecast.plans.training import count_profiles as original_count
+from casecast.plans.training import train_model as original_fit
 from casecast.sinks.model_store import load_model, load_preparation, save_model, tuned_params
 from casecast.sinks.paths import RunPaths, new_run_id
 from casecast.sinks.report import report_lines, write_report
 from casecast.sinks.tables import read_table
+from casecast.session import small_table
 from casecast.sources import cases_from_orders
 
 MODELS = ["rf", "lr", "svm", "gbt"]
@@ -54,7 +57,7 @@ def test_report_is_one_file_in_order(run):
     paths, _ = run
     (part,) = glob.glob(f"{paths.report('rf')}/part-*")
     lines = open(part).read().splitlines()
-    assert lines[0] == "Training results for model RandomForestClassificationModel"
+    assert lines[0] == "How RandomForestClassificationModel did on held-out cases"
     assert lines.index("Test set") == 1 and lines.index("Validation set") == 1 + (len(lines) - 1) // 2
     assert [line.split(" ")[1] for line in lines[2:] if line.startswith("Test:")] == [
         "Confusion", "actual", "actual", "F1-Score", "Accuracy", "Weighted", "Weighted", "Weighted", "Weighted",
@@ -134,14 +137,73 @@ def test_published_settings_need_no_key(spark, cases, tmp_path):
     assert sorted(row.age for row in prepared) == [43.0, 59.0]
 
 
-def test_small_blocks_train_too(spark, cases, tmp_path):
-    """The path of large data: far more cases than blocks."""
+def test_forests_of_blocks_where_asked_for(spark, cases, tmp_path):
     paths = RunPaths(str(tmp_path), "r3")
-    best = train(spark, cases, paths, TrainingSettings(models=["rf", "svm"], grids=SMOKE, min_blocks=50))
+    best = train(spark, cases, paths, TrainingSettings(models=["rf", "svm"], grids=SMOKE, forest_blocks=50))
     assert set(best) == {"rf", "svm"}
     assert sum(row.n for row in read_table(spark, paths, "confusion").collect()) == 2 * (162 + 69)
 
 
+def test_settings_are_checked_before_anything_is_read(spark, cases, tmp_path):
+    wrong = [
+        {"models": ["lr", "tree"]},
+        {"models": []},
+        {"age_rule": "guessed"},
+        {"split": "alphabetical"},
+        {"means_from": "test"},
+        {"features": "all"},
+        {"unknown_mean": "zero"},
+        {"grids": {"lr": SMOKE["lr"]}},
+        {"params": {"gbt": {"minInstancesPerNode": 5}}},
+        {"params": {"gbt": {"subsamplingRate": 0.5}}},
+        {"forest_blocks": 0},
+    ]
+    for settings in wrong:
+        with pytest.raises(ValueError):
+            train(spark, cases, RunPaths(str(tmp_path), "w"), TrainingSettings(**{"grids": SMOKE} | settings))
+    assert not (tmp_path / "training").exists()
+
+
+def test_a_model_that_cannot_be_saved_is_not_published(spark, cases, tmp_path, monkeypatch):
+    from casecast.plans import training
+
+    def full(model, path, **settings):
+        if "/lr/" in path:
+            raise OSError("disk full")
+        return save_model(model, path, **settings)
+
+    paths = RunPaths(str(tmp_path), "r6")
+    settings = {"models": ["lr", "svm"], "grids": SMOKE}
+    with monkeypatch.context() as patched:
+        patched.setattr(training, "save_model", full)
+        with pytest.raises(OSError, match="disk full"):
+            train(spark, cases, paths, TrainingSettings(**settings))
+    board = leaderboard(read_table(spark, paths, "metrics"))
+    assert "lr" not in {row.model for row in board.collect()}
+    counted = []
+    monkeypatch.setattr(training, "count_profiles", lambda *args: counted.append(args[0]) or original_count(*args))
+    fits = []
+    monkeypatch.setattr(training, "train_model", lambda *args: fits.append(args[3]) or original_fit(*args))
+    best = train(spark, cases, paths, TrainingSettings(**settings, resume=True))
+    assert set(best) == {"lr", "svm"} and "svm" not in fits
+    assert {row.model for row in leaderboard(read_table(spark, paths, "metrics")).collect()} == {"lr", "svm"}
+
+
+def test_the_whole_leaderboard_is_printed(spark, run, tmp_path, capsys):
+    paths, _ = run
+    rows = [(f"run{i:02}", "base", "lr", "test", metric, i / 100) for i in range(30) for metric in METRICS]
+    columns = "run_id string, features string, model string, dataset string, metric string, value double"
+    table = small_table(spark, rows, columns)
+    table.write.partitionBy("run_id", "features", "model").parquet(f"{tmp_path}/tables/metrics")
+    main(["leaderboard", "--base", str(tmp_path)])
+    lines = [line for line in capsys.readouterr().out.splitlines() if line.startswith("run")]
+    assert len(lines) == 31 and lines[1].startswith("run29") and lines[30].startswith("run00")
+    main(["leaderboard", "--base", str(tmp_path), "--top", "3"])
+    assert sum(line.startswith("run") for line in capsys.readouterr().out.splitlines()) == 4
+    main(["leaderboard", "--base", str(tmp_path), "--out", str(tmp_path / "board")])
+    assert spark.read.parquet(str(tmp_path / "board")).count() == 30
+
+
 def test_no_training_rows(spark, cases, tmp_path):
     nobody = cases.withColumn("fecha_internacion", F.lit(None).cast("date"))
     with pytest.raises(ValueError, match="training part"):

@@ -27,8 +27,9 @@ def session_on(master, **settings):
 
 
 def test_a_cluster_must_name_its_shared_folder():
-    with pytest.raises(RuntimeError, match=CHECKPOINT_SETTING):
-        checkpoint_dir(session_on("yarn"))
+    for master in ("yarn", "local-cluster[3,2,1024]"):
+        with pytest.raises(RuntimeError, match=CHECKPOINT_SETTING):
+            checkpoint_dir(session_on(master))
 
 
 def test_the_named_folder_is_used_as_it_is():

@@ -56,6 +56,18 @@ def test_dirty_lines(spark, tmp_path):
         read_cases_csv(spark, path, mode="FAILFAST").collect()
 
 
+def test_files_with_other_headers_are_read_by_name_with_a_corrupt_column(spark, tmp_path):
+    write(tmp_path, "a.csv", HEADER, LINE, LINE.replace("31", "many"))
+    write(tmp_path, "b.csv", HEADER.replace("sexo,edad", "edad,sexo"), LINE.replace("F,31", "32,M"))
+    (tmp_path / "empty.csv").write_text("")
+    rows = read_cases_csv(spark, str(tmp_path), corrupt_column="bad").collect()
+    found = {(row.sexo, row.edad, row.cuidado_intensivo, row.bad is None) for row in rows}
+    assert found == {("F", 31, "NO", True), ("F", None, "NO", False), ("M", 32, "NO", True)} and len(rows) == 3
+    write(tmp_path, "c.csv", "sexo,edad", "F,31")
+    with pytest.raises(ValueError, match="c.csv lacks"):
+        read_cases_csv(spark, str(tmp_path), corrupt_column="bad")
+
+
 def test_parquet_staging(spark, edge_cases, tmp_path):
     path = str(tmp_path / "cases.parquet")
     edge_cases.write.parquet(path)

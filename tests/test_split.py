@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from casecast.operators.split import random_parts, with_split
+from casecast.operators.split import with_split
 
 
 @pytest.fixture(scope="module")
@@ -43,16 +43,19 @@ def test_random_split_needs_no_key(cases):
 
 
 def test_random_parts_are_disjoint_and_cover(cases):
-    parts = random_parts(cases)
-    assert list(parts) == ["train", "test", "validation"]
-    ids = [row.case_id for part in parts.values() for row in part.collect()]
-    assert sorted(ids) == list(range(3000))
+    drawn = with_split(cases, "random").collect()
+    assert sorted(row.case_id for row in drawn) == list(range(3000))
+    shares = {part: sum(row.split == part for row in drawn) / 3000 for part in ("train", "test", "validation")}
+    assert abs(shares["train"] - 0.7) < 0.04 and abs(shares["test"] - 0.2) < 0.03 and abs(shares["validation"] - 0.1) < 0.03
 
 
 def test_hash_split_is_narrow(cases):
     assert "Exchange" not in with_split(cases)._jdf.queryExecution().executedPlan().toString()
 
 
-def test_null_keys_have_a_place(spark):
-    rows = with_split(spark.sql("SELECT CAST(NULL AS BIGINT) AS case_id")).collect()
-    assert rows[0].split is not None and rows[0].fold in (0, 1, 2)
+def test_rows_without_a_key_are_spread(spark):
+    rows = spark.range(3000).select(F.lit(None).cast("bigint").alias("case_id"), F.col("id").alias("x"))
+    first = {row.x: (row.split, row.fold) for row in with_split(rows).collect()}
+    assert first == {row.x: (row.split, row.fold) for row in with_split(rows.repartition(5)).collect()}
+    train = sum(split == "train" for split, _ in first.values())
+    assert abs(train - 2100) < 100 and len(set(first.values())) == 9
