@@ -8,19 +8,30 @@ import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casecast.llm.common import DOC_ID, TEXT, row_key, text_or_empty
 
 #: Bytes of text whose suffixes make one sorted run, and bytes of text for each part of the key space.
-RUN_BYTES, BUCKET_BYTES = 8 << 20, 8 << 20
-#: Bits of the filter that is broadcast: 2^28 bits are 32 MB, whatever the input. Parts that it is merged in.
-FILTER_BITS, SLICES, SALTS = 28, 16, 32
+RUN_BYTES, BUCKET_BYTES = 16 << 20, 16 << 20
+#: Bytes of text that are searched for anchors at once; longer texts are cut into overlapping parts.
+PART_BYTES = 1 << 20
+#: Bits of the filter that is broadcast: 2^29 bits are 64 MB, whatever the input. Parts that it is merged in.
+FILTER_BITS, SLICES, SALTS = 29, 16, 32
 #: Runs of one task are numbered from its partition number times this.
 TASK_RUNS = 1 << 24
 NO_ID = np.iinfo(np.int64).max
 
 LOCAL = "bucket int, run bigint, kind int, blob binary"
 SUFFIXES, PIECES, COVERED = 0, 1, 2
+CUT = (
+    T.StructType()
+    .add("kept", T.BinaryType())
+    .add("n_bytes", T.LongType())
+    .add("n_removed", T.LongType())
+    .add("n_spans", T.LongType())
+    .add("spans", T.ArrayType(T.LongType()))
+)
 
 
 def _packed(*arrays):
@@ -90,8 +101,8 @@ def anchors(data, ends, shape):
     return first, last, at, hashes[at]
 
 
-def _runs(batches, shape):
-    """Pieces of about RUN_BYTES: the bytes, where each text (or part of a very long one) ends, and whose it is."""
+def _parts(batches, shape):
+    """Pieces of about PART_BYTES: the bytes, where each text (or part of a very long one) ends, and whose it is."""
     held, owners, size = [], [], 0
 
     def flush():
@@ -104,35 +115,55 @@ def _runs(batches, shape):
         for i, text in enumerate(batch.column(2)):
             text = text.as_py()
             # Parts of one text overlap by all but one byte of a string, so that each string lies in one of them.
-            for at in range(0, max(1, len(text) - shape.width + 1), RUN_BYTES):
-                part = text[at : at + RUN_BYTES + shape.width - 1]
+            for at in range(0, max(1, len(text) - shape.width + 1), PART_BYTES):
+                part = text[at : at + PART_BYTES + shape.width - 1]
                 if len(part) < shape.width:
                     continue
                 held.append(part)
                 owners.append((ids[i], hashes[i], at))
                 size += len(part)
-                if size >= RUN_BYTES:
+                if size >= PART_BYTES:
                     yield flush()
                     held, owners, size = [], [], 0
     if held:
         yield flush()
 
 
+def _mark(bits, slots):
+    """Set bits of a packed map; `slots` ascend."""
+    at = slots >> 3
+    new = np.flatnonzero(np.diff(at, prepend=-1))
+    masks = np.left_shift(np.uint8(1), (slots & 7).astype(np.uint8))
+    if len(slots):
+        bits[at[new]] |= np.bitwise_or.reduceat(masks, new)
+
+
+def _marked(bits, slots):
+    return (bits[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
+
+
+def _slots(grams):
+    """Two places in the filter for each gram."""
+    return [((grams << np.uint64(shift)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64) for shift in (0, 32)]
+
+
 def _seen_grams(shape):
     """Per task two bit maps over gram hashes, seen and seen twice, in slices."""
 
     def run(batches):
-        seen, twice = np.zeros(1 << FILTER_BITS, bool), np.zeros(1 << FILTER_BITS, bool)
-        for data, ends, _ in _runs(batches, shape):
-            slots = (anchors(data, ends, shape)[3] >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-            slots, counts = np.unique(slots, return_counts=True)
-            twice[slots[(counts > 1) | seen[slots]]] = True
-            seen[slots] = True
+        size = (1 << FILTER_BITS) // 8
+        seen, twice = np.zeros(size, np.uint8), np.zeros(size, np.uint8)
+        for data, ends, _ in _parts(batches, shape):
+            grams = anchors(data, ends, shape)[3]
+            if len(grams):
+                slots, counts = np.unique(np.concatenate(_slots(grams)), return_counts=True)
+                _mark(twice, slots[(counts > 1) | _marked(seen, slots)])
+                _mark(seen, slots)
         if not seen.any():
             return
-        step, salt = (1 << FILTER_BITS) // SLICES, TaskContext.get().partitionId() % SALTS
+        step, salt = size // SLICES, TaskContext.get().partitionId() % SALTS
         for i in range(SLICES):
-            blob = _packed(*(np.packbits(m[i * step : (i + 1) * step]) for m in (seen, twice)))
+            blob = _packed(seen[i * step : (i + 1) * step], twice[i * step : (i + 1) * step])
             yield pa.RecordBatch.from_pydict(
                 {"slice": pa.array([i], pa.int32()), "salt": pa.array([salt], pa.int32()), "blob": pa.array([blob], pa.binary())}
             )
@@ -194,6 +225,33 @@ def decoded(prefixes, rest, width):
     return rows
 
 
+def _suffixes(batches, shape, bits):
+    """Runs of about RUN_BYTES of text: the suffixes that may repeat, as rows, with their piece, start and gram hash,
+    and whose the pieces are."""
+    found, owners, pieces, size = [], [], 0, 0
+
+    def flush():
+        parts = [np.concatenate(x) for x in zip(*found)]
+        return *parts, *[np.concatenate(x) for x in zip(*owners)]
+
+    for data, ends, whose in _parts(batches, shape):
+        first, last, at, grams = anchors(data, ends, shape)
+        if bits is not None:
+            often = np.logical_and(*(_marked(bits, slots) for slots in _slots(grams)))
+            first, last, at, grams = first[often], last[often], at[often], grams[often]
+        piece = np.searchsorted(ends, first, side="right")
+        begin = np.concatenate([[0], ends])[piece]
+        found.append((_suffix_rows(data, first, last, at, shape), piece + pieces, first - begin, grams))
+        owners.append(whose)
+        pieces += len(ends)
+        size += len(data)
+        if size >= RUN_BYTES:
+            yield flush()
+            found, owners, pieces, size = [], [], 0, 0
+    if found:
+        yield flush()
+
+
 def _local_runs(shape, filter_map, buckets):
     """Per run of text: sorted front-coded suffixes per bucket, the pieces of text they are from, and what of it an
     earlier document in the same run covers already."""
@@ -201,48 +259,51 @@ def _local_runs(shape, filter_map, buckets):
     def run(batches):
         bits = np.frombuffer(filter_map.value, np.uint8) if filter_map is not None else None
         number = TaskContext.get().partitionId() * TASK_RUNS
-        for data, ends, (ids, hashes, offsets) in _runs(batches, shape):
+        for rows, piece, start, grams, ids, hashes, offsets in _suffixes(batches, shape, bits):
             number += 1
-            first, last, at, grams = anchors(data, ends, shape)
-            if bits is not None:
-                slots = (grams >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-                often = (bits[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1 == 1
-                first, last, at, grams = first[often], last[often], at[often], grams[often]
-            if not len(at):
+            if not len(rows):
                 continue
-            piece = np.searchsorted(ends, first, side="right")
-            begin = np.concatenate([[0], ends])[piece]
-            rows = _suffix_rows(data, first, last, at, shape)
             order = np.argsort(rows.view(f"S{shape.row}").ravel(), kind="stable")
-            rows, piece, start, grams = rows[order], piece[order], (first - begin)[order], grams[order]
+            rows, piece, start, grams = rows[order], piece[order], start[order], grams[order]
             group = np.cumsum(common_prefixes(rows) < shape.row) - 1
-            group -= group[0]
             least = np.full(group[-1] + 1, NO_ID)
             np.minimum.at(least, group, ids[piece])
             later = ids[piece] > least[group]
             lengths = rows[:, -2].astype(np.uint32) + rows[:, -1]
+            covered = piece[later].astype(np.uint32), start[later].astype(np.uint32), lengths[later]
             out = [
-                (0, number, PIECES, _packed(ids, hashes, offsets)),
-                (0, number, COVERED, _packed(piece[later].astype(np.uint32), start[later].astype(np.uint32), lengths[later])),
+                (number % buckets, number, PIECES, _packed(ids, hashes, offsets)),
+                (number % buckets, number, COVERED, _packed(*covered)),
             ]
-            out[0] = (number % buckets, *out[0][1:])
-            out[1] = (number % buckets, *out[1][1:])
             rows, piece, start, grams = rows[~later], piece[~later], start[~later], grams[~later]
+            # One sorted run, dealt out by bucket; rows of a bucket stay in order.
             bucket = (grams % np.uint64(buckets)).astype(np.int64)
-            for b in np.unique(bucket):
-                own = np.flatnonzero(bucket == b)
+            dealt = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[dealt], np.arange(buckets + 1))
+            for b in range(buckets):
+                own = dealt[cuts[b] : cuts[b + 1]]
+                if not len(own):
+                    continue
                 used, place = np.unique(piece[own], return_inverse=True)
                 coded = front_coded(rows[own])
-                blob = _packed(*coded, used.astype(np.uint32), ids[used], place.astype(np.uint32), start[own].astype(np.uint32))
-                out.append((int(b), number, SUFFIXES, blob))
-            kinds = [pa.int32(), pa.int64(), pa.int32(), pa.binary()]
-            for i in range(0, len(out), 16):
-                columns = [pa.array(c, k) for c, k in zip(zip(*out[i : i + 16]), kinds)]
-                yield pa.RecordBatch.from_arrays(columns, ["bucket", "run", "kind", "blob"])
+                kind = np.uint16 if len(used) < 1 << 16 else np.uint32
+                blob = _packed(*coded, used.astype(np.uint32), ids[used], place.astype(kind), start[own].astype(np.uint32))
+                out.append((b, number, SUFFIXES, blob))
+                if len(out) >= 16:
+                    yield _local_batch(out)
+                    out = []
+            if out:
+                yield _local_batch(out)
 
     return run
 
 
+def _local_batch(rows):
+    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.binary()]
+    columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+    return pa.RecordBatch.from_arrays(columns, ["bucket", "run", "kind", "blob"])
+
+
 def merge(runs, width):
     """Merge sorted runs of equally long byte strings: the run of each output and its common prefix with the one before.
 
@@ -422,7 +483,7 @@ def _spans(group: pd.DataFrame) -> pd.DataFrame:
     return found
 
 
-@F.pandas_udf("kept binary, n_bytes bigint, n_removed bigint, n_spans bigint, spans array<bigint>")
+@F.pandas_udf(CUT)
 def _cut(texts: pd.Series, covered: pd.Series) -> pd.DataFrame:
     rows = []
     for text, blobs in zip(texts, covered):
@@ -467,7 +528,7 @@ def remove_repeats(docs, width=50, id_col=DOC_ID, text_col=TEXT):
 
     Two things keep the exchange small. A suffix that an earlier document repeats within the run is settled there, so
     a passage that a third of all documents share sends one suffix per run. And a first pass marks in a filter of
-    fixed size (32 MB, broadcast) which gram hashes occur twice; suffixes of other grams cannot repeat and stay home.
+    fixed size (64 MB, broadcast) which gram hashes occur twice; suffixes of other grams cannot repeat and stay home.
     A filter that fills up lets more through, but never changes the result.
 
     Defined cases: null and empty texts have no bytes. A null id counts as larger than any other. Rows that share an
