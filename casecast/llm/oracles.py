@@ -91,30 +91,30 @@ SELECT s.doc_id, s.size, t.source_size, t.target,
 FROM sized s JOIN thresholds t ON s.source IS NOT DISTINCT FROM t.source
 """,
     "op10_suffix_array_dedup": """
-WITH whole AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents),
+WITH whole AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
 starts AS (
-  SELECT doc_id, digits, unnest(range(CAST(length(digits) / 2 AS BIGINT) - 49)) AS place FROM whole WHERE length(digits) >= 100
-), strings AS (
-  SELECT doc_id, place, substr(digits, CAST(2 * place + 1 AS BIGINT), 100) AS string FROM starts
-), earliest AS (
+  SELECT doc_id, b, unnest(range(octet_length(b) - 49)) AS place FROM whole WHERE octet_length(b) >= 50
+), strings AS (SELECT doc_id, place, array_slice(b, place + 1, place + 50) AS string FROM starts),
+earliest AS (
   SELECT string, min(doc_id) AS first_id FROM strings GROUP BY string HAVING min(doc_id) < max(doc_id)
 ), covered AS (
-  SELECT s.doc_id, s.place AS a, s.place + 50 AS b FROM strings s JOIN earliest e ON s.string = e.string AND e.first_id < s.doc_id
+  SELECT s.doc_id, s.place AS a, s.place + 50 AS z
+  FROM strings s JOIN earliest e ON s.string = e.string AND e.first_id < s.doc_id
 ), marked AS (
-  SELECT *, coalesce(a > max(b) OVER (PARTITION BY doc_id ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+  SELECT *, coalesce(a > max(z) OVER (PARTITION BY doc_id ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
     true) AS new FROM covered
 ), numbered AS (SELECT *, sum(CASE WHEN new THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY a) AS span FROM marked),
-spans AS (SELECT doc_id, span, min(a) AS a, max(b) AS b FROM numbered GROUP BY doc_id, span),
-gaps AS (
-  SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM spans
-), pieces AS (
-  SELECT g.doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
-    string_agg(substr(w.digits, CAST(2 * before + 1 AS BIGINT), CAST(2 * (a - before) AS BIGINT)), '' ORDER BY a) AS head
+spans AS (SELECT doc_id, span, min(a) AS a, max(z) AS z FROM numbered GROUP BY doc_id, span),
+gaps AS (SELECT doc_id, a, z, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM spans),
+pieces AS (
+  SELECT g.doc_id, count(*) AS n_spans, sum(z - a) AS n_removed, max(z) AS last,
+    string_agg(CASE WHEN a > before THEN hex(array_slice(b, before + 1, a)) ELSE '' END, '' ORDER BY a) AS head
   FROM gaps g JOIN whole w ON g.doc_id = w.doc_id GROUP BY g.doc_id
 )
-SELECT w.doc_id, CAST(length(digits) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+SELECT w.doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
   CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
-  sha256(unhex(coalesce(head || substr(digits, CAST(2 * last + 1 AS BIGINT)), digits))) AS kept_sha256
+  sha256(unhex(CASE WHEN n_spans IS NULL THEN hex(b) WHEN last = octet_length(b) THEN head
+    ELSE head || hex(array_slice(b, last + 1, octet_length(b))) END)) AS kept_sha256
 FROM whole w LEFT JOIN pieces p ON w.doc_id = p.doc_id
 """,
 }
