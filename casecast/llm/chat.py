@@ -81,35 +81,26 @@ def linear_replies(messages, conv="conv_id", turn="turn", role="role", text="tex
 
 
 def _jumps(nodes):
-    """Tables of 1, 2, 4, ... steps up: `up` is the ancestor, `steps` the distance, `total` the scores on the way.
+    """Tables of 1, 2, 4, ... steps up (`up` is the ancestor of those nodes that have one so far up), and the sum of
+    scores from every node to its root.
 
-    Each comes from a join of the one before with itself, so a chain of n messages takes log2(n) joins. The list
-    ends with the table in which no node has an ancestor so far up.
+    Each round joins what still has an ancestor with the sums so far, so a chain of n messages takes log2(n) joins,
+    and a node takes part in as many as its depth needs.
     """
-    known = nodes.select("conv_id", "node", "parent", "score")
-    parents = nodes.select(F.col("conv_id").alias("_c"), F.col("node").alias("_n"))
-    same = F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("parent") == F.col("_n"))
-    links = known.join(parents, same, "left").select(
-        "conv_id", "node", F.col("_n").alias("up"), F.col("score").alias("total")
-    )
-    tables = [staged(links, "reply-links")]
-    most, span = None, 1
+    parents = nodes.select("conv_id", F.col("node").alias("parent"), F.col("node").alias("up"))
+    links = nodes.select("conv_id", "node", "parent", "score").join(parents, ["conv_id", "parent"], "left")
+    sums = staged(links.select("conv_id", "node", "up", F.col("score").alias("total")), "reply-links")
+    most, span, steps = sums.count(), 1, []
     while True:
-        last = tables[-1]
-        if last.where("up IS NOT NULL").isEmpty():
-            return tables
-        if most is None:
-            most = last.count()
-        if span > most:  # farther up than there are messages: the rest runs in circles
-            return tables
-        above = last.select(
-            F.col("conv_id").alias("_c"), F.col("node").alias("_n"), F.col("up").alias("_up"), F.col("total").alias("_t")
-        )
-        same = F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("up") == F.col("_n"))
-        doubled = last.join(above, same, "left").select(
-            "conv_id", "node", F.col("_up").alias("up"), (F.col("total") + F.coalesce("_t", F.lit(0.0))).alias("total")
+        open_ = sums.where("up IS NOT NULL")
+        if open_.isEmpty() or span > most:  # farther up than there are messages: the rest runs in circles
+            return steps, sums.where("up IS NULL").select("conv_id", "node", "total")
+        steps.append(open_.select("conv_id", "node", "up"))
+        above = sums.select("conv_id", F.col("node").alias("up"), F.col("up").alias("_up"), F.col("total").alias("_total"))
+        doubled = open_.join(above, ["conv_id", "up"]).select(
+            "conv_id", "node", F.col("_up").alias("up"), (F.col("total") + F.col("_total")).alias("total")
         )
-        tables.append(staged(doubled, "reply-links"))
+        sums = staged(sums.where("up IS NULL").unionByName(doubled), "reply-links")
         span *= 2
 
 
@@ -138,17 +129,15 @@ def format_reply_trees(messages, best=1):
     nodes = messages.where("conv_id IS NOT NULL AND node IS NOT NULL").select("conv_id", "node", fields.alias("message"))
     nodes = staged(nodes.groupBy("conv_id", "node").agg(F.min("message").alias("message")), "replies")
     nodes = nodes.select("conv_id", "node", "message.*")
-    jumps = _jumps(nodes)
-    answered = jumps[0].where("up IS NOT NULL").select("conv_id", F.col("up").alias("node"))
-    rooted = jumps[-1].where("up IS NULL").select("conv_id", "node", "total")
+    jumps, rooted = _jumps(nodes)
+    answered = nodes.where("parent IS NOT NULL").select("conv_id", F.col("parent").alias("node"))
     leaves = rooted.join(answered, ["conv_id", "node"], "left_anti")
     ranking = Window.partitionBy("conv_id").orderBy(F.col("total").desc(), "node")
     chosen = leaves.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= best)
     chosen = staged(chosen.select("conv_id", "rank", F.col("node").alias("leaf"), F.col("total").alias("score")), "reply-leaves")
     paths = chosen.select("conv_id", "rank", F.col("leaf").alias("node"), F.lit(0).cast("bigint").alias("height"))
-    for k in range(len(jumps) - 2, -1, -1):
-        links = jumps[k].where("up IS NOT NULL").select("conv_id", "node", "up")
-        above = paths.join(links, ["conv_id", "node"]).select(
+    for k in reversed(range(len(jumps))):
+        above = paths.join(jumps[k], ["conv_id", "node"]).select(
             "conv_id", "rank", F.col("up").alias("node"), (F.col("height") + (1 << k)).alias("height")
         )
         paths = staged(paths.unionByName(above), "reply-paths")
