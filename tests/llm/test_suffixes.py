@@ -8,6 +8,11 @@ from casecast.llm import suffixes
 from casecast.llm.suffixes import Shape, anchors, common_prefixes, decoded, front_coded, merge, remove_repeats
 
 
+@pytest.fixture(autouse=True)
+def small_filter(monkeypatch):
+    monkeypatch.setattr(suffixes, "FILTER_BITS", 20)
+
+
 def plain(rows, width):
     """Every string of every document, by brute force."""
     earliest, texts = {}, [(r[0], (r[1] or "").encode()) for r in rows]
@@ -57,8 +62,11 @@ def tangled(seed, docs=60):
 
 
 @pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("width", [16, 50])
-def test_tangled_texts(spark, monkeypatch, seed, width):
+@pytest.mark.parametrize("width, crowd", [(16, 5_000), (50, 5_000), (50, 6), (16, 3)])
+def test_tangled_texts(spark, monkeypatch, seed, width, crowd):
+    monkeypatch.setattr(suffixes, "CROWD", crowd)
+    monkeypatch.setattr(suffixes, "CROWD_LOCAL", 1)
+    monkeypatch.setattr(suffixes, "PART_BYTES", 100)
     monkeypatch.setattr(suffixes, "RUN_BYTES", 300)
     monkeypatch.setattr(suffixes, "BUCKET_BYTES", 1000)
     rows = tangled(seed)
@@ -70,11 +78,24 @@ def test_tangled_texts(spark, monkeypatch, seed, width):
 def test_filter_that_lets_everything_through(spark, monkeypatch):
     shape = Shape(50)
     assert shape.gram == 24 and shape.span == 27
-    full = lambda inputs, shape: b"\xff" * ((1 << suffixes.FILTER_BITS) // 8)
+    plain_filter = suffixes.repeated_grams
+    full = lambda *given: (b"\xff" * ((1 << suffixes.FILTER_BITS) // 8), plain_filter(*given)[1])
     monkeypatch.setattr(suffixes, "repeated_grams", full)
     assert found_by(remove_repeats(odd.table(spark))) == plain(odd.odd_rows(), 50)
 
 
+def test_crowded_grams_are_found(spark):
+    passage = odd.prose(7, 30)
+    rows = [(i, f"{odd.prose(100 + i, 12)} {passage} {odd.prose(900 + i, 12)}") for i in range(300)]
+    inputs = odd.table(spark, rows).selectExpr("doc_id AS id", "doc_id AS h", "CAST(text AS BINARY) AS text")
+    import unittest.mock
+
+    with unittest.mock.patch.object(suffixes, "CROWD", 200):
+        _, crowded = suffixes.repeated_grams(inputs, Shape(50))
+    assert 1 <= len(crowded) <= 6  # those at the edges of the passage
+    assert found_by(remove_repeats(odd.table(spark, rows))) == plain(rows, 50)
+
+
 def sorted_rows(seed, n, width):
     draw = np.random.default_rng(seed)
     rows = draw.integers(0, 2, (n, width)).astype(np.uint8)
