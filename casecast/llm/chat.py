@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from casecast.llm.common import in_small_batches
 from casecast.session import staged
 
 # The template's control strings.
@@ -141,7 +142,7 @@ def format_reply_trees(messages, best=1):
             "conv_id", "rank", F.col("up").alias("node"), (F.col("height") + (1 << k)).alias("height")
         )
         paths = staged(paths.unionByName(above), "reply-paths")
-    turns = paths.join(nodes, ["conv_id", "node"]).groupBy("conv_id", "rank").agg(
+    turns = in_small_batches(paths).join(nodes, ["conv_id", "node"]).groupBy("conv_id", "rank").agg(
         F.sort_array(F.collect_list(F.struct((-F.col("height")).alias("at"), "role", "text"))).alias("turns")
     )
     done = turns.select("conv_id", "rank", F.size("turns").cast("bigint").alias("n_turns"), _formatted("turns").alias("done"))

@@ -11,6 +11,20 @@ DOC_ID = "doc_id"
 TEXT = "text"
 
 
+#: Texts reach Python in Arrow batches of 10,000 rows by default, however long they are. With this setting a batch also
+#: ends at so many bytes.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
+
+
+def in_small_batches(df):
+    """`df`, in a session whose Arrow batches are bounded in bytes; a bound that the user set lower stays."""
+    conf = df.sparkSession.conf
+    bound = conf.get(BATCH_SETTING).removesuffix("b")
+    if bound.isdigit() and int(bound) > BATCH_BYTES:
+        conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    return df
+
+
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

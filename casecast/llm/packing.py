@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from casecast.llm.common import DOC_ID, TEXT
+from casecast.llm.common import DOC_ID, TEXT, in_small_batches
 
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, "
@@ -173,4 +173,4 @@ def pack(docs, tokenizer, capacity=1024, end_id=0, id_col=DOC_ID, text_col=TEXT)
     pieces of its own. A null id stays null. Only the two named columns are read; an empty table gives no piece.
     """
     inputs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return inputs.mapInArrow(_pack(tokenizer, capacity, end_id), PIECES)
+    return in_small_batches(inputs).mapInArrow(_pack(tokenizer, capacity, end_id), PIECES)

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casecast.llm.common import DOC_ID, TEXT, text_or_empty
+from casecast.llm.common import DOC_ID, TEXT, in_small_batches, text_or_empty
 from casecast.session import staged
 
 FOLDS = 4
@@ -232,7 +232,8 @@ def fit_quality(statistics_of_docs, labels, features=256, width=4.0, seed=11, la
 
 def statistics_table(docs, id_col=DOC_ID, text_col=TEXT):
     """`doc_id` and `statistics` of every row, staged. A null text is an empty one."""
-    found = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_statistics(text_or_empty(text_col)).alias("statistics"))
+    statistics_col = text_statistics(text_or_empty(text_col)).alias("statistics")
+    found = in_small_batches(docs).select(F.col(id_col).cast("bigint").alias("doc_id"), statistics_col)
     return staged(found, "quality-statistics")
 
 

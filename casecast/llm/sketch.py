@@ -7,7 +7,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from casecast.llm.common import broadcast_if_few
+from casecast.llm.common import broadcast_if_few, in_small_batches
 from casecast.session import staged
 
 SEED = 7
@@ -101,8 +101,9 @@ def merged_by(sketches, key, sketch_col="sketch", k=128):
     place = F.row_number().over(Window.partitionBy(key).orderBy("hash"))
     least = hashes.withColumn("place", place).where(F.col("place") <= k)
     found = least.groupBy(key).agg(F.array_sort(F.collect_list("hash")).alias("sketch"))
-    empty = sketches.select(key).distinct().join(found.select(F.col(key).alias("_key"), "sketch"), F.col(key).eqNullSafe(F.col("_key")), "left")
-    return empty.select(key, F.coalesce("sketch", F.array().cast("array<bigint>")).alias("sketch"))
+    found = found.select(F.col(key).alias("_key"), "sketch")
+    every = sketches.select(key).distinct().join(found, F.col(key).eqNullSafe(F.col("_key")), "left")
+    return every.select(key, F.coalesce("sketch", F.array().cast("array<bigint>")).alias("sketch"))
 
 
 def with_sketches(docs, columns, k=128, shingle=5):
@@ -113,7 +114,7 @@ def with_sketches(docs, columns, k=128, shingle=5):
     columns of `docs` of the same name; the others stay as they are, and an empty table gives an empty result.
     """
     run = sketched(k, shingle)
-    return docs.withColumns({new: run(F.col(f"`{text}`").cast("string")) for text, new in columns.items()})
+    return in_small_batches(docs).withColumns({new: run(F.col(f"`{text}`").cast("string")) for text, new in columns.items()})
 
 
 def with_next(docs, id_col, columns, rows_per_part=2000):
