@@ -22,7 +22,9 @@ def mix_hash(id_col=DOC_ID, seed="mix"):
 
 
 def source_targets(sizes, weights=(5, 2, 1), max_repeats=3):
-    """Per source (`source`, `source_size`) its `target`: the share of all sizes by weight, at most `max_repeats` times its size.
+    """Per source (`source`, `source_size`) its `target`: its share of all sizes by weight, up to a bound.
+
+    The bound is `max_repeats` times the source's size.
 
     Sources are ranked by code point, null last, and take the weights in turn. What goes beyond a source's bound is
     shared out again by weight until none is above. That fixed point is least(bound, weight * level) for one level;
@@ -83,7 +85,8 @@ def _thresholds(sized, targets, max_repeats):
         running = Window.partitionBy("source").orderBy("bucket")
         filled = sums.withColumn("filled", F.sum("sum").over(running))
         over = filled.where(F.col("filled") > F.col("budget"))
-        at = over.groupBy("source").agg(F.min_by(F.struct("bucket", "sum", "filled", "first", "last"), "bucket").alias("at"))
+        found = F.struct("bucket", "sum", "filled", "first", "last")
+        at = over.groupBy("source").agg(F.min_by(found, "bucket").alias("at"))
         met = open_.join(at.withColumnRenamed("source", "name"), F.col("source").eqNullSafe(F.col("name")), "left")
         before = F.col("at.filled") - F.col("at.sum")
         single = F.col("at.first") == F.col("at.last")
@@ -106,7 +109,8 @@ def _thresholds(sized, targets, max_repeats):
         done = closed if done is None else done.unionByName(closed)
         open_ = level.where("NOT closed").select("source", "base", "budget", "low")
     if done is None:
-        done = spark.createDataFrame([], f"source {sized.schema['source'].dataType.simpleString()}, base bigint, threshold bigint")
+        kind = sized.schema["source"].dataType.simpleString()
+        done = spark.createDataFrame([], f"source {kind}, base bigint, threshold bigint")
     return done
 
 
@@ -132,7 +136,8 @@ def mix(
     targets = staged(source_targets(totals, weights, max_repeats), "mix-targets")
     named = _thresholds(sized, targets, max_repeats).withColumnRenamed("source", "name")
     decisions = targets.join(named, F.col("source").eqNullSafe(F.col("name"))).drop("name")
-    decisions = broadcast_if_few(staged(decisions, "mix-decisions").withColumnRenamed("source", "_source"), BROADCAST_SOURCES)
+    decisions = staged(decisions, "mix-decisions").withColumnRenamed("source", "_source")
+    decisions = broadcast_if_few(decisions, BROADCAST_SOURCES)
     rows = docs.select(
         F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
         source.alias("_name"),

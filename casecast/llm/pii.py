@@ -95,7 +95,8 @@ def candidates(docs, id_col=DOC_ID, text_col=TEXT):
     characters of context, are shuffled, never texts.
     """
     text = F.translate(text_or_empty(text_col), MATCH + MATCH_END + SEPARATOR + DOT, OTHER * 4)
-    found = docs.select(row_key(id_col, text_col).alias("key"), text.alias("text")).where("text RLIKE '[0-9@]|at[)\\\\]]| at '")
+    found = docs.select(row_key(id_col, text_col).alias("key"), text.alias("text"))
+    found = found.where(F.col("text").rlike(r"[0-9@]|at[)\]]| at "))
     searches = [
         F.struct(
             F.lit(KINDS.index(kind)).alias("kind"),
@@ -161,7 +162,7 @@ def candidates(docs, id_col=DOC_ID, text_col=TEXT):
 
 
 def _near_strict(found):
-    """Adds `taken`, whether a valid strict match overlaps a candidate, and `same`, whether it is one of that kind and span."""
+    """Adds `taken`, whether a valid strict match overlaps a candidate, and `same`, whether it has that kind and span."""
     in_text = Window.partitionBy("key").orderBy("start", "end")
     sure = F.col("strict") & F.col("valid")
     until = F.max(F.when(sure, F.col("end"))).over(in_text.rowsBetween(Window.unboundedPreceding, -1))

@@ -104,7 +104,8 @@ def top_k(queries, candidates, k=5, id_col="id", vector_col="vector"):
     """
 
     def usable(table):
-        chosen = table.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<bigint>").alias("vector"))
+        vector = F.col(vector_col).cast("array<bigint>").alias("vector")
+        chosen = table.select(F.col(id_col).cast("bigint").alias("id"), vector)
         whole = (F.size("vector") > 0) & ~F.exists("vector", lambda x: x.isNull())
         return chosen.where(F.col("id").isNotNull() & whole).distinct()
 
