@@ -6,7 +6,7 @@ import xxhash
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from casecast.llm.common import DOC_ID, TEXT
+from casecast.llm.common import DOC_ID, TEXT, in_small_batches
 from casecast.llm.components import components
 from casecast.session import staged
 
@@ -52,7 +52,7 @@ def _fingerprints(shingle):
 def fingerprints(docs, shingle=3, id_col=DOC_ID, text_col=TEXT):
     """`doc_id` and `fp`, the fingerprint as a signed bigint, of every row. A null text is an empty one."""
     inputs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return inputs.mapInArrow(_fingerprints(shingle), "doc_id bigint, fp bigint")
+    return in_small_batches(inputs).mapInArrow(_fingerprints(shingle), "doc_id bigint, fp bigint")
 
 
 def hex_digits(fp="fp"):
@@ -133,6 +133,7 @@ def near_duplicates(docs, shingle=3, max_bits=2, id_col=DOC_ID, text_col=TEXT):
     found = met.select("fp", "root").join(roots, "root").select(F.col("fp").alias("_fp"), F.col("least").alias("_root"))
     by_print = named.join(found, F.col("fp") == F.col("_fp"), "left")
     by_print = by_print.select(F.col("fp").alias("_fp"), F.coalesce("_root", "least").alias("component"))
+    by_print = staged(by_print, "simhash-named")  # a join of two tables can split the copies of a hot fingerprint
     component = F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id")
     return prints.join(by_print, F.col("fp") == F.col("_fp"), "left").select("doc_id", "fp", component)
 
