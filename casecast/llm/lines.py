@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from casecast.llm.common import DOC_ID, SPACES, TEXT, ascii_lower, row_key, text_or_empty
+from casecast.session import staged
 
 
 def _lines(text_col):
@@ -38,7 +39,8 @@ def dedup_lines(docs, min_chars=20, min_docs=3, id_col=DOC_ID, text_col=TEXT):
     hashed = rows.select("key", F.col("key.id").alias("id"), _hashes(F.col("lines"), min_chars).alias("hashes"))
     once = hashed.select("id", F.explode(F.array_distinct("hashes")).alias("hash")).where("hash IS NOT NULL")
     counted = once.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper"))
-    shared = counted.where(F.col("n") >= min_docs).select("hash", "keeper")
+    # Staged, so that the join knows its size, and splits the lines of a hot hash if it is too large to broadcast.
+    shared = staged(counted.where(F.col("n") >= min_docs).select("hash", "keeper"), "shared-lines")
     placed = hashed.select("key", "id", F.posexplode("hashes").alias("position", "hash")).where("hash IS NOT NULL")
     dropped = placed.join(shared, "hash").where(~F.col("id").eqNullSafe(F.col("keeper")))
     positions = dropped.groupBy("key").agg(F.collect_set("position").alias("dropped"))
