@@ -1,4 +1,5 @@
 import random
+import unittest.mock
 
 import numpy as np
 import odd
@@ -6,6 +7,7 @@ import pytest
 
 from casecast.llm import suffixes
 from casecast.llm.suffixes import Shape, anchors, common_prefixes, decoded, front_coded, merge, remove_repeats
+from casecast.session import staged
 
 
 @pytest.fixture(autouse=True)
@@ -61,8 +63,8 @@ def tangled(seed, docs=60):
     return rows
 
 
-@pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("width, crowd", [(16, 5_000), (50, 5_000), (50, 6), (16, 3)])
+@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("width, crowd", [(50, 5_000), (50, 6), (16, 3)])
 def test_tangled_texts(spark, monkeypatch, seed, width, crowd):
     monkeypatch.setattr(suffixes, "CROWD", crowd)
     monkeypatch.setattr(suffixes, "CROWD_LOCAL", 1)
@@ -71,7 +73,6 @@ def test_tangled_texts(spark, monkeypatch, seed, width, crowd):
     monkeypatch.setattr(suffixes, "BUCKET_BYTES", 1000)
     rows = tangled(seed)
     docs = odd.table(spark, rows).repartition(3)
-    staged = suffixes.__dict__.get("staged") or __import__("casecast.session", fromlist=["staged"]).staged
     assert found_by(remove_repeats(staged(docs, "tangled"), width)) == plain(rows, width)
 
 
@@ -79,7 +80,8 @@ def test_filter_that_lets_everything_through(spark, monkeypatch):
     shape = Shape(50)
     assert shape.gram == 24 and shape.span == 27
     plain_filter = suffixes.repeated_grams
-    full = lambda *given: (b"\xff" * ((1 << suffixes.FILTER_BITS) // 8), plain_filter(*given)[1])
+    every = np.full((1 << suffixes.FILTER_BITS) // 8, 255, np.uint8)
+    full = lambda *given: (suffixes._packed(every), plain_filter(*given)[1])
     monkeypatch.setattr(suffixes, "repeated_grams", full)
     assert found_by(remove_repeats(odd.table(spark))) == plain(odd.odd_rows(), 50)
 
@@ -88,8 +90,6 @@ def test_crowded_grams_are_found(spark):
     passage = odd.prose(7, 30)
     rows = [(i, f"{odd.prose(100 + i, 12)} {passage} {odd.prose(900 + i, 12)}") for i in range(300)]
     inputs = odd.table(spark, rows).selectExpr("doc_id AS id", "doc_id AS h", "CAST(text AS BINARY) AS text")
-    import unittest.mock
-
     with unittest.mock.patch.object(suffixes, "CROWD", 200):
         _, crowded = suffixes.repeated_grams(inputs, Shape(50))
     assert 1 <= len(crowded) <= 6  # those at the edges of the passage
