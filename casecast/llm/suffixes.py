@@ -1,5 +1,6 @@
 """Removal of passages that an earlier document holds, by merging sorted runs of suffixes."""
 
+import math
 import pickle
 
 import numpy as np
@@ -10,18 +11,23 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casecast.llm.common import DOC_ID, TEXT, row_key, text_or_empty
+from casecast.llm.common import DOC_ID, TEXT, in_small_batches, row_key, text_or_empty
 
 #: Bytes of text whose suffixes make one sorted run, and bytes of text for each part of the key space.
 RUN_BYTES, BUCKET_BYTES = 16 << 20, 16 << 20
 #: Bytes of text that are searched for anchors at once; longer texts are cut into overlapping parts.
 PART_BYTES = 1 << 20
 #: Bits of the filter that is broadcast: 2^29 bits are 64 MB, whatever the input. Parts that it is merged in.
-FILTER_BITS, SLICES, SALTS = 29, 16, 32
+FILTER_BITS, SLICES = 29, 16
 #: Runs of one task are numbered from its partition number times this.
 TASK_RUNS = 1 << 24
 NO_ID = np.iinfo(np.int64).max
 
+#: A gram around which at least so many different texts lie, and at least one in CROWD_SHARE of all anchors, is crowded:
+#: its strings are dealt out one by one. At most MOST_CROWDED are, and counts start at CROWD_LOCAL texts in a run.
+CROWD, CROWD_SHARE, MOST_CROWDED, CROWD_LOCAL = 5_000, 200_000, 100_000, 4
+CROWDS = -1  # the slice number under which they travel
+
 LOCAL = "bucket int, run bigint, kind int, blob binary"
 SUFFIXES, PIECES, COVERED = 0, 1, 2
 CUT = (
@@ -147,44 +153,84 @@ def _slots(grams):
     return [((grams << np.uint64(shift)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64) for shift in (0, 32)]
 
 
-def _seen_grams(shape):
-    """Per task two bit maps over gram hashes, seen and seen twice, in slices."""
+def _most(grams, counts):
+    """Counts added up by gram, of the largest only."""
+    grams, place = np.unique(grams, return_inverse=True)
+    counts = np.bincount(place, weights=counts, minlength=len(grams)).astype(np.int64)
+    keep = np.argsort(-counts, kind="stable")[:MOST_CROWDED]
+    return grams[keep], counts[keep]
+
+
+def _texts(data, first, last, grams, shape):
+    """A hash for the text of each anchor, by both its ends."""
+    words = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
+    return _mixed([grams, words[first], words[last + shape.width - 8]])
+
+
+def _seen_grams(shape, salts):
+    """Per task two bit maps over gram hashes, seen and seen twice, in slices, and the grams with the most texts."""
 
     def run(batches):
         size = (1 << FILTER_BITS) // 8
         seen, twice = np.zeros(size, np.uint8), np.zeros(size, np.uint8)
+        crowds, held, total = (np.empty(0, np.uint64), np.empty(0, np.int64)), [], 0
+
+        def crowded():
+            texts, all_grams = (np.concatenate(x) for x in zip(*held))
+            _, one = np.unique(texts, return_index=True)
+            values, counts = np.unique(all_grams[one], return_counts=True)
+            many = counts >= CROWD_LOCAL
+            return _most(np.concatenate([crowds[0], values[many]]), np.concatenate([crowds[1], counts[many]]))
+
         for data, ends, _ in _parts(batches, shape):
-            grams = anchors(data, ends, shape)[3]
-            if len(grams):
-                slots, counts = np.unique(np.concatenate(_slots(grams)), return_counts=True)
-                _mark(twice, slots[(counts > 1) | _marked(seen, slots)])
-                _mark(seen, slots)
+            first, last, _, grams = anchors(data, ends, shape)
+            if not len(grams):
+                continue
+            slots, counts = np.unique(np.concatenate(_slots(grams)), return_counts=True)
+            _mark(twice, slots[(counts > 1) | _marked(seen, slots)])
+            _mark(seen, slots)
+            held.append((_texts(data, first, last, grams, shape), grams))
+            total += len(grams)
+            if len(held) * PART_BYTES >= RUN_BYTES:
+                crowds, held = crowded(), []
         if not seen.any():
             return
-        step, salt = size // SLICES, TaskContext.get().partitionId() % SALTS
-        for i in range(SLICES):
-            blob = _packed(seen[i * step : (i + 1) * step], twice[i * step : (i + 1) * step])
+        if held:
+            crowds = crowded()
+        step, salt = size // SLICES, TaskContext.get().partitionId() % salts
+        blobs = [(CROWDS, _packed(*crowds, np.array([total])))]
+        blobs += [(i, _packed(*(m[i * step : (i + 1) * step] for m in (seen, twice)))) for i in range(SLICES)]
+        for number, blob in blobs:
             yield pa.RecordBatch.from_pydict(
-                {"slice": pa.array([i], pa.int32()), "salt": pa.array([salt], pa.int32()), "blob": pa.array([blob], pa.binary())}
+                {
+                    "slice": pa.array([number], pa.int32()),
+                    "salt": pa.array([salt], pa.int32()),
+                    "blob": pa.array([blob], pa.binary()),
+                }
             )
 
     return run
 
 
 def _either(group: pd.DataFrame) -> pd.DataFrame:
+    first = group.iloc[:1].copy()
+    if first["slice"].iloc[0] == CROWDS:
+        grams, counts, totals = (np.concatenate(x) for x in zip(*map(_unpacked, group["blob"])))
+        first["blob"] = [_packed(*_most(grams, counts), np.array([totals.sum()]))]
+        return first
     seen = twice = np.uint8(0)
     for blob in group["blob"]:
         more, again = _unpacked(blob)
         twice = twice | again | (seen & more)
         seen = seen | more
-    first = group.iloc[:1].copy()
     first["blob"] = [_packed(seen, twice)]
     return first
 
 
 def _only_twice(group: pd.DataFrame) -> pd.DataFrame:
     first = _either(group)
-    first["blob"] = [_packed(_unpacked(first["blob"].iloc[0])[1])]
+    if first["slice"].iloc[0] != CROWDS:
+        first["blob"] = [_packed(_unpacked(first["blob"].iloc[0])[1])]
     return first
 
 
@@ -225,9 +271,18 @@ def decoded(prefixes, rest, width):
     return rows
 
 
-def _suffixes(batches, shape, bits):
-    """Runs of about RUN_BYTES of text: the suffixes that may repeat, as rows, with their piece, start and gram hash,
-    and whose the pieces are."""
+def _single_strings(data, first, last, shape):
+    """The starts of all strings of some anchors, and a hash of each string."""
+    counts = last - first + 1
+    starts = np.repeat(first, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    words = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
+    places = [*range(0, shape.width - 8, 8), shape.width - 8]
+    return starts, _mixed([words[starts + place] for place in places])
+
+
+def _suffixes(batches, shape, bits, crowded):
+    """Runs of about RUN_BYTES of text: the suffixes that may repeat, as rows, with their piece, start and the hash they
+    are dealt by (of the gram, or of the string around a crowded gram), and whose the pieces are."""
     found, owners, pieces, size = [], [], 0, 0
 
     def flush():
@@ -236,9 +291,13 @@ def _suffixes(batches, shape, bits):
 
     for data, ends, whose in _parts(batches, shape):
         first, last, at, grams = anchors(data, ends, shape)
-        if bits is not None:
-            often = np.logical_and(*(_marked(bits, slots) for slots in _slots(grams)))
-            first, last, at, grams = first[often], last[often], at[often], grams[often]
+        often = np.logical_and(*(_marked(bits, slots) for slots in _slots(grams)))
+        first, last, at, grams = first[often], last[often], at[often], grams[often]
+        crowd = np.isin(grams, crowded)
+        if crowd.any():
+            starts, hashes = _single_strings(data, first[crowd], last[crowd], shape)
+            first, last, at = (np.concatenate([x[~crowd], starts]) for x in (first, last, at))
+            grams = np.concatenate([grams[~crowd], hashes])
         piece = np.searchsorted(ends, first, side="right")
         begin = np.concatenate([[0], ends])[piece]
         found.append((_suffix_rows(data, first, last, at, shape), piece + pieces, first - begin, grams))
@@ -252,14 +311,14 @@ def _suffixes(batches, shape, bits):
         yield flush()
 
 
-def _local_runs(shape, filter_map, buckets):
+def _local_runs(shape, filter_map, crowded, buckets):
     """Per run of text: sorted front-coded suffixes per bucket, the pieces of text they are from, and what of it an
     earlier document in the same run covers already."""
 
     def run(batches):
-        bits = np.frombuffer(filter_map.value, np.uint8) if filter_map is not None else None
+        (bits,) = _unpacked(filter_map.value)
         number = TaskContext.get().partitionId() * TASK_RUNS
-        for rows, piece, start, grams, ids, hashes, offsets in _suffixes(batches, shape, bits):
+        for rows, piece, start, grams, ids, hashes, offsets in _suffixes(batches, shape, bits, crowded.value):
             number += 1
             if not len(rows):
                 continue
@@ -502,17 +561,24 @@ def _cut(texts: pd.Series, covered: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["kept", "n_bytes", "n_removed", "n_spans", "spans"])
 
 
-def repeated_grams(inputs, shape):
-    """The bits of a fixed filter that two grams or more fall on, as bytes."""
+def repeated_grams(inputs, shape, salts=4):
+    """The bits of a fixed filter that two grams or more fall on, compressed, and the hashes of crowded grams.
+
+    The tasks' maps are merged in `salts` groups first, and then those of the groups.
+    """
     schema = "slice int, salt int, blob binary"
-    seen = inputs.mapInArrow(_seen_grams(shape), schema)
+    seen = inputs.mapInArrow(_seen_grams(shape, salts), schema)
     merged = seen.groupBy("slice", "salt").applyInPandas(_either, schema)
     parts = merged.groupBy("slice").applyInPandas(_only_twice, schema).collect()
     size = (1 << FILTER_BITS) // SLICES // 8
-    bits = bytearray(size * SLICES)
+    bits, crowded = np.zeros(size * SLICES, np.uint8), np.empty(0, np.uint64)
     for part in parts:
-        bits[part["slice"] * size : (part["slice"] + 1) * size] = _unpacked(part["blob"])[0].tobytes()
-    return bytes(bits)
+        if part["slice"] == CROWDS:
+            grams, counts, (total,) = _unpacked(part["blob"])
+            crowded = np.sort(grams[counts >= max(CROWD, total // CROWD_SHARE)])
+        else:
+            bits[part["slice"] * size : (part["slice"] + 1) * size] = _unpacked(part["blob"])[0]
+    return _packed(bits), crowded
 
 
 def remove_repeats(docs, width=50, id_col=DOC_ID, text_col=TEXT):
@@ -526,10 +592,13 @@ def remove_repeats(docs, width=50, id_col=DOC_ID, text_col=TEXT):
     keeps its own; different texts around one gram are compared string by string. Each run's text is told what is
     covered, spans are joined per document, and each row cuts its own text.
 
-    Two things keep the exchange small. A suffix that an earlier document repeats within the run is settled there, so
+    Three things keep the exchange small and even. A suffix that an earlier document repeats within the run is settled there, so
     a passage that a third of all documents share sends one suffix per run. And a first pass marks in a filter of
     fixed size (64 MB, broadcast) which gram hashes occur twice; suffixes of other grams cannot repeat and stay home.
-    A filter that fills up lets more through, but never changes the result.
+    A filter that fills up lets more through, but never changes the result. And grams around which very many different
+    texts lie, such as the first of a passage that all kinds of documents quote, are counted in that pass too: their
+    strings are dealt out one by one, so no task gets all the texts around one gram. Crowded grams (at most
+    MOST_CROWDED, broadcast) only decide what goes where; any two equal strings meet either way.
 
     Defined cases: null and empty texts have no bytes. A null id counts as larger than any other. Rows that share an
     id are one document: nothing in one is removed for another. Texts shorter than `width` stay. A very long text is
@@ -539,15 +608,16 @@ def remove_repeats(docs, width=50, id_col=DOC_ID, text_col=TEXT):
     """
     shape = Shape(width)
     key = row_key(id_col, text_col)
-    inputs = docs.select(
+    inputs = in_small_batches(docs).select(
         F.col(id_col).cast("bigint").alias("id"),
         key.getField("h").alias("h"),
         text_or_empty(text_col).cast("binary").alias("text"),
     )
     total = inputs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(max(1, -(-total // BUCKET_BYTES)))
-    bits = docs.sparkSession.sparkContext.broadcast(repeated_grams(inputs, shape))
-    runs = inputs.mapInArrow(_local_runs(shape, bits, buckets), LOCAL)
+    salts = max(4, math.isqrt(total // RUN_BYTES))
+    bits, crowded = map(docs.sparkSession.sparkContext.broadcast, repeated_grams(inputs, shape, salts))
+    runs = inputs.mapInArrow(_local_runs(shape, bits, crowded, buckets), LOCAL)
     covers = runs.groupBy("bucket").applyInPandas(_covers(shape), "run bigint, kind int, blob binary")
     spans = covers.groupBy("run").applyInPandas(_spans, "id bigint, h bigint, spans binary")
     spans = spans.groupBy(F.col("id").alias("_id"), F.col("h").alias("_h")).agg(F.collect_list("spans").alias("_spans"))
