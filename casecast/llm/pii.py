@@ -35,7 +35,7 @@ LOOSE = {
     r"(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]{2,24}+){1,4}| at [A-Za-z0-9-]{1,63}+(?: dot [A-Za-z0-9-]{2,24}+){1,4})",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:(?:\.| ?[\[(]\.[\])] ?)[0-9]{1,3}){3}(?![0-9])",
     "card": r"(?<![0-9])[0-9]{4}[ ./_-]{0,2}[0-9]{4,6}[ ./_-]{0,2}[0-9]{4,5}[ ./_-]{0,2}[0-9]{1,4}(?![0-9])",
-    "phone": r"(?<![0-9])\(?[0-9]{1,4}\)?(?:[ .()/-]{1,2}[0-9]{2,5}){2,4}(?![0-9])",
+    "phone": r"(?:\+|(?<![0-9]))\(?[0-9]{1,4}\)?(?:[ .()/-]{1,2}[0-9]{2,5}){2,4}(?![0-9])",
 }
 
 FEATURES = (
@@ -90,6 +90,8 @@ def _small_octets(numbers):
 def candidates(docs, id_col=DOC_ID, text_col=TEXT):
     """Strict matches and loose proposals of every text: `key`, `kind`, `strict`, `start`, `end` and features.
 
+    A loose phone with a country code has a second row, marked `home`, with the features of the number without it.
+
     Each pattern puts marks around its matches; splitting at the marks gives the matches and what lies between, and
     running sums of lengths over one document's pieces give positions. Only pieces around matches, shortened to a few
     characters of context, are shuffled, never texts.
@@ -131,6 +133,14 @@ def candidates(docs, id_col=DOC_ID, text_col=TEXT):
     end = F.sum(F.col("gap") + F.col("chars")).over(running)
     placed = one.withColumns({"end": end, "start": end - F.col("chars")})
     numbers = F.regexp_extract_all("match", F.lit("([0-9]+)"), F.lit(1))
+    # A phone number with a country code also shows what it looks like without; the trees learn from that, too.
+    home = F.regexp_replace("match", r"^\+\(?[0-9]+\)?[ ./-]*", "")
+    is_phone = (F.col("kind") == KINDS.index("phone")) & ~F.col("strict") & F.col("match").startswith("+")
+    forms = F.array(F.struct("match", "chars", F.lit(False).alias("home")))
+    both = F.concat(forms, F.array(F.struct(home.alias("match"), F.char_length(home).alias("chars"), F.lit(True).alias("home"))))
+    has_home = is_phone & home.rlike(f"^{LOOSE['phone']}$")
+    form = F.explode(F.when(has_home, both).otherwise(forms)).alias("form")
+    placed = placed.select("key", "kind", "strict", "start", "end", "left", "right", form).select("*", "form.*")
     digits = F.regexp_replace("match", "[^0-9]", "")
     count = F.length(digits)
     with_numbers = placed.withColumns({"numbers": numbers, "digits": count, "luhn": _luhn(digits)})
@@ -158,19 +168,25 @@ def candidates(docs, id_col=DOC_ID, text_col=TEXT):
     whole = with_numbers.withColumns({"valid": valid, **numeric})
     spans = whole.withColumns({name: F.col(name).cast("double") for name in ("chars", "digits", "luhn")})
     dated = F.col("match").rlike(r"^(?:19|20)[0-9]{2}[ ./-][0-9]{1,2}[ ./-][0-9]{1,2}$|[ ./-](?:19|20)[0-9]{2}$")
-    return spans.select("key", "kind", "strict", "start", "end", "valid", dated.alias("dated"), *FEATURES)
+    return spans.select("key", "kind", "strict", "start", "end", "valid", "home", dated.alias("dated"), *FEATURES)
 
 
 def _near_strict(found):
-    """Adds `taken`, whether a valid strict match overlaps a candidate, and `same`, whether it has that kind and span."""
+    """Adds `taken`, whether a valid strict match overlaps a candidate, `own`, whether one of its kind does, and `same`,
+    whether that one has its span."""
     in_text = Window.partitionBy("key").orderBy("start", "end")
     sure = F.col("strict") & F.col("valid")
-    until = F.max(F.when(sure, F.col("end"))).over(in_text.rowsBetween(Window.unboundedPreceding, -1))
-    after = F.min(F.when(sure, F.col("start"))).over(in_text.rowsBetween(1, Window.unboundedFollowing))
-    taken = F.coalesce(until > F.col("start"), F.lit(False)) | F.coalesce(after < F.col("end"), F.lit(False))
-    span = Window.partitionBy("key", "kind", "start", "end")
-    same = F.max(sure).over(span)
-    return found.withColumns({"taken": taken, "same": same})
+
+    def overlapped(kind):
+        match = sure & (F.col("kind") == kind)
+        until = F.max(F.when(match, F.col("end"))).over(in_text.rowsBetween(Window.unboundedPreceding, -1))
+        after = F.min(F.when(match, F.col("start"))).over(in_text.rowsBetween(1, Window.unboundedFollowing))
+        return F.coalesce(until > F.col("start"), F.lit(False)) | F.coalesce(after < F.col("end"), F.lit(False))
+
+    by_kind = F.array(*map(overlapped, range(len(KINDS)))).alias("by_kind")
+    same = F.max(sure).over(Window.partitionBy("key", "kind", "start", "end")).alias("same")
+    met = found.select("*", by_kind, same)
+    return met.withColumns({"taken": F.exists("by_kind", lambda x: x), "own": F.get("by_kind", "kind")}).drop("by_kind")
 
 
 @dataclass
@@ -200,18 +216,19 @@ def _scored(trees, rows):
 
 
 def fit_judge(found, most_rows=100_000, rounds=15, depth=3, precision=0.98, least_p=0.9, seed=5):
-    """Train on what the strict rules settle: `found` has candidates with `taken` and `same`.
+    """Train on what the strict rules settle: `found` has candidates with `taken`, `own` and `same`.
 
-    Proposals at a valid strict match of their kind are positive. Negative are those that break a hard rule of their
-    kind (a part over 255, a failed check digit, too few or too many digits, a date) or lie on a valid match of another
-    kind. The rest is unknown and judged later. At most about `most_rows` settled proposals are used, drawn by a hash;
+    Proposals at a valid strict match of their kind are positive, phones also as they would be written without their
+    country code, as most of those to be judged are. Negative are those that break a hard rule of their
+    kind (a part over 255, a failed check digit, too few or too many digits, a date) or lie on valid matches of other
+    kinds only. The rest is unknown and judged later. At most about `most_rows` settled proposals are used, drawn by a hash;
     three in four train, and the others set the thresholds: per kind the least probability (not below `least_p`) from
     which at least `precision` of them are positive, counted in 100 bins. A kind without held-out positives adds
     nothing, nor does anything without both classes.
     """
     checkpoint_dir(found.sparkSession)
-    bad = ~F.col("valid") | F.col("taken") | F.col("dated")
-    label = F.when(F.col("same"), 1.0).when(bad, 0.0)
+    bad = ~F.col("valid") | (F.col("taken") & ~F.col("own")) | F.col("dated")
+    label = F.when(F.col("home"), F.when(F.col("same") & F.col("valid"), 1.0)).when(F.col("same"), 1.0).when(bad, 0.0)
     settled = found.where(~F.col("strict")).withColumn("label", label).where("label IS NOT NULL")
     place = F.pmod(F.xxhash64("key", "kind", "start", F.lit(seed)), F.lit(1 << 40))
     n = settled.count()
@@ -246,7 +263,7 @@ def find_private(docs, id_col=DOC_ID, text_col=TEXT, **settings):
     found = staged(_near_strict(candidates(docs, id_col, text_col)), "pii-candidates")
     judge = fit_judge(found, **settings)
     sure = found.where("strict AND valid").select("key", "kind", "start", "end", F.lit(True).alias("strict"))
-    unknown = found.where("NOT strict AND valid AND NOT taken AND NOT same AND NOT dated")
+    unknown = found.where("NOT strict AND NOT home AND valid AND NOT taken AND NOT same AND NOT dated")
     added = judge.accepted(unknown).withColumn("strict", F.lit(False))
     spans = F.sort_array(F.collect_list(F.struct("kind", "start", "end", "strict")))
     return sure.unionByName(added).groupBy("key").agg(spans.alias("spans"))

@@ -119,3 +119,23 @@ def test_redacted_text(spark):
 
 def test_empty(spark):
     assert with_private(odd.empty(spark)).collect() == []
+
+
+def phone_rows():
+    """Texts with valid international numbers, and with numbers that are too short, too long or no phones."""
+    draw, rows = random.Random(2), []
+    def number(n):
+        return "".join(draw.choice("123456789") for _ in range(n))
+    for i in range(400):
+        phone = [f"+1 ({number(3)}) {number(3)}-{number(4)}", f"+44 {number(2)} {number(4)} {number(4)}", f"+49 {number(3)} {number(3)} {number(2)} {number(2)}"][i % 3]
+        rows.append((2000 + i, f"please call {phone} today, not {number(2)} {number(3)} {number(2)} or {number(4)} {number(5)} {number(5)} {number(5)}, room"))
+    return rows
+
+
+def test_national_phones_are_added(spark):
+    phones = ["(988) 555-2485", "020 7946 0958", "0171 555 26 26", "+(44) 20 7946 0958"]
+    unsettled = [(5000 + i, f"please call {phone} today") for i, phone in enumerate(phones)]
+    docs = odd.table(spark, training_rows() + phone_rows() + unsettled)
+    found = {r.doc_id: r for r in with_private(docs).select("doc_id", *summary()).collect()}
+    for i, phone in enumerate(phones):
+        assert found[5000 + i].spans == f"phone:12:{12 + len(phone)}" and found[5000 + i].n_phone == 0, phone
