@@ -215,29 +215,45 @@ def _scored(trees, rows):
     return trees.transform(features).withColumn("p", vector_to_array("probability")[1])
 
 
+def _share(sizes, most):
+    """The size that larger groups are cut to, so that all have about `most` rows together."""
+    sizes = sorted(sizes)
+    for i, size in enumerate(sizes):
+        if size * (len(sizes) - i) > most:
+            return most / (len(sizes) - i)
+        most -= size
+    return sizes[-1]
+
+
 def fit_judge(found, most_rows=100_000, rounds=15, depth=3, precision=0.98, least_p=0.9, seed=5):
     """Train on what the strict rules settle: `found` has candidates with `taken`, `own` and `same`.
 
     Proposals at a valid strict match of their kind are positive, phones also as they would be written without their
     country code, as most of those to be judged are. Negative are those that break a hard rule of their
     kind (a part over 255, a failed check digit, too few or too many digits, a date) or lie on valid matches of other
-    kinds only. The rest is unknown and judged later. At most about `most_rows` settled proposals are used, drawn by a hash;
-    three in four train, and the others set the thresholds: per kind the least probability (not below `least_p`) from
-    which at least `precision` of them are positive, counted in 100 bins. A kind without held-out positives adds
-    nothing, nor does anything without both classes.
+    kinds only. The rest is unknown and judged later. The proposals of
+    three in four texts train, at most about `most_rows` of them: groups of one kind and label that have more than their
+    share are cut by a hash, and smaller ones stay whole. All others set the thresholds, without a sample: per kind the
+    least probability (not below `least_p`) from which at least `precision` of them are positive, counted in 100 bins. A
+    kind without held-out positives adds nothing, nor does anything without both classes.
     """
     checkpoint_dir(found.sparkSession)
     bad = ~F.col("valid") | (F.col("taken") & ~F.col("own")) | F.col("dated")
     label = F.when(F.col("home"), F.when(F.col("same") & F.col("valid"), 1.0)).when(F.col("same"), 1.0).when(bad, 0.0)
     settled = found.where(~F.col("strict")).withColumn("label", label).where("label IS NOT NULL")
     place = F.pmod(F.xxhash64("key", "kind", "start", F.lit(seed)), F.lit(1 << 40))
-    n = settled.count()
-    if n > most_rows:
-        settled = settled.where(place < int((1 << 40) * most_rows / n))
     settled = settled.withColumn("held_out", F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(4)) == 0)
     training = settled.where("NOT held_out")
-    if training.select("label").distinct().count() < 2:
+    sizes = training.groupBy("kind", "label").count().collect()  # 8 rows at most
+    if len({row["label"] for row in sizes}) < 2:
         return Judge(None, {})
+    share = _share([row["count"] for row in sizes], most_rows)
+    below = F.lit(1 << 40)
+    for row in sizes:
+        if row["count"] > share:
+            of_group = (F.col("kind") == row["kind"]) & (F.col("label") == row["label"])
+            below = F.when(of_group, int((1 << 40) * share / row["count"])).otherwise(below)
+    training = training.where(place < below)
     rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(training).select("features", "label")
     trees = GBTClassifier(maxIter=rounds, maxDepth=depth, seed=seed).fit(rows)
     p_bin = F.least(F.floor(F.col("p") * 100), F.lit(99)).cast("int").alias("bin")

@@ -5,7 +5,7 @@ import re
 import odd
 import pytest
 
-from casecast.llm.pii import KINDS, redact, summary, with_private
+from casecast.llm.pii import KINDS, _share, redact, summary, with_private
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -139,3 +139,16 @@ def test_national_phones_are_added(spark):
     found = {r.doc_id: r for r in with_private(docs).select("doc_id", *summary()).collect()}
     for i, phone in enumerate(phones):
         assert found[5000 + i].spans == f"phone:12:{12 + len(phone)}" and found[5000 + i].n_phone == 0, phone
+
+
+def test_rare_kinds_stay_in_the_sample(spark):
+    draw = random.Random(3)
+    hot = [(10_000 + i, " and ".join(f"{draw.randrange(400)}.2.{draw.randrange(256)}.{draw.randrange(256)}" for _ in range(40))) for i in range(600)]
+    docs = odd.table(spark, training_rows()[::4] + hot + [(5000, f"cards {CARD} {CARD} here")])
+    for most_rows in (400, 100_000):
+        found = with_private(docs, most_rows=most_rows).where("doc_id = 5000").select(*summary()).first()
+        assert found.spans == "card:6:22,card:23:39", most_rows
+
+
+def test_share():
+    assert _share([5, 100, 1], 1000) == 100 and _share([5, 100, 1], 46) == 40 and _share([10, 10], 10) == 5
