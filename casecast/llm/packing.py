@@ -37,7 +37,8 @@ class Encoder:
     """Ids of texts by a byte-level BPE file of the `tokenizers` library, special tokens' strings included.
 
     Where ids follow the order of the merges, as they do in files of this kind, `tiktoken` gives the same ids from the
-    same vocabulary several times as fast; any other file is left to `tokenizers` itself.
+    same vocabulary several times as fast; any other file is left to `tokenizers` itself, and so is any text that the
+    faster one refuses, as its regex engine does with a million spaces in a row.
     """
 
     def __init__(self, path):
@@ -56,9 +57,12 @@ class Encoder:
             self.fast = tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special)
 
     def __call__(self, text):
-        if self.fast is None:
-            return self.slow.encode(text, add_special_tokens=False).ids
-        return self.fast.encode(text, allowed_special="all")
+        if self.fast is not None:
+            try:
+                return self.fast.encode(text, allowed_special="all")
+            except ValueError:
+                pass
+        return self.slow.encode(text, add_special_tokens=False).ids
 
 
 def classes(capacity, waste=32):

@@ -58,6 +58,14 @@ def test_encoder_gives_the_ids_of_the_library(tokenizer, sf_dir, spark):
         assert list(encode(row.text)) == tokenizer.encode(row.text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("space", [" ", "\n"])
+def test_very_long_white_space(spark, tokenizer, space):
+    text = "a" + space * 1_100_000 + "b"
+    expected = tokenizer.encode(text, add_special_tokens=False).ids
+    assert list(Encoder(tokenizer_path())(text)) == expected
+    check(pack(odd.table(spark, [(1, text)]), tokenizer_path()).collect(), {1: [[*expected, 0]]}, 1024)
+
+
 def test_other_files_are_left_to_the_library():
     import public_tokenizers
 
