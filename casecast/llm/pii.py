@@ -167,7 +167,8 @@ def candidates(docs, id_col=DOC_ID, text_col=TEXT):
     numeric = {name: value.cast("double") for name, value in features.items()}
     whole = with_numbers.withColumns({"valid": valid, **numeric})
     spans = whole.withColumns({name: F.col(name).cast("double") for name in ("chars", "digits", "luhn")})
-    dated = F.col("match").rlike(r"^(?:19|20)[0-9]{2}[ ./-][0-9]{1,2}[ ./-][0-9]{1,2}$|[ ./-](?:19|20)[0-9]{2}$")
+    day, year = "[0-9]{1,2}", "(?:19|20)[0-9]{2}"
+    dated = F.col("match").rlike(f"^{year}[ ./-]{day}[ ./-]{day}$|^{day}[ ./-]{day}[ ./-]{year}$")
     return spans.select("key", "kind", "strict", "start", "end", "valid", "home", dated.alias("dated"), *FEATURES)
 
 

@@ -152,3 +152,12 @@ def test_rare_kinds_stay_in_the_sample(spark):
 
 def test_share():
     assert _share([5, 100, 1], 1000) == 100 and _share([5, 100, 1], 46) == 40 and _share([10, 10], 10) == 5
+
+
+def test_phones_that_end_like_a_year_are_added(spark):
+    phones = ["(212) 555-1987", "030 1234 2014"]
+    unsettled = [(5000 + i, f"please call {phone} today") for i, phone in enumerate(phones)]
+    unsettled += [(6000, "on 10-12-2014 and 2014 12 10")]
+    docs = odd.table(spark, training_rows() + phone_rows() + unsettled)
+    found = {r.doc_id: r.spans for r in with_private(docs).select("doc_id", *summary()).collect()}
+    assert [found[5000 + i] for i in range(2)] == [f"phone:12:{12 + len(phone)}" for phone in phones] and found[6000] == ""
