@@ -208,7 +208,20 @@ class Judge:
         good = scored.where(F.col("p") >= least)
         order = Window.partitionBy("key").orderBy("start", F.col("end").desc(), "kind")
         until = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-        return good.withColumn("until", until).where("until IS NULL OR start >= until").select("key", "kind", "start", "end")
+        chain = F.count(F.when(F.col("start") >= F.col("until"), 1)).over(order)
+        # What overlaps nothing before it begins a chain; proposals of a chain are taken one after the other.
+        chains = good.withColumn("until", until).withColumn("chain", chain)
+        span = F.struct("start", (-F.col("end")).alias("back"), "kind")
+        listed = chains.groupBy("key", "chain").agg(F.sort_array(F.collect_list(span)).alias("spans"))
+
+        def step(kept, span):
+            free = span["start"] >= -F.get(kept, F.size(kept) - 1)["back"]
+            return F.when(free, F.concat(kept, F.array(span))).otherwise(kept)
+
+        rest = F.slice("spans", 2, F.greatest(F.size("spans"), F.lit(1)))
+        taken = F.aggregate(rest, F.slice("spans", 1, 1), step)
+        one = listed.select("key", F.explode(taken).alias("span"))
+        return one.select("key", "span.kind", "span.start", (-F.col("span.back")).alias("end"))
 
 
 def _scored(trees, rows):

@@ -4,7 +4,9 @@ import re
 
 import odd
 import pytest
+from pyspark.sql import functions as F
 
+from casecast.llm import pii
 from casecast.llm.pii import KINDS, _share, redact, summary, with_private
 
 PATTERNS = {
@@ -161,3 +163,22 @@ def test_phones_that_end_like_a_year_are_added(spark):
     docs = odd.table(spark, training_rows() + phone_rows() + unsettled)
     found = {r.doc_id: r.spans for r in with_private(docs).select("doc_id", *summary()).collect()}
     assert [found[5000 + i] for i in range(2)] == [f"phone:12:{12 + len(phone)}" for phone in phones] and found[6000] == ""
+
+
+def test_leftmost_of_overlapping_proposals_stay(spark, monkeypatch):
+    monkeypatch.setattr(pii, "_scored", lambda trees, rows: rows.withColumn("p", F.lit(1.0)))
+    spans = {1: [(0, 0, 10), (1, 5, 15), (2, 12, 20)], 2: [(3, 0, 4), (2, 0, 9), (1, 4, 8), (0, 9, 12)], 3: [(2, 7, 9)]}
+    draw = random.Random(4)
+    for doc in range(10, 40):
+        spans[doc] = [(draw.randrange(4), a, a + draw.randrange(1, 9)) for a in draw.sample(range(30), 12)]
+    rows = [(doc, *span) for doc, own in spans.items() for span in own]
+    proposals = spark.createDataFrame(rows, "key int, kind int, start bigint, end bigint")
+    judge = pii.Judge(object(), dict.fromkeys(range(4), 0.9))
+    found, expected = {doc: [] for doc in spans}, {doc: [] for doc in spans}
+    for r in judge.accepted(proposals).collect():
+        found[r.key].append((r.start, r.end, r.kind))
+    for doc, own in spans.items():
+        for kind, start, end in sorted(own, key=lambda s: (s[1], -s[2], s[0])):
+            if not expected[doc] or start >= expected[doc][-1][1]:
+                expected[doc].append((start, end, kind))
+    assert expected[1] == [(0, 10, 0), (12, 20, 2)] and {doc: sorted(own) for doc, own in found.items()} == expected
