@@ -6,7 +6,7 @@ import xxhash
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from casecast.llm.common import DOC_ID, TEXT, in_small_batches
+from casecast.llm.common import DOC_ID, TEXT, in_small_batches, text_or_empty
 from casecast.llm.components import components
 from casecast.session import staged
 
@@ -44,15 +44,26 @@ def _fingerprints(shingle):
         for batch in batches:
             prints = [simhash(text or "", shingle) for text in batch.column(1).to_pylist()]
             signed = np.array(prints, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed)], ["doc_id", "fp"])
+            others = batch.columns[2:]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed), *others], ["doc_id", "fp", "h", "n"][: 2 + len(others)])
 
     return run
 
 
-def fingerprints(docs, shingle=3, id_col=DOC_ID, text_col=TEXT):
-    """`doc_id` and `fp`, the fingerprint as a signed bigint, of every row. A null text is an empty one."""
-    inputs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return in_small_batches(inputs).mapInArrow(_fingerprints(shingle), "doc_id bigint, fp bigint")
+def _text_key(text_col):
+    """`h` and `n`, which name a text as in `row_key`."""
+    return [F.xxhash64(text_or_empty(text_col)).alias("h"), F.char_length(text_or_empty(text_col)).alias("n")]
+
+
+def fingerprints(docs, shingle=3, id_col=DOC_ID, text_col=TEXT, text_key=False):
+    """`doc_id` and `fp`, the fingerprint as a signed bigint, of every row, and with `text_key` the text's `h` and `n`.
+
+    A null text is an empty one.
+    """
+    columns = [F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")]
+    inputs = docs.select(*columns, *(_text_key(text_col) if text_key else []))
+    result = "doc_id bigint, fp bigint" + (", h bigint, n int" if text_key else "")
+    return in_small_batches(inputs).mapInArrow(_fingerprints(shingle), result)
 
 
 def hex_digits(fp="fp"):
@@ -113,6 +124,21 @@ def near_pairs(prints, max_bits=2, largest_bucket=32):
     return some.unionByName(tied).distinct()
 
 
+def _components(prints, max_bits):
+    """For each distinct fingerprint `_fp` of rows with an id: `root`, the fingerprint that stands for its component, and
+    `component`, the smallest id there."""
+    named = prints.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("least"))
+    named = staged(named, "simhash-distinct")
+    linked = components(near_pairs(named.select("fp"), max_bits))
+    linked = staged(linked, "simhash-components")
+    met = named.join(linked.withColumnRenamed("node", "fp"), "fp")
+    roots = met.groupBy("root").agg(F.min("least").alias("least"))
+    found = met.select("fp", "root").join(roots, "root").select(F.col("fp").alias("_fp"), "root", F.col("least").alias("_root"))
+    by_print = named.join(found, F.col("fp") == F.col("_fp"), "left")
+    columns = [F.col("fp").alias("_fp"), F.coalesce("root", "fp").alias("root"), F.coalesce("_root", "least").alias("component")]
+    return staged(by_print.select(*columns), "simhash-named")  # a join of two tables can split the copies of a hot fingerprint
+
+
 def near_duplicates(docs, shingle=3, max_bits=2, id_col=DOC_ID, text_col=TEXT):
     """`doc_id`, `fp` and `component_id`, the smallest id that links reach, for every row.
 
@@ -124,16 +150,7 @@ def near_duplicates(docs, shingle=3, max_bits=2, id_col=DOC_ID, text_col=TEXT):
     extra ones cannot clash; an empty table gives an empty result.
     """
     prints = staged(fingerprints(docs, shingle, id_col, text_col), "simhash")
-    named = prints.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("least"))
-    named = staged(named, "simhash-distinct")
-    linked = components(near_pairs(named.select("fp"), max_bits))
-    linked = staged(linked, "simhash-components")
-    met = named.join(linked.withColumnRenamed("node", "fp"), "fp")
-    roots = met.groupBy("root").agg(F.min("least").alias("least"))
-    found = met.select("fp", "root").join(roots, "root").select(F.col("fp").alias("_fp"), F.col("least").alias("_root"))
-    by_print = named.join(found, F.col("fp") == F.col("_fp"), "left")
-    by_print = by_print.select(F.col("fp").alias("_fp"), F.coalesce("_root", "least").alias("component"))
-    by_print = staged(by_print, "simhash-named")  # a join of two tables can split the copies of a hot fingerprint
+    by_print = _components(prints, max_bits)
     component = F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id")
     return prints.join(by_print, F.col("fp") == F.col("_fp"), "left").select("doc_id", "fp", component)
 
@@ -141,14 +158,15 @@ def near_duplicates(docs, shingle=3, max_bits=2, id_col=DOC_ID, text_col=TEXT):
 def keep_one(docs, shingle=3, max_bits=2, id_col=DOC_ID, text_col=TEXT):
     """The rows of `docs` with one document of each group of near duplicates, that of the smallest id.
 
-    Rows that repeat the id are equal in all the operator looks at or not; one of them stays, the least by text. Rows
-    without an id stay.
+    Of rows that share this id the least by text stays. Rows that share an id but belong to different groups stand for
+    their own group each. Rows without an id stay.
     """
-    found = near_duplicates(docs, shingle, max_bits, id_col, text_col)
-    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("_stays")).distinct()
+    prints = staged(fingerprints(docs, shingle, id_col, text_col, text_key=True), "simhash")
+    least = prints.join(_components(prints, max_bits), F.col("fp") == F.col("_fp")).where("doc_id = component")
+    stay = least.select(F.col("doc_id").alias("_stays"), F.col("h").alias("_h"), F.col("n").alias("_n"), "root").distinct()
     row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
-    rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text"), row)
-    kept = rows.join(stay, F.col("_id") == F.col("_stays"), "left_semi")
-    one = kept.groupBy("_id").agg(F.min_by("row", "_text").alias("row"), F.first("row").alias("any"))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text"), *_text_key(text_col), row)
+    kept = rows.join(stay, (F.col("_id") == F.col("_stays")) & (F.col("h") == F.col("_h")) & (F.col("n") == F.col("_n")))
+    one = kept.groupBy("root").agg(F.min_by("row", "_text").alias("row"), F.first("row").alias("any"))
     one = one.select(F.coalesce("row", "any").alias("row"))
     return one.unionByName(rows.where("_id IS NULL").select("row")).select("row.*")

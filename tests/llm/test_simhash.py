@@ -117,5 +117,12 @@ def test_one_of_each_group_stays(spark):
     assert sorted(i for i in ids if i is not None) == sorted(set(expected.values())) and ids.count(None) == 2
 
 
+def test_rows_of_one_id_stand_for_their_own_group(spark):
+    a, b, c = (odd.prose(seed, 60) for seed in (21, 22, 23))
+    rows = [(1, a), (5, a), (5, b), (5, b), (5, c), (6, c), (None, a)]
+    kept = sorted(((r.doc_id, r.text) for r in keep_one(odd.table(spark, rows)).collect()), key=str)
+    assert kept == sorted([(1, a), (5, b), (5, c), (None, a)], key=str)
+
+
 def test_empty(spark):
     assert near_duplicates(odd.empty(spark)).collect() == [] and keep_one(odd.empty(spark)).collect() == []
