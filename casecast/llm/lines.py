@@ -22,13 +22,13 @@ def dedup_lines(docs, min_chars=20, min_docs=3, id_col=DOC_ID, text_col=TEXT):
     A line's normal form has white space stripped at both ends and A-Z lower-cased. Normal forms of at least
     `min_chars` code points which at least `min_docs` documents hold lose all their lines, but for those in the
     largest id that holds them. Everything is DataFrame functions: lines are exploded and hashed (64 bits), each
-    document counts once per hash, counts are added up before the shuffle, so a line that a third of all documents
+    id counts once per hash, counts are added up before the shuffle, so a line that a third of all documents
     share arrives as one partial count per task. Only positions of dropped lines travel back, and the text is put
     together again by position in the row it came in.
 
-    Defined cases: null and empty texts are one empty line, and `kept` is empty. Every row is a document of its own;
-    rows that share the largest id all keep their lines, and equal rows get equal results. A null id is smaller than
-    any other. The columns of `docs` come back as they are, whatever their names, unless they are called like one of
+    Defined cases: null and empty texts are one empty line, and `kept` is empty. Rows that
+    share an id count as one document and each get a result; those of the largest id all keep their lines, and equal
+    rows get equal results. A null id is an id, smaller than any other. The columns of `docs` come back as they are, whatever their names, unless they are called like one of
     the three results, which replace them.
     """
     rows = docs.select(
@@ -37,7 +37,7 @@ def dedup_lines(docs, min_chars=20, min_docs=3, id_col=DOC_ID, text_col=TEXT):
         _lines(text_col).alias("lines"),
     )
     hashed = rows.select("key", F.col("key.id").alias("id"), _hashes(F.col("lines"), min_chars).alias("hashes"))
-    once = hashed.select("id", F.explode(F.array_distinct("hashes")).alias("hash")).where("hash IS NOT NULL")
+    once = hashed.select("id", F.explode(F.array_distinct("hashes")).alias("hash")).where("hash IS NOT NULL").distinct()
     counted = once.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper"))
     # Staged, so that the join knows its size, and splits the lines of a hot hash if it is too large to broadcast.
     shared = staged(counted.where(F.col("n") >= min_docs).select("hash", "keeper"), "shared-lines")

@@ -51,6 +51,13 @@ def test_all_lines_dropped_and_very_many_lines(spark):
     assert found[2].kept == "\n".join(shared) and found[2].n_lines == 3000
 
 
+def test_repeated_rows_count_once(spark):
+    line, other = "a line that two documents hold", "a line that three documents hold"
+    rows = [(1, f"{line}\n{other}"), (1, f"{line}\n{other}"), (2, f"{line}\n{other}"), (3, other)]
+    found = sorted((r.doc_id, r.kept, r.n_dropped) for r in dedup_lines(odd.table(spark, rows)).collect())
+    assert found == [(1, line, 1), (1, line, 1), (2, line, 1), (3, other, 0)]
+
+
 def test_empty(spark):
     assert dedup_lines(odd.empty(spark)).collect() == []
 
