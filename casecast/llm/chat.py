@@ -105,7 +105,7 @@ def _jumps(nodes):
         span *= 2
 
 
-def format_reply_trees(messages, best=1):
+def format_reply_trees(messages, best=1, null_conversation=False):
     """One formatted conversation for each of a tree's `best` branches, of messages in reply trees.
 
     `messages` has `conv_id`, `node`, `parent` (null at a root), `score`, `role` and `text`. The result has `conv_id`,
@@ -118,8 +118,9 @@ def format_reply_trees(messages, best=1):
 
     Defined cases: null roles and texts are empty. A message whose parent is unknown is a root. Messages that answer
     each other in a circle have no root and belong to no path. Rows that repeat a node count once (the least by
-    parent, score, role and text). Null nodes and null conversations are left out, as nothing can name them; an empty
-    table gives an empty result; columns besides the six are ignored.
+    parent, score, role and text). Null nodes are left out, as nothing can name them, and so are messages of a null
+    conversation, unless `null_conversation` makes them one. An empty table gives an empty result; columns besides the
+    six are ignored.
     """
     fields = F.struct(
         F.col("parent").cast("bigint").alias("parent"),
@@ -127,7 +128,10 @@ def format_reply_trees(messages, best=1):
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    nodes = messages.where("conv_id IS NOT NULL AND node IS NOT NULL").select("conv_id", "node", fields.alias("message"))
+    # Joins match a struct that holds a null, but no null.
+    conv = F.struct(F.col("conv_id").isNull().alias("none"), F.col("conv_id").alias("id")).alias("conv_id")
+    named = messages.where("node IS NOT NULL") if null_conversation else messages.where("conv_id IS NOT NULL AND node IS NOT NULL")
+    nodes = named.select(conv if null_conversation else "conv_id", "node", fields.alias("message"))
     nodes = staged(nodes.groupBy("conv_id", "node").agg(F.min("message").alias("message")), "replies")
     nodes = nodes.select("conv_id", "node", "message.*")
     jumps, rooted = _jumps(nodes)
@@ -146,4 +150,5 @@ def format_reply_trees(messages, best=1):
         F.sort_array(F.collect_list(F.struct((-F.col("height")).alias("at"), "role", "text"))).alias("turns")
     )
     done = turns.select("conv_id", "rank", F.size("turns").cast("bigint").alias("n_turns"), _formatted("turns").alias("done"))
-    return done.join(chosen, ["conv_id", "rank"]).select("conv_id", "rank", "leaf", "score", "n_turns", "done.*")
+    given = F.col("conv_id.id").alias("conv_id") if null_conversation else "conv_id"
+    return done.join(chosen, ["conv_id", "rank"]).select(given, "rank", "leaf", "score", "n_turns", "done.*")

@@ -70,7 +70,7 @@ def _read_back(formatted: pd.Series, mask: pd.Series) -> pd.DataFrame:
 def op3_chat_formatting(spark, sf_dir):
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = small_table(spark, CONTROL_ROWS, "conv_id bigint, turn bigint, role string, text string")
-    done = format_reply_trees(linear_replies(given.unionByName(control)))
+    done = format_reply_trees(linear_replies(given.unionByName(control)), null_conversation=True)
     read = done.select("conv_id", "formatted", _read_back("formatted", "mask").alias("read"))
     return read.select("conv_id", "read.*", F.char_length("formatted").cast("bigint").alias("formatted_chars"))
 

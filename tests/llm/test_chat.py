@@ -5,6 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from casecast.llm.chat import escape, format_reply_trees, format_turns, linear_replies, masked_text, parse_turns, unescape
+from casecast.llm.queries import op3_chat_formatting
 
 MARKS = ["<s>", "</s>", "[INST]", "[/INST]", "\\", "<", "[", "/", "s>", "INST]", "a", "\n", "é", "<\\s>"]
 TEXTS = st.lists(st.sampled_from(MARKS)).map("".join)
@@ -108,3 +109,11 @@ def test_turns_with_ties_and_nulls(spark):
     given_rows = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
     (row,) = format_reply_trees(linear_replies(given_rows)).collect()
     assert parse_turns(row.formatted) == [("", ""), ("user", "a"), ("user", "a"), ("user", "b"), ("assistant", "z")]
+
+
+def test_the_query_formats_the_null_conversation(spark, tmp_path):
+    rows = [(None, 0, "user", "a"), (None, 1, "assistant", "b"), (None, 2, "user", "c"), (1, 0, "user", "d"), (0, 0, "user", "e")]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    table.write.parquet(f"{tmp_path}/conversations.parquet")
+    found = {r.conv_id: (r.n_turns, r.loss_chars) for r in op3_chat_formatting(spark, str(tmp_path)).collect()}
+    assert found.pop(-7) and found == {None: (3, 1), 1: (1, 0), 0: (1, 0)}
