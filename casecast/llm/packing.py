@@ -6,11 +6,13 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from casecast.llm.bpe import CHUNK, Words, chunks, per_worker
 from casecast.llm.common import DOC_ID, TEXT, in_small_batches
 
 PIECES = (
@@ -25,6 +27,9 @@ BATCH_BYTES = 4 << 20
 # Fixed value: how the byte-level vocabularies of this family split a text before merging.
 SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+# The same for the `regex` library, whose \s has four more characters.
+WORDS = regex.compile(SPLIT.replace(r"[^\s\p{L}\p{N}]", r"[^\p{White_Space}\p{L}\p{N}]").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
+
 
 def _bytes_of_characters():
     """The byte that each character of a byte-level vocabulary file stands for: printable ones stand for themselves."""
@@ -37,14 +42,15 @@ class Encoder:
     """Ids of texts by a byte-level BPE file of the `tokenizers` library, special tokens' strings included.
 
     Where ids follow the order of the merges, as they do in files of this kind, `tiktoken` gives the same ids from the
-    same vocabulary several times as fast; any other file is left to `tokenizers` itself, and so is any text that the
-    faster one refuses, as its regex engine does with a million spaces in a row.
+    same vocabulary several times as fast; any other file is left to `tokenizers` itself. Texts of more than `CHUNK`
+    code points are encoded in pieces that end where a word ends, and words longer than that by themselves, so memory
+    beyond the text and its ids is bounded, and the faster one never meets white space that its regex engine refuses.
     """
 
     def __init__(self, path):
+        self.path, self.library, self.fast, self.words = path, None, None, None
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self.slow, self.fast = Tokenizer.from_file(path), None
         vocab, merges = spec["model"].get("vocab"), spec["model"].get("merges", [])
         pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in merges]
         made = [vocab.get(a + b, -1) for a, b in pairs] if isinstance(vocab, dict) else []
@@ -53,16 +59,42 @@ class Encoder:
         if plain and made and all(a < b for a, b in zip(made, made[1:])) and min(made) >= 256:
             to_byte = _bytes_of_characters()
             special = {token["content"]: token["id"] for token in spec.get("added_tokens", [])}
-            ranks = {bytes(to_byte[c] for c in token): i for token, i in vocab.items() if token not in special}
-            self.fast = tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special)
+            self.ranks = {bytes(to_byte[c] for c in token): i for token, i in vocab.items() if token not in special}
+            self.fast = tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=self.ranks, special_tokens=special)
+
+    @property
+    def slow(self):
+        if self.library is None:
+            self.library = Tokenizer.from_file(self.path)
+        return self.library
+
+    def _unbroken(self, text):
+        """Ids, as arrays, of a text without a place to cut it: word by word."""
+        self.words = self.words or Words(self.ranks)
+        special = "|".join(map(regex.escape, self.fast.special_tokens_set)) or "(?!)"
+        at = 0
+        for met in [*regex.finditer(special, text), None]:
+            for word in regex.finditer(WORDS, text[at : met.start() if met else len(text)]):
+                if len(word[0]) > CHUNK:
+                    yield from self.words.encode(word[0])
+                else:
+                    yield np.array(self.fast.encode_ordinary(word[0]), np.uint32)
+            if met:
+                yield np.array(self.fast.encode(met[0], allowed_special="all"), np.uint32)
+                at = met.end()
 
     def __call__(self, text):
-        if self.fast is not None:
-            try:
-                return self.fast.encode(text, allowed_special="all")
-            except ValueError:
-                pass
-        return self.slow.encode(text, add_special_tokens=False).ids
+        if self.fast is None:
+            return self.slow.encode(text, add_special_tokens=False).ids
+        if len(text) <= CHUNK:
+            return self.fast.encode(text, allowed_special="all")
+        found = []
+        for piece in chunks(text, CHUNK // 2):
+            if len(piece) <= CHUNK:
+                found.append(np.array(self.fast.encode(piece, allowed_special="all"), np.uint32))
+            else:
+                found.extend(self._unbroken(piece))
+        return np.concatenate(found)
 
 
 def classes(capacity, waste=32):
@@ -142,12 +174,12 @@ def _pack(path, capacity, end_id):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     def run(batches):
-        encode, lengths = Encoder(path), list(classes(capacity))
+        encode, lengths = per_worker(f"encoder of {path}", lambda: Encoder(path)), list(classes(capacity))
         packer = _Packer(capacity, TaskContext.get().partitionId() * TASK_SEQUENCES)
         rows, held = [], 0
         for docs in batches:
             for doc_id, text in zip(docs.column(0).to_pylist(), docs.column(1)):
-                ids = np.array([*encode(text.as_py() or ""), end_id], np.dtype("<u4"))
+                ids = np.append(np.asarray(encode(text.as_py() or ""), "<u4"), np.uint32(end_id)).astype("<u4", copy=False)
                 for start, length in cut(len(ids), lengths):
                     piece = (doc_id, start, length, ids[start : start + length].tobytes(), len(ids))
                     done = list(packer.add(piece))
@@ -173,8 +205,9 @@ def pack(docs, tokenizer, capacity=1024, end_id=0, id_col=DOC_ID, text_col=TEXT)
     task holds one open sequence per class (about 90 for 1024) and packs what these hold at its end first fit, so at most one
     sequence in a task is not nearly full. `tokenizer` is a path that every executor can open.
 
-    Defined cases: a null or empty text is the end id alone. Rows that repeat an id are packed one by one, each with
-    pieces of its own. A null id stays null. Only the two named columns are read; an empty table gives no piece.
+    Defined cases: a null or empty text is the end id alone. A very long text is encoded in parts that give the ids of
+    the whole. Rows that repeat an id are packed one by one, each with pieces of its own, and so are equal texts. A null
+    id stays null. Only the two named columns are read, so others cannot clash; an empty table gives no piece.
     """
     inputs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return in_small_batches(inputs).mapInArrow(_pack(tokenizer, capacity, end_id), PIECES)

@@ -160,13 +160,26 @@ def keep_one(docs, shingle=3, max_bits=2, id_col=DOC_ID, text_col=TEXT):
 
     Of rows that share this id the least by text stays. Rows that share an id but belong to different groups stand for
     their own group each. Rows without an id stay.
+
+    The rows that stay are chosen on narrow keys (id, hash and length of the text), and whole rows are joined to them
+    once. Only where several rows of a group have its smallest id are texts compared.
+
+    Defined cases: a null or empty text has fingerprint 0 and is grouped like any other, and a null text is greater than any.
+    A very long text is read in chunks. Extra columns are kept as they are, whatever their names; an empty table stays empty.
     """
     prints = staged(fingerprints(docs, shingle, id_col, text_col, text_key=True), "simhash")
     least = prints.join(_components(prints, max_bits), F.col("fp") == F.col("_fp")).where("doc_id = component")
-    stay = least.select(F.col("doc_id").alias("_stays"), F.col("h").alias("_h"), F.col("n").alias("_n"), "root").distinct()
+    by_root = least.groupBy("root").agg(F.min(F.struct("doc_id", "h", "n")).alias("least"), F.count(F.lit(1)).alias("rows"))
+    by_root = staged(by_root, "simhash-stay")
+    named = [F.col("least.doc_id").alias("_stays"), F.col("least.h").alias("_h"), F.col("least.n").alias("_n")]
     row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
     rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text"), *_text_key(text_col), row)
-    kept = rows.join(stay, (F.col("_id") == F.col("_stays")) & (F.col("h") == F.col("_h")) & (F.col("n") == F.col("_n")))
-    one = kept.groupBy("root").agg(F.min_by("row", "_text").alias("row"), F.first("row").alias("any"))
-    one = one.select(F.coalesce("row", "any").alias("row"))
+    is_named = (F.col("_id") == F.col("_stays")) & (F.col("h") == F.col("_h")) & (F.col("n") == F.col("_n"))
+    one = rows.join(by_root.where("rows = 1").select(*named), is_named).select("row")
+    if not by_root.where("rows > 1").isEmpty():
+        several = least.join(by_root.where("rows > 1").select("root"), "root")
+        keys = [F.col("doc_id").alias("_stays"), F.col("h").alias("_h"), F.col("n").alias("_n")]
+        met = rows.join(several.select(*keys, "root").distinct(), is_named)
+        chosen = met.groupBy("root").agg(F.min_by("row", "_text").alias("row"), F.first("row").alias("any"))
+        one = one.unionByName(chosen.select(F.coalesce("row", "any").alias("row")))
     return one.unionByName(rows.where("_id IS NULL").select("row")).select("row.*")

@@ -1,3 +1,6 @@
+import random
+import subprocess
+import sys
 from collections import defaultdict
 
 import numpy as np
@@ -66,6 +69,32 @@ def test_very_long_white_space(spark, tokenizer, space):
     check(pack(odd.table(spark, [(1, text)]), tokenizer_path()).collect(), {1: [[*expected, 0]]}, 1024)
 
 
+PARTS = ["the ", "a", "'s", "'ll", " ", "\n", "12", "3a", "!?", "<|endoftext|>", "é", "中文", "\u3000", "ababab", "qzx", "\x1c", "<|", "\t"]
+
+
+def test_cut_texts_give_the_ids_of_the_whole(tokenizer, monkeypatch):
+    from casecast.llm import bpe, packing
+
+    monkeypatch.setattr(packing, "CHUNK", 50)
+    monkeypatch.setattr(bpe, "WINDOW", 16)
+    encode, draw = Encoder(tokenizer_path()), random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = ["".join(draw.choice(PARTS) * draw.choice([1, 1, 2, 40]) for _ in range(draw.randrange(1, 25))) for _ in range(400)]
+    texts += ["".join(draw.choices(letters, k=draw.randrange(60, 900))) for _ in range(100)]
+    for text in texts:
+        assert list(encode(text)) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_memory_of_a_very_long_text():
+    code = (
+        "import resource, sys; from casecast.llm.packing import Encoder; "
+        "ids = Encoder(sys.argv[1])('a' + ' ' * 10_000_000 + 'b'); assert len(ids) > 1000; "
+        "print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)"
+    )
+    done = subprocess.run([sys.executable, "-c", code, tokenizer_path()], capture_output=True, text=True, check=True)
+    assert int(done.stdout) < 600
+
+
 def test_other_files_are_left_to_the_library():
     import public_tokenizers
 
