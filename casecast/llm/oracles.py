@@ -116,5 +116,31 @@ SELECT w.doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(n_rem
   sha256(unhex(CASE WHEN n_spans IS NULL THEN hex(b) WHEN last = octet_length(b) THEN head
     ELSE head || hex(array_slice(b, last + 1, octet_length(b))) END)) AS kept_sha256
 FROM whole w LEFT JOIN pieces p ON w.doc_id = p.doc_id
+""",
+    "op11_ranked_search": r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents WHERE text IS NOT NULL
+), counts AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+lengths AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM counts GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+norms AS (SELECT doc_id, 100 - 75 + (75 * n * docs) // terms AS m FROM lengths, whole),
+held AS (SELECT term, count(*) AS df FROM counts GROUP BY term),
+weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w FROM held, whole),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE text IS NOT NULL
+), items AS (SELECT item_id, term, count(*) AS repeats FROM asked GROUP BY item_id, term),
+scores AS (
+  SELECT i.item_id, c.doc_id,
+    CAST(sum(i.repeats * w.w * ((1000000000 * c.tf) // (1000 * c.tf + 8 * m.m))) AS BIGINT) AS score
+  FROM items i JOIN counts c ON i.term = c.term JOIN weights w ON i.term = w.term JOIN norms m ON c.doc_id = m.doc_id
+  GROUP BY i.item_id, c.doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
 """,
 }

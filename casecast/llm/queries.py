@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from casecast.llm.chat import format_reply_trees, linear_replies, masked_text, parse_turns
 from casecast.llm.common import sha256, table
+from casecast.llm.lexical import search
 from casecast.llm.lines import dedup_lines
 from casecast.llm.mixing import mix
 from casecast.llm.packing import pack
@@ -139,6 +140,10 @@ def op10_suffix_array_dedup(spark, sf_dir):
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", sha256("kept").alias("kept_sha256"))
 
 
+def op11_ranked_search(spark, sf_dir):
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_packing": op2_packing,
@@ -150,4 +155,5 @@ QUERIES = {
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_mixing": op9_mixing,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op11_ranked_search": op11_ranked_search,
 }

@@ -1,0 +1,88 @@
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import odd
+import pytest
+
+from casecast.llm import lexical
+from casecast.llm.lexical import TERM, best, exact_products, search
+
+ITEMS = "item_id bigint, text string, score string, term string"
+
+
+def terms(text):
+    return ["".join(c.lower() if "A" <= c <= "Z" else c for c in word) for word in re.findall(TERM, text or "")]
+
+
+def brute(docs, items, k):
+    """`docs`: (id, text) rows. `items`: {id: text}."""
+    held = [(doc_id, Counter(terms(text))) for doc_id, text in docs]
+    held = [(doc_id, counts, sum(counts.values())) for doc_id, counts in held if counts]
+    n_docs, n_terms = len(held), sum(n for _, _, n in held)
+    df = Counter(term for _, counts, _ in held for term in counts)
+    found = []
+    for item_id, text in items.items():
+        scores = []
+        for doc_id, counts, n in held:
+            m = 100 - 75 + 75 * n * n_docs // n_terms
+            score = 0
+            for term in terms(text):
+                if counts[term]:
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[term] + 1)))
+                    score += w * (1_000_000_000 * counts[term] // (1000 * counts[term] + 8 * m))
+            if doc_id is not None and score > 0:
+                scores.append((-score, doc_id))
+        found += [(item_id, rank, doc_id, -score) for rank, (score, doc_id) in enumerate(sorted(scores)[:k], 1)]
+    return sorted(found)
+
+
+def rows(frame):
+    return sorted(tuple(r) for r in frame.collect())
+
+
+@pytest.mark.parametrize("tiles", [(512, 32, 1 << 22, 1 << 18), (3, 2, 64, 1 << 18), (5, 3, 40, 30)])
+@pytest.mark.parametrize("clashing", [False, True])
+def test_against_brute_force(spark, monkeypatch, tiles, clashing):
+    for name, value in zip(("TILE_DOCS", "TILE_ITEMS", "CELLS", "WAVE_PAIRS"), tiles):
+        monkeypatch.setattr(lexical, name, value)
+    given = [(r[0], r[1]) for r in odd.odd_rows()] + [(100 + i, odd.prose(i % 7, 30)) for i in range(40)]
+    items = {1: odd.prose(1, 20), 2: "River RIVER river stone", 3: "中文 é ñ", 4: "nothing of this: qqq", 5: "", 6: "one,two!x" * 2}
+    items |= {10 + i: odd.prose(50 + i, 12) for i in range(6)}
+    table = [(i, text, "mine", "mine") for i, text in items.items()] + [(2, items[2], "again", ""), (7, None, "", ""), (None, "river", "", "")]
+    found = search(odd.table(spark, given, clashing).repartition(3), spark.createDataFrame(table, ITEMS), 4)
+    assert found.columns == ["item_id", "rank", "doc_id", "score"]
+    assert rows(found) == brute(given, items, 4)
+
+
+def test_a_long_text_is_split_between_terms(spark, monkeypatch):
+    monkeypatch.setattr(lexical, "SPLIT_BYTES", 64)
+    given = [(1, odd.prose(1, 3000)), (2, "x" * 500 + " river"), (3, odd.prose(3, 50))]
+    items = {1: "river stone", 2: "x" * 500}
+    table = [(i, text, "", "") for i, text in items.items()]
+    assert rows(search(odd.table(spark, given), spark.createDataFrame(table, ITEMS), 5)) == brute(given, items, 5)
+
+
+def test_products_are_exact_beyond_float64():
+    draw = np.random.default_rng(3)
+    for top, repeats in ((100, 3), (30_000_000_000, 4), (30_000_000_000, 400_000), (30_000_000_000, 4_000_000)):
+        impacts, asked = draw.integers(0, top, (7, 40)), draw.integers(0, repeats, (5, 40))
+        asked[0, 0], impacts[0, 0] = repeats, top
+        plain = impacts.astype(object) @ asked.T.astype(object)
+        assert exact_products(impacts.astype(float), asked.astype(float)).tolist() == plain.tolist()
+
+
+def test_ties_go_to_the_smaller_id_whatever_the_order():
+    draw = random.Random(2)
+    given = [(draw.randrange(3), i, draw.randrange(3)) for i in range(60)]
+    draw.shuffle(given)
+    items, docs, scores = (np.array(c, np.int64) for c in zip(*given))
+    expected = sorted(r for item in range(3) for r in sorted((r for r in given if r[0] == item), key=lambda r: (-r[2], r[1]))[:5])
+    assert sorted(zip(*(c.tolist() for c in best(items, docs, scores, 5)))) == expected
+
+
+def test_empty(spark):
+    items = spark.createDataFrame([(1, "river", "", "")], ITEMS)
+    assert search(odd.empty(spark), items).collect() == [] and search(odd.table(spark), items.where("false")).collect() == []

@@ -25,6 +25,7 @@ COLUMNS = {
     "near_edited double, near_next double",
     "op9": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
     "op10": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
+    "op11": "item_id bigint, rank int, doc_id bigint, score bigint",
 }
 
 
