@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from casecast.llm.bpe import CHUNK, Words, chunks, per_worker
+from casecast.llm.bpe import CHUNK, Words, bytes_of_characters, chunks, per_worker
 from casecast.llm.common import DOC_ID, TEXT, in_small_batches
 
 PIECES = (
@@ -31,13 +31,6 @@ SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 WORDS = regex.compile(SPLIT.replace(r"[^\s\p{L}\p{N}]", r"[^\p{White_Space}\p{L}\p{N}]").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
-def _bytes_of_characters():
-    """The byte that each character of a byte-level vocabulary file stands for: printable ones stand for themselves."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [byte for byte in range(256) if byte not in plain]
-    return {chr(byte): byte for byte in plain} | {chr(256 + i): byte for i, byte in enumerate(rest)}
-
-
 class Encoder:
     """Ids of texts by a byte-level BPE file of the `tokenizers` library, special tokens' strings included.
 
@@ -57,7 +50,7 @@ class Encoder:
         pre = spec.get("pre_tokenizer") or {}
         plain = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and not spec.get("normalizer")
         if plain and made and all(a < b for a, b in zip(made, made[1:])) and min(made) >= 256:
-            to_byte = _bytes_of_characters()
+            to_byte = bytes_of_characters()
             special = {token["content"]: token["id"] for token in spec.get("added_tokens", [])}
             self.ranks = {bytes(to_byte[c] for c in token): i for token, i in vocab.items() if token not in special}
             self.fast = tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=self.ranks, special_tokens=special)

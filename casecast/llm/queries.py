@@ -17,8 +17,9 @@ from casecast.llm.quality import fit_quality, statistics_table
 from casecast.llm.simhash import hex_digits, near_duplicates
 from casecast.llm.sketch import as_text, resemblance, with_next, with_sketches
 from casecast.llm.suffixes import remove_repeats
+from casecast.llm.token_files import read_token_files, write_token_files
 from casecast.llm.topk import quantised, top_k
-from casecast.session import small_table
+from casecast.session import scratch_path, small_table
 
 #: Ids of the byte-level vocabulary that the packed documents are made of.
 TOKENIZER = "byte_bpe_50k.json"
@@ -144,6 +145,16 @@ def op11_ranked_search(spark, sf_dir):
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
 
+#: Ids of the vocabulary with word ends that the token files are made of.
+FILE_TOKENIZER = "word_bpe_49k.json"
+
+
+def op12_token_files(spark, sf_dir):
+    path = scratch_path(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_path(FILE_TOKENIZER), end_id=1)
+    return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_packing": op2_packing,
@@ -156,4 +167,5 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
     "op11_ranked_search": op11_ranked_search,
+    "op12_token_files": op12_token_files,
 }
