@@ -142,5 +142,56 @@ scores AS (
   SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0
 )
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+""",
+    "op13_prefix_trie": """
+WITH given AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
+    coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), named AS (
+  SELECT conv_id, count(*) AS n, conv_id - conv_id % 100 AS base, CAST(conv_id AS VARCHAR) AS digits FROM given GROUP BY conv_id
+), bits AS (
+  SELECT *, flatten(list_transform(range(1, length(digits) + 1),
+    lambda i: [CAST(ascii(digits[i]) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])) AS steps FROM named
+), convs AS (
+  SELECT conv_id, n, base, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), steps), lambda crc, x:
+    xor(xor(crc, x) >> 1, CASE WHEN xor(crc, x) % 2 = 1 THEN CAST(3988292384 AS BIGINT) ELSE 0 END)),
+    CAST(4294967295 AS BIGINT)) % 6 AS h
+  FROM bits
+), rebuilt AS (
+  SELECT c.conv_id, g.place AS depth, g.role, g.text FROM convs c JOIN given g ON g.conv_id = c.base AND g.place <= c.h
+  UNION ALL
+  SELECT c.conv_id, least(c.h, coalesce(b.n, 0)) + g.place - c.h, g.role, g.text
+  FROM convs c JOIN given g ON g.conv_id = c.conv_id AND g.place > c.h LEFT JOIN convs b ON b.conv_id = c.base
+), paths AS (
+  SELECT conv_id, 0 AS depth, '' AS path, 0 AS chars FROM convs
+  UNION ALL
+  SELECT conv_id, depth, string_agg(length(role) || ':' || length(text) || ':' || role || text, '')
+    OVER (PARTITION BY conv_id ORDER BY depth), length(text)
+  FROM rebuilt
+), grouped AS (
+  SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, max(chars) AS chars FROM paths GROUP BY depth, path
+), members AS (
+  SELECT p.conv_id AS member, p.depth, g.conv_id FROM paths p JOIN grouped g ON p.depth = g.depth AND p.path = g.path
+), nodes AS (
+  SELECT g.conv_id, g.depth, m.conv_id AS parent_conv_id, g.n_convs, g.chars
+  FROM grouped g LEFT JOIN members m ON m.member = g.conv_id AND m.depth = g.depth - 1
+), children AS (
+  SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1, 2
+), counted AS (
+  SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM nodes n LEFT JOIN children c ON n.conv_id = c.conv_id AND n.depth = c.depth
+), sums AS (
+  SELECT m.conv_id, m.depth, sum(CASE WHEN x.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((x.n_convs - 1) * x.chars) AS saved
+  FROM counted x JOIN members m ON m.member = x.conv_id AND m.depth <= x.depth GROUP BY m.conv_id, m.depth
+), lengths AS (SELECT conv_id, max(depth) AS depth FROM paths GROUP BY conv_id),
+ends AS (
+  SELECT m.conv_id, m.depth, string_agg(CAST(m.member AS VARCHAR), ',' ORDER BY m.member) AS ids
+  FROM members m JOIN lengths l ON m.member = l.conv_id AND m.depth = l.depth GROUP BY m.conv_id, m.depth
+)
+SELECT c.conv_id, CAST(c.depth AS BIGINT) AS depth, c.parent_conv_id, CAST(c.n_convs AS BIGINT) AS n_convs,
+  CAST(c.n_children AS BIGINT) AS n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens,
+  sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM counted c JOIN sums s ON c.conv_id = s.conv_id AND c.depth = s.depth
+LEFT JOIN ends e ON c.conv_id = e.conv_id AND c.depth = e.depth
 """,
 }

@@ -19,6 +19,7 @@ from casecast.llm.sketch import as_text, resemblance, with_next, with_sketches
 from casecast.llm.suffixes import remove_repeats
 from casecast.llm.token_files import read_token_files, write_token_files
 from casecast.llm.topk import quantised, top_k
+from casecast.llm.trie import prefix_trie
 from casecast.session import scratch_path, small_table
 
 #: Ids of the byte-level vocabulary that the packed documents are made of.
@@ -155,6 +156,10 @@ def op12_token_files(spark, sf_dir):
     return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie(table(spark, sf_dir, "conversations"), head_turns=6, group=100)
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_packing": op2_packing,
@@ -168,4 +173,5 @@ QUERIES = {
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
     "op11_ranked_search": op11_ranked_search,
     "op12_token_files": op12_token_files,
+    "op13_prefix_trie": op13_prefix_trie,
 }

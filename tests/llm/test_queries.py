@@ -25,6 +25,8 @@ COLUMNS = {
     "near_edited double, near_next double",
     "op9": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
     "op10": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
+    "op13": "conv_id bigint, depth bigint, parent_conv_id bigint, n_convs bigint, n_children bigint, n_leaves bigint, "
+    "saved_tokens bigint, ends_sha256 string",
     "op12": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
     "op11": "item_id bigint, rank int, doc_id bigint, score bigint",
 }
