@@ -111,16 +111,35 @@ def frequency_deviations(dataset, features, weight):
 class _CountsCases:
     """Fits weighted rows as the cases they count.
 
+    `fitMultiple`, which a search calls once for each fold, learns the deviations once for all its points.
+
     Spark divides a feature by its standard deviation, and with weights takes that of weighted observations, which is
     not the one over as many single rows. So the scaling is done here, by the deviations over the counted cases, the
     fit is left to Spark without its own, and the coefficients are scaled back. A feature that never varies gets 0.
     """
 
+    _known = None  # the columns and the deviations that hold for all fits of one `fitMultiple`
+
+    def _counts(self):
+        return self.isDefined(self.weightCol) and self.getStandardization()
+
+    def _deviations(self, dataset):
+        columns = self.getFeaturesCol(), self.getWeightCol()
+        if self._known is None or self._known[0] != columns:
+            return frequency_deviations(dataset, *columns)
+        return self._known[1]
+
+    def fitMultiple(self, dataset, paramMaps):
+        shared = self.copy()
+        if self._counts():
+            shared._known = (self.getFeaturesCol(), self.getWeightCol()), self._deviations(dataset)
+        return super(_CountsCases, shared).fitMultiple(dataset, paramMaps)
+
     def _fit(self, dataset):
-        if not self.isDefined(self.weightCol) or not self.getStandardization():
+        if not self._counts():
             return super()._fit(dataset)
         features = self.getFeaturesCol()
-        deviations = frequency_deviations(dataset, features, self.getWeightCol())
+        deviations = self._deviations(dataset)
         factors = [1.0 / x if x > 0 else 0.0 for x in deviations]
         scaled = f"{features}_scaled"
         product = ElementwiseProduct(scalingVec=Vectors.dense(factors), inputCol=features, outputCol=scaled)
@@ -139,7 +158,7 @@ def _java_vector(vector):
     return sc._jvm.org.apache.spark.ml.linalg.Vectors.dense(values)
 
 
-class CaseLogisticRegression(_StopsByItself, _CountsCases, LogisticRegression):
+class CaseLogisticRegression(_CountsCases, _StopsByItself, LogisticRegression):
     @staticmethod
     def _iterations(model):
         return model.iterations if hasattr(model, "iterations") else model.summary.totalIterations
@@ -150,7 +169,7 @@ class CaseLogisticRegression(_StopsByItself, _CountsCases, LogisticRegression):
         return LogisticRegressionModel(made)
 
 
-class CaseLinearSVC(_StopsByItself, _CountsCases, LinearSVC):
+class CaseLinearSVC(_CountsCases, _StopsByItself, LinearSVC):
     @staticmethod
     def _iterations(model):
         return model.iterations if hasattr(model, "iterations") else model.summary().totalIterations

@@ -195,6 +195,16 @@ ICU_FOLDS = [
 ]
 
 
+def icu_winner(majority, icu):
+    """The tuning table of a point that predicts survival and one that follows the ICU flag."""
+    return with_steps(
+        [*TO_DERIVED, MAJORITY, *ICU_FOLDS],
+        f"""SELECT 0 AS point, '{majority}' AS params, round(a, 6) AS avg_f1, round(s, 6) AS std_f1, false AS best FROM scored
+            UNION ALL
+            SELECT 1, '{icu}', round(avg(f1), 6), round(stddev_pop(f1), 6), true FROM icu_f1""",
+    )
+
+
 def stored_results(models):
     names = ", ".join(f"('{name}')" for name in models)
     return with_steps(
@@ -208,6 +218,7 @@ def stored_results(models):
 ORACLES = {
     "csv_scan_roundtrip": with_steps(CASES_ONLY, "SELECT * FROM cases"),
     "csv_scan_inferred": with_steps(CASES_ONLY, "SELECT * FROM cases"),
+    "csv_scan_other_headers": with_steps(CASES_ONLY, "SELECT * FROM cases"),
     "parquet_scan_roundtrip": with_steps(CASES_ONLY, "SELECT * FROM cases"),
     "confirmed_cases": with_steps(TO_CONFIRMED, "SELECT * FROM confirmed"),
     "care_flags": with_steps(TO_DERIVED, "SELECT case_id, male, icu, ventilator FROM derived"),
@@ -309,14 +320,10 @@ ORACLES = {
            FROM scored, (VALUES (0, 'elasticNetParam=1.0 regParam=10.0'), (1, 'elasticNetParam=1.0 regParam=20.0'))
              AS t(point, params)""",
     ),
-    "cross_validation_winner": with_steps(
-        [*TO_DERIVED, MAJORITY, *ICU_FOLDS],
-        """SELECT 0 AS point, 'elasticNetParam=1.0 regParam=10.0 tol=1e-09' AS params, round(a, 6) AS avg_f1,
-             round(s, 6) AS std_f1, false AS best FROM scored
-           UNION ALL
-           SELECT 1, 'elasticNetParam=1.0 regParam=0.0 tol=1e-09', round(avg(f1), 6), round(stddev_pop(f1), 6), true
-           FROM icu_f1""",
-    ),
+    "cross_validation_winner": icu_winner("elasticNetParam=1.0 regParam=10.0 tol=1e-09", "elasticNetParam=1.0 regParam=0.0 tol=1e-09"),
+    "search_forest_winner": icu_winner("numTrees=1 maxDepth=0", "numTrees=1 maxDepth=1"),
+    "search_boosted_winner": icu_winner("maxIter=1 maxDepth=0", "maxIter=1 maxDepth=1"),
+    "search_svm_winner": icu_winner("maxIter=5 regParam=10.0 tol=0.01", "maxIter=5 regParam=0.0 tol=0.01"),
     "training_run": stored_results(["rf", "lr", "svm", "gbt"]),
     "training_run_with_diagnosis": stored_results(["lr", "rf"]),
     "tuned_parameters": """

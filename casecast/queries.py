@@ -68,6 +68,17 @@ def csv_scan_inferred(spark, sf_dir):
     return cases.withColumn(KEY, F.col(KEY).cast("bigint"))
 
 
+def csv_scan_other_headers(spark, sf_dir):
+    """Files whose columns come in two orders, with inferred types and a column for lines that do not parse."""
+    path = scratch_path(spark, "cases-csv")
+    cases = cases_from_orders(spark, sf_dir)
+    even = F.col(KEY) % 2 == 0
+    cases.where(even).write.option("header", True).csv(path)
+    cases.where(~even).select(*reversed(cases.columns)).write.mode("append").option("header", True).csv(path)
+    read = read_cases_csv(spark, path, infer=True, corrupt_column="bad")
+    return read.where("bad IS NULL").select(F.col(KEY).cast("bigint").alias(KEY), *CASE_SCHEMA.names)
+
+
 def parquet_scan_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "cases-parquet")
     cases_from_orders(spark, sf_dir).write.parquet(path)
@@ -321,11 +332,11 @@ def svm_score_consistency(spark, sf_dir):
     return model.transform(inputs).agg(F.count(F.lit(1)).alias("n"), F.sum(wrong).alias("mismatches"))
 
 
-def searched_on_icu(spark, sf_dir, grid):
+def searched_on_icu(spark, sf_dir, grid, name="lr", **params):
     training_part = with_split(derived(spark, sf_dir)).where(F.col("split") == "train")
-    rows = icu_rows("lr", training_part, ["fold"]).persist()
+    rows = icu_rows(name, training_part, ["fold"]).persist()
     try:
-        tuning = search(rows, "lr", grid, weight=WEIGHT).tuning
+        tuning = search(rows, name, grid, weight=WEIGHT, parallelism=4, **params).tuning
     finally:
         rows.unpersist()
     table = small_table(spark, tuning, SCHEMAS["tuning"])
@@ -342,6 +353,21 @@ def cross_validation_winner(spark, sf_dir):
     return searched_on_icu(spark, sf_dir, {"elasticNetParam": [1.0], "regParam": [10.0, 0.0], "tol": [1e-9]})
 
 
+def search_forest_winner(spark, sf_dir):
+    """A tree without a split predicts survival; one with a split follows the ICU flag and wins."""
+    return searched_on_icu(spark, sf_dir, {"numTrees": [1], "maxDepth": [0, 1]}, "rf", bootstrap=False)
+
+
+def search_boosted_winner(spark, sf_dir):
+    """As for the forest, with one round of boosting, whose margins have the sign of a level's majority."""
+    return searched_on_icu(spark, sf_dir, {"maxIter": [1], "maxDepth": [0, 1]}, "gbt")
+
+
+def search_svm_winner(spark, sf_dir):
+    """A penalty that leaves only the intercept against none, which takes each level's majority side."""
+    return searched_on_icu(spark, sf_dir, {"maxIter": [5], "regParam": [10.0, 0.0], "tol": [0.01]}, "svm")
+
+
 # Runs
 
 
@@ -454,6 +480,7 @@ def majority_run_scores(spark, sf_dir):
 QUERIES = {
     "csv_scan_roundtrip": csv_scan_roundtrip,
     "csv_scan_inferred": csv_scan_inferred,
+    "csv_scan_other_headers": csv_scan_other_headers,
     "parquet_scan_roundtrip": parquet_scan_roundtrip,
     "confirmed_cases": confirmed,
     "care_flags": care_flags,
@@ -493,6 +520,9 @@ QUERIES = {
     "svm_score_consistency": svm_score_consistency,
     "cross_validation_majority": cross_validation_majority,
     "cross_validation_winner": cross_validation_winner,
+    "search_forest_winner": search_forest_winner,
+    "search_boosted_winner": search_boosted_winner,
+    "search_svm_winner": search_svm_winner,
     "saved_model_scores": saved_model_scores,
     "majority_run_metrics": majority_run_metrics,
     "majority_run_confusion": majority_run_confusion,

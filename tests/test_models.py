@@ -159,3 +159,21 @@ def test_shared_fits_of_a_single_class(rows):
         assert {row.prediction for row in model.transform(survivors).collect()} == {0.0}
     with pytest.raises(Exception, match="binary"):
         list(machine.fitMultiple(survivors, param_maps(machine, axes)))
+
+
+@pytest.mark.parametrize("name", ["lr", "svm"])
+def test_deviations_are_learned_once_for_each_fold(rows, name, monkeypatch):
+    from casecast.models import estimators
+
+    calls, plain = [], estimators.frequency_deviations
+    monkeypatch.setattr(estimators, "frequency_deviations", lambda *args: calls.append(args[1:]) or plain(*args))
+    axes = {"regParam": [0.1, 0.2, 0.3], "maxIter": [3, 9]}
+    result = search(rows, name, axes, weight="weight", parallelism=3)
+    assert calls == [("features", "weight")] * 4  # three folds and the refit
+    classifier = estimator(name, "weight")
+    for index, point in enumerate(param_maps(classifier, axes)):
+        single = classifier.fit(rows, point)
+        again = dict(classifier.fitMultiple(rows, [point]))[0]
+        assert predictions(single, rows) == predictions(again, rows)
+        if result.tuning[index][4]:
+            assert predictions(result.model, rows) == predictions(single, rows)
