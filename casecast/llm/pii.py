@@ -174,14 +174,20 @@ def candidates(docs, id_col=DOC_ID, text_col=TEXT):
 
 def _near_strict(found):
     """Adds `taken`, whether a valid strict match overlaps a candidate, `own`, whether one of its kind does, and `same`,
-    whether that one has its span."""
-    in_text = Window.partitionBy("key").orderBy("start", "end")
+    whether that one has its span.
+
+    What comes before and what comes after a candidate are running values in the two directions of one order, so a text
+    with many candidates takes time by their number.
+    """
+    order = ["start", "end", "kind", "strict"]
+    onward = Window.partitionBy("key").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    backward = Window.partitionBy("key").orderBy(*[F.col(c).desc() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
     sure = F.col("strict") & F.col("valid")
 
     def overlapped(kind):
         match = sure & (F.col("kind") == kind)
-        until = F.max(F.when(match, F.col("end"))).over(in_text.rowsBetween(Window.unboundedPreceding, -1))
-        after = F.min(F.when(match, F.col("start"))).over(in_text.rowsBetween(1, Window.unboundedFollowing))
+        until = F.max(F.when(match, F.col("end"))).over(onward)
+        after = F.min(F.when(match, F.col("start"))).over(backward)
         return F.coalesce(until > F.col("start"), F.lit(False)) | F.coalesce(after < F.col("end"), F.lit(False))
 
     by_kind = F.array(*map(overlapped, range(len(KINDS)))).alias("by_kind")

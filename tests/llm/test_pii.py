@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import odd
 import pytest
@@ -182,3 +183,21 @@ def test_leftmost_of_overlapping_proposals_stay(spark, monkeypatch):
             if not expected[doc] or start >= expected[doc][-1][1]:
                 expected[doc].append((start, end, kind))
     assert expected[1] == [(0, 10, 0), (12, 20, 2)] and {doc: sorted(own) for doc, own in found.items()} == expected
+
+
+def test_a_long_text_full_of_personal_data(spark):
+    draw, pieces = random.Random(4), []
+    for _ in range(4_000_000 // 16):
+        pieces.append(draw.choice([CARD, PHONE, IP, "user@b.co", f"{draw.randrange(10**8)}"]))
+    begun = time.time()
+    (row,) = with_private(odd.table(spark, [(1, ", ".join(pieces))])).select(*summary()).collect()
+    assert time.time() - begun < 60
+    expected = [pieces.count(piece) for piece in ("user@b.co", IP, CARD, PHONE)]
+    assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == expected
+
+
+def test_no_python_and_no_frame_that_looks_ahead_in_the_plan(spark):
+    found = pii._near_strict(pii.candidates(odd.table(spark), "doc_id", "text"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    assert "unboundedpreceding$(), -1" in plan and "1, unboundedfollowing$()" not in plan
