@@ -25,8 +25,9 @@ WORDS = regex.compile(SPLIT.replace(r"\s", r"\p{White_Space}"))
 # The same where a byte 1 stands between stretches.
 MARKED = regex.compile(SPLIT.replace(r"\s", r"\p{White_Space}\x01"))
 
-#: Words whose ids a worker remembers, and the longest of them in bytes; longer ones are soon forgotten.
-KNOWN_WORDS, KNOWN_LENGTH = 1 << 18, 1024
+#: Words whose ids a worker remembers, the longest of them in bytes (longer ones are soon forgotten), and how many words
+#: are looked up at a time.
+KNOWN_WORDS, KNOWN_LENGTH, STEP_WORDS = 1 << 18, 1024, 1 << 17
 #: Code points from which a stretch without white space is encoded in parts.
 LONG = 1 << 16
 #: Text that is encoded at a time.
@@ -45,6 +46,18 @@ BLOCKS = (
 DOCUMENTS = "doc_id bigint, start bigint, n_tokens bigint, ids binary"
 
 
+class _Numbers(dict):
+    """Numbers words in the order they are first asked for; `new` has those that were not asked for before."""
+
+    def __init__(self):
+        self.new = []
+
+    def __missing__(self, word):
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
 class WordEnds:
     """Ids of texts by a file of the `tokenizers` library.
 
@@ -98,29 +111,28 @@ class WordEnds:
         return bool(splits and plain and kinds == ["NFC", "Replace", "Lowercase"] and not spec.get("post_processor"))
 
     def _forget(self):
-        self.known, self.held = {}, [(np.zeros(0, np.int64), np.zeros(0, np.uint32))]
+        self.known, self.held = _Numbers(), [(np.zeros(0, np.int64), np.zeros(0, np.uint32))]
 
     def _learn(self, words):
-        if len(self.known) + len(words) > KNOWN_WORDS:
-            raise OverflowError
-        odd, plain, text = [], words, b"\x01".join(words)
-        if text.count(b"\x01") >= len(words) or max(map(len, words), default=0) > LONG or any(mark in text for mark in self.odd):
-            odd = [word for word in words if len(word) > LONG or b"\x01" in word or any(mark in word for mark in self.odd)]
-            plain = list(set(words).difference(odd))
-            text = b"\x01".join(plain)
-        if plain:
-            text = text.decode()
-            text = text.lower() if text.isascii() else self.library.normalizer.normalize_str(text)
-            ids = self.ends.encode_to_numpy(MARKED.sub("\\g<0>\x00", text) + "\x01").astype(np.uint32)
-            apart = np.flatnonzero(ids == self.apart)
-            self._remember(plain, np.diff(apart, prepend=-1) - 1, np.delete(ids, apart))
-        for word in odd:
-            ids = self._long(word.decode())
-            self._remember([word], np.array([len(ids)]), ids)
-
-    def _remember(self, words, sizes, ids):
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
-        self.held.append((sizes, ids))
+        """Hold the ids of `words`, in their order."""
+        texts = {}
+        text = b"\x01".join(words)
+        if text.count(b"\x01") >= len(words) or max(map(len, words)) > LONG or any(mark in text for mark in self.odd):
+            for i, word in enumerate(words):
+                if len(word) > LONG or b"\x01" in word or any(mark in word for mark in self.odd):
+                    texts[i] = word.decode()
+            text = b"\x01".join(b"" if i in texts else word for i, word in enumerate(words))
+        text = text.decode()
+        text = text.lower() if text.isascii() else self.library.normalizer.normalize_str(text)
+        ids = self.ends.encode_to_numpy(MARKED.sub("\\g<0>\x00", text) + "\x01").astype(np.uint32)
+        apart = np.flatnonzero(ids == self.apart)
+        sizes, ids = np.diff(apart, prepend=-1) - 1, np.delete(ids, apart)
+        if texts:
+            parts = np.split(ids, np.cumsum(sizes)[:-1])
+            for i, stretch in texts.items():
+                parts[i] = self._long(stretch)
+            sizes, ids = np.array([len(part) for part in parts]), np.concatenate(parts)
+        self.held = [tuple(np.concatenate(pair) for pair in zip(*self.held, (sizes, ids)))]
 
     def _long(self, stretch):
         """Ids of a very long text without white space."""
@@ -154,42 +166,24 @@ class WordEnds:
             done = self.library.encode_batch([text.decode() for text in texts], add_special_tokens=False)
             return [np.array(one.ids, np.uint32) for one in done]
         split = [text.split() for text in texts]
-        met = set().union(*split)
-        try:
-            self._learn([word for word in met if word not in self.known])
-        except OverflowError:
-            self._forget()
-            if len(met) > KNOWN_WORDS:
-                half = len(texts) // 2
-                return self(texts[:half]) + self(texts[half:]) if half else [self._one(split[0])]
-            self._learn(list(met))
-        found = self._looked_up(split)
-        if max(map(len, met), default=0) > KNOWN_LENGTH:
-            self._forget()
-        return found
-
-    def _one(self, words):
-        """A text of more distinct words than are remembered."""
-        found = [np.zeros(0, np.uint32)]
-        for at in range(0, len(words), KNOWN_WORDS // 2):
-            self._forget()
-            own = words[at : at + KNOWN_WORDS // 2]
-            self._learn(list(set(own)))
-            found += self._looked_up([own])
-        return np.concatenate(found)
-
-    def _looked_up(self, split):
-        if len(self.held) > 1:
-            self.held = [tuple(np.concatenate(arrays) for arrays in zip(*self.held))]
-        ((sizes, flat),) = self.held
-        starts = np.cumsum(sizes) - sizes
-        lengths = [len(words) for words in split]
-        numbers = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64, sum(lengths))
-        own = sizes[numbers]
-        ends = np.cumsum(own)
-        ids = flat[np.repeat(starts[numbers] - ends + own, own) + np.arange(own.sum())]
-        bounds = np.concatenate([[0], ends])[np.cumsum(lengths)[:-1]] if len(split) > 1 else []
-        return np.split(ids, bounds)
+        words, ids, sizes = list(chain.from_iterable(split)), [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
+        for at in range(0, len(words), STEP_WORDS):
+            if len(self.known) > KNOWN_WORDS:
+                self._forget()
+            numbers = np.fromiter(map(self.known.__getitem__, words[at : at + STEP_WORDS]), np.int64)
+            new = self.known.new
+            if new:
+                self._learn(new)
+                self.known.new = []
+            ((known_sizes, known_ids),) = self.held
+            own = known_sizes[numbers]
+            first = (np.cumsum(known_sizes) - known_sizes)[numbers] - np.cumsum(own) + own
+            ids.append(known_ids[np.repeat(first, own) + np.arange(own.sum())])
+            sizes.append(own)
+            if new and max(map(len, new)) > KNOWN_LENGTH:
+                self._forget()
+        ends = np.cumsum(np.concatenate(sizes))[np.cumsum([len(own) for own in split])]
+        return np.split(np.concatenate(ids), ends[:-1])
 
 
 def _groups(batches):

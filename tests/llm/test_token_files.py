@@ -47,6 +47,7 @@ def test_ids_of_long_stretches(tokenizer, monkeypatch):
 def test_more_words_than_are_remembered(tokenizer, monkeypatch):
     monkeypatch.setattr(token_files, "KNOWN_WORDS", 20)
     monkeypatch.setattr(token_files, "KNOWN_LENGTH", 5)
+    monkeypatch.setattr(token_files, "STEP_WORDS", 7)
     same(tokenizer, made_up(100, 20) + [" ".join(f"w{i}" for i in range(200))] + made_up(50, 8, seed=6))
 
 
