@@ -16,7 +16,7 @@ from casecast.plans.training import TrainingSettings, train_rounds
 from casecast.schema import FEATURE_SETS, KEY
 from casecast.session import local_session
 from casecast.sinks.model_store import tuned_params
-from casecast.sinks.paths import RunPaths, new_run_id
+from casecast.sinks.paths import RunPaths, claim_run
 from casecast.sinks.tables import read_table
 from casecast.sources import read_cases
 
@@ -56,6 +56,12 @@ def parser():
     training.add_argument(
         "--forest-blocks", type=int, help="fit forests on about so many blocks of equal cases instead of single cases"
     )
+    training.add_argument(
+        "--forest-rows", choices=["cases", "counts"], default="cases", help="fit forests on cases, or on counted rows with the same law"
+    )
+    training.add_argument(
+        "--unknown-mean", choices=["error", "overall"], default="error", help="what fills ages of a sex without any known age"
+    )
     command("params", "print the tuned parameters of the saved models")
     board = command("leaderboard", "print the metrics of all runs, best first", run_needed=False)
     board.add_argument("--dataset", choices=["test", "validation"], default="test")
@@ -73,9 +79,29 @@ def cases_of(spark, args, keyed):
     return read_cases(spark, args.cases, "csv", sep=args.sep, infer=args.infer, types=types)
 
 
+#: What `--as-published` decides by itself, with the values that say nothing was asked for.
+DECIDED = {
+    "grid": "small",
+    "age_rule": "keep_known",
+    "means_from": "train",
+    "split": "hash",
+    "forest_blocks": None,
+    "forest_rows": "cases",
+}
+
+
 def settings_of(args):
-    chosen = {"models": args.models, "key": args.key, "parallelism": args.parallelism, "resume": args.resume}
+    chosen = {
+        "models": args.models,
+        "key": args.key,
+        "parallelism": args.parallelism,
+        "resume": args.resume,
+        "unknown_mean": args.unknown_mean,
+    }
     if args.as_published:
+        asked = [f"--{name.replace('_', '-')}" for name, usual in DECIDED.items() if getattr(args, name) != usual]
+        if asked:
+            raise SystemExit(f"--as-published decides {', '.join(asked)} by itself")
         return TrainingSettings.as_published(**chosen)
     return TrainingSettings(
         grids=PRESETS[args.grid],
@@ -83,6 +109,7 @@ def settings_of(args):
         means_from=args.means_from,
         split=args.split,
         forest_blocks=args.forest_blocks,
+        forest_rows=args.forest_rows,
         **chosen,
     )
 
@@ -97,8 +124,8 @@ def print_table(df):
 def main(argv=None):
     args = parser().parse_args(argv)
     spark = local_session(cpus=args.local) if args.local else SparkSession.builder.appName("casecast").getOrCreate()
-    paths = RunPaths(args.base, args.run or new_run_id())
     if args.command == "train":
+        paths = RunPaths(args.base, args.run) if args.run else claim_run(spark, args.base)
         settings = settings_of(args)
         train_rounds(spark, cases_of(spark, args, settings.split == "hash"), paths, settings, args.features)
         for features in args.features:
@@ -106,7 +133,7 @@ def main(argv=None):
             print(f"round {features} of run {paths.run_id}, under {of_round.root}")
             print_table(tuned_params(spark, of_round, args.models))
         return
-    paths = replace(paths, features=args.features)
+    paths = RunPaths(args.base, args.run or "", args.features)
     if args.command == "params":
         print_table(tuned_params(spark, paths, args.models))
     elif args.command == "leaderboard":

@@ -64,13 +64,15 @@ class _GroupedFits:
 
 
 class _SharesIterations:
-    """`fitMultiple` that treats points which agree in everything but `maxIter` as one group."""
+    """`fitMultiple` that treats points which agree in everything but `maxIter` (`shared_param`) as one group."""
+
+    shared_param = "maxIter"
 
     def fitMultiple(self, dataset, paramMaps):
         groups = {}
         for index, point in enumerate(paramMaps):
-            rest = frozenset((param.name, value) for param, value in point.items() if param.name != "maxIter")
-            groups.setdefault(rest, []).append((self.copy(point).getMaxIter(), index))
+            rest = frozenset((param.name, value) for param, value in point.items() if param.name != self.shared_param)
+            groups.setdefault(rest, []).append((self.copy(point).getOrDefault(self.shared_param), index))
         ordered = [sorted(group) for group in groups.values()]
         return _GroupedFits(ordered, lambda group: self._fit_group(dataset, paramMaps, group))
 
@@ -218,9 +220,11 @@ MODEL_CLASSES = {
 }
 
 
-def estimator(name, weight=None, **params):
+def estimator(name, weight=None, *, counted_forest=False, **params):
     """One of the four classifiers over `features` and `label`, at Spark's defaults but for `params`.
 
+    `counted_forest` makes forests draw the cases that rows count (`models/forests.py`) instead of the rows.
+
     A seed is always set: PySpark's default one comes from a string hash that changes with every Python process.
     """
     if name not in ESTIMATORS:
@@ -229,4 +233,7 @@ def estimator(name, weight=None, **params):
         params["weightCol"] = weight
     if name in ("rf", "gbt"):
         params = {"seed": SEED} | params
-    return ESTIMATORS[name](featuresCol="features", labelCol="label", **params)
+    kind = ESTIMATORS[name]
+    if name == "rf" and counted_forest:
+        from casecast.models.forests import CountedForestClassifier as kind
+    return kind(featuresCol="features", labelCol="label", **params)

@@ -324,6 +324,10 @@ ORACLES = {
     "search_forest_winner": icu_winner("numTrees=1 maxDepth=0", "numTrees=1 maxDepth=1"),
     "search_boosted_winner": icu_winner("maxIter=1 maxDepth=0", "maxIter=1 maxDepth=1"),
     "search_svm_winner": icu_winner("maxIter=5 regParam=10.0 tol=0.01", "maxIter=5 regParam=0.0 tol=0.01"),
+    "forest_counted": with_steps(TO_DERIVED, "SELECT icu, true AS mean_kept, true AS spread_kept FROM derived GROUP BY icu"),
+    "stamped_runs": f"""
+        SELECT dataset, metric, CAST(2 AS BIGINT) AS runs, CAST(2 AS BIGINT) AS n, true AS agree
+        FROM (VALUES ('test'), ('validation')) AS d(dataset), (SELECT unnest(string_split('{METRIC_NAMES}', ', ')) AS metric)""",
     "training_run": stored_results(["rf", "lr", "svm", "gbt"]),
     "training_run_with_diagnosis": stored_results(["lr", "rf"]),
     "tuned_parameters": """

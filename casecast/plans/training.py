@@ -16,6 +16,7 @@ from casecast.operators.profiles import COUNT, count_profiles, in_stable_order,
 from casecast.operators.split import with_split
 from casecast.schema import FEATURE_SETS, KEY, LABEL, WEIGHT
 from casecast.session import checkpoint_dir, small_table
+from casecast.sinks.manifest import check_same, describe, read_manifest, write_manifest
 from casecast.sinks.model_store import load_model, save_model
 from casecast.sinks.paths import RunPaths, is_written
 from casecast.sinks.report import report_lines, write_report
@@ -48,7 +49,10 @@ class TrainingSettings:
     which the bootstrap then draws whole, so a forest of blocks is another forest than one of cases, whatever the
     number of cases. Without it, as by default and as published, forests draw single cases.
 
-    `resume` takes up a run that broke off: profiles that were written completely are used again, models whose
+    `forest_rows` is `cases`, or `counts` for forests that are fitted on the counted rows and draw each of the cases they
+    count (`models/forests.py`): the same law as on cases, on rows bounded by the distinct combinations.
+
+    `resume` takes up a run that broke off, which must have been begun with the same settings on the same input: profiles that were written completely are used again, models whose
     metrics were published are loaded, and the others are made anew.
     """
 
@@ -63,6 +67,7 @@ class TrainingSettings:
     models_at_once: int = 4
     unknown_mean: str = "error"
     forest_blocks: int = None
+    forest_rows: str = "cases"
     resume: bool = False
     params: dict = field(default_factory=dict)
 
@@ -80,6 +85,7 @@ class TrainingSettings:
             "means_from": (self.means_from, ["train", "all"]),
             "split": (self.split, ["hash", "random"]),
             "unknown_mean": (self.unknown_mean, ["error", "overall"]),
+            "forest_rows": (self.forest_rows, ["cases", "counts"]),
         }
         for name, (value, known) in choices.items():
             if value not in known:
@@ -96,6 +102,8 @@ class TrainingSettings:
             raise ValueError(f"boosted trees are fitted on counted rows, which {counting} would take for cases")
         if self.forest_blocks is not None and self.forest_blocks < 1:
             raise ValueError("forest_blocks is a number of blocks")
+        if self.forest_blocks is not None and self.forest_rows == "counts":
+            raise ValueError("forests are fitted on blocks or on counts, not both")
 
 
 def profile_columns(features):
@@ -109,9 +117,17 @@ def case_profiles(cases, settings):
 
 
 def staged_profiles(spark, cases, paths, settings):
-    """Count the cases into the run folder and go on from there."""
+    """Count the cases into the run folder and go on from there. What the run is begun with is written first, and a run
+    that is resumed must be the same."""
     counted = case_profiles(cases, settings)
-    if not (settings.resume and is_written(spark, paths.profiles)):
+    manifest = describe(cases, settings)
+    if settings.resume and is_written(spark, paths.profiles):
+        begun = read_manifest(spark, paths.manifest)
+        check_same(begun, manifest, paths.root)
+        if begun["models"] != (known := begun["models"] | manifest["models"]):
+            write_manifest(spark, manifest | {"models": known}, paths.manifest, "overwrite")
+    else:
+        write_manifest(spark, manifest, paths.manifest, "overwrite" if settings.resume else "errorifexists")
         # What a broken run left of them is no use.
         counted.write.mode("overwrite" if settings.resume else "errorifexists").parquet(paths.profiles)
     return spark.read.schema(counted.schema).parquet(paths.profiles)
@@ -152,14 +168,14 @@ def fit_partitions(name, rows):
     return max(1, min(wanted, MANY_PARTITIONS[name]), -(-rows // MAX_ROWS_PER_PARTITION))
 
 
-def laid_out(profiles, total, distinct, name, forest_blocks=None):
+def laid_out(profiles, total, distinct, name, forest_blocks=None, forest_rows="cases"):
     """Counted profiles as weighted rows for one model, placed and ordered by their content.
 
     `total` is the number of cases the profiles stand for and `distinct` the number of profiles. Linear models and
     boosted trees take the counts whole: their sums are the same whether equal cases are one weighted row or many.
-    Forests draw rows, so theirs are single cases, or blocks of them where that is asked for.
+    Forests draw rows, so theirs are single cases, or blocks of them where that is asked for, unless they count.
     """
-    if name == "rf":
+    if name == "rf" and forest_rows == "cases":
         rows = weighted_blocks(profiles, total, forest_blocks)
         expected = min(total, distinct + forest_blocks) if forest_blocks else total
     else:
@@ -167,15 +183,16 @@ def laid_out(profiles, total, distinct, name, forest_blocks=None):
     return in_stable_order(rows, fit_partitions(name, expected))
 
 
-def training_rows(profiles, total, distinct, name, features="base", forest_blocks=None):
+def training_rows(profiles, total, distinct, name, features="base", forest_blocks=None, forest_rows="cases"):
     """The rows of `laid_out` as `features`, `label`, `fold` and `weight`."""
-    placed = laid_out(profiles, total, distinct, name, forest_blocks)
+    placed = laid_out(profiles, total, distinct, name, forest_blocks, forest_rows)
     return assembler(features).transform(placed).select("features", LABEL, "fold", WEIGHT)
 
 
 def train_model(profiles, total, distinct, name, settings) -> SearchResult:
     """Search one model's grid. Folds come with the rows, so that equal cases need not share one."""
-    train = training_rows(profiles, total, distinct, name, settings.features, settings.forest_blocks)
+    train = training_rows(profiles, total, distinct, name, settings.features, settings.forest_blocks, settings.forest_rows)
+    counted = {"counted_forest": True} if name == "rf" and settings.forest_rows == "counts" else {}
     train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return search(
@@ -184,6 +201,7 @@ def train_model(profiles, total, distinct, name, settings) -> SearchResult:
             settings.grids[name],
             weight=WEIGHT,
             parallelism=settings.parallelism,
+            **counted,
             **settings.params.get(name, {}),
         )
     finally:

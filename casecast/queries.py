@@ -1,13 +1,16 @@
 """Every operator as a query over the test tables: name -> f(spark, sf_dir) -> DataFrame."""
 
 from functools import partial
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casecast.models.estimators import estimator
+from casecast.models.forests import with_draws
 from casecast.models.grids import FULL, SMOKE, grid_points, point_text
 from casecast.models.search import f1_evaluator, search
 from casecast.operators.evaluate import METRICS, confusion, confusion_matrix, metrics_long, weighted_metrics
@@ -28,7 +31,7 @@ from casecast.plans.training import TrainingSettings, laid_out, train, training_
 from casecast.schema import BASE_FEATURES, CASE_SCHEMA, FEATURE_SETS, KEY, LABEL, WEIGHT
 from casecast.session import checkpoint_dir, scratch_path, small_table, staged
 from casecast.sinks.model_store import load_model, save_model, tuned_params
-from casecast.sinks.paths import RunPaths
+from casecast.sinks.paths import RunPaths, claim_run
 from casecast.sinks.report import report_lines, write_report
 from casecast.sinks.tables import SCHEMAS, read_table
 from casecast.sources import cases_from_orders, read_cases_csv, read_cases_parquet
@@ -280,6 +283,26 @@ def forest_stump(spark, sf_dir):
     return model.transform(levels).select("icu", F.round(vector_to_array("probability")[1], DIGITS).alias("p"))
 
 
+def forest_counted(spark, sf_dir):
+    """What the trees of a forest on counted rows draw: the death rate of each level of care, tree by tree.
+
+    A tree's rate is that of about as many cases drawn with replacement, so over the trees its mean and its deviation are
+    known, up to the error of 200 trees (four deviations of it).
+    """
+    cases, trees = derived(spark, sf_dir), 200
+    rows = with_draws(count_profiles(cases, ["icu", LABEL]), COUNT, ["icu", LABEL], 7, draws=trees)
+    drawn = rows.select("icu", LABEL, F.posexplode("draws").alias("tree", "draw")).groupBy("icu", "tree")
+    drawn = drawn.agg((F.sum(F.col("draw") * F.col(LABEL)) / F.sum("draw")).alias("rate"))
+    over_trees = drawn.groupBy("icu").agg(F.avg("rate").alias("mean"), F.stddev("rate").alias("spread"))
+    known = cases.groupBy("icu").agg(F.count(F.lit(1)).alias("n"), F.avg(LABEL).alias("p"))
+    deviation = F.sqrt(F.col("p") * (1 - F.col("p")) / F.col("n"))
+    return over_trees.join(known, "icu").select(
+        "icu",
+        (F.abs(F.col("mean") - F.col("p")) <= 4 * deviation / trees**0.5).alias("mean_kept"),
+        F.col("spread").between(0.8 * deviation, 1.2 * deviation).alias("spread_kept"),
+    )
+
+
 def logit_intercept(spark, sf_dir):
     model, levels = fitted_on_icu("lr", spark, sf_dir, elasticNetParam=1.0, regParam=10.0)
     return levels.select("icu", F.round(F.lit(float(model.intercept)), DIGITS).alias("intercept"))
@@ -453,6 +476,20 @@ def majority_run(spark, sf_dir, features="base", models=("rf", "lr", "svm", "gbt
     return paths
 
 
+def stamped_runs(spark, sf_dir):
+    """Two runs begun in the same minute under the default stamp: each has its own folders and results."""
+    base, cases = scratch_path(spark, "run"), cases_from_orders(spark, sf_dir)
+
+    def run(_):
+        train(spark, cases, claim_run(spark, base), TrainingSettings(models=["lr"], grids=SMOKE))
+
+    with ThreadPool(2) as pool:
+        pool.map(inheritable_thread_target(spark)(run), range(2))
+    stored = read_table(spark, RunPaths(base), "metrics").groupBy("dataset", "metric")
+    same = (F.min("value") == F.max("value")).alias("agree")
+    return stored.agg(F.count_distinct("run_id").alias("runs"), F.count(F.lit(1)).alias("n"), same)
+
+
 def majority_run_metrics(spark, sf_dir):
     metrics = read_table(spark, majority_run(spark, sf_dir), "metrics")
     return metrics.select("run_id", "features", "model", "dataset", "metric", rounded("value"))
@@ -512,6 +549,7 @@ QUERIES = {
     "evaluation_report": evaluation_report,
     "base_rates": base_rates,
     "forest_stump": forest_stump,
+    "forest_counted": forest_counted,
     "logit_intercept": logit_intercept,
     "logit_saturated": logit_saturated,
     "boost_stump": boost_stump,
@@ -524,6 +562,7 @@ QUERIES = {
     "search_boosted_winner": search_boosted_winner,
     "search_svm_winner": search_svm_winner,
     "saved_model_scores": saved_model_scores,
+    "stamped_runs": stamped_runs,
     "majority_run_metrics": majority_run_metrics,
     "majority_run_confusion": majority_run_confusion,
     "majority_run_leaderboard": majority_run_leaderboard,

@@ -1,0 +1,84 @@
+import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from casecast.models import forests
+from casecast.models.estimators import estimator
+from casecast.models.forests import first_trees, with_draws
+from casecast.models.grids import param_maps
+from casecast.models.search import search
+from casecast.operators.prepare import assembler, complete_rows, confirmed_cases, derive
+from casecast.operators.profiles import count_profiles, in_stable_order
+from casecast.operators.split import with_split
+from casecast.schema import BASE_FEATURES
+from casecast.session import small_table
+from casecast.sources import cases_from_orders
+
+
+@pytest.fixture(scope="module")
+def cases(spark, sf_dir):
+    derived = derive(confirmed_cases(cases_from_orders(spark, sf_dir)))
+    return with_split(complete_rows(derived)).persist()
+
+
+@pytest.fixture(scope="module")
+def rows(cases):
+    profiles = count_profiles(cases, ["male", "icu", "ventilator", "label", "fold"])
+    placed = in_stable_order(profiles.withColumn("weight", F.col("n").cast("double")).drop("n"), 2)
+    from pyspark.ml.feature import VectorAssembler
+
+    return VectorAssembler(inputCols=["male", "icu", "ventilator"], outputCol="features").transform(placed).persist()
+
+
+def scores(model, rows):
+    table = model.transform(rows).groupBy("male", "icu", "ventilator").agg(F.first(vector_to_array("probability")[1]).alias("p"))
+    return {tuple(r)[:3]: r.p for r in table.collect()}
+
+
+def test_draws_are_poisson_and_follow_the_content(spark):
+    counts = [1, 3, 40, 2000, 10_000_000]
+    table = small_table(spark, [(i, float(n)) for i, n in enumerate(counts)], "x int, n double")
+    found = {r.x: r.draws for r in with_draws(table.repartition(3), "n", ["x"], 7, draws=4000).collect()}
+    again = {r.x: r.draws for r in with_draws(table.orderBy(F.desc("x")).coalesce(1), "n", ["x"], 7, draws=100).collect()}
+    for i, n in enumerate(counts):
+        mean = sum(found[i]) / 4000
+        spread = sum((d - mean) ** 2 for d in found[i]) / 3999
+        assert abs(mean - n) < 4 * (n / 4000) ** 0.5 and 0.85 < spread / n < 1.15
+        assert found[i][:100] == again[i]
+    assert {r.x: r.draws for r in with_draws(table, "n", ["x"], 8, draws=50).collect()}[3] != found[3][:50]
+
+
+def test_counted_forests_agree_with_forests_on_cases(cases, rows):
+    single = rows.select("features", "label", "male", "icu", "ventilator", F.explode(F.array_repeat(F.lit(1.0), F.col("weight").cast("int"))).alias("one"))
+    single = single.persist()
+    on_cases = [scores(estimator("rf", numTrees=30, seed=seed).fit(single), rows) for seed in (1, 2, 3)]
+    counted = scores(estimator("rf", "weight", counted_forest=True, numTrees=30, seed=1).fit(rows), rows)
+    single.unpersist()
+
+    def apart(a, b):
+        return sum(abs(a[k] - b[k]) for k in a) / len(a)
+
+    between = max(apart(a, b) for a, b in zip(on_cases, on_cases[1:] + on_cases[:1]))
+    assert min(apart(counted, other) for other in on_cases) <= 1.5 * between
+
+
+def test_smaller_forests_are_the_first_trees(rows, monkeypatch):
+    monkeypatch.setattr(forests, "DRAWS", 4)
+    classifier = estimator("rf", "weight", counted_forest=True, seed=5, maxDepth=2)
+    points = param_maps(classifier, {"numTrees": [1, 3, 6]})
+    found = dict(classifier.fitMultiple(rows, points))
+    assert [found[i].getNumTrees for i in range(3)] == [1, 3, 6]
+    for i, point in enumerate(points):
+        single = classifier.fit(rows, point)
+        assert scores(single, rows) == scores(found[i], rows)
+        assert single.toDebugString.split("\n")[1:] == found[i].toDebugString.split("\n")[1:]
+    assert first_trees(found[2], 9) is found[2]
+
+
+def test_search_and_saved_model(rows, tmp_path):
+    from casecast.sinks.model_store import load_model, save_model
+
+    result = search(rows, "rf", {"numTrees": [2, 4], "maxDepth": [0, 2]}, weight="weight", counted_forest=True, seed=3)
+    assert len(result.tuning) == 4 and result.model.getNumTrees in (2, 4)
+    save_model(result.model, str(tmp_path / "rf"))
+    assert scores(load_model("rf", str(tmp_path / "rf")), rows) == scores(result.model, rows)

@@ -1,3 +1,6 @@
+import shutil
+from multiprocessing.pool import ThreadPool
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +15,7 @@ from casecast.plans.training import case_profiles as original
 from casecast.plans.training import count_profiles as original_count
 from casecast.plans.training import train_model as original_fit
 from casecast.sinks.model_store import load_model, load_preparation, save_model, tuned_params
-from casecast.sinks.paths import RunPaths, new_run_id
+from casecast.sinks.paths import RunPaths, claim_run, new_run_id
 from casecast.sinks.report import report_lines, write_report
 from casecast.sinks.tables import read_table
 from casecast.session import small_table
@@ -157,6 +160,8 @@ def test_settings_are_checked_before_anything_is_read(spark, cases, tmp_path):
         {"params": {"gbt": {"minInstancesPerNode": 5}}},
         {"params": {"gbt": {"subsamplingRate": 0.5}}},
         {"forest_blocks": 0},
+        {"forest_rows": "some"},
+        {"forest_rows": "counts", "forest_blocks": 9},
     ]
     for settings in wrong:
         with pytest.raises(ValueError):
@@ -189,6 +194,38 @@ def test_a_model_that_cannot_be_saved_is_not_published(spark, cases, tmp_path, m
     assert {row.model for row in leaderboard(read_table(spark, paths, "metrics")).collect()} == {"lr", "svm"}
 
 
+def test_a_run_is_not_resumed_as_another(spark, cases, tmp_path):
+    paths = RunPaths(str(tmp_path), "r7")
+    settings = {"models": ["lr"], "grids": SMOKE}
+    train(spark, cases, paths, TrainingSettings(**settings))
+    for other, named in (
+        ({"split": "random"}, "split"),
+        ({"age_rule": "as_computed", "means_from": "all"}, "age_rule, means_from"),
+        ({"grids": SMOKE | {"lr": SMOKE["lr"] | {"regParam": [0.7]}}}, "grid of lr"),
+        ({"params": {"lr": {"fitIntercept": False}}}, "grid of lr"),
+    ):
+        with pytest.raises(ValueError, match=named):
+            train(spark, cases, paths, TrainingSettings(**settings | other, resume=True))
+    with pytest.raises(ValueError, match="input"):
+        train(spark, cases.withColumn("more", F.lit(1)), paths, TrainingSettings(**settings, resume=True))
+    both = train(spark, cases, paths, TrainingSettings(**settings | {"models": ["lr", "svm"]}, parallelism=3, resume=True))
+    assert set(both) == {"lr", "svm"}
+    with pytest.raises(ValueError, match="grid of svm"):
+        grids = SMOKE | {"svm": SMOKE["svm"] | {"maxIter": [4]}}
+        train(spark, cases, paths, TrainingSettings(models=["svm"], grids=grids, resume=True))
+    shutil.rmtree(tmp_path / "training" / "r7" / "base" / "manifest")
+    with pytest.raises(ValueError, match="does not say"):
+        train(spark, cases, paths, TrainingSettings(**settings, resume=True))
+
+
+def test_runs_of_one_minute_do_not_meet(spark, tmp_path):
+    with ThreadPool(6) as pool:
+        claimed = pool.map(lambda _: claim_run(spark, str(tmp_path), run_id="2020-01-02-03-04"), range(6))
+    numbers = sorted(p.run_id.removeprefix("2020-01-02-03-04") for p in claimed)
+    assert numbers == ["", "-2", "-3", "-4", "-5", "-6"]
+    assert claim_run(spark, str(tmp_path), "with_diagnosis").run_id == new_run_id()[: len("2020-01-02-03-04")]
+
+
 def test_the_whole_leaderboard_is_printed(spark, run, tmp_path, capsys):
     paths, _ = run
     rows = [(f"run{i:02}", "base", "lr", "test", metric, i / 100) for i in range(30) for metric in METRICS]
@@ -236,6 +273,10 @@ def test_command_line_choices():
     from casecast.__main__ import parser, settings_of
 
     common = ["train", "--cases", "c", "--base", "b", "--models", "lr", "gbt"]
+    for asked in (["--split", "random"], ["--grid", "full"], ["--forest-rows", "counts"], ["--forest-blocks", "9"]):
+        with pytest.raises(SystemExit, match=asked[0]):
+            settings_of(parser().parse_args([*common, "--as-published", *asked]))
+    assert settings_of(parser().parse_args([*common, "--unknown-mean", "overall"])).unknown_mean == "overall"
     plain = settings_of(parser().parse_args([*common, "--grid", "smoke", "--key", "id"]))
     assert (plain.models, plain.key, plain.split, plain.age_rule) == (["lr", "gbt"], "id", "hash", "keep_known")
     assert plain.grids is SMOKE
