@@ -29,6 +29,9 @@ LACKING = "_lacking"
 
 #: Most groups that an error names.
 SHOWN_GROUPS = 20
+#: Most groups that count as hot in a table to be filled, which each hold at least one in so many of the rows that lack a
+#: value, and how many the sketch that finds them keeps track of.
+HEAVY_GROUPS, TRACKED_GROUPS = 1_000, 20_000
 
 
 class MeanUnknownError(ValueError):
@@ -209,21 +212,37 @@ class GroupMeanImputerModel(Model, _GroupMeanParams, MLReadable, MLWritable):
     def _met_many(self, dataset, value):
         """Rows with their means where there are too many groups to broadcast.
 
-        A group with at least 1/broadcastGroups of all rows is hot. There can be no more than broadcastGroups of
-        those, so their means are broadcast whatever the data. `dataset` is read once, to meet these and be staged;
-        only rows that still lack a value are then joined with the other groups in a shuffle. Groups that were rare or
-        unknown when fitting and are hot in this table are left to the adaptive handling of skewed joins.
+        A group with at least 1/broadcastGroups of the rows fitted on is hot, and so is one that holds many of the rows to
+        be filled (`_heavy`), whether it was rare when fitting or unknown. There can be no more than broadcastGroups and
+        HEAVY_GROUPS of those, so their means are broadcast whatever the data. Then `dataset` is read once, to meet these
+        and be staged; only rows of other groups that still lack a value are joined with the other means in a shuffle.
         """
         total = self.means.agg(F.sum(ROWS).alias("total")).select("total").scalar()
-        is_hot = F.col(ROWS) * self.getOrDefault(self.broadcastGroups) >= total
+        heavy = self._heavy(dataset, value)
+        is_hot = (F.col(ROWS) * self.getOrDefault(self.broadcastGroups) >= total) | self._named(heavy)
         hot, cold = self._renamed(self.means.where(is_hot)), self._renamed(self.means.where(~is_hot))
         met = dataset.join(*self._on(dataset, F.broadcast(hot)), "left").select(*dataset.columns, MEAN)
         met = staged(met, "imputed")
-        is_open = F.col(value).isNull() & F.col(MEAN).isNull()
+        is_open = F.col(value).isNull() & F.col(MEAN).isNull() & ~self._named(heavy)
         rest = met.where(is_open).drop(MEAN)
         filled = rest.join(*self._on(rest, cold), "left").select(*met.columns)
         return met.where(~is_open).unionByName(filled)
 
+    def _group_hash(self):
+        types = {name: self.means.schema[name].dataType for name in self._groups()}
+        return F.xxhash64(*[F.col(f"`{name}`").cast(kind) for name, kind in types.items()])
+
+    def _named(self, hashes):
+        return self._group_hash().isin(hashes) if hashes else F.lit(False)
+
+    def _heavy(self, dataset, value):
+        """Hashes of the groups that hold at least one in HEAVY_GROUPS of the rows that lack a value, by a sketch of the most
+        frequent ones, which tasks make and merge."""
+        lacking = dataset.where(F.col(value).isNull()).select(self._group_hash().alias("hash"))
+        most = F.expr(f"approx_top_k(hash, {HEAVY_GROUPS}, {TRACKED_GROUPS})")
+        rows, found = lacking.agg(F.count(F.lit(1)), most).first()
+        return [group["item"] for group in found or [] if group["count"] * HEAVY_GROUPS >= rows]
+
     def copy(self, extra=None):
         that = super().copy(extra)
         that.means, that.small, that.overall = self.means, self.small, self.overall

@@ -141,3 +141,34 @@ def test_many_groups_of_decimals(spark):
         assert filled.where("x IS NULL").agg(F.sum("y")).first()[0] == 5 * sum(
             -(-sum(i for i in range(90) if i % 9 == g and i % 2 == 0) // 5) for g in range(9)
         )
+
+
+@pytest.mark.parametrize("unseen", [True, False])
+def test_groups_that_are_hot_only_in_the_table_to_be_filled(spark, monkeypatch, unseen):
+    """A group that was rare or unknown when fitting and holds a third of the rows is not sent to one task."""
+    from casecast.operators import impute
+
+    known = spark.range(4000).select((F.col("id") % 1000).cast("string").alias("g"), (F.col("id") % 7).alias("x"))
+    hot = "new" if unseen else "5"
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, hot).otherwise((F.col("id") % 1000).cast("string")).alias("g"),
+        F.lit(None).cast("bigint").alias("x"),
+        F.col("id"),
+    )
+    monkeypatch.setattr(impute, "HEAVY_GROUPS", 20)
+    imputer = GroupMeanImputer(inputCol="x", outputCol="x", groupCols=["g"], broadcastGroups=10, unknownMean="overall")
+    model = imputer.fit(known)
+    assert not model.small
+    assert model._heavy(rows, "x") == [rows.where(F.col("g") == hot).select(model._group_hash()).first()[0]]
+    assert model._heavy(rows.where("false"), "x") == []
+    means = {r.g: r.m for r in known.groupBy("g").agg(F.ceil(F.avg("x")).alias("m")).collect()}
+    overall = known.agg(F.ceil(F.avg("x"))).first()[0]
+    staged_rows, plain = [], impute.staged
+    monkeypatch.setattr(impute, "staged", lambda df, name: staged_rows.append(plain(df, name)) or staged_rows[-1])
+    filled = model.transform(rows)
+    assert {(r.id, r.x) for r in filled.collect()} == {(r.id, means.get(r.g, overall)) for r in rows.collect()}
+    (met,) = staged_rows
+    assert met.where(F.col("g") == hot).where(F.col(impute.MEAN).isNull()).count() == (1000 if unseen else 0)
+    joined = [line for line in filled._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert joined
+
