@@ -2,17 +2,17 @@
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from casecast.llm.common import broadcast_if_few, in_small_batches
-from casecast.session import staged
+from casecast.llm.common import in_small_batches
 
 SEED = 7
-#: Most ranges whose first ids are broadcast, two numbers each.
-BROADCAST_RANGES = 100_000
+#: Characters of a text that ranges are cut by where rows share an id.
+CUT_CHARS = 32
 #: Hashes lie in [0, 2^60), so that they order alike as signed and unsigned numbers.
 HASH_BITS = 60
 #: Shingles hashed at a time, which bounds the memory of a very long text.
@@ -117,40 +117,58 @@ def with_sketches(docs, columns, k=128, shingle=5):
     return in_small_batches(docs).withColumns({new: run(F.col(f"`{text}`").cast("string")) for text, new in columns.items()})
 
 
-def with_next(docs, id_col, columns, rows_per_part=2000):
+def _next_columns(columns, count):
+    """Sorted rows with the values that `columns` have in the row after, but for the last row of a task; arrays only."""
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held is not None:
+                yield joined(held, batch)
+            held = batch
+        if held is not None and held.num_rows > 1:
+            yield joined(held.slice(0, held.num_rows - 1), held.slice(held.num_rows - 1))
+
+    def joined(batch, after):
+        nexts = [pa.concat_arrays([batch.column(i).slice(1), after.column(i).slice(0, 1)]) for i in columns]
+        names = [f"c{i}" for i in range(count + len(columns))]
+        return pa.RecordBatch.from_arrays([*batch.columns, *nexts], names)
+
+    return run
+
+
+def with_next(docs, id_col, columns, rows_per_part=8000):
     """`docs` with `next_<column>` for each of `columns`: its value in the row of the next id (after the last: the first).
 
-    The table is cut into ranges of about `rows_per_part` ids at approximate quantiles (which decide the cuts, not
-    the result), and each range also gets a copy of the first row of the following one, so that neighbours meet in a window over
-    one range. What reaches the driver is one number per range. Rows that share an id follow each other by the
-    columns; a null id comes first.
+    The table is sorted by ranges of about `rows_per_part` rows, which Spark cuts by the id and the beginning of the first
+    of `columns`, so that rows of one id can be cut as well. Within a range each row meets the one after it in the sorted
+    rows; the last row of a range meets the first one of the next. For these two each range gives one row, found in the
+    same shuffled rows, and one number. Rows that share an id follow each other by the columns; a null id comes first.
+    Repeated rows stay, each next to the other. An empty table gives an empty result.
     """
-    parts = max(1, docs.count() // rows_per_part)
-    cuts = []
-    if parts > 1:
-        shares = F.lit([i / parts for i in range(1, parts)])
-        (cuts,) = docs.agg(F.percentile_approx(id_col, shares, 100 * parts)).first()
-    place = Bucketizer(
-        splits=[float("-inf"), *sorted({float(cut) for cut in cuts or [0]}), float("inf")], inputCol="_at", outputCol="_part"
+    parts = max(1, -(-docs.count() // rows_per_part))
+    count, places = len(docs.columns), [docs.columns.index(c) for c in columns]
+    plain = docs.toDF(*[f"c{i}" for i in range(count)])
+    at = f"c{docs.columns.index(id_col)}"
+    order = [F.col(at).asc_nulls_first(), *[F.col(f"c{i}").asc_nulls_first() for i in places]]
+    begin = [F.substring(F.col(f"c{i}").cast("string"), 1, CUT_CHARS).asc_nulls_first() for i in places[:1]]
+    ranged = in_small_batches(plain).repartitionByRange(parts, order[0], *begin)
+    kinds = [field.dataType for field in docs.schema.fields]
+    schema = T.StructType([T.StructField(f"c{i}", kind) for i, kind in enumerate([*kinds, *[kinds[i] for i in places]])])
+    inner = ranged.sortWithinPartitions(*order).mapInArrow(_next_columns(places, count), schema)
+    # The order as one value: a null sorts before all others in a struct, too.
+    key = F.struct(at, *[f"c{i}" for i in places])
+    row = F.struct(*[f"c{i}" for i in range(count)])
+    ends = ranged.groupBy(F.spark_partition_id().alias("part")).agg(
+        F.min_by(F.struct(*[f"c{i}" for i in places]), key).alias("first"), F.max_by(row, key).alias("last")
     )
-    at = F.coalesce(F.col(id_col).cast("double"), F.lit(float("-inf")))
-    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_row")
-    rows = place.transform(docs.select(row, F.col(id_col).alias("_id"), at.alias("_at"))).drop("_at")
-    firsts = rows.groupBy("_part").agg(F.min("_id").alias("_first"), F.max(F.col("_id").isNull()).alias("_no_id"))
-    firsts = staged(firsts, "range-firsts")
-    before = F.lag("_part").over(Window.orderBy("_part"))  # one row per range
-    last = F.max("_part").over(Window.partitionBy())
-    goes = firsts.select(
-        F.col("_part").alias("_from"),
-        F.when(F.col("_no_id"), F.lit(None)).otherwise(F.col("_first")).alias("_first"),
-        F.coalesce(before, last).alias("_to"),
+    before = F.lag("part").over(Window.orderBy("part"))  # a number for each range
+    wraps = F.max("part").over(Window.partitionBy())
+    follows = ends.select("part").withColumn("to", F.coalesce(before, wraps))
+    firsts = ends.select("part", "first").join(follows, "part").select(F.col("to").alias("part"), "first")
+    outer = ends.select("part", "last").join(firsts, "part").select(
+        "last.*", *[F.col("first").getField(f"c{i}").alias(f"c{count + k}") for k, i in enumerate(places)]
     )
-    goes = broadcast_if_few(staged(goes, "range-goes"), BROADCAST_RANGES)
-    met = (F.col("_part") == F.col("_from")) & F.col("_id").eqNullSafe(F.col("_first"))
-    copies = rows.join(goes, met).select("_row", "_id", F.col("_to").alias("_part"), F.lit(1).alias("_copy"))
-    both = rows.select("_row", "_id", "_part", F.lit(0).alias("_copy")).unionByName(copies)
-    kept = both.select("_id", "_part", "_copy", *[F.col("_row").getField(c).alias(c) for c in docs.columns])
-    order = [F.col("_copy"), F.col("_id").asc_nulls_first(), *[F.col(f"`{c}`").asc_nulls_first() for c in columns]]
-    near = Window.partitionBy("_part").orderBy(*order)
-    nexts = {f"next_{c}": F.lead(F.col(f"`{c}`")).over(near) for c in columns}
-    return kept.withColumns(nexts).where("_copy = 0").drop("_id", "_part", "_copy")
+    return inner.unionByName(outer).toDF(*docs.columns, *[f"next_{c}" for c in columns])

@@ -71,6 +71,40 @@ def test_next_of_odd_rows(spark):
     assert alone.next_text == "x"
 
 
+def test_next_where_one_id_holds_a_third_of_the_rows(spark):
+    rows = [(7 if i % 3 == 0 else i, f"{i * 31 % 97:02} text") for i in range(300)] + [(None, f"n{i:02}") for i in range(40)]
+    found = with_next(odd.table(spark, rows).repartition(4), "doc_id", ["text"], 10).select("doc_id", "text", "next_text")
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    expected = [(a[0], a[1], b[1]) for a, b in zip(order, order[1:] + order[:1])]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" in plan and plan.count("rangepartitioning") >= 1
+
+
+def test_hashes_of_a_plain_definition():
+    """The k smallest of independent 64-bit mixes of whole shingles, from Python's integers."""
+    import xxhash
+
+    def mix(x):
+        x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) % 2**64
+        x = ((x ^ x >> 27) * 0x94D049BB133111EB) % 2**64
+        return x ^ x >> 31
+
+    def plain(text, k=128, n=5):
+        words = text.lower().split()
+        found = set()
+        for i in range(max(1, len(words) - n + 1)) if words else ():
+            own = words[i : i + n]
+            value = min(n, len(words))
+            for word in own:
+                value = mix((value + xxhash.xxh64(word.encode(), seed=7).intdigest()) % 2**64)
+            found.add(value >> 4)
+        return sorted(found)[:k]
+
+    for text in ("", "one", "a b c d", odd.prose(1, 5), odd.prose(2, 400), "same " * 50):
+        assert bottom_k(text).tolist() == plain(text)
+
+
 def test_query_by_hand(spark, sf_dir):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     ids = sorted(texts)
