@@ -13,6 +13,8 @@ from casecast.llm.common import in_small_batches
 SEED = 7
 #: Characters of a text that ranges are cut by where rows share an id.
 CUT_CHARS = 32
+#: Most ranges of a table, each of them a task.
+MOST_PARTS = 200_000
 #: Hashes lie in [0, 2^60), so that they order alike as signed and unsigned numbers.
 HASH_BITS = 60
 #: Shingles hashed at a time, which bounds the memory of a very long text.
@@ -139,16 +141,17 @@ def _next_columns(columns, count):
     return run
 
 
-def with_next(docs, id_col, columns, rows_per_part=8000):
+def with_next(docs, id_col, columns, rows_per_part=2000):
     """`docs` with `next_<column>` for each of `columns`: its value in the row of the next id (after the last: the first).
 
-    The table is sorted by ranges of about `rows_per_part` rows, which Spark cuts by the id and the beginning of the first
+    The table is sorted by ranges of about `rows_per_part` rows (more beyond `MOST_PARTS` ranges, which are then sorted on
+    disk and read as a stream), which Spark cuts by the id and the beginning of the first
     of `columns`, so that rows of one id can be cut as well. Within a range each row meets the one after it in the sorted
     rows; the last row of a range meets the first one of the next. For these two each range gives one row, found in the
     same shuffled rows, and one number. Rows that share an id follow each other by the columns; a null id comes first.
     Repeated rows stay, each next to the other. An empty table gives an empty result.
     """
-    parts = max(1, -(-docs.count() // rows_per_part))
+    parts = max(1, min(MOST_PARTS, -(-docs.count() // rows_per_part)))
     count, places = len(docs.columns), [docs.columns.index(c) for c in columns]
     plain = docs.toDF(*[f"c{i}" for i in range(count)])
     at = f"c{docs.columns.index(id_col)}"
