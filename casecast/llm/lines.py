@@ -26,10 +26,11 @@ def dedup_lines(docs, min_chars=20, min_docs=3, id_col=DOC_ID, text_col=TEXT):
     share arrives as one partial count per task. Only positions of dropped lines travel back, and the text is put
     together again by position in the row it came in.
 
-    Defined cases: null and empty texts are one empty line, and `kept` is empty. Rows that
-    share an id count as one document and each get a result; those of the largest id all keep their lines, and equal
-    rows get equal results. A null id is an id, smaller than any other. The columns of `docs` come back as they are, whatever their names, unless they are called like one of
-    the three results, which replace them.
+    Defined cases: null and empty texts are one empty line, and `kept` is empty. A very long text is as many lines as it has,
+    which are put together in one task. Rows that share an id count as one document and each get a result; those of the
+    largest id all keep their lines, and equal rows get equal results. A null id is an id, smaller than any other. The columns
+    of `docs` come back as they are, whatever their names, unless they are called like one of the three results, which
+    replace them. An empty table gives an empty result.
     """
     rows = docs.select(
         F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),

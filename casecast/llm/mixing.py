@@ -127,7 +127,8 @@ def mix(
     no shuffle to be filtered.
 
     Defined cases: a null text has size 0, a null source is a source (the last), null ids share one hash, and so do
-    rows that repeat an id, which go in or stay out together. Documents of size 0 follow their hash like any other.
+    rows that repeat an id, which go in or stay out together. Documents of size 0 follow their hash like any other. A
+    very long text is counted whole and shuffled nowhere.
     An empty table gives an empty result. Columns of `docs` called like one of the four results are replaced.
     """
     size, hashed, source = word_count(text_col), mix_hash(id_col, seed), F.col(source_col)

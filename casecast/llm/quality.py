@@ -182,7 +182,9 @@ def fit_quality(statistics_of_docs, labels, features=256, width=4.0, seed=11, la
     fold are counted in 2,000 bins, on which isotonic regression calibrates.
 
     Defined cases: label rows with a null id or a label other than 0 and 1 are left out, several rows of one id count
-    as their mean; without any labelled document every score is 0.5.
+    as their mean; rows of documents that repeat an id are one observation each. Without any labelled document, as with an
+    empty table of either kind, every score is 0.5. Equal statistics have equal scores; of equally good penalties the
+    first counts. Only the named columns are read, so others cannot clash.
     """
     known = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).cast("bigint").alias("_id"))
     known = known.agg(F.avg(F.col(label_col).cast("double")).alias("target"))
@@ -231,7 +233,11 @@ def fit_quality(statistics_of_docs, labels, features=256, width=4.0, seed=11, la
 
 
 def statistics_table(docs, id_col=DOC_ID, text_col=TEXT):
-    """`doc_id` and `statistics` of every row, staged. A null text is an empty one."""
+    """`doc_id` and `statistics` of every row, staged.
+
+    Defined cases: a null text is an empty one, whose statistics are all 0. A very long text is looked at whole, in one
+    task. Repeated rows and null ids stay. Only the two named columns are read; an empty table gives an empty result.
+    """
     statistics_col = text_statistics(text_or_empty(text_col)).alias("statistics")
     found = in_small_batches(docs).select(F.col(id_col).cast("bigint").alias("doc_id"), statistics_col)
     return staged(found, "quality-statistics")
@@ -241,7 +247,8 @@ def keep_good(docs, labels, threshold=0.3, id_col=DOC_ID, text_col=TEXT):
     """The rows of `docs` whose score is at least `threshold`, by a model learned from `labels` on these rows.
 
     The statistics are computed once for the fit, as narrow rows, and again where a row is judged, so texts are not
-    shuffled. Rows without an id are scored like any other, as are null texts (empty ones).
+    shuffled. Rows without an id are scored like any other, as are null texts (empty ones) and repeated rows, which stay
+    or go together. Columns come back as they are, whatever their names; an empty table stays empty.
     """
     model = fit_quality(statistics_table(docs, id_col, text_col), labels)
     return docs.where(model.score(text_statistics(text_or_empty(text_col))) >= threshold)

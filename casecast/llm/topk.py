@@ -100,7 +100,8 @@ def top_k(queries, candidates, k=5, id_col="id", vector_col="vector"):
     Defined cases: a row is no candidate for queries of its own id. Vectors that are null, empty or hold a null take
     no part, nor do rows without an id; equal rows count once. Vectors of another length than the query's are no
     candidates for it. Rows that share an id but not the vector are candidates each, and as queries compete for the
-    same ranks. Ties go to the smaller id. Fewer than k candidates: all of them. An empty table gives no rows.
+    same ranks. Ties go to the smaller id. Fewer than k candidates: all of them. An empty table gives no rows. Only the two
+    named columns are read, so others cannot clash.
     """
 
     def usable(table):
