@@ -27,18 +27,24 @@ def line_dedup(spark, docs, sf_dir):
 
 
 def near_dedup(spark, docs, sf_dir):
-    """Of documents whose fingerprints are linked by two or fewer differing bits the one of the smallest id stays."""
+    """Of documents whose fingerprints are linked by two or fewer differing bits the one of the smallest id stays.
+
+    Texts that are null or empty are copies of each other. Rows without an id stay; of repeated rows one does.
+    """
     return keep_one(docs.select(*COLUMNS), shingle=3, max_bits=2)
 
 
 def mixing(spark, docs, sf_dir):
-    """Sources at their target weights: a document is repeated as often as the mix takes it, up to three times."""
+    """Sources at their target weights: a document is repeated as often as the mix takes it, up to three times.
+
+    A null source is a source. Documents without words count nothing and follow their hash like any other.
+    """
     taken = mix(docs.select(*COLUMNS), weights=(5, 2, 1), max_repeats=3)
     return taken.select(*COLUMNS, F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
 
 
 def packing(spark, docs, sf_dir):
-    """Sequences of 1024 ids, as `pack` returns them."""
+    """Sequences of 1024 ids, as `pack` returns them. A null or empty text is the end id alone."""
     return pack(docs, tokenizer_path(), capacity=1024, end_id=0)
 
 
