@@ -191,7 +191,7 @@ def test_a_long_text_full_of_personal_data(spark):
         pieces.append(draw.choice([CARD, PHONE, IP, "user@b.co", f"{draw.randrange(10**8)}"]))
     begun = time.time()
     (row,) = with_private(odd.table(spark, [(1, ", ".join(pieces))])).select(*summary()).collect()
-    assert time.time() - begun < 60
+    assert time.time() - begun < 120  # about 35 s on four cores
     expected = [pieces.count(piece) for piece in ("user@b.co", IP, CARD, PHONE)]
     assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == expected
 
