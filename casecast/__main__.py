@@ -59,6 +59,9 @@ def parser():
     training.add_argument(
         "--forest-rows", choices=["cases", "counts"], default="cases", help="fit forests on cases, or on counted rows with the same law"
     )
+    training.add_argument(
+        "--boost-candidates", choices=["rows", "counts"], default="rows", help="take splits of boosted trees from rows, or from the cases they count"
+    )
     training.add_argument(
         "--unknown-mean", choices=["error", "overall"], default="error", help="what fills ages of a sex without any known age"
     )
@@ -87,6 +90,7 @@ DECIDED = {
     "split": "hash",
     "forest_blocks": None,
     "forest_rows": "cases",
+    "boost_candidates": "rows",
 }
 
 
@@ -110,6 +114,7 @@ def settings_of(args):
         split=args.split,
         forest_blocks=args.forest_blocks,
         forest_rows=args.forest_rows,
+        boost_candidates=args.boost_candidates,
         **chosen,
     )
 

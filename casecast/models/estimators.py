@@ -220,10 +220,11 @@ MODEL_CLASSES = {
 }
 
 
-def estimator(name, weight=None, *, counted_forest=False, **params):
+def estimator(name, weight=None, *, counted_forest=False, counted_candidates=False, **params):
     """One of the four classifiers over `features` and `label`, at Spark's defaults but for `params`.
 
-    `counted_forest` makes forests draw the cases that rows count (`models/forests.py`) instead of the rows.
+    `counted_forest` makes forests draw the cases that rows count (`models/forests.py`) instead of the rows, and
+    `counted_candidates` has boosted trees take split candidates from the counted cases (`models/boosted.py`).
 
     A seed is always set: PySpark's default one comes from a string hash that changes with every Python process.
     """
@@ -236,4 +237,6 @@ def estimator(name, weight=None, *, counted_forest=False, **params):
     kind = ESTIMATORS[name]
     if name == "rf" and counted_forest:
         from casecast.models.forests import CountedForestClassifier as kind
+    if name == "gbt" and counted_candidates:
+        from casecast.models.boosted import CountedGBTClassifier as kind
     return kind(featuresCol="features", labelCol="label", **params)

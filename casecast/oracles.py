@@ -303,6 +303,21 @@ ORACLES = {
         [*TO_DERIVED, RATES], "SELECT icu, round(ln(p / (1 - p)), 4) AS margin FROM rates"
     ),
     "boost_stump": with_steps([*TO_DERIVED, RATES], "SELECT icu, round(2 * p - 1, 6) AS margin FROM rates"),
+    "boost_counted_stump": with_steps([*TO_DERIVED, RATES], "SELECT icu, round(2 * p - 1, 6) AS margin FROM rates"),
+    "split_candidates": with_steps(
+        TO_DERIVED,
+        """, counted AS (
+          SELECT feature, v, count(*) AS n
+          FROM (SELECT unnest([0, 1]) AS feature, unnest([CAST(age AS DOUBLE), CAST(days_to_admission AS DOUBLE)]) AS v
+                FROM derived WHERE age IS NOT NULL AND days_to_admission IS NOT NULL)
+          GROUP BY feature, v),
+        ranked AS (
+          SELECT feature, v, n, lead(v) OVER up AS following, sum(n) OVER up AS passed,
+                 sum(n) OVER (PARTITION BY feature) AS total, count(*) OVER (PARTITION BY feature) AS kinds
+          FROM counted WINDOW up AS (PARTITION BY feature ORDER BY v ROWS UNBOUNDED PRECEDING))
+        SELECT CAST(feature AS INT) AS feature, (v + following) / 2 AS border FROM ranked
+        WHERE following IS NOT NULL AND (kinds <= 16 OR passed * 16 // total > (passed - n) * 16 // total)""",
+    ),
     "svm_majority": with_steps(
         [*TO_DERIVED, RATES],
         "SELECT icu, CASE WHEN p > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction FROM rates",
@@ -321,6 +336,7 @@ ORACLES = {
              AS t(point, params)""",
     ),
     "cross_validation_winner": icu_winner("elasticNetParam=1.0 regParam=10.0 tol=1e-09", "elasticNetParam=1.0 regParam=0.0 tol=1e-09"),
+    "search_resumed": icu_winner("elasticNetParam=1.0 regParam=10.0 tol=1e-09", "elasticNetParam=1.0 regParam=0.0 tol=1e-09"),
     "search_forest_winner": icu_winner("numTrees=1 maxDepth=0", "numTrees=1 maxDepth=1"),
     "search_boosted_winner": icu_winner("maxIter=1 maxDepth=0", "maxIter=1 maxDepth=1"),
     "search_svm_winner": icu_winner("maxIter=5 regParam=10.0 tol=0.01", "maxIter=5 regParam=0.0 tol=0.01"),

@@ -16,6 +16,7 @@ from casecast.operators.profiles import COUNT, count_profiles, in_stable_order,
 from casecast.operators.split import with_split
 from casecast.schema import FEATURE_SETS, KEY, LABEL, WEIGHT
 from casecast.session import checkpoint_dir, small_table
+from casecast.sinks.journal import SearchJournal
 from casecast.sinks.manifest import check_same, describe, read_manifest, write_manifest
 from casecast.sinks.model_store import load_model, save_model
 from casecast.sinks.paths import RunPaths, is_written
@@ -52,8 +53,12 @@ class TrainingSettings:
     `forest_rows` is `cases`, or `counts` for forests that are fitted on the counted rows and draw each of the cases they
     count (`models/forests.py`): the same law as on cases, on rows bounded by the distinct combinations.
 
-    `resume` takes up a run that broke off, which must have been begun with the same settings on the same input: profiles that were written completely are used again, models whose
-    metrics were published are loaded, and the others are made anew.
+    `boost_candidates` is `rows`, or `counts` for boosted trees whose split candidates are quantiles of the counted cases
+    (`models/boosted.py`): the trees that as many cases would give, also beyond 10,000 rows, where Spark looks at a sample.
+
+    `resume` takes up a run that broke off, which must have been begun with the same settings on the same input: profiles
+    that were written completely are used again, models whose metrics were published are loaded, and the others go on at
+    the first point of a fold that has no score in the search's journal.
     """
 
     models: list = field(default_factory=lambda: list(MODELS))
@@ -68,6 +73,7 @@ class TrainingSettings:
     unknown_mean: str = "error"
     forest_blocks: int = None
     forest_rows: str = "cases"
+    boost_candidates: str = "rows"
     resume: bool = False
     params: dict = field(default_factory=dict)
 
@@ -86,6 +92,7 @@ class TrainingSettings:
             "split": (self.split, ["hash", "random"]),
             "unknown_mean": (self.unknown_mean, ["error", "overall"]),
             "forest_rows": (self.forest_rows, ["cases", "counts"]),
+            "boost_candidates": (self.boost_candidates, ["rows", "counts"]),
         }
         for name, (value, known) in choices.items():
             if value not in known:
@@ -189,10 +196,12 @@ def training_rows(profiles, total, distinct, name, features="base", forest_block
     return assembler(features).transform(placed).select("features", LABEL, "fold", WEIGHT)
 
 
-def train_model(profiles, total, distinct, name, settings) -> SearchResult:
+def train_model(profiles, total, distinct, name, settings, journal=None) -> SearchResult:
     """Search one model's grid. Folds come with the rows, so that equal cases need not share one."""
     train = training_rows(profiles, total, distinct, name, settings.features, settings.forest_blocks, settings.forest_rows)
     counted = {"counted_forest": True} if name == "rf" and settings.forest_rows == "counts" else {}
+    if name == "gbt" and settings.boost_candidates == "counts":
+        counted = {"counted_candidates": True}
     train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return search(
@@ -201,6 +210,7 @@ def train_model(profiles, total, distinct, name, settings) -> SearchResult:
             settings.grids[name],
             weight=WEIGHT,
             parallelism=settings.parallelism,
+            journal=journal,
             **counted,
             **settings.params.get(name, {}),
         )
@@ -280,7 +290,8 @@ def train_counted(spark, profiles, paths, settings):
         def one_model(name):
             if settings.resume and is_written(spark, paths.table_part("metrics", name)):
                 return name, load_model(name, paths.model(name))
-            result = train_model(train_profiles, total, distinct, name, settings)
+            journal = SearchJournal(spark, paths.journal(name))
+            result = train_model(train_profiles, total, distinct, name, settings, journal)
             save_model(result.model, paths.model(name), overwrite=settings.resume)
             write_part(small_table(spark, result.tuning, SCHEMAS["tuning"]), paths, "tuning", name, mode)
             counts = evaluate_model(result.model, held_out, settings.features)

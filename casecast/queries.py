@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from casecast.models.boosted import candidate_borders
 from casecast.models.estimators import estimator
 from casecast.models.forests import with_draws
 from casecast.models.grids import FULL, SMOKE, grid_points, point_text
@@ -30,6 +31,7 @@ from casecast.plans.scoring import score_cases, with_scores
 from casecast.plans.training import TrainingSettings, laid_out, train, training_rows
 from casecast.schema import BASE_FEATURES, CASE_SCHEMA, FEATURE_SETS, KEY, LABEL, WEIGHT
 from casecast.session import checkpoint_dir, scratch_path, small_table, staged
+from casecast.sinks.journal import SearchJournal
 from casecast.sinks.model_store import load_model, save_model, tuned_params
 from casecast.sinks.paths import RunPaths, claim_run
 from casecast.sinks.report import report_lines, write_report
@@ -320,6 +322,20 @@ def boost_stump(spark, sf_dir):
     return model.transform(levels).select("icu", F.round(vector_to_array("rawPrediction")[1], DIGITS).alias("margin"))
 
 
+def boost_counted_stump(spark, sf_dir):
+    """The same stump with split candidates from the counted cases and its split set back to the value of the flag."""
+    model, levels = fitted_on_icu("gbt", spark, sf_dir, maxIter=1, maxDepth=1, counted_candidates=True)
+    return model.transform(levels).select("icu", F.round(vector_to_array("rawPrediction")[1], DIGITS).alias("margin"))
+
+
+def split_candidates(spark, sf_dir):
+    """Where boosted trees may split the age and the days to admission: quantiles of the cases, learned from counts."""
+    inputs = ["age", "days_to_admission"]
+    counted = count_profiles(derived(spark, sf_dir).dropna(subset=inputs), inputs)
+    rows = VectorAssembler(inputCols=inputs, outputCol="features").transform(counted)
+    return candidate_borders(rows, "features", F.col(COUNT).cast("double"), bins=16)
+
+
 def svm_majority(spark, sf_dir):
     """Without regularisation a level's hinge loss is least on its majority's side.
 
@@ -376,6 +392,14 @@ def cross_validation_winner(spark, sf_dir):
     return searched_on_icu(spark, sf_dir, {"elasticNetParam": [1.0], "regParam": [10.0, 0.0], "tol": [1e-9]})
 
 
+def search_resumed(spark, sf_dir):
+    """The search of `cross_validation_winner` when the scores of its first point are in the journal already."""
+    journal = SearchJournal(spark, scratch_path(spark, "search"))
+    first = {"elasticNetParam": [1.0], "regParam": [10.0], "tol": [1e-9]}
+    searched_on_icu(spark, sf_dir, first, journal=journal)
+    return searched_on_icu(spark, sf_dir, first | {"regParam": [10.0, 0.0]}, journal=journal)
+
+
 def search_forest_winner(spark, sf_dir):
     """A tree without a split predicts survival; one with a split follows the ICU flag and wins."""
     return searched_on_icu(spark, sf_dir, {"numTrees": [1], "maxDepth": [0, 1]}, "rf", bootstrap=False)
@@ -553,11 +577,14 @@ QUERIES = {
     "logit_intercept": logit_intercept,
     "logit_saturated": logit_saturated,
     "boost_stump": boost_stump,
+    "boost_counted_stump": boost_counted_stump,
+    "split_candidates": split_candidates,
     "svm_majority": svm_majority,
     "svm_hinge": svm_hinge,
     "svm_score_consistency": svm_score_consistency,
     "cross_validation_majority": cross_validation_majority,
     "cross_validation_winner": cross_validation_winner,
+    "search_resumed": search_resumed,
     "search_forest_winner": search_forest_winner,
     "search_boosted_winner": search_boosted_winner,
     "search_svm_winner": search_svm_winner,

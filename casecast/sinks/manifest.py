@@ -7,7 +7,17 @@ from casecast.session import small_table
 from casecast.sinks.paths import is_written
 
 #: Settings that decide what a run computes; how many fits run at once, say, does not.
-DECIDING = ["features", "age_rule", "means_from", "split", "key", "unknown_mean", "forest_blocks", "forest_rows"]
+DECIDING = [
+    "features",
+    "age_rule",
+    "means_from",
+    "split",
+    "key",
+    "unknown_mean",
+    "forest_blocks",
+    "forest_rows",
+    "boost_candidates",
+]
 
 
 def describe(cases, settings):

@@ -85,6 +85,9 @@ class RunPaths:
     def model(self, name):
         return f"{self.root}/{name}/model"
 
+    def journal(self, name):
+        return f"{self.root}/{name}/search"
+
     def report(self, name):
         return f"{self.root}/{name}/evaluations"
 

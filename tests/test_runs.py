@@ -14,6 +14,7 @@ from casecast.plans.training import TrainingSettings, train
 from casecast.plans.training import case_profiles as original
 from casecast.plans.training import count_profiles as original_count
 from casecast.plans.training import train_model as original_fit
+from casecast.sinks.journal import SearchJournal
 from casecast.sinks.model_store import load_model, load_preparation, save_model, tuned_params
 from casecast.sinks.paths import RunPaths, claim_run, new_run_id
 from casecast.sinks.report import report_lines, write_report
@@ -162,6 +163,7 @@ def test_settings_are_checked_before_anything_is_read(spark, cases, tmp_path):
         {"forest_blocks": 0},
         {"forest_rows": "some"},
         {"forest_rows": "counts", "forest_blocks": 9},
+        {"boost_candidates": "some"},
     ]
     for settings in wrong:
         with pytest.raises(ValueError):
@@ -218,6 +220,44 @@ def test_a_run_is_not_resumed_as_another(spark, cases, tmp_path):
         train(spark, cases, paths, TrainingSettings(**settings, resume=True))
 
 
+def test_a_broken_search_goes_on_at_the_next_point(spark, cases, tmp_path, monkeypatch):
+    grids = {"lr": {"regParam": [0.1, 0.2, 0.3], "maxIter": [5, 10]}}
+    whole = RunPaths(str(tmp_path), "whole")
+    train(spark, cases, whole, TrainingSettings(models=["lr"], grids=grids))
+    paths, settings, plain, entered = RunPaths(str(tmp_path), "broken"), {"models": ["lr"], "grids": grids}, SearchJournal.add, []
+
+    def breaks(journal, fold, point, *rest):
+        if len(entered) == 8:
+            raise OSError("lost")
+        entered.append((fold, point))
+        plain(journal, fold, point, *rest)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(SearchJournal, "add", breaks)
+        with pytest.raises(OSError, match="lost"):
+            train(spark, cases, paths, TrainingSettings(**settings, parallelism=1))
+    points = [f"regParam={r} maxIter={m}" for r in (0.1, 0.2, 0.3) for m in (5, 10)]
+    kept = SearchJournal(spark, paths.journal("lr"))
+    assert set(kept.scores(points)) == set(entered) and len(entered) == 8
+    assert kept.scores(["another"] * 6) == {}
+    later = []
+    monkeypatch.setattr(SearchJournal, "add", lambda j, fold, point, *rest: later.append((fold, point)) or plain(j, fold, point, *rest))
+    train(spark, cases, paths, TrainingSettings(**settings, resume=True))
+    assert not set(later) & set(entered) and len(later) == 3 * 6 - 8
+    tuning = read_table(spark, paths, "tuning").drop("run_id")
+    one, other = (sorted(map(tuple, tuning.where(F.input_file_name().contains(f"run_id={r}/")).collect())) for r in ("whole", "broken"))
+    assert len(one) == 6 and one == other
+
+
+def test_journals_read_whole_files_only(spark, tmp_path):
+    journal = SearchJournal(spark, str(tmp_path / "search"))
+    assert journal.scores(["a", "b"]) == {}
+    journal.add(0, 1, "b", 0.1 + 0.2)
+    journal.add(0, 1, "b", 0.1 + 0.2)
+    (tmp_path / "search" / "_fold-0-point-0.json").write_text('{"fold": 0')
+    assert journal.scores(["a", "b"]) == {(0, 1): 0.1 + 0.2}
+
+
 def test_runs_of_one_minute_do_not_meet(spark, tmp_path):
     with ThreadPool(6) as pool:
         claimed = pool.map(lambda _: claim_run(spark, str(tmp_path), run_id="2020-01-02-03-04"), range(6))
