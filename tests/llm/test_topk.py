@@ -48,6 +48,33 @@ def test_stops_early_where_the_bound_allows(monkeypatch):
     assert ids.tolist() == [7, 8] and scores.tolist() == [6000, 5400] and sum(scored) < 100
 
 
+def test_blocks_and_copies(spark, monkeypatch):
+    """Candidates are staged once, in blocks that hold each different row once, whatever the number of waves."""
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 20)
+    staged, plain = [], topk.staged
+    monkeypatch.setattr(topk, "staged", lambda df, name: staged.append((name, plain(df, name))) or staged[-1][1])
+    rows = [(i, [i % 7, i % 11, -i % 5]) for i in range(300)] + [(5, [5, 5, 0])] * 400 + [(7, [1, 2])] * 2
+    table = spark.createDataFrame(rows, SCHEMA)
+    different = [(i, list(v)) for i, v in sorted({(i, tuple(v)) for i, v in rows})]
+    asked = [row for row in different if row[0] % 3 == 0]
+    found = found_by(top_k(spark.createDataFrame(asked, SCHEMA), table, 3))
+    assert found == brute(asked, different, 3)
+    blocks = [df for name, df in staged if name == "search-blocks"]
+    assert len(blocks) == 1 and sum(name == "search-hits" for name, _ in staged) > 3
+    ids = np.concatenate([np.frombuffer(row.ids, np.int64) for row in blocks[0].collect()])
+    assert sorted(ids.tolist()) == [i for i, _ in different] and blocks[0].count() > 10
+
+
+def test_what_is_held_ends_a_block_early(monkeypatch):
+    vectors = np.random.default_rng(1).integers(0, 10, (5000, 3))
+    scored, plain = [], topk._products
+    monkeypatch.setattr(topk, "_products", lambda rows, query: scored.append(len(rows)) or plain(rows, query))
+    held = np.array([9000, 9001]), np.array([70, 60])
+    ids, scores = SortedLists(np.arange(5000), vectors).top(np.array([1, 2, 3]), 2, -1, held)
+    assert ids.tolist() == [9000, 9001] and scores.tolist() == [70, 60] and sum(scored) < 100
+
+
 def test_numbers_beyond_floating_point(spark):
     big = 1 << 28
     rows = [(1, [big + 1, 1]), (2, [big, 1]), (3, [big + 1, 0]), (4, [-big, 5])]
