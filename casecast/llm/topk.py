@@ -32,6 +32,7 @@ class SortedLists:
         self.ids, self.vectors = ids, vectors
         self.order = np.argsort(vectors, axis=0, kind="stable") if ascending is None else ascending
         self.values = np.take_along_axis(vectors, self.order, axis=0)
+        self.floats, self.largest = vectors.astype(np.float64), float(np.abs(vectors).max(initial=0))
 
     def top(self, query, k, skip_id, held=NOTHING):
         """The k best of these rows and those `held` for one query, best first, ties to the smaller id, without rows
@@ -42,7 +43,9 @@ class SortedLists:
         (a row at the bound could still win a tie), or when all rows are met. What is held from other blocks counts
         from the start, so that a block without better rows ends early.
         """
-        rows, _ = self.vectors.shape
+        rows, dims = self.vectors.shape
+        exact = self.largest * float(np.abs(query).max(initial=0)) * dims < 2**53
+        table = self.floats if exact else self.vectors
         seen = self.ids == skip_id
         best_ids, best_scores = held
         used = np.flatnonzero(query)
@@ -60,7 +63,7 @@ class SortedLists:
             new = np.flatnonzero(met & ~seen)
             seen |= met
             if len(new):
-                scores = _products(self.vectors[new], query)
+                scores = _products(table[new], query)
                 if len(best_ids) == k:
                     reaching = scores >= best_scores[-1]
                     new, scores = new[reaching], scores[reaching]
@@ -77,11 +80,9 @@ class SortedLists:
 
 
 def _products(vectors, query):
-    """Integer inner products: by floating point where that is exact, else by Python's integers."""
-    most = float(np.abs(vectors).max(initial=0)) * float(np.abs(query).max(initial=0)) * max(1, len(query))
-    if most < 2**53:
-        return (vectors.astype(np.float64) @ query.astype(np.float64)).astype(np.int64)
-    return (vectors.astype(object) @ query.astype(object)).astype(np.int64)
+    """Integer inner products: of vectors in floating point where that is exact, else by Python's integers."""
+    kind = vectors.dtype if vectors.dtype == np.float64 else object
+    return (vectors.astype(kind, copy=False) @ query.astype(kind)).astype(np.int64)
 
 
 def _sorted_block(rows: pd.DataFrame) -> pd.DataFrame:
