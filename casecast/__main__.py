@@ -62,6 +62,7 @@ def parser():
     training.add_argument(
         "--boost-candidates", choices=["rows", "counts"], default="rows", help="take splits of boosted trees from rows, or from the cases they count"
     )
+    training.add_argument("--svm-starts", type=int, default=1, help="runs of the solver of a support vector machine, the best is kept")
     training.add_argument(
         "--unknown-mean", choices=["error", "overall"], default="error", help="what fills ages of a sex without any known age"
     )
@@ -91,6 +92,7 @@ DECIDED = {
     "forest_blocks": None,
     "forest_rows": "cases",
     "boost_candidates": "rows",
+    "svm_starts": 1,
 }
 
 
@@ -115,6 +117,7 @@ def settings_of(args):
         forest_blocks=args.forest_blocks,
         forest_rows=args.forest_rows,
         boost_candidates=args.boost_candidates,
+        svm_starts=args.svm_starts,
         **chosen,
     )
 

@@ -171,7 +171,43 @@ class CaseLogisticRegression(_CountsCases, _StopsByItself, LogisticRegression):
         return LogisticRegressionModel(made)
 
 
+def hinge_objective(dataset, model, penalty, deviations, label, features, weight):
+    """What a linear SVM minimises: the mean hinge loss of the cases that the weights count, and the penalty."""
+    values = vector_to_array(features)
+    plane = sum((values[i] * float(c) for i, c in enumerate(model.coefficients)), F.lit(float(model.intercept)))
+    loss = F.greatest(F.lit(0.0), 1 - (2 * F.col(label) - 1) * plane)
+    total, cases = dataset.agg(F.sum(weight * loss), F.sum(weight)).first()
+    return total / cases + penalty / 2 * sum((c * d) ** 2 for c, d in zip(model.coefficients, deviations))
+
+
 class CaseLinearSVC(_CountsCases, _StopsByItself, LinearSVC):
+    """The hinge loss has corners, at which Spark's solver may stop short of the least objective.
+
+    With `starts` above 1 it is run as often, under penalties that differ by a thousandth or so and lead it along other paths, and
+    the model whose objective under the wanted penalty is least is kept.
+    """
+
+    starts = 1
+
+    def _fit(self, dataset):
+        if self.starts == 1:
+            return super()._fit(dataset)
+        features, label, wanted = self.getFeaturesCol(), self.getLabelCol(), self.getRegParam()
+        weight = F.col(self.getWeightCol()) if self.isDefined(self.weightCol) else F.lit(1.0)
+        deviations = [1.0] * len(dataset.select(features).first()[0])
+        if self.getStandardization():
+            cases = dataset.withColumn("_cases", weight)
+            deviations = self._deviations(dataset) if self._counts() else frequency_deviations(cases, features, "_cases")
+        fitted = []
+        for start in range(self.starts):
+            shift = (-1) ** start * ((start + 1) // 2) * 0.001
+            penalty = wanted * (1 + shift) if wanted else abs(shift) * 0.01
+            model = super(CaseLinearSVC, self.copy({self.regParam: penalty}))._fit(dataset)
+            fitted.append((hinge_objective(dataset, model, wanted, deviations, label, features, weight), start, model))
+        best = self._copyValues(min(fitted)[2])
+        best.iterations = max(self._iterations(model) for _, _, model in fitted)
+        return best
+
     @staticmethod
     def _iterations(model):
         return model.iterations if hasattr(model, "iterations") else model.summary().totalIterations
@@ -220,11 +256,12 @@ MODEL_CLASSES = {
 }
 
 
-def estimator(name, weight=None, *, counted_forest=False, counted_candidates=False, **params):
+def estimator(name, weight=None, *, counted_forest=False, counted_candidates=False, starts=1, **params):
     """One of the four classifiers over `features` and `label`, at Spark's defaults but for `params`.
 
     `counted_forest` makes forests draw the cases that rows count (`models/forests.py`) instead of the rows, and
-    `counted_candidates` has boosted trees take split candidates from the counted cases (`models/boosted.py`).
+    `counted_candidates` has boosted trees take split candidates from the counted cases (`models/boosted.py`). `starts` is how
+    often the solver of a support vector machine is run, of whose models the best is kept.
 
     A seed is always set: PySpark's default one comes from a string hash that changes with every Python process.
     """
@@ -239,4 +276,7 @@ def estimator(name, weight=None, *, counted_forest=False, counted_candidates=Fal
         from casecast.models.forests import CountedForestClassifier as kind
     if name == "gbt" and counted_candidates:
         from casecast.models.boosted import CountedGBTClassifier as kind
-    return kind(featuresCol="features", labelCol="label", **params)
+    made = kind(featuresCol="features", labelCol="label", **params)
+    if name == "svm":
+        made.starts = starts
+    return made

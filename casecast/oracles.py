@@ -326,6 +326,9 @@ ORACLES = {
         [*TO_DERIVED, "counts AS (SELECT icu, count(*) AS n, sum(label) AS d FROM derived GROUP BY icu)"],
         "SELECT round(sum(2 * least(d, n - d)) / sum(n), 6) AS least, true AS reached FROM counts",
     ),
+    "svm_on_counts": with_steps(
+        TO_DERIVED, "SELECT count(*) AS n, true AS reached FROM derived WHERE age IS NOT NULL AND days_to_admission IS NOT NULL"
+    ),
     "svm_score_consistency": with_steps(
         TO_COMPLETE, "SELECT count(*) AS n, CAST(0 AS BIGINT) AS mismatches FROM complete"
     ),

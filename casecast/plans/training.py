@@ -56,6 +56,9 @@ class TrainingSettings:
     `boost_candidates` is `rows`, or `counts` for boosted trees whose split candidates are quantiles of the counted cases
     (`models/boosted.py`): the trees that as many cases would give, also beyond 10,000 rows, where Spark looks at a sample.
 
+    `svm_starts` is how often the solver of a support vector machine is run for a model, of which the best is kept
+    (`models/estimators.py`).
+
     `resume` takes up a run that broke off, which must have been begun with the same settings on the same input: profiles
     that were written completely are used again, models whose metrics were published are loaded, and the others go on at
     the first point of a fold that has no score in the search's journal.
@@ -74,6 +77,7 @@ class TrainingSettings:
     forest_blocks: int = None
     forest_rows: str = "cases"
     boost_candidates: str = "rows"
+    svm_starts: int = 1
     resume: bool = False
     params: dict = field(default_factory=dict)
 
@@ -107,6 +111,8 @@ class TrainingSettings:
         counting = [name for name in COUNTING_ROWS if name in {**self.params.get("gbt", {}), **self.grids.get("gbt", {})}]
         if "gbt" in self.models and counting:
             raise ValueError(f"boosted trees are fitted on counted rows, which {counting} would take for cases")
+        if self.svm_starts < 1:
+            raise ValueError("svm_starts is a number of runs of the solver")
         if self.forest_blocks is not None and self.forest_blocks < 1:
             raise ValueError("forest_blocks is a number of blocks")
         if self.forest_blocks is not None and self.forest_rows == "counts":
@@ -202,6 +208,8 @@ def train_model(profiles, total, distinct, name, settings, journal=None) -> Sear
     counted = {"counted_forest": True} if name == "rf" and settings.forest_rows == "counts" else {}
     if name == "gbt" and settings.boost_candidates == "counts":
         counted = {"counted_candidates": True}
+    if name == "svm":
+        counted = {"starts": settings.svm_starts}
     train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return search(

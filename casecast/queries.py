@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casecast.models.boosted import candidate_borders
-from casecast.models.estimators import estimator
+from casecast.models.estimators import estimator, frequency_deviations, hinge_objective
 from casecast.models.forests import with_draws
 from casecast.models.grids import FULL, SMOKE, grid_points, point_text
 from casecast.models.search import f1_evaluator, search
@@ -358,6 +358,26 @@ def svm_hinge(spark, sf_dir):
     )
 
 
+def svm_on_counts(spark, sf_dir):
+    """The objective over five features that fits on counts reach, against that of a fit on the single cases."""
+    cases = staged(complete_rows(derived(spark, sf_dir)).select(*PROFILE), "cases")
+    inputs, penalty = VectorAssembler(inputCols=BASE_FEATURES, outputCol="features"), 0.1
+    counted = inputs.transform(count_profiles(cases, PROFILE)).withColumn(WEIGHT, F.col(COUNT).cast("double")).coalesce(1).persist()
+    single = inputs.transform(cases).coalesce(4).persist()
+    deviations = frequency_deviations(counted, "features", WEIGHT)
+
+    def reached(model):
+        return hinge_objective(counted, model, penalty, deviations, LABEL, "features", F.col(WEIGHT))
+
+    try:
+        on_counts = reached(estimator("svm", WEIGHT, starts=3, regParam=penalty, maxIter=60).fit(counted))
+        on_cases = reached(estimator("svm", regParam=penalty, maxIter=60).fit(single))
+    finally:
+        counted.unpersist()
+        single.unpersist()
+    return cases.agg(F.count(F.lit(1)).alias("n"), F.lit(bool(on_counts <= 1.01 * on_cases)).alias("reached"))
+
+
 def svm_score_consistency(spark, sf_dir):
     """Batch scores of every complete case against the sign of the plane that the model reports."""
     inputs = model_inputs(prepared(spark, sf_dir))
@@ -581,6 +601,7 @@ QUERIES = {
     "split_candidates": split_candidates,
     "svm_majority": svm_majority,
     "svm_hinge": svm_hinge,
+    "svm_on_counts": svm_on_counts,
     "svm_score_consistency": svm_score_consistency,
     "cross_validation_majority": cross_validation_majority,
     "cross_validation_winner": cross_validation_winner,

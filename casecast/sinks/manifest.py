@@ -17,6 +17,7 @@ DECIDING = [
     "forest_blocks",
     "forest_rows",
     "boost_candidates",
+    "svm_starts",
 ]
 
 

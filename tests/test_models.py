@@ -177,3 +177,26 @@ def test_deviations_are_learned_once_for_each_fold(rows, name, monkeypatch):
         assert predictions(single, rows) == predictions(again, rows)
         if result.tuning[index][4]:
             assert predictions(result.model, rows) == predictions(single, rows)
+
+
+def test_of_several_starts_the_best_is_kept(spark, rows, tmp_path):
+    from casecast.models.estimators import frequency_deviations, hinge_objective
+    from casecast.sinks.model_store import load_model, save_model
+
+    deviations = frequency_deviations(rows, "features", "weight")
+
+    def reached(model, penalty):
+        return hinge_objective(rows, model, penalty, deviations, "label", "features", F.col("weight"))
+
+    for weight, penalty in (("weight", 0.05), (None, 0.05)):
+        one, more = (estimator("svm", weight, starts=n, regParam=penalty, maxIter=6).fit(rows) for n in (1, 3))
+        assert reached(more, penalty) <= reached(one, penalty) + 1e-12
+        assert more.getRegParam() == penalty and more.getMaxIter() == 6
+    machine = estimator("svm", "weight", starts=2)
+    points = param_maps(machine, {"maxIter": [2, 4], "regParam": [0.2]})
+    shared = dict(machine.fitMultiple(rows, points))
+    for index, point in enumerate(points):
+        assert predictions(shared[index], rows) == predictions(machine.fit(rows, point), rows)
+    save_model(shared[1], str(tmp_path / "svm"))
+    again = load_model("svm", str(tmp_path / "svm"))
+    assert again.getRegParam() == 0.2 and predictions(again, rows) == predictions(shared[1], rows)

@@ -164,6 +164,7 @@ def test_settings_are_checked_before_anything_is_read(spark, cases, tmp_path):
         {"forest_rows": "some"},
         {"forest_rows": "counts", "forest_blocks": 9},
         {"boost_candidates": "some"},
+        {"svm_starts": 0},
     ]
     for settings in wrong:
         with pytest.raises(ValueError):
