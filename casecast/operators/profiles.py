@@ -35,3 +35,12 @@ def in_stable_order(table, partitions):
     """Place and order rows by their content alone, so that a fit repeats whatever layout the table came in."""
     columns = sorted(table.columns)
     return table.repartition(partitions, *columns).sortWithinPartitions(*columns)
+
+
+def dealt_evenly(table, partitions):
+    """Place rows by where they stand in the table, so that equal rows, however many, do not meet in one partition.
+
+    The table must come in a fixed order, as staged files do, or a repeated task would deal its rows otherwise.
+    """
+    dealt = table.withColumn("_row", F.monotonically_increasing_id())
+    return dealt.repartition(partitions, "_row").drop("_row")

@@ -175,10 +175,15 @@ def complete_profiles(profiles, preparation, settings):
     return count_profiles(filled, ["split", "fold", *inputs, LABEL], COUNT)
 
 
+def full_partitions(rows):
+    """The fewest partitions for `rows` rows of which none is to hold more than a fit's may."""
+    return max(1, -(-rows // MAX_ROWS_PER_PARTITION))
+
+
 def fit_partitions(name, rows):
     """Partitions for a fit over `rows` rows: by the rows alone, so that a model does not depend on the cluster."""
     wanted = -(-rows // ROWS_PER_PARTITION[name])
-    return max(1, min(wanted, MANY_PARTITIONS[name]), -(-rows // MAX_ROWS_PER_PARTITION))
+    return max(min(wanted, MANY_PARTITIONS[name]), full_partitions(rows))
 
 
 def laid_out(profiles, total, distinct, name, forest_blocks=None, forest_rows="cases"):

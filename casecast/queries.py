@@ -24,11 +24,11 @@ from casecast.operators.prepare import (
     model_inputs,
     prepared_as_computed,
 )
-from casecast.operators.profiles import COUNT, count_profiles
+from casecast.operators.profiles import COUNT, count_profiles, dealt_evenly, in_stable_order
 from casecast.operators.split import PARTS, with_split
 from casecast.plans import reports
 from casecast.plans.scoring import score_cases, with_scores
-from casecast.plans.training import TrainingSettings, laid_out, train, training_rows
+from casecast.plans.training import TrainingSettings, full_partitions, laid_out, train, training_rows
 from casecast.schema import BASE_FEATURES, CASE_SCHEMA, FEATURE_SETS, KEY, LABEL, WEIGHT
 from casecast.session import checkpoint_dir, scratch_path, small_table, staged
 from casecast.sinks.journal import SearchJournal
@@ -359,11 +359,18 @@ def svm_hinge(spark, sf_dir):
 
 
 def svm_on_counts(spark, sf_dir):
-    """The objective over five features that fits on counts reach, against that of a fit on the single cases."""
+    """The objective over five features that fits on counts reach, against that of a fit on the single cases.
+
+    The counts are staged, and both tables dealt over as many partitions as their rows ask for, so that no task holds more
+    of either as the input grows. The fits are over a thousand very short jobs, so partitions are as large as a fit's may be.
+    """
     cases = staged(complete_rows(derived(spark, sf_dir)).select(*PROFILE), "cases")
+    profiles = staged(count_profiles(cases, PROFILE), "profiles")
+    total, distinct = profiles.agg(F.sum(COUNT), F.count(F.lit(1))).first()
     inputs, penalty = VectorAssembler(inputCols=BASE_FEATURES, outputCol="features"), 0.1
-    counted = inputs.transform(count_profiles(cases, PROFILE)).withColumn(WEIGHT, F.col(COUNT).cast("double")).coalesce(1).persist()
-    single = inputs.transform(cases).coalesce(4).persist()
+    weighted = profiles.withColumn(WEIGHT, F.col(COUNT).cast("double"))
+    counted = inputs.transform(in_stable_order(weighted, full_partitions(distinct))).persist()
+    single = inputs.transform(dealt_evenly(cases, full_partitions(total or 0))).persist()
     deviations = frequency_deviations(counted, "features", WEIGHT)
 
     def reached(model):

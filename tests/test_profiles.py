@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from casecast.models.estimators import estimator, frequency_deviations
 from casecast.operators.prepare import assembler, complete_rows, derive, confirmed_cases, prepared_as_computed
-from casecast.operators.profiles import count_profiles, in_stable_order, weighted_blocks
+from casecast.operators.profiles import count_profiles, dealt_evenly, in_stable_order, weighted_blocks
 from casecast.operators.split import with_split
 from casecast.plans.training import fit_partitions, training_rows
 from casecast.schema import BASE_FEATURES
@@ -179,3 +179,43 @@ def test_large_values_keep_their_spread(spark):
 
     expected = statistics.stdev([i % 3 for i in range(1, 50) for _ in range(i)])
     assert frequency_deviations(rows, "features", "weight")[0] == pytest.approx(expected, rel=1e-9)
+
+
+def test_rows_are_dealt_evenly_however_equal(spark, tmp_path):
+    spark.range(3000).select(F.lit(1).alias("x")).coalesce(2).write.parquet(str(tmp_path / "same"))
+    dealt = dealt_evenly(spark.read.parquet(str(tmp_path / "same")), 10)
+    sizes = dealt.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert dealt.columns == ["x"] and len(sizes) == 10 and sum(sizes) == 3000 and max(sizes) < 400
+
+
+def test_comparison_with_counts_holds_no_more_rows_a_task_as_cases_become_more(spark, tmp_path, monkeypatch):
+    """Two thirds of the cases are equal. Neither their number nor that of shuffle partitions may end up in one task."""
+    from types import SimpleNamespace
+
+    from casecast import queries
+    from casecast.plans import training
+
+    orders = spark.range(3000).select(
+        F.col("id").alias("o_orderkey"),
+        F.when(F.col("id") % 3 < 2, 3).otherwise(2 + F.col("id") % 97).alias("o_custkey"),
+        F.lit("F").alias("o_orderstatus"),
+        F.when(F.col("id") % 30 == 2, 500000.0).otherwise(1000.0).alias("o_totalprice"),
+        F.lit("2020-05-01").cast("timestamp").alias("o_orderdate"),
+        F.lit("1-URGENT").alias("o_orderpriority"),
+    )
+    orders.coalesce(2).write.parquet(str(tmp_path / "orders.parquet"))
+    seen = []
+
+    def fit(rows):
+        sizes = rows.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+        seen.append((sizes, rows._jdf.queryExecution().executedPlan().toString()))
+        return SimpleNamespace(coefficients=[0.0] * 5, intercept=0.0)
+
+    monkeypatch.setattr(queries, "estimator", lambda *args, **params: SimpleNamespace(fit=fit))
+    monkeypatch.setattr(training, "MAX_ROWS_PER_PARTITION", 100)
+    row = queries.svm_on_counts(spark, str(tmp_path)).first()
+    (counted, plan), (single, _) = seen
+    assert "Aggregate" not in plan and "Coalesce" not in plan  # many shuffle partitions are not added up in one task
+    assert row.reached and sum(single) == row.n > 1000 and sum(counted) < row.n / 2
+    assert len(single) == -(-row.n // 100) and max(single) < 200
+    assert len(counted) == -(-sum(counted) // 100) and max(counted) < 200
