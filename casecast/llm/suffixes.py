@@ -15,10 +15,13 @@ from casecast.llm.common import DOC_ID, TEXT, in_small_batches, row_key, text_or
 
 #: Bytes of text whose suffixes make one sorted run, and bytes of text for each part of the key space.
 RUN_BYTES, BUCKET_BYTES = 16 << 20, 16 << 20
-#: Bytes of text that are searched for anchors at once; longer texts are cut into overlapping parts.
-PART_BYTES = 1 << 20
-#: Bits of the filter that is broadcast: 2^29 bits are 64 MB, whatever the input. Parts that it is merged in.
-FILTER_BITS, SLICES = 29, 16
+#: Bytes of text that are searched for anchors at once, few enough for a core's cache; longer texts are cut into
+#: overlapping parts.
+PART_BYTES = 1 << 17
+#: The filter that is broadcast has a bit for about FILTER_BYTES bytes of text, and 2^FILTER_BITS bits (64 MB) at most.
+#: It is made in at least SLICES slices, and in one for about SLICE_BYTES of text.
+FILTER_BITS, FILTER_BYTES = 29, 8
+SLICES, SLICE_BYTES = 16, 64 << 20
 #: Runs of one task are numbered from its partition number times this.
 TASK_RUNS = 1 << 24
 NO_ID = np.iinfo(np.int64).max
@@ -40,8 +43,8 @@ CUT = (
 )
 
 
-def _packed(*arrays):
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(arrays, protocol=5))
+def _packed(*arrays, level=1):
+    return zstandard.ZstdCompressor(level=level).compress(pickle.dumps(arrays, protocol=5))
 
 
 def _unpacked(blob):
@@ -64,11 +67,14 @@ class Shape:
 def _mixed(words):
     """One 64-bit hash for the words of each row."""
     value = np.full(words[0].shape, 0x9E3779B97F4A7C15, np.uint64)
+    room = np.empty_like(value)
     for word in words:
-        value = (value ^ word) * np.uint64(0xBF58476D1CE4E5B9)
-        value ^= value >> np.uint64(31)
+        value ^= word
+        value *= np.uint64(0xBF58476D1CE4E5B9)
+        value ^= np.right_shift(value, np.uint64(31), out=room)
     value *= np.uint64(0x94D049BB133111EB)
-    return value ^ (value >> np.uint64(29))
+    value ^= np.right_shift(value, np.uint64(29), out=room)
+    return value
 
 
 def anchors(data, ends, shape):
@@ -82,8 +88,8 @@ def anchors(data, ends, shape):
     if n < shape.width:
         return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)
     grams = n - shape.gram + 1
-    words = [np.ndarray((grams,), "<u8", data, offset, (1,)) for offset in range(0, shape.gram, 8)]
-    hashes = _mixed(words)
+    words = np.ndarray((n - 7,), "<u8", data, 0, (1,)).copy()
+    hashes = _mixed([words[offset : offset + grams] for offset in range(0, shape.gram, 8)])
     low = np.uint64((1 << 24) - 1)
     least = (hashes & ~low) | np.arange(grams, dtype=np.uint64)
     reach = 1
@@ -135,22 +141,43 @@ def _parts(batches, shape):
         yield flush()
 
 
-def _mark(bits, slots):
-    """Set bits of a packed map; `slots` ascend."""
-    at = slots >> 3
-    new = np.flatnonzero(np.diff(at, prepend=-1))
-    masks = np.left_shift(np.uint8(1), (slots & 7).astype(np.uint8))
-    if len(slots):
-        bits[at[new]] |= np.bitwise_or.reduceat(masks, new)
-
-
 def _marked(bits, slots):
     return (bits[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
 
 
-def _slots(grams):
-    """Two places in the filter for each gram."""
-    return [((grams << np.uint64(shift)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64) for shift in (0, 32)]
+def _places(low, bits):
+    """Two places among 2^bits for each of some 32-bit hashes."""
+    return [((low * np.uint32(odd)) >> np.uint32(32 - bits)).astype(np.int64) for odd in (1, 0x9E3779B1)]
+
+
+def _keys(grams):
+    """Gram hashes mixed again: anchors are grams of the least hashes, whose first bits are mostly zeros."""
+    return _mixed([grams])
+
+
+def _low(keys, depth):
+    """The 32 bits of each key that follow those of its slice, of which there are 2^depth."""
+    return (keys >> np.uint64(32 - depth)).astype(np.uint32)
+
+
+def _passing(bits, depth, grams):
+    """Which grams the filter lets through. Its slices lie one after the other."""
+    keys, size = _keys(grams), (len(bits) * 8).bit_length() - 1 - depth
+    part = ((keys >> np.uint64(63 - depth)) >> np.uint64(1)).astype(np.int64) << size
+    one, two = _places(_low(keys, depth), size)
+    passing = _marked(bits, part + one)
+    passing[passing] = _marked(bits, (part + two)[passing])
+    return passing
+
+
+def _listed(low):
+    """Ascending 32-bit numbers as the differences between them, all first bytes, then all second ones and so on."""
+    return np.diff(low, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unlisted(listed):
+    planes = np.frombuffer(listed, np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint32).ravel(), dtype=np.uint32)
 
 
 def _most(grams, counts):
@@ -167,82 +194,114 @@ def _texts(data, first, last, grams, shape):
     return _mixed([grams, words[first], words[last + shape.width - 8]])
 
 
-def _seen_grams(shape, salts):
-    """Per task two bit maps over gram hashes, seen and seen twice, in slices, and the grams with the most texts."""
+def _gram_hashes(shape, salts, depth):
+    """Per run of text its gram hashes, those that come again twice, as sorted lists in 2^depth slices; and per task the
+    grams with the most texts."""
 
     def run(batches):
-        size = (1 << FILTER_BITS) // 8
-        seen, twice = np.zeros(size, np.uint8), np.zeros(size, np.uint8)
-        crowds, held, total = (np.empty(0, np.uint64), np.empty(0, np.int64)), [], 0
-
-        def crowded():
-            texts, all_grams = (np.concatenate(x) for x in zip(*held))
-            _, one = np.unique(texts, return_index=True)
-            values, counts = np.unique(all_grams[one], return_counts=True)
-            many = counts >= CROWD_LOCAL
-            return _most(np.concatenate([crowds[0], values[many]]), np.concatenate([crowds[1], counts[many]]))
+        crowds, held, size, total = (np.empty(0, np.uint64), np.empty(0, np.int64)), [], 0, 0
+        salt = TaskContext.get().partitionId() % salts
+
+        def crowded(texts, grams):
+            # A gram has at most as many texts as it has places.
+            sorted_grams = np.sort(grams)
+            new = np.flatnonzero(np.concatenate([[True], sorted_grams[1:] != sorted_grams[:-1]]))
+            many = np.diff(new, append=len(grams)) >= CROWD_LOCAL
+            often = _among(grams, sorted_grams[new[many]])
+            _, one = np.unique(texts[often], return_index=True)
+            values, counts = np.unique(grams[often][one], return_counts=True)
+            most = counts >= CROWD_LOCAL
+            return _most(np.concatenate([crowds[0], values[most]]), np.concatenate([crowds[1], counts[most]]))
+
+        def lists(grams):
+            keys = np.sort(_keys(grams))
+            third = np.concatenate([[False, False], keys[2:] == keys[:-2]])[: len(keys)]
+            keys = keys[~third]
+            low = _low(keys, depth)
+            ends = [*np.searchsorted(keys, np.arange(1, 1 << depth, dtype=np.uint64) << np.uint64(64 - depth)), len(keys)]
+            begin = 0
+            for number, end in enumerate(map(int, ends)):
+                if end > begin:
+                    yield _gram_batch(number, 0, _packed(_listed(low[begin:end])))
+                begin = end
 
         for data, ends, _ in _parts(batches, shape):
             first, last, _, grams = anchors(data, ends, shape)
             if not len(grams):
                 continue
-            slots, counts = np.unique(np.concatenate(_slots(grams)), return_counts=True)
-            _mark(twice, slots[(counts > 1) | _marked(seen, slots)])
-            _mark(seen, slots)
             held.append((_texts(data, first, last, grams, shape), grams))
             total += len(grams)
-            if len(held) * PART_BYTES >= RUN_BYTES:
-                crowds, held = crowded(), []
-        if not seen.any():
-            return
+            size += len(data)
+            if size >= RUN_BYTES:
+                texts, grams = (np.concatenate(x) for x in zip(*held))
+                held, size, crowds = [], 0, crowded(texts, grams)
+                yield from lists(grams)
         if held:
-            crowds = crowded()
-        step, salt = size // SLICES, TaskContext.get().partitionId() % salts
-        blobs = [(CROWDS, _packed(*crowds, np.array([total])))]
-        blobs += [(i, _packed(*(m[i * step : (i + 1) * step] for m in (seen, twice)))) for i in range(SLICES)]
-        for number, blob in blobs:
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "slice": pa.array([number], pa.int32()),
-                    "salt": pa.array([salt], pa.int32()),
-                    "blob": pa.array([blob], pa.binary()),
-                }
-            )
+            texts, grams = (np.concatenate(x) for x in zip(*held))
+            crowds = crowded(texts, grams)
+            yield from lists(grams)
+        if total:
+            yield _gram_batch(CROWDS, salt, _packed(*crowds, np.array([total])))
 
     return run
 
 
-def _either(group: pd.DataFrame) -> pd.DataFrame:
+def _gram_batch(number, salt, blob):
+    columns = [pa.array([number], pa.int32()), pa.array([salt], pa.int32()), pa.array([blob], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["slice", "salt", "blob"])
+
+
+def _either(group):
+    grams, counts, totals = (np.concatenate(x) for x in zip(*map(_unpacked, group["blob"])))
+    return _packed(*_most(grams, counts), np.array([totals.sum()]))
+
+
+def _repeated(size):
+    """A slice of the filter, 2^size bits, that marks the gram hashes which are listed twice or more."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        first = group.iloc[:1].copy()
+        if first["slice"].iloc[0] == CROWDS:
+            first["blob"] = [_either(group)]
+            return first
+        low = np.sort(np.concatenate([_unlisted(*_unpacked(blob)) for blob in group["blob"]]))
+        low = low[1:][low[1:] == low[:-1]]
+        marks = np.zeros(1 << size, bool)
+        for places in _places(low, size):
+            marks[places] = True
+        first["blob"] = [_packed(np.packbits(marks, bitorder="little"))]
+        return first
+
+    return run
+
+
+def _last_crowds(group: pd.DataFrame) -> pd.DataFrame:
     first = group.iloc[:1].copy()
     if first["slice"].iloc[0] == CROWDS:
-        grams, counts, totals = (np.concatenate(x) for x in zip(*map(_unpacked, group["blob"])))
-        first["blob"] = [_packed(*_most(grams, counts), np.array([totals.sum()]))]
-        return first
-    seen = twice = np.uint8(0)
-    for blob in group["blob"]:
-        more, again = _unpacked(blob)
-        twice = twice | again | (seen & more)
-        seen = seen | more
-    first["blob"] = [_packed(seen, twice)]
+        first["blob"] = [_either(group)]
     return first
 
 
-def _only_twice(group: pd.DataFrame) -> pd.DataFrame:
-    first = _either(group)
-    if first["slice"].iloc[0] != CROWDS:
-        first["blob"] = [_packed(_unpacked(first["blob"].iloc[0])[1])]
-    return first
+def _among(values, ascending):
+    """Which values are among others that ascend."""
+    if not len(ascending):
+        return np.zeros(len(values), bool)
+    return ascending[np.minimum(np.searchsorted(ascending, values), len(ascending) - 1)] == values
 
 
 def _suffix_rows(data, first, last, at, shape):
     """Per anchor a row of bytes: the suffix from its gram to the end of its last string, then what precedes the gram
     back to the start of its first string, zeros, and both lengths. Equal rows are equal texts around equal grams."""
     right, left = last + shape.width - at, at - first
+    before = shape.span - 1
+    padded = np.concatenate([np.zeros(before, np.uint8), data, np.zeros(shape.width, np.uint8)])
     rows = np.zeros((len(at), shape.row), np.uint8)
-    for column in range(shape.text):
-        place = np.where(column < right, at + column, at - 1 - (column - right))
-        filled = column < right + left
-        rows[filled, column] = data[place[filled]]
+    rows[:, : shape.width] = np.lib.stride_tricks.sliding_window_view(padded, shape.width)[at + before]
+    rows[:, : shape.width] *= np.arange(shape.width) < right[:, None]
+    back = np.lib.stride_tricks.sliding_window_view(padded, before)[at][:, ::-1] * (np.arange(before) < left[:, None])
+    for length in np.unique(right):
+        own = np.flatnonzero(right == length)
+        rows[own, length : length + before] = back[own]
     rows[:, -2], rows[:, -1] = right, left
     return rows
 
@@ -261,13 +320,17 @@ def front_coded(rows):
 
 
 def decoded(prefixes, rest, width):
-    """The rows of a front-coded run."""
-    prefixes = prefixes.astype(np.int64)
-    offsets = np.concatenate([[0], np.cumsum(width - prefixes)[:-1]]) - prefixes
-    rows, index = np.empty((len(prefixes), width), np.uint8), np.arange(len(prefixes))
+    """The rows of a front-coded run, or of several one after the other, as the first row of each is whole."""
+    rows = np.empty((len(prefixes), width), np.uint8)
+    rows[np.arange(width) >= prefixes[:, None]] = rest
+    partly = np.flatnonzero(prefixes)
     for column in range(width):
-        source = np.maximum.accumulate(np.where(prefixes <= column, index, 0))
-        rows[:, column] = rest[offsets[source] + column]
+        partly = partly[prefixes[partly] > column]
+        if not len(partly):
+            break
+        # Neighbours that all lack this byte have it from the row before them.
+        new = np.diff(partly, prepend=-1) != 1
+        rows[partly, column] = rows[partly[new] - 1, column][np.cumsum(new) - 1]
     return rows
 
 
@@ -280,7 +343,7 @@ def _single_strings(data, first, last, shape):
     return starts, _mixed([words[starts + place] for place in places])
 
 
-def _suffixes(batches, shape, bits, crowded):
+def _suffixes(batches, shape, bits, depth, crowded):
     """Runs of about RUN_BYTES of text: the suffixes that may repeat, as rows, with their piece, start and the hash they
     are dealt by (of the gram, or of the string around a crowded gram), and whose the pieces are."""
     found, owners, pieces, size = [], [], 0, 0
@@ -291,9 +354,9 @@ def _suffixes(batches, shape, bits, crowded):
 
     for data, ends, whose in _parts(batches, shape):
         first, last, at, grams = anchors(data, ends, shape)
-        often = np.logical_and(*(_marked(bits, slots) for slots in _slots(grams)))
+        often = _passing(bits, depth, grams)
         first, last, at, grams = first[often], last[often], at[often], grams[often]
-        crowd = np.isin(grams, crowded)
+        crowd = _among(grams, crowded)
         if crowd.any():
             starts, hashes = _single_strings(data, first[crowd], last[crowd], shape)
             first, last, at = (np.concatenate([x[~crowd], starts]) for x in (first, last, at))
@@ -311,23 +374,22 @@ def _suffixes(batches, shape, bits, crowded):
         yield flush()
 
 
-def _local_runs(shape, filter_map, crowded, buckets):
+def _local_runs(shape, filter_map, depth, crowded, buckets):
     """Per run of text: sorted front-coded suffixes per bucket, the pieces of text they are from, and what of it an
     earlier document in the same run covers already."""
 
     def run(batches):
         (bits,) = _unpacked(filter_map.value)
         number = TaskContext.get().partitionId() * TASK_RUNS
-        for rows, piece, start, grams, ids, hashes, offsets in _suffixes(batches, shape, bits, crowded.value):
+        for rows, piece, start, grams, ids, hashes, offsets in _suffixes(batches, shape, bits, depth, crowded.value):
             number += 1
             if not len(rows):
                 continue
             order = np.argsort(rows.view(f"S{shape.row}").ravel(), kind="stable")
             rows, piece, start, grams = rows[order], piece[order], start[order], grams[order]
-            group = np.cumsum(common_prefixes(rows) < shape.row) - 1
-            least = np.full(group[-1] + 1, NO_ID)
-            np.minimum.at(least, group, ids[piece])
-            later = ids[piece] > least[group]
+            heads = np.flatnonzero(common_prefixes(rows) < shape.row)
+            least = np.minimum.reduceat(ids[piece], heads)
+            later = ids[piece] > np.repeat(least, np.diff(heads, append=len(rows)))
             lengths = rows[:, -2].astype(np.uint32) + rows[:, -1]
             covered = piece[later].astype(np.uint32), start[later].astype(np.uint32), lengths[later]
             out = [
@@ -346,7 +408,8 @@ def _local_runs(shape, filter_map, crowded, buckets):
                 used, place = np.unique(piece[own], return_inverse=True)
                 coded = front_coded(rows[own])
                 kind = np.uint16 if len(used) < 1 << 16 else np.uint32
-                blob = _packed(*coded, used.astype(np.uint32), ids[used], place.astype(kind), start[own].astype(np.uint32))
+                whose = used.astype(np.uint32), ids[used], place.astype(kind), start[own].astype(np.uint32)
+                blob = _packed(*coded, *whose, level=3)
                 out.append((b, number, SUFFIXES, blob))
                 if len(out) >= 16:
                     yield _local_batch(out)
@@ -366,85 +429,28 @@ def _local_batch(rows):
 def merge(runs, width):
     """Merge sorted runs of equally long byte strings: the run of each output and its common prefix with the one before.
 
-    `runs` are (rows, prefixes): `prefixes[i]` is what row i shares with row i-1. A loser tree holds with each loser
-    the prefix it shares with the row that beat it. The next row of a run and every loser on its way up are then known
-    by their prefixes with the same row, the last output: the longer prefix wins unseen, and only equal ones are
-    compared, from the first byte that is not known to be equal.
+    `runs` are (rows, prefixes), rows as bytes or as a table of bytes.
     """
-    streams = 1
-    while streams < len(runs):
-        streams *= 2
-    at, current = [0] * streams, [None] * streams
-    for i, (rows, _) in enumerate(runs):
-        if len(rows):
-            current[i] = rows[0]
-
-    def lost(a, b, known):
-        """Whether row a comes after row b, both sharing `known` bytes with a third, and what they share."""
-        x, y = a[known:], b[known:]
-        if x == y:
-            return False, width
-        differs = int.from_bytes(x, "big") ^ int.from_bytes(y, "big")
-        return x > y, width - (differs.bit_length() + 7 >> 3)
-
-    losers, shared = [0] * streams, [-1] * streams
-
-    def play(node):
-        if node >= streams:
-            i = node - streams
-            return i, 0 if current[i] is not None else -1
-        (i, h), (j, k) = play(2 * node), play(2 * node + 1)
-        if h < 0 or k < 0:
-            (i, h), (j, k) = ((i, h), (j, k)) if k < 0 else ((j, k), (i, h))
-            losers[node], shared[node] = j, k
-            return i, h
-        after, common = lost(current[i], current[j], 0)
-        i, j = (j, i) if after else (i, j)
-        losers[node], shared[node] = j, common
-        return i, 0
-
-    winner, known = play(1)
-    order, prefixes = [], []
-    while known >= 0:
-        order.append(winner)
-        prefixes.append(known)
-        i = winner
-        rows, own = runs[i]
-        at[i] = place = at[i] + 1
-        if place < len(rows):
-            row, known = rows[place], own[place]
-        else:
-            row, known = None, -1
-        current[i] = row
-        node = (i + streams) >> 1
-        while node:
-            other = shared[node]
-            if known < other:
-                losers[node], shared[node], i, known = i, known, losers[node], other
-                row = current[i]
-            elif known == other and known >= 0:
-                rival = current[losers[node]]
-                after, common = lost(row, rival, known)
-                if after:
-                    losers[node], i = i, losers[node]
-                    row = rival
-                shared[node] = common
-            node >>= 1
-        winner = i
-    return order, prefixes
-
-
-def _without_singles(runs, shape):
-    """The runs without rows whose gram no other row has."""
-    grams = [_mixed(list(np.ascontiguousarray(run[0][:, : shape.gram]).view("<u8").T)) for run in runs]
-    values, counts = np.unique(np.concatenate(grams), return_counts=True)
-    often = values[counts > 1]
-    kept = []
-    for run, own in zip(runs, grams):
-        keep = np.isin(own, often)
-        if keep.any():
-            kept.append([part[keep] for part in run])
-    return kept
+    runs = [np.frombuffer(b"".join(map(bytes, rows)), np.uint8).reshape(-1, width) for rows, _ in runs]
+    order, _, prefixes = merged(np.concatenate(runs), width)
+    return np.repeat(np.arange(len(runs)), [len(rows) for rows in runs])[order].tolist(), prefixes.tolist()
+
+
+def merged(rows, width):
+    """Merge sorted runs of rows that lie one after the other: the order, the rows in it, and what each shares with the
+    one before it. The stable sort of numpy takes ascending runs as they lie and merges neighbouring ones."""
+    if not len(rows):
+        return np.empty(0, np.int64), rows, np.empty(0, np.int64)
+    order = np.argsort(np.ascontiguousarray(rows).view(f"S{width}").ravel(), kind="stable")
+    rows = rows[order]
+    return order, rows, common_prefixes(rows)
+
+
+def _without_singles(rows, shape):
+    """The places of the rows whose gram another row has."""
+    grams = _mixed(list(np.ascontiguousarray(rows[:, : shape.gram]).view("<u8").T))
+    values = np.sort(grams)
+    return np.flatnonzero(_among(grams, values[1:][values[1:] == values[:-1]]))
 
 
 def _covers(shape):
@@ -452,25 +458,29 @@ def _covers(shape):
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         out = [(r, k, b) for r, k, b in zip(group["run"], group["kind"], group["blob"]) if k != SUFFIXES]
-        runs, numbers = [], []
-        for number, blob in group.loc[group["kind"] == SUFFIXES, ["run", "blob"]].sort_values("run").values:
+        suffixes = group.loc[group["kind"] == SUFFIXES, ["run", "blob"]].sort_values("run")
+        if not len(suffixes):
+            return pd.DataFrame(out, columns=["run", "kind", "blob"])
+        parts = []
+        for blob in suffixes["blob"]:
             prefixes, rest, used, ids, place, start = _unpacked(blob)
-            rows = decoded(prefixes, rest, shape.row)
-            runs.append([rows, ids[place], used[place], start, np.full(len(rows), number, np.int64)])
-        runs = _without_singles(runs, shape) if runs else []
-        if runs:
-            listed = [(list(map(bytes, r[0])), common_prefixes(r[0]).tolist()) for r in runs]
-            order, prefixes = merge(listed, shape.row)
-            # The nth output of a run is its nth row.
-            back = np.empty(len(order), np.int64)
-            back[np.argsort(order, kind="stable")] = np.arange(len(order))
-            rows, ids, piece, start, numbers = (np.concatenate(parts)[back] for parts in zip(*runs))
-            found = _covered(rows, np.array(prefixes), ids, start, shape)
-            which, begin, length = found
-            for number in np.unique(numbers[which]):
-                own = numbers[which] == number
-                parts = piece[which][own].astype(np.uint32), begin[own].astype(np.uint32), length[own].astype(np.uint32)
-                out.append((number, COVERED, _packed(*parts)))
+            parts.append((prefixes, rest, ids[place], used[place], start))
+        numbers = np.repeat(suffixes["run"].to_numpy(np.int64), [len(part[0]) for part in parts])
+        prefixes, rest, ids, piece, start = (np.concatenate(x) for x in zip(*parts))
+        rows = decoded(prefixes, rest, shape.row)
+        kept = _without_singles(rows, shape)
+        if len(kept):
+            order, rows, prefixes = merged(rows[kept], shape.row)
+            kept = kept[order]
+            ids, piece, start, numbers = ids[kept], piece[kept], start[kept], numbers[kept]
+            which, begin, length = _covered(rows, prefixes, ids, start, shape)
+            dealt = np.argsort(numbers[which], kind="stable")
+            which, begin, length = which[dealt], begin[dealt].astype(np.uint32), length[dealt].astype(np.uint32)
+            ends = [*np.flatnonzero(np.diff(numbers[which])) + 1, len(which)]
+            for a, b in zip([0, *ends], ends):
+                if b > a:
+                    blob = _packed(piece[which[a:b]].astype(np.uint32), begin[a:b], length[a:b])
+                    out.append((int(numbers[which[a]]), COVERED, blob))
         return pd.DataFrame(out, columns=["run", "kind", "blob"])
 
     return run
@@ -478,43 +488,76 @@ def _covers(shape):
 
 def _covered(rows, prefixes, ids, start, shape):
     """Which of the merged rows are covered by an earlier document, from where and how far."""
+    start = start.astype(np.int64)
     text = np.cumsum(prefixes < shape.row) - 1  # equal rows
-    gram = np.cumsum(prefixes < shape.gram) - 1  # equal grams
     heads = np.flatnonzero(prefixes < shape.row)
-    heads[0] = 0
     least = np.minimum.reduceat(ids, heads)
     lengths = rows[:, -2].astype(np.int64) + rows[:, -1]
     full = ids > least[text]
-    which, begin, length = [np.flatnonzero(full)], [start[full].astype(np.int64)], [lengths[full]]
+    which, begin, length = [np.flatnonzero(full)], [start[full]], [lengths[full]]
     # Different texts around one gram may still have strings in common.
-    gram_of = gram[heads]
-    bounds = np.flatnonzero(np.concatenate([[True], np.diff(gram_of) != 0, [True]]))
-    ends = np.concatenate([heads[1:], [len(rows)]])
-    more = []
-    for a, b in zip(bounds[:-1], bounds[1:]):
-        if b - a < 2 or least[a:b].min() == least[a:b].max():
-            continue
-        earliest, strings = {}, []
-        for t in range(a, b):
-            row = rows[heads[t]].tobytes()
-            right, left = row[-2], row[-1]
-            whole = row[right : right + left][::-1] + row[:right]
-            own = [whole[i : i + shape.width] for i in range(right + left - shape.width + 1)]
-            strings.append(own)
-            for string in own:
-                if earliest.get(string, NO_ID) >= least[t]:
-                    earliest[string] = least[t]
-        for t, own in zip(range(a, b), strings):
-            hits = [i for i, string in enumerate(own) if earliest[string] < least[t]]
-            if hits:
-                firsts = [i for i in range(heads[t], ends[t]) if ids[i] == least[t]]
-                more += [(i, start[i] + hit, shape.width) for i in firsts for hit in hits]
-    if more:
-        extra = np.array(more, np.int64)
-        which, begin, length = which + [extra[:, 0]], begin + [extra[:, 1]], length + [extra[:, 2]]
+    grams = np.flatnonzero(prefixes[heads] < shape.gram)
+    sizes = np.diff(grams, append=len(heads))
+    mixed = np.repeat(np.minimum.reduceat(least, grams) != np.maximum.reduceat(least, grams), sizes)
+    if mixed.any():
+        texts = np.flatnonzero(mixed)
+        owner, hit, reach = _shared_strings(rows[heads[texts]], least[texts], shape)
+        firsts = np.flatnonzero(~full & mixed[text])
+        own, count = np.unique(text[firsts], return_index=True, return_counts=True)[1:]
+        # Each span belongs to all the rows of its text that are from its least document.
+        times = count[owner]
+        row = firsts[np.repeat(own[owner] - np.cumsum(times) + times, times) + np.arange(times.sum())]
+        which.append(row)
+        begin.append(start[row] + np.repeat(hit, times))
+        length.append(np.repeat(reach, times))
     return np.concatenate(which), np.concatenate(begin), np.concatenate(length)
 
 
+def _shared_strings(rows, least, shape):
+    """Spans of different texts that lie in strings which texts of a smaller id hold too: whose, from where, how far.
+
+    Equal strings have equal grams at equal offsets, so strings are taken by that offset. They are sorted by a hash, and
+    by themselves should any two different ones share it.
+    """
+    before = shape.span - 1
+    right, left = rows[:, -2].astype(np.int64), rows[:, -1].astype(np.int64)
+    # All texts with their grams at the same place, and zeros around.
+    aligned = np.zeros((len(rows), shape.text), np.uint8)
+    aligned[:, before:] = rows[:, : shape.width] * (np.arange(shape.width) < right[:, None])
+    for length in np.unique(right):
+        own = np.flatnonzero(right == length)
+        aligned[own, :before] = rows[own, length : length + before][:, ::-1]
+    words = np.ndarray((len(rows), shape.text - 7), "<u8", aligned, 0, (shape.text, 1))
+    places = [*range(0, shape.width - 8, 8), shape.width - 8]
+    owners, offsets, hashes = [], [], []
+    for offset in range(shape.span):
+        own = np.flatnonzero((left >= offset) & (right >= shape.width - offset))
+        owners.append(own)
+        offsets.append(np.full(len(own), offset))
+        hashes.append(_mixed([words[own, before - offset + place] for place in places]))
+    owner, offset, hashes = (np.concatenate(x) for x in (owners, offsets, hashes))
+    strings = np.lib.stride_tricks.sliding_window_view(aligned, shape.width, axis=1)
+    order = np.argsort(hashes, kind="stable")
+    equal = hashes[order][1:] == hashes[order][:-1]
+    pairs = np.flatnonzero(equal)
+    for at in range(0, len(pairs), 1 << 16):
+        one, two = (order[pairs[at : at + (1 << 16)] + i] for i in (0, 1))
+        if (strings[owner[one], before - offset[one]] != strings[owner[two], before - offset[two]]).any():
+            each = strings[owner, before - offset]
+            order = np.argsort(each.view(f"S{shape.width}").ravel(), kind="stable")
+            equal = (each[order][1:] == each[order][:-1]).all(axis=1)
+            break
+    owner, place = owner[order], (left[owner] - offset)[order]
+    new = np.concatenate([[True], ~equal])
+    earliest = np.minimum.reduceat(least[owner], np.flatnonzero(new))
+    hits = least[owner] > earliest[np.cumsum(new) - 1]
+    # Neighbouring strings of one text are one span.
+    key = np.sort(owner[hits] * shape.row + place[hits])
+    ends = np.flatnonzero(np.diff(key, append=-1) != 1)
+    firsts = key[np.concatenate([[0], ends[:-1] + 1])] if len(key) else key
+    return firsts // shape.row, firsts % shape.row, key[ends] - firsts + shape.width
+
+
 def _joined(starts, ends):
     """Maximal runs of what the spans cover; `starts` ascend."""
     reach = np.maximum.accumulate(ends)
@@ -533,10 +576,11 @@ def _spans(group: pd.DataFrame) -> pd.DataFrame:
         order = np.argsort(key, kind="stable")
         first, last = _joined(key[order], (key + length)[order])
         owner = first >> 32
-        for p in np.unique(owner):
-            own = owner == p
-            spans = np.stack([first[own], last[own]], axis=1) - (p << 32) + offsets[p]
-            out.append((ids[p] if ids[p] != NO_ID else None, hashes[p], spans.astype("<i8").tobytes()))
+        spans = np.stack([first, last], axis=1) - (owner << 32)[:, None] + offsets[owner][:, None]
+        ends = [*np.flatnonzero(np.diff(owner)) + 1, len(owner)]
+        for a, b in zip([0, *ends], ends):
+            p = owner[a]
+            out.append((ids[p] if ids[p] != NO_ID else None, hashes[p], spans[a:b].astype("<i8").tobytes()))
     found = pd.DataFrame(out, columns=["id", "h", "spans"])
     found["id"] = found["id"].astype("Int64")
     return found
@@ -561,40 +605,50 @@ def _cut(texts: pd.Series, covered: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["kept", "n_bytes", "n_removed", "n_spans", "spans"])
 
 
-def repeated_grams(inputs, shape, salts=4):
-    """The bits of a fixed filter that two grams or more fall on, compressed, and the hashes of crowded grams.
+def repeated_grams(inputs, shape, salts=4, depth=SLICES.bit_length() - 1, size=None):
+    """The bits of a filter that lets all grams through which come twice, compressed, and the hashes of crowded grams.
 
-    The tasks' maps are merged in `salts` groups first, and then those of the groups.
+    The tasks list the hashes of their grams in 2^depth slices, and each slice is looked through for those that come
+    twice, so that no task holds more than a slice. Only these are marked, in 2^size bits. The tasks' crowded grams are
+    merged in `salts` groups first, and then those of the groups.
     """
+    size = FILTER_BITS if size is None else size
     schema = "slice int, salt int, blob binary"
-    seen = inputs.mapInArrow(_seen_grams(shape, salts), schema)
-    merged = seen.groupBy("slice", "salt").applyInPandas(_either, schema)
-    parts = merged.groupBy("slice").applyInPandas(_only_twice, schema).collect()
-    size = (1 << FILTER_BITS) // SLICES // 8
-    bits, crowded = np.zeros(size * SLICES, np.uint8), np.empty(0, np.uint64)
+    listed = inputs.mapInArrow(_gram_hashes(shape, salts, depth), schema)
+    found = listed.groupBy("slice", "salt").applyInPandas(_repeated(size - depth), schema)
+    parts = found.groupBy("slice").applyInPandas(_last_crowds, schema).collect()
+    step = (1 << size) // 8 >> depth
+    bits, crowded = np.zeros(step << depth, np.uint8), np.empty(0, np.uint64)
     for part in parts:
         if part["slice"] == CROWDS:
             grams, counts, (total,) = _unpacked(part["blob"])
             crowded = np.sort(grams[counts >= max(CROWD, total // CROWD_SHARE)])
         else:
-            bits[part["slice"] * size : (part["slice"] + 1) * size] = _unpacked(part["blob"])[0]
+            bits[part["slice"] * step : (part["slice"] + 1) * step] = _unpacked(part["blob"])[0]
     return _packed(bits), crowded
 
 
+def filter_shape(total):
+    """The logarithms of the filter's slices and bits for so many bytes of text."""
+    depth = max(SLICES, -(-total // SLICE_BYTES)).bit_length() - 1
+    return depth, max(depth + 3, min(FILTER_BITS, (total // FILTER_BYTES).bit_length() - 1))
+
+
 def remove_repeats(docs, width=50, id_col=DOC_ID, text_col=TEXT):
     """The columns of `docs`, then `kept` (binary, what is left of the text's UTF-8), `n_bytes`, `n_removed`, `n_spans`
     and `spans` (starts and ends of the maximal removed runs, in bytes).
 
     A byte goes if it lies in a string of `width` bytes that also starts in a document of a smaller id. Strings are
     grouped by their least gram, so that one suffix stands for about a dozen neighbouring strings. Tasks sort the
-    suffixes of about RUN_BYTES of text and exchange them as front-coded runs, dealt by a hash of the gram; a loser
-    tree merges a bucket's runs by their common prefixes. Equal rows are equal texts, of which only the least document
-    keeps its own; different texts around one gram are compared string by string. Each run's text is told what is
+    suffixes of about RUN_BYTES of text and exchange them as front-coded runs, dealt by a hash of the gram; a bucket's
+    runs are merged. Equal rows are equal texts, of which only the least document keeps its own; the strings of
+    different texts around one gram are sorted too, and met. Each run's text is told what is
     covered, spans are joined per document, and each row cuts its own text.
 
     Three things keep the exchange small and even. A suffix that an earlier document repeats within the run is settled there, so
-    a passage that a third of all documents share sends one suffix per run. And a first pass marks in a filter of
-    fixed size (64 MB, broadcast) which gram hashes occur twice; suffixes of other grams cannot repeat and stay home.
+    a passage that a third of all documents share sends one suffix per run. And a first pass exchanges the hashes of all
+    grams, in slices that grow in number with the text, and marks those that come twice in a filter that is broadcast
+    (64 MB at most); suffixes of other grams cannot repeat and stay home. Grams that come once take no room in it.
     A filter that fills up lets more through, but never changes the result. And grams around which very many different
     texts lie, such as the first of a passage that all kinds of documents quote, are counted in that pass too: their
     strings are dealt out one by one, so no task gets all the texts around one gram. Crowded grams (at most
@@ -616,8 +670,10 @@ def remove_repeats(docs, width=50, id_col=DOC_ID, text_col=TEXT):
     total = inputs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(max(1, -(-total // BUCKET_BYTES)))
     salts = max(4, math.isqrt(total // RUN_BYTES))
-    bits, crowded = map(docs.sparkSession.sparkContext.broadcast, repeated_grams(inputs, shape, salts))
-    runs = inputs.mapInArrow(_local_runs(shape, bits, crowded, buckets), LOCAL)
+    depth, size = filter_shape(total)
+    found = repeated_grams(inputs, shape, salts, depth, size)
+    bits, crowded = map(docs.sparkSession.sparkContext.broadcast, found)
+    runs = inputs.mapInArrow(_local_runs(shape, bits, depth, crowded, buckets), LOCAL)
     covers = runs.groupBy("bucket").applyInPandas(_covers(shape), "run bigint, kind int, blob binary")
     spans = covers.groupBy("run").applyInPandas(_spans, "id bigint, h bigint, spans binary")
     spans = spans.groupBy(F.col("id").alias("_id"), F.col("h").alias("_h")).agg(F.collect_list("spans").alias("_spans"))

@@ -133,3 +133,80 @@ def test_each_string_has_one_anchor():
 
 def test_empty(spark):
     assert remove_repeats(odd.empty(spark)).collect() == []
+
+
+def marks(spark, texts):
+    inputs = odd.table(spark, list(enumerate(texts))).selectExpr("doc_id AS id", "doc_id AS h", "CAST(text AS BINARY) AS text")
+    return suffixes._unpacked(suffixes.repeated_grams(inputs, Shape(50))[0])[0]
+
+
+def test_filter_takes_no_room_for_what_comes_once(spark):
+    """Grams that come once must not fill the filter, however many there are: all later work grows with what passes."""
+    draw = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    texts = ["".join(draw.choices(letters, k=50_000)) for _ in range(80)]  # 300,000 grams in 2^20 bits
+    assert np.unpackbits(marks(spark, texts)).mean() < 0.001
+    again = marks(spark, [*texts[:40], *texts[:4]])
+    assert 0.01 < np.unpackbits(again).mean() < 0.1
+
+
+@pytest.mark.parametrize("depth", [0, 4, 9])
+def test_filter_lets_all_repeats_through(depth):
+    grams = np.random.default_rng(5).integers(0, 1 << 60, 30_000, dtype=np.uint64)
+    keys = np.sort(suffixes._keys(grams))
+    share = np.bincount((keys >> np.uint64(63 - depth) >> np.uint64(1)).astype(np.int64), minlength=1 << depth)
+    assert share.max() < 2 * len(grams) / (1 << depth)  # slices are even, though least hashes are small
+    size, slices, begin = 18, [], 0
+    for count in share:
+        low = suffixes._low(keys[begin : begin + count], depth)
+        begin += count
+        assert (suffixes._unlisted(suffixes._listed(low)) == low).all()
+        blobs = [suffixes._packed(suffixes._listed(part)) for part in (low, low[::7], low[:0])]
+        found = suffixes._repeated(size - depth)(suffixes.pd.DataFrame({"slice": 0, "salt": 0, "blob": blobs}))
+        slices.append((low[::7], suffixes._unpacked(found["blob"].iloc[0])[0]))
+    bits = np.concatenate([bits for _, bits in slices])
+    passing = suffixes._passing(bits, depth, grams)
+    again = np.isin(suffixes._low(suffixes._keys(grams), depth), np.concatenate([low for low, _ in slices]))
+    assert passing[again].all() and passing.mean() < 0.25
+
+
+@pytest.mark.parametrize("width", [16, 50])
+def test_shared_strings_whatever_their_hashes(monkeypatch, width):
+    """Strings of different texts around one gram, against brute force; also where all of them have one hash."""
+    shape, draw = Shape(width), random.Random(6)
+    gram = "g" * shape.gram
+    texts = set()
+    for _ in range(60):
+        left = "".join(draw.choices("ab", k=2)) * (shape.span // 2)
+        right = draw.choice(["xy", "x\0", "yy"]) * (shape.width // 2)
+        left, right = left[: draw.randrange(shape.span)], gram + right[: shape.width - shape.gram]
+        if len(left) + len(right) >= width:
+            texts.add((left.encode(), right.encode()))
+    texts = sorted(texts)
+    rows = np.zeros((len(texts), shape.row), np.uint8)
+    for row, (left, right) in zip(rows, texts):
+        row[: len(left) + len(right)] = list(right + left[::-1])
+        row[-2:] = len(right), len(left)
+    least = np.array([draw.randrange(20) for _ in texts])
+    earliest = {}
+    for (left, right), own in zip(texts, least):
+        for i in range(len(left + right) - width + 1):
+            string = (left + right)[i : i + width]
+            earliest[string] = min(earliest.get(string, 99), own)
+    expected = {
+        (t, i + j)
+        for t, (left, right) in enumerate(texts)
+        for i in range(len(left + right) - width + 1)
+        for j in range(width)
+        if earliest[(left + right)[i : i + width]] < least[t]
+    }
+    for mixed in (suffixes._mixed, lambda words: np.zeros(len(words[0]), np.uint64)):
+        monkeypatch.setattr(suffixes, "_mixed", mixed)
+        found = zip(*suffixes._shared_strings(rows, least, shape))
+        assert {(t, i) for t, begin, reach in found for i in range(begin, begin + reach)} == expected and expected
+
+
+def test_runs_are_decoded_together():
+    runs = [sorted_rows(i, n, 9) for i, n in enumerate([30, 1, 12])]
+    parts = [np.concatenate(x) for x in zip(*map(front_coded, runs))]
+    assert (decoded(*parts, 9) == np.concatenate(runs)).all()
